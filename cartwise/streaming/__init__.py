@@ -1,0 +1 @@
+"""Structured Streaming: the original jobs are batch only, so nothing lives here yet."""
