@@ -11,8 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.labels import size_like
+from ..operators import affinity as af
+from ..operators import ages as ag
 from ..operators import frequency as fq
-from ..sources.fixtures import Fixtures
+from ..operators import impute as im
+from ..sources.fixtures import AGE_LABELS, Fixtures, label_sheet
 
 # The fixture's output-type codes (line numbers) that stand for kept sales.
 FIXTURE_OUTPUT_TYPES = (1, 2, 4, 5)
@@ -56,3 +60,90 @@ def model_code_map(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     cat = fx.catalog().select("product_id")
     return fq.attach_model_code(cat, fx.model_map())
+
+
+# -- R2 companion products ------------------------------------------------------
+@query
+def companion_top1(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return af.companion_products(fx.properties(), fx.property_map(), fx.model_map())
+
+
+# -- R3 / R4 imputation -----------------------------------------------------------
+def _imputed(fx: Fixtures) -> DataFrame:
+    return im.impute_by_group(fx.person())
+
+
+@query
+def group_mode(spark, sf_dir):
+    return im.group_mode(Fixtures(spark, sf_dir).person(), "prediction", "stage_last")
+
+
+@query
+def impute_stage_age(spark, sf_dir):
+    return _imputed(Fixtures(spark, sf_dir))
+
+
+@query
+def growth_gap_fill(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cust = _imputed(fx).select("customer_id", "expected_age_last")
+    return im.attach_growth(cust, fx.growth())
+
+
+@query
+def forward_fill(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cust = _imputed(fx).select("customer_id", "expected_age_last")
+    return im.carry_growth_forward(cust, fx.growth())
+
+
+# -- R5 / R6 / R8 age labels, candidates, diversification -----------------------------
+def _product_labels(fx: Fixtures) -> DataFrame:
+    sheet = label_sheet(fx.spark, AGE_LABELS)
+    return fx.product_label().join(F.broadcast(sheet), "label_no").select("product_id", "label")
+
+
+@query
+def label_reject(spark, sf_dir):
+    pl = _product_labels(Fixtures(spark, sf_dir))
+    return pl.select("product_id", "label", size_like(F.col("label")).alias("rejected"))
+
+
+@query
+def age_label_range(spark, sf_dir):
+    pl = _product_labels(Fixtures(spark, sf_dir))
+    return pl.join(ag.label_ranges(pl), "label", "left").select(
+        "product_id", "label", "min_age_months", "max_age_months")
+
+
+def _age_ranges(fx: Fixtures) -> DataFrame:
+    return ag.age_ranges(_product_labels(fx))
+
+
+@query
+def age_ranges(spark, sf_dir):
+    return _age_ranges(Fixtures(spark, sf_dir)).select(
+        "product_id", "label", "parsed", "min_age_months", "max_age_months")
+
+
+def _age_candidates(fx: Fixtures) -> DataFrame:
+    return ag.age_candidates(_imputed(fx), _age_ranges(fx))
+
+
+@query
+def age_candidates(spark, sf_dir):
+    return _age_candidates(Fixtures(spark, sf_dir))
+
+
+def _catalog_ids(fx: Fixtures) -> DataFrame:
+    return fx.catalog().withColumn("category_id", F.col("category_code").cast("int"))
+
+
+def _diversified(fx: Fixtures) -> DataFrame:
+    return ag.diversify(_age_candidates(fx), _catalog_ids(fx))
+
+
+@query
+def diversify(spark, sf_dir):
+    return _diversified(Fixtures(spark, sf_dir))

@@ -97,7 +97,7 @@ FX = {
                concat(substr(p_name, 1, 3), substr(p_name, 5), ' ', CAST(p_partkey % 100 AS VARCHAR)) AS query_name
         FROM part""",
     "fx_age_labels": """
-        SELECT * FROM (VALUES
+        SELECT label_no, label, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi, rejected FROM (VALUES
           (0, 'Trẻ sơ sinh', 0.0, 2.0, false), (1, 'Dưới 6 tháng', 0.0, 6.0, false),
           (2, 'Dưới 1,5 tuổi', 0.0, 18.0, false), (3, 'Từ 6 tháng đến 2 tuổi', 6.0, 24.0, false),
           (4, 'Từ 3 tuổi', 36.0, NULL, false), (5, 'Từ 18 tháng', 18.0, NULL, false),

@@ -65,3 +65,144 @@ ORACLE["model_code_map"] = with_fx("""
     SELECT c.product_id, m.model_code
     FROM fx_catalog c LEFT JOIN fx_model_map m ON trim(m.product_code) = CAST(c.product_id AS VARCHAR)
 """, "fx_catalog", "fx_model_map")
+
+# -- R2 -------------------------------------------------------------------------------
+ORACLE["companion_top1"] = with_fx("""
+    WITH props AS (
+        SELECT trim(product_code) AS product_code, product_name, property_id, value_id,
+               property_name, category_id FROM fx_properties),
+    m AS (SELECT DISTINCT * FROM fx_property_map),
+    main AS (
+        SELECT DISTINCT p.product_code, p.product_name, p.property_id, p.value_id, p.property_name,
+               m.property_id_map, m.value_id_map
+        FROM props p JOIN m ON p.property_id = m.property_id AND p.value_id = m.value_id),
+    sub AS (
+        SELECT DISTINCT property_id AS property_id_map, value_id AS value_id_map,
+               product_code AS product_code_sub, product_name AS product_name_sub,
+               category_id AS category_id_sub FROM props),
+    pairs AS (
+        SELECT DISTINCT main.product_code, main.product_name, main.property_id, main.value_id,
+               main.property_name, main.property_id_map, main.value_id_map,
+               sub.product_code_sub, sub.product_name_sub, sub.category_id_sub
+        FROM main JOIN sub ON main.property_id_map = sub.property_id_map
+                          AND main.value_id_map = sub.value_id_map
+        WHERE main.product_code <> sub.product_code_sub),
+    sc AS (
+        SELECT product_code, product_name, product_code_sub, product_name_sub, category_id_sub,
+               count(*) AS score
+        FROM pairs GROUP BY product_code, product_name, product_code_sub, product_name_sub, category_id_sub),
+    top1 AS (
+        SELECT * FROM sc QUALIFY row_number() OVER (PARTITION BY product_code, category_id_sub
+                                                    ORDER BY score DESC, product_code_sub) = 1)
+    SELECT t.*, mm.model_code FROM top1 t
+    LEFT JOIN fx_model_map mm ON trim(mm.product_code) = t.product_code_sub
+""", "fx_properties", "fx_property_map", "fx_model_map")
+
+# -- R3 / R4 ----------------------------------------------------------------------------
+MODE = """
+    mode AS (
+        SELECT prediction, stage_last AS mode_stage_last FROM (
+            SELECT prediction, stage_last, count(*) AS n FROM fx_person
+            WHERE stage_last IS NOT NULL GROUP BY prediction, stage_last)
+        QUALIFY row_number() OVER (PARTITION BY prediction ORDER BY n DESC, stage_last) = 1)"""
+
+IMPUTED = MODE + """,
+    mean AS (
+        SELECT prediction, stage_last, avg(expected_age_last) AS m FROM fx_person
+        WHERE expected_age_last IS NOT NULL GROUP BY prediction, stage_last),
+    filled AS (
+        SELECT p.customer_id, p.prediction, coalesce(p.stage_last, mode.mode_stage_last) AS stage_last,
+               p.expected_age_last
+        FROM fx_person p LEFT JOIN mode ON p.prediction = mode.prediction),
+    imp AS (
+        SELECT f.customer_id, f.stage_last, round(coalesce(f.expected_age_last, mean.m), 0) AS expected_age_last
+        FROM filled f LEFT JOIN mean ON f.prediction = mean.prediction AND f.stage_last = mean.stage_last)"""
+
+ORACLE["group_mode"] = with_fx(f"WITH {MODE} SELECT * FROM mode", "fx_person")
+ORACLE["impute_stage_age"] = with_fx(f"WITH {IMPUTED} SELECT * FROM imp", "fx_person")
+
+ORACLE["growth_gap_fill"] = with_fx(f"""
+    WITH {IMPUTED},
+    b AS (
+        SELECT i.customer_id, i.expected_age_last AS a,
+               (SELECT max(age_months) FROM fx_growth WHERE age_months <= i.expected_age_last) AS a0,
+               (SELECT min(age_months) FROM fx_growth WHERE age_months >= i.expected_age_last) AS a1
+        FROM imp i)
+    SELECT b.customer_id, b.a AS expected_age_last,
+           round(CASE WHEN b.a IS NULL THEN NULL WHEN b.a0 IS NULL THEN g1.weight_kg
+                      WHEN b.a1 IS NULL OR b.a1 = b.a0 THEN g0.weight_kg
+                      ELSE g0.weight_kg + (g1.weight_kg - g0.weight_kg) * (b.a - b.a0) / (b.a1 - b.a0) END, 6)
+               AS weight_kg,
+           round(CASE WHEN b.a IS NULL THEN NULL WHEN b.a0 IS NULL THEN g1.height_cm
+                      WHEN b.a1 IS NULL OR b.a1 = b.a0 THEN g0.height_cm
+                      ELSE g0.height_cm + (g1.height_cm - g0.height_cm) * (b.a - b.a0) / (b.a1 - b.a0) END, 6)
+               AS height_cm
+    FROM b LEFT JOIN fx_growth g0 ON g0.age_months = b.a0 LEFT JOIN fx_growth g1 ON g1.age_months = b.a1
+""", "fx_person", "fx_growth")
+
+ORACLE["forward_fill"] = with_fx(f"""
+    WITH {IMPUTED},
+    b AS (
+        SELECT i.customer_id, i.expected_age_last AS a,
+               (SELECT max(age_months) FROM fx_growth WHERE age_months <= i.expected_age_last) AS a0
+        FROM imp i)
+    SELECT b.customer_id, b.a AS expected_age_last, g.weight_kg, g.height_cm
+    FROM b LEFT JOIN fx_growth g ON g.age_months = b.a0
+""", "fx_person", "fx_growth")
+
+# -- R5 / R6 / R8 --------------------------------------------------------------------------
+PRODUCT_LABELS = """
+    pl AS (
+        SELECT p.product_id, l.label, l.lo, l.hi, l.rejected
+        FROM fx_product_label p JOIN fx_age_labels l ON p.label_no = l.label_no)"""
+
+RANGES = PRODUCT_LABELS + """,
+    mx AS (SELECT max(hi) AS m FROM pl WHERE NOT rejected),
+    rng AS (
+        SELECT product_id, label,
+               CASE WHEN rejected THEN NULL ELSE lo IS NOT NULL END AS parsed,
+               CASE WHEN rejected THEN NULL ELSE coalesce(lo, CAST(0 AS DOUBLE)) END AS min_age_months,
+               CASE WHEN rejected THEN NULL ELSE coalesce(hi, mx.m) END AS max_age_months
+        FROM pl CROSS JOIN mx)"""
+
+CANDIDATES = IMPUTED + "," + RANGES + """,
+    ages AS (SELECT DISTINCT expected_age_last AS age FROM imp WHERE expected_age_last IS NOT NULL),
+    m AS (
+        SELECT a.age, r.product_id, r.parsed, r.max_age_months - r.min_age_months AS w,
+               abs(a.age - (r.min_age_months + r.max_age_months) / 2) AS d
+        FROM ages a JOIN rng r ON a.age BETWEEN r.min_age_months AND r.max_age_months),
+    best AS (
+        SELECT age, product_id,
+               CAST(row_number() OVER (PARTITION BY age ORDER BY parsed DESC, w, d, product_id) AS INTEGER)
+                   AS cand_rank
+        FROM m QUALIFY cand_rank <= 20),
+    cand AS (
+        SELECT i.customer_id, i.expected_age_last AS age, b.product_id, b.cand_rank
+        FROM imp i JOIN best b ON i.expected_age_last = b.age)"""
+
+DIVERSIFIED = CANDIDATES + """,
+    ext AS (
+        SELECT c.customer_id, c.product_id, c.cand_rank, CAST(k.category_code AS INTEGER) AS category_id,
+               coalesce(k.item_base_id, c.product_id) AS item_base_id
+        FROM cand c LEFT JOIN fx_catalog k ON c.product_id = k.product_id),
+    v AS (SELECT * FROM ext QUALIFY row_number() OVER (PARTITION BY customer_id, item_base_id
+                                                      ORDER BY cand_rank) <= 2),
+    t AS (SELECT *, row_number() OVER (PARTITION BY customer_id, category_id ORDER BY cand_rank) AS turn
+          FROM v WHERE category_id IS NOT NULL),
+    div AS (
+        SELECT customer_id, product_id, category_id, item_base_id, cand_rank, pick FROM (
+            SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY turn, category_id) AS INTEGER)
+                      AS pick FROM t)
+        WHERE pick <= 15)"""
+
+ORACLE["label_reject"] = with_fx(f"WITH {PRODUCT_LABELS} SELECT product_id, label, rejected FROM pl",
+                                 "fx_product_label", "fx_age_labels")
+ORACLE["age_label_range"] = with_fx(f"""
+    WITH {PRODUCT_LABELS}
+    SELECT product_id, label, lo AS min_age_months, hi AS max_age_months FROM pl
+""", "fx_product_label", "fx_age_labels")
+ORACLE["age_ranges"] = with_fx(f"WITH {RANGES} SELECT * FROM rng", "fx_product_label", "fx_age_labels")
+ORACLE["age_candidates"] = with_fx(f"WITH {CANDIDATES} SELECT * FROM cand",
+                                   "fx_person", "fx_product_label", "fx_age_labels")
+ORACLE["diversify"] = with_fx(f"WITH {DIVERSIFIED} SELECT * FROM div",
+                              "fx_person", "fx_product_label", "fx_age_labels", "fx_catalog")
