@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from ..functions.labels import size_like
 from ..operators import affinity as af
 from ..operators import ages as ag
+from ..operators import blend as bl
 from ..operators import frequency as fq
 from ..operators import impute as im
-from ..sources.fixtures import AGE_LABELS, Fixtures, label_sheet
+from ..operators import upsize as up
+from ..sources.fixtures import AGE_LABELS, MILK_LABELS, Fixtures, label_sheet
 
 # The fixture's output-type codes (line numbers) that stand for kept sales.
 FIXTURE_OUTPUT_TYPES = (1, 2, 4, 5)
@@ -147,3 +149,99 @@ def _diversified(fx: Fixtures) -> DataFrame:
 @query
 def diversify(spark, sf_dir):
     return _diversified(Fixtures(spark, sf_dir))
+
+
+# -- R12-R15 upsize chain -------------------------------------------------------------
+def _milk(fx: Fixtures) -> DataFrame:
+    sheet = label_sheet(fx.spark, MILK_LABELS)
+    return fx.milk_product().join(F.broadcast(sheet), "label_no").select("product_id", "brand_id", "label")
+
+
+def _ladder(fx: Fixtures) -> DataFrame:
+    return up.size_ladder(fx.size_labels(), _milk(fx))
+
+
+def _upsize_rows(fx: Fixtures) -> DataFrame:
+    return up.upsize(fx.cycle(), fx.catalog(), _ladder(fx))
+
+
+def _linked(fx: Fixtures) -> DataFrame:
+    return up.link_origin(_upsize_rows(fx), fx.cycle())
+
+
+def _latest(fx: Fixtures) -> DataFrame:
+    return up.latest_purchase(_linked(fx), fx.purchases())
+
+
+@query
+def strict_label_rank(spark, sf_dir):
+    milk = _milk(Fixtures(spark, sf_dir))
+    ranks = up.milk_label_ranks(milk)
+    return milk.join(ranks, "label").select("product_id", "label", "min_age_months", "range_months",
+                                            "ranking")
+
+
+@query
+def size_ladder(spark, sf_dir):
+    return _ladder(Fixtures(spark, sf_dir))
+
+
+@query
+def next_rung(spark, sf_dir):
+    return up.ladder_next(_ladder(Fixtures(spark, sf_dir)))
+
+
+@query
+def upsize_pairs(spark, sf_dir):
+    return _upsize_rows(Fixtures(spark, sf_dir))
+
+
+@query
+def origin_islands(spark, sf_dir):
+    out = up.origin_islands(_upsize_rows(Fixtures(spark, sf_dir)))
+    return out.select("customer_id", "product_id", "type", "row_num", F.col("subgroup").cast("bigint"),
+                      "product_id_ori_pos")
+
+
+@query
+def link_origin(spark, sf_dir):
+    return _linked(Fixtures(spark, sf_dir))
+
+
+@query
+def latest_purchase(spark, sf_dir):
+    return _latest(Fixtures(spark, sf_dir))
+
+
+# -- R16-R18 blend -----------------------------------------------------------------------
+def _appended(fx: Fixtures) -> DataFrame:
+    age = _diversified(fx).select("customer_id", "product_id", "pick")
+    return bl.append_ranked(_latest(fx), age)
+
+
+def _cold(fx: Fixtures) -> DataFrame:
+    return bl.cold_start(fx.cycle(), bl.frequency_list(fx.purchases()))
+
+
+@query
+def append_ranked(spark, sf_dir):
+    return _appended(Fixtures(spark, sf_dir)).select(
+        "customer_id", "product_id", "rank", "type", "category_code", "product_id_ori", "rank_chu_ky",
+        "formatted_date")
+
+
+@query
+def cap_30(spark, sf_dir):
+    last = up.last_purchase(Fixtures(spark, sf_dir).purchases())
+    return bl.cap_per_customer(last, [F.col("formatted_date").desc(), F.col("product_id").asc()])
+
+
+@query
+def cold_start(spark, sf_dir):
+    return _cold(Fixtures(spark, sf_dir))
+
+
+@query
+def blended(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return bl.blend(_appended(fx), _cold(fx), fx.catalog(), fx.model_map())

@@ -206,3 +206,201 @@ ORACLE["age_candidates"] = with_fx(f"WITH {CANDIDATES} SELECT * FROM cand",
                                    "fx_person", "fx_product_label", "fx_age_labels")
 ORACLE["diversify"] = with_fx(f"WITH {DIVERSIFIED} SELECT * FROM div",
                               "fx_person", "fx_product_label", "fx_age_labels", "fx_catalog")
+
+# -- R12-R15 ---------------------------------------------------------------------------------
+PRIO = "CASE type WHEN 'ori' THEN 1 WHEN 'rcm' THEN 2 WHEN 'age_rcm' THEN 3 WHEN 'freg_rcm' THEN 4 END"
+TYPE_ORD = "CASE WHEN type = 'ori' THEN 0 ELSE 1 END"
+
+LADDER = """
+    mlab AS (
+        SELECT label_no, label, min_age_months, range_months,
+               CAST(row_number() OVER (ORDER BY min_age_months, range_months NULLS LAST, label) AS INTEGER)
+                   AS ranking
+        FROM fx_milk_labels WHERE label_no IN (SELECT label_no FROM fx_milk_product)),
+    dia AS (
+        SELECT product_id, coalesce(brand_id, 0) AS brand_id, '36' AS category_code,
+               CAST(CASE size_label WHEN 'NB' THEN 1 WHEN 'XS' THEN 2 WHEN 'S' THEN 3 WHEN 'M' THEN 4
+                    WHEN 'L' THEN 5 WHEN 'XL' THEN 6 WHEN 'XXL' THEN 7 WHEN 'XXXL' THEN 8 END AS INTEGER) AS ranking
+        FROM fx_size_labels),
+    milk AS (
+        SELECT m.product_id, coalesce(m.brand_id, 0) AS brand_id, '99' AS category_code, l.ranking
+        FROM fx_milk_product m JOIN mlab l ON m.label_no = l.label_no),
+    ladder AS (
+        SELECT * FROM (SELECT * FROM dia UNION ALL SELECT * FROM milk) WHERE ranking IS NOT NULL
+        QUALIFY row_number() OVER (PARTITION BY product_id, brand_id ORDER BY ranking, category_code) = 1)"""
+
+UPSIZE = LADDER + """,
+    origin AS (
+        SELECT DISTINCT c.customer_id, c.product_id, coalesce(k.brand_id, 0) AS brand_id
+        FROM fx_cycle c LEFT JOIN fx_catalog k ON c.product_id = k.product_id
+        WHERE c.score >= 0.5 AND c.category_code IN ('36', '99')),
+    ori AS (
+        SELECT o.customer_id, o.product_id, l.ranking, l.brand_id, l.category_code,
+               (SELECT min(l2.ranking) FROM ladder l2 WHERE l2.category_code = l.category_code
+                  AND l2.brand_id = l.brand_id AND l2.ranking > l.ranking) AS next_ranking
+        FROM origin o JOIN ladder l ON o.product_id = l.product_id AND o.brand_id = l.brand_id),
+    cands AS (
+        SELECT category_code, brand_id, ranking, product_id,
+               row_number() OVER (PARTITION BY category_code, brand_id, ranking ORDER BY product_id) - 1 AS idx,
+               count(*) OVER (PARTITION BY category_code, brand_id, ranking) AS n
+        FROM ladder),
+    rcm AS (
+        SELECT o.customer_id, c.product_id, c.ranking, o.brand_id, o.category_code, 'rcm' AS type,
+               o.product_id AS product_id_ori
+        FROM ori o JOIN cands c ON c.category_code = o.category_code AND c.brand_id = o.brand_id
+          AND c.ranking = o.next_ranking
+          AND c.idx = CAST(('0x' || substr(md5(concat_ws('|', '0', CAST(o.customer_id AS VARCHAR),
+                                                           CAST(o.product_id AS VARCHAR))), 1, 15)) AS BIGINT) % c.n),
+    allrows AS (
+        SELECT customer_id, product_id, ranking, brand_id, category_code, 'ori' AS type,
+               product_id AS product_id_ori FROM ori
+        UNION ALL SELECT * FROM rcm),
+    up AS (
+        SELECT * FROM allrows
+        QUALIFY row_number() OVER (PARTITION BY customer_id, product_id
+                                   ORDER BY ranking, CASE WHEN type = 'ori' THEN 0 ELSE 1 END, product_id_ori) = 1)"""
+
+LINKED = UPSIZE + f""",
+    rk AS (
+        SELECT customer_id, product_id AS product_id_ori, min(rank_cycle) AS rank_chu_ky
+        FROM fx_cycle WHERE score >= 0.5 GROUP BY customer_id, product_id),
+    rn AS (
+        SELECT up.*, CAST(CASE WHEN type = 'ori' THEN 0 ELSE
+                 sum(CASE WHEN type = 'rcm' THEN 1 ELSE 0 END) OVER (
+                     PARTITION BY customer_id, category_code ORDER BY ranking, {TYPE_ORD}, product_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS BIGINT) AS row_num
+        FROM up),
+    j AS (SELECT rn.*, rk.rank_chu_ky FROM rn LEFT JOIN rk
+          ON rn.customer_id = rk.customer_id AND rn.product_id_ori = rk.product_id_ori),
+    o1 AS (SELECT * FROM j WHERE type = 'ori'
+           QUALIFY row_number() OVER (PARTITION BY customer_id, product_id_ori ORDER BY ranking, product_id) = 1),
+    rc AS (SELECT j.*, j.ranking - o1.ranking AS step FROM j JOIN o1
+           ON j.customer_id = o1.customer_id AND j.product_id_ori = o1.product_id_ori
+           WHERE j.type = 'rcm' AND j.ranking > o1.ranking),
+    r1 AS (SELECT rc.*,
+                  max(CASE WHEN step = 1 THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id, product_id_ori) AS has1,
+                  row_number() OVER (PARTITION BY customer_id, product_id_ori ORDER BY step, product_id) AS srn
+           FROM rc),
+    kept AS (
+        SELECT customer_id, product_id, ranking, brand_id, category_code, type, product_id_ori, row_num,
+               rank_chu_ky FROM r1 WHERE (has1 = 1 AND step = 1) OR (has1 = 0 AND srn = 1)
+        UNION ALL
+        SELECT customer_id, product_id, ranking, brand_id, category_code, type, product_id_ori, row_num,
+               rank_chu_ky FROM o1),
+    lo AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY customer_id
+                       ORDER BY rank_chu_ky NULLS LAST, ranking, {TYPE_ORD}, product_id) AS INTEGER) AS rank
+        FROM kept)"""
+
+LATEST = LINKED + """,
+    lp AS (SELECT customer_id, product_id AS product_id_ori, max(purchase_date) AS formatted_date
+           FROM fx_purchases GROUP BY customer_id, product_id),
+    lat AS (
+        SELECT lo.*, lp.formatted_date FROM lo LEFT JOIN lp
+          ON lo.customer_id = lp.customer_id AND lo.product_id_ori = lp.product_id_ori
+        WHERE lo.category_code IS NOT NULL
+        QUALIFY rank() OVER (PARTITION BY lo.customer_id, lo.category_code
+                             ORDER BY lp.formatted_date DESC NULLS LAST) = 1)"""
+
+UPSIZE_VIEWS = ("fx_milk_labels", "fx_milk_product", "fx_size_labels", "fx_cycle", "fx_catalog")
+
+ORACLE["strict_label_rank"] = with_fx(f"""
+    WITH {LADDER}
+    SELECT m.product_id, l.label, l.min_age_months, l.range_months, l.ranking
+    FROM fx_milk_product m JOIN mlab l ON m.label_no = l.label_no
+""", *UPSIZE_VIEWS)
+ORACLE["size_ladder"] = with_fx(f"WITH {LADDER} SELECT * FROM ladder", *UPSIZE_VIEWS)
+ORACLE["next_rung"] = with_fx(f"""
+    WITH {LADDER}
+    SELECT l.*, (SELECT min(l2.ranking) FROM ladder l2 WHERE l2.category_code = l.category_code
+                   AND l2.brand_id = l.brand_id AND l2.ranking > l.ranking) AS next_ranking
+    FROM ladder l
+""", *UPSIZE_VIEWS)
+ORACLE["upsize_pairs"] = with_fx(f"WITH {UPSIZE} SELECT * FROM up", *UPSIZE_VIEWS)
+ORACLE["origin_islands"] = with_fx(f"""
+    WITH {UPSIZE},
+    rn AS (
+        SELECT up.*, CAST(CASE WHEN type = 'ori' THEN 0 ELSE
+                 sum(CASE WHEN type = 'rcm' THEN 1 ELSE 0 END) OVER (
+                     PARTITION BY customer_id, category_code ORDER BY ranking, {TYPE_ORD}, product_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS BIGINT) AS row_num,
+               CAST(sum(CASE WHEN type = 'ori' THEN 1 ELSE 0 END) OVER (
+                     PARTITION BY customer_id, category_code, brand_id ORDER BY ranking, {TYPE_ORD}, product_id
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS subgroup
+        FROM up)
+    SELECT customer_id, product_id, type, row_num, subgroup,
+           first_value(product_id) OVER (PARTITION BY customer_id, category_code, brand_id, subgroup
+                                         ORDER BY ranking, {TYPE_ORD}, product_id
+                                         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS product_id_ori_pos
+    FROM rn
+""", *UPSIZE_VIEWS)
+ORACLE["link_origin"] = with_fx(f"WITH {LINKED} SELECT * FROM lo", *UPSIZE_VIEWS)
+ORACLE["latest_purchase"] = with_fx(f"WITH {LATEST} SELECT * FROM lat", *UPSIZE_VIEWS, "fx_purchases")
+
+# -- R16-R18 ------------------------------------------------------------------------------------
+APPENDED = LATEST + "," + DIVERSIFIED.replace("mean AS", "mean AS", 1) + f""",
+    f AS (SELECT lat.*, row_number() OVER (PARTITION BY customer_id ORDER BY rank, product_id) AS rr FROM lat),
+    mxr AS (SELECT customer_id, max(rr) AS m FROM f GROUP BY customer_id),
+    s AS (SELECT d.customer_id, d.product_id,
+                 row_number() OVER (PARTITION BY d.customer_id ORDER BY d.pick, d.product_id) + mxr.m AS rr
+          FROM div d JOIN mxr ON d.customer_id = mxr.customer_id),
+    u AS (
+        SELECT customer_id, product_id, rr, type, category_code, brand_id, product_id_ori, rank_chu_ky,
+               formatted_date, row_num FROM f
+        UNION ALL
+        SELECT customer_id, product_id, rr, 'age_rcm', NULL, NULL, NULL, NULL, NULL, NULL FROM s),
+    app AS (
+        SELECT customer_id, product_id, CAST(rr AS INTEGER) AS rank, type, category_code, brand_id,
+               product_id_ori, rank_chu_ky, formatted_date, row_num
+        FROM u QUALIFY row_number() OVER (PARTITION BY customer_id ORDER BY rr, {PRIO}, product_id) <= 30)"""
+
+COLD = """
+    served AS (SELECT DISTINCT customer_id FROM fx_cycle WHERE score >= 0.5 AND category_code IN ('36', '99')),
+    coldc AS (SELECT DISTINCT customer_id FROM fx_cycle
+              WHERE customer_id NOT IN (SELECT customer_id FROM served)),
+    fl AS (SELECT customer_id, product_id, count(DISTINCT purchase_date) AS freq, max(purchase_date) AS last_date
+           FROM fx_purchases GROUP BY customer_id, product_id),
+    cs AS (
+        SELECT fl.customer_id, fl.product_id,
+               CAST(row_number() OVER (PARTITION BY fl.customer_id
+                                       ORDER BY freq DESC, last_date DESC, product_id) AS INTEGER) AS rank,
+               'freg_rcm' AS type, last_date AS formatted_date
+        FROM fl JOIN coldc ON fl.customer_id = coldc.customer_id)"""
+
+BLEND_VIEWS = (*UPSIZE_VIEWS, "fx_purchases", "fx_person", "fx_product_label", "fx_age_labels")
+
+ORACLE["append_ranked"] = with_fx(f"""
+    WITH {APPENDED}
+    SELECT customer_id, product_id, rank, type, category_code, product_id_ori, rank_chu_ky, formatted_date
+    FROM app
+""", *BLEND_VIEWS)
+
+ORACLE["cap_30"] = with_fx("""
+    WITH lp AS (SELECT customer_id, product_id, max(purchase_date) AS formatted_date
+                FROM fx_purchases GROUP BY customer_id, product_id)
+    SELECT customer_id, product_id, formatted_date,
+           CAST(row_number() OVER (PARTITION BY customer_id ORDER BY formatted_date DESC, product_id) AS INTEGER)
+               AS rn
+    FROM lp QUALIFY rn <= 30
+""", "fx_purchases")
+
+ORACLE["cold_start"] = with_fx(f"WITH {COLD} SELECT * FROM cs", "fx_cycle", "fx_purchases")
+
+ORACLE["blended"] = with_fx(f"""
+    WITH {APPENDED}, {COLD},
+    allr AS (
+        SELECT customer_id, product_id, rank, type, category_code, brand_id, product_id_ori, rank_chu_ky,
+               formatted_date, row_num FROM app
+        UNION ALL
+        SELECT customer_id, product_id, rank, type, NULL, NULL, NULL, NULL, formatted_date, NULL FROM cs),
+    d1 AS (SELECT * FROM allr QUALIFY row_number() OVER (PARTITION BY customer_id, product_id
+                                                        ORDER BY rank, {PRIO}, product_id) = 1),
+    d2 AS (SELECT * FROM d1 QUALIFY row_number() OVER (PARTITION BY customer_id
+                                                      ORDER BY rank, {PRIO}, product_id) <= 30)
+    SELECT d2.customer_id, d2.product_id, d2.rank, coalesce(d2.brand_id, k.brand_id) AS brand_id,
+           coalesce(d2.category_code, k.category_code) AS category_code, k.category_name, k.product_name,
+           d2.rank_chu_ky, d2.formatted_date, d2.type, CAST(d2.row_num AS BIGINT) AS row_num,
+           d2.product_id_ori, mm.model_code
+    FROM d2 LEFT JOIN fx_catalog k ON d2.product_id = k.product_id
+    LEFT JOIN fx_model_map mm ON trim(mm.product_code) = CAST(d2.product_id AS VARCHAR)
+""", *BLEND_VIEWS, "fx_model_map")
