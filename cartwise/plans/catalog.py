@@ -17,6 +17,9 @@ from ..operators import ages as ag
 from ..operators import blend as bl
 from ..operators import frequency as fq
 from ..operators import impute as im
+from ..operators import keys
+from ..operators import replies as rp
+from ..operators import similar as sm
 from ..operators import upsize as up
 from ..sources.fixtures import AGE_LABELS, MILK_LABELS, Fixtures, label_sheet
 
@@ -245,3 +248,114 @@ def cold_start(spark, sf_dir):
 def blended(spark, sf_dir):
     fx = Fixtures(spark, sf_dir)
     return bl.blend(_appended(fx), _cold(fx), fx.catalog(), fx.model_map())
+
+
+# -- R9-R11 attributes, profiles, similar products ------------------------------------------
+def _active(fx: Fixtures) -> DataFrame:
+    return sm.active(fx.properties())
+
+
+@query
+def property_list_explode(spark, sf_dir):
+    return sm.listed_properties(_active(Fixtures(spark, sf_dir)))
+
+
+@query
+def attributes_in_list(spark, sf_dir):
+    return sm.attributes_in_list(_active(Fixtures(spark, sf_dir)))
+
+
+@query
+def attribute_importance(spark, sf_dir):
+    return sm.attribute_importance(_active(Fixtures(spark, sf_dir)))
+
+
+@query
+def reply_attributes(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return rp.reply_attributes(fx.attribute_replies(), sm.attributes_in_list(_active(fx)))
+
+
+@query
+def product_profiles(spark, sf_dir):
+    return sm.product_profiles(_active(Fixtures(spark, sf_dir)))
+
+
+@query
+def similar_products(spark, sf_dir):
+    props = _active(Fixtures(spark, sf_dir))
+    return sm.similar_with_names(sm.similar_products(props), props)
+
+
+@query
+def similar_other_brand(spark, sf_dir):
+    props = _active(Fixtures(spark, sf_dir))
+    return sm.similar_with_names(sm.similar_products(props, exclude_same_brand=True), props)
+
+
+# -- S10 / S11 / R7 / J15-J18 request and reply tables ------------------------------------------
+@query
+def request_ages(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    cust = im.attach_growth(_imputed(fx).select("customer_id", "expected_age_last"), fx.growth())
+    return rp.age_requests(cust)
+
+
+@query
+def request_attributes(spark, sf_dir):
+    return rp.attribute_requests(sm.attributes_in_list(_active(Fixtures(spark, sf_dir))))
+
+
+@query
+def reply_names(spark, sf_dir):
+    return rp.parse_name_replies(Fixtures(spark, sf_dir).name_replies())
+
+
+def _resolved(fx: Fixtures) -> DataFrame:
+    return rp.resolve_names(rp.parse_name_replies(fx.name_replies()), fx.catalog())
+
+
+@query
+def resolve_names(spark, sf_dir):
+    return _resolved(Fixtures(spark, sf_dir))
+
+
+@query
+def fuzzy_names(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    q = fx.misspelt().select(F.col("product_id").alias("qid"), F.col("query_name").alias("query"))
+    best = rp.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")))
+    return q.join(best, "qid").select(F.col("qid").alias("product_id"), F.col("query").alias("query_name"),
+                                      F.col("name").alias("matched_name"), "score")
+
+
+@query
+def reply_products(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    prof = fx.catalog().select(F.col("product_id").cast("string").alias("product_code"), "product_name")
+    return rp.resolve_products(fx.product_replies(), prof)
+
+
+@query
+def match_metrics(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return rp.match_metrics(fx.name_replies(), _resolved(fx))
+
+
+@query
+def no_match_rows(spark, sf_dir):
+    fx = Fixtures(spark, sf_dir)
+    return rp.unresolved_requests(fx.name_replies(), _resolved(fx))
+
+
+# -- S7 / P19 positional batches ---------------------------------------------------------------
+@query
+def batch_numbers(spark, sf_dir):
+    person = Fixtures(spark, sf_dir).person().select("customer_id")
+    return keys.batch_numbers(person, ["customer_id"], 500)
+
+
+@query
+def customer_range(spark, sf_dir):
+    person = Fixtures(spark, sf_dir).person().select("customer_id", "expected_age_last")
+    return keys.row_range(person, ["customer_id"], start=0, end=None)

@@ -404,3 +404,228 @@ ORACLE["blended"] = with_fx(f"""
     FROM d2 LEFT JOIN fx_catalog k ON d2.product_id = k.product_id
     LEFT JOIN fx_model_map mm ON trim(mm.product_code) = CAST(d2.product_id AS VARCHAR)
 """, *BLEND_VIEWS, "fx_model_map")
+
+# -- R9-R11 --------------------------------------------------------------------------------------
+ACTIVE = """
+    act AS (SELECT category_id, trim(product_code) AS code, product_name, property_id, property_name,
+                   value_id AS value, brand_id, list_property
+            FROM fx_properties WHERE status_id IN (4, 5)),
+    lp AS (
+        SELECT DISTINCT category_id, property_id FROM (
+            SELECT category_id, TRY_CAST(trim(unnest(string_split(list_property, ','))) AS INTEGER) AS property_id
+            FROM (SELECT DISTINCT category_id, list_property FROM act))
+        WHERE property_id > 0),
+    attrs AS (
+        SELECT DISTINCT category_id, property_id, property_name FROM act a
+        WHERE EXISTS (SELECT 1 FROM lp WHERE lp.category_id = a.category_id AND lp.property_id = a.property_id))"""
+
+REAL = "value IS NOT NULL AND trim(value) <> '' AND value <> 'Đang cập nhật'"
+
+ORACLE["property_list_explode"] = with_fx(f"WITH {ACTIVE} SELECT * FROM lp", "fx_properties")
+ORACLE["attributes_in_list"] = with_fx(f"WITH {ACTIVE} SELECT * FROM attrs", "fx_properties")
+
+ORACLE["attribute_importance"] = with_fx(f"""
+    WITH {ACTIVE},
+    ncat AS (SELECT category_id, count(DISTINCT code) AS n FROM act GROUP BY category_id),
+    vals AS (SELECT a.* FROM act a WHERE {REAL} AND EXISTS (
+                 SELECT 1 FROM attrs t WHERE t.category_id = a.category_id AND t.property_id = a.property_id
+                   AND t.property_name = a.property_name)),
+    pv AS (SELECT category_id, property_id, property_name, value, count(DISTINCT code) AS c
+           FROM vals GROUP BY category_id, property_id, property_name, value),
+    pa AS (SELECT category_id, property_id, property_name, count(DISTINCT code) AS w
+           FROM vals GROUP BY category_id, property_id, property_name),
+    ent AS (SELECT pv.category_id, pv.property_id, pv.property_name,
+                   -sum((pv.c / pa.w) * ln(pv.c / pa.w)) AS h, any_value(pa.w) AS w
+            FROM pv JOIN pa ON pv.category_id = pa.category_id AND pv.property_id = pa.property_id
+                           AND pv.property_name = pa.property_name
+            GROUP BY pv.category_id, pv.property_id, pv.property_name),
+    sc AS (SELECT t.category_id, t.property_id, t.property_name,
+                  round(coalesce(e.w, 0) / n.n * coalesce(e.h, 0.0) / ln(greatest(2, n.n)), 9) AS weight
+           FROM attrs t LEFT JOIN ent e ON t.category_id = e.category_id AND t.property_id = e.property_id
+                                       AND t.property_name = e.property_name
+           JOIN ncat n ON t.category_id = n.category_id),
+    nw AS (SELECT category_id, property_id, property_name,
+                  CASE WHEN sum(weight) OVER (PARTITION BY category_id) > 0
+                       THEN round(weight / sum(weight) OVER (PARTITION BY category_id), 6) ELSE weight END AS weight,
+                  CAST(row_number() OVER (PARTITION BY category_id ORDER BY weight DESC, property_name) AS INTEGER)
+                      AS attr_rank
+           FROM sc)
+    SELECT * FROM nw WHERE attr_rank <= 5
+""", "fx_properties")
+
+ORACLE["reply_attributes"] = with_fx(f"""
+    WITH {ACTIVE},
+    items AS (SELECT DISTINCT category_id AS request_id, property_id, trim(property_name) AS attribute,
+                     CAST(CASE property_id WHEN 2 THEN 0.4 WHEN 3 THEN 2.0 ELSE NULL END AS DOUBLE) AS weight
+              FROM fx_properties),
+    kept AS (SELECT i.* FROM items i WHERE EXISTS (
+                 SELECT 1 FROM attrs t WHERE t.category_id = i.request_id AND t.property_name = i.attribute)),
+    f AS (SELECT request_id, property_id, attribute,
+                 coalesce(weight, round(1.0 / count(*) OVER (PARTITION BY request_id), 6)) AS w FROM kept),
+    nw AS (SELECT request_id, attribute,
+                  CASE WHEN sum(w) OVER (PARTITION BY request_id) > 0
+                       THEN round(w / sum(w) OVER (PARTITION BY request_id), 6) ELSE w END AS weight,
+                  CAST(row_number() OVER (PARTITION BY request_id ORDER BY property_id) AS INTEGER) AS attr_rank
+           FROM f)
+    SELECT request_id, attr_rank, attribute, weight FROM nw WHERE attr_rank <= 5
+""", "fx_properties")
+
+ORACLE["product_profiles"] = with_fx("""
+    WITH p AS (
+        SELECT DISTINCT trim(product_code) AS product_code, trim(product_name) AS product_name, property_id,
+               trim(property_name) AS property_name, trim(value_id) AS value, category_id, brand_id
+        FROM fx_properties WHERE status_id IN (4, 5)),
+    r AS (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY property_id, property_name, value) AS pos
+          FROM p),
+    g AS (SELECT product_code, product_name, category_id, brand_id,
+                 string_agg(property_name || ': ' || value, '; ' ORDER BY pos) AS pairs
+          FROM r WHERE pos <= 20 GROUP BY product_code, product_name, category_id, brand_id)
+    SELECT product_code, product_name, category_id, brand_id,
+           product_name || '@@' || product_code || ' | ' || pairs || ' | Category: '
+           || coalesce(CAST(category_id AS VARCHAR), '') || ' | Brand: ' || coalesce(CAST(brand_id AS VARCHAR), '')
+               AS text_for_llm
+    FROM g
+""", "fx_properties")
+
+
+def _similar_sql(other_brand: bool) -> str:
+    extra = "AND a.brand_id IS DISTINCT FROM b.brand_id" if other_brand else ""
+    return with_fx(f"""
+    WITH p AS (
+        SELECT DISTINCT trim(product_code) AS code, category_id, property_id, value_id AS value, brand_id
+        FROM fx_properties WHERE status_id IN (4, 5) AND value_id IS NOT NULL AND trim(value_id) <> ''
+          AND value_id <> 'Đang cập nhật'),
+    pr AS (SELECT a.code AS a, b.code AS b, count(*) AS shared
+           FROM p a JOIN p b ON a.category_id = b.category_id AND a.property_id = b.property_id
+                            AND a.value = b.value AND a.code <> b.code {extra}
+           GROUP BY a.code, b.code),
+    t AS (SELECT a, b, CAST(shared AS DOUBLE) AS score, shared,
+                 CAST(row_number() OVER (PARTITION BY a ORDER BY shared DESC, b) AS INTEGER) AS alike_rank
+          FROM pr QUALIFY alike_rank <= 10),
+    names AS (SELECT DISTINCT trim(product_code) AS code, product_name, category_id
+              FROM fx_properties WHERE status_id IN (4, 5))
+    SELECT t.a AS product_code, n1.product_name, n1.category_id, t.b AS alike_product_code,
+           n2.product_name AS alike_product_name, t.score, t.shared, t.alike_rank
+    FROM t JOIN names n1 ON n1.code = t.a JOIN names n2 ON n2.code = t.b
+""", "fx_properties")
+
+
+ORACLE["similar_products"] = _similar_sql(False)
+ORACLE["similar_other_brand"] = _similar_sql(True)
+
+# -- S10 / S11 / R7 / J15-J18 ---------------------------------------------------------------------
+GROWN = IMPUTED + """,
+    b AS (
+        SELECT i.customer_id, i.expected_age_last AS a,
+               (SELECT max(age_months) FROM fx_growth WHERE age_months <= i.expected_age_last) AS a0,
+               (SELECT min(age_months) FROM fx_growth WHERE age_months >= i.expected_age_last) AS a1
+        FROM imp i),
+    gg AS (
+        SELECT b.customer_id, b.a AS expected_age_last,
+               round(CASE WHEN b.a IS NULL THEN NULL WHEN b.a0 IS NULL THEN g1.weight_kg
+                          WHEN b.a1 IS NULL OR b.a1 = b.a0 THEN g0.weight_kg
+                          ELSE g0.weight_kg + (g1.weight_kg - g0.weight_kg) * (b.a - b.a0) / (b.a1 - b.a0) END, 6)
+                   AS weight_kg
+        FROM b LEFT JOIN fx_growth g0 ON g0.age_months = b.a0 LEFT JOIN fx_growth g1 ON g1.age_months = b.a1)"""
+
+ORACLE["request_ages"] = with_fx(f"""
+    WITH {GROWN}
+    SELECT expected_age_last AS age_months, weight_kg, count(*) AS n_customers,
+           'age_months=' || coalesce(CAST(expected_age_last AS VARCHAR), '') || '; weight_kg='
+           || coalesce(CAST(weight_kg AS VARCHAR), '') || '; top_k=20' AS prompt
+    FROM gg GROUP BY expected_age_last, weight_kg
+""", "fx_person", "fx_growth")
+
+ORACLE["request_attributes"] = with_fx(f"""
+    WITH {ACTIVE},
+    nm AS (SELECT DISTINCT category_id, property_name FROM attrs)
+    SELECT category_id, CAST(count(*) AS INTEGER) AS n_attributes,
+           'category=' || category_id || '; top_k=5' || chr(10)
+           || string_agg('- ' || property_name, chr(10) ORDER BY property_name) AS prompt
+    FROM nm GROUP BY category_id
+""", "fx_properties")
+
+NORM = "array_to_string(list_sort(string_split(lower(regexp_replace(trim({x}), '\\s+', ' ', 'g')), ' ')), ' ')"
+
+REPLY_ITEMS = """
+    it AS (
+        SELECT request_id, pos, product_id, product_name,
+               CASE WHEN pos = 4 AND request_id % 7 = 0 THEN concat(substr(nm, 1, 3), substr(nm, 5)) ELSE nm END
+                   AS name
+        FROM (SELECT *, CASE WHEN request_id % 3 = 0 THEN upper(product_name) ELSE product_name END AS nm
+              FROM fx_reply_items))"""
+
+RESOLVED = REPLY_ITEMS + f""",
+    cn AS (SELECT DISTINCT product_name AS true_name FROM fx_catalog),
+    ex AS (SELECT it.request_id, it.pos, cn.true_name, 1 AS stage FROM it JOIN cn ON it.name = cn.true_name),
+    lw AS (SELECT it.request_id, it.pos, min(cn.true_name) AS true_name, 2 AS stage
+           FROM it JOIN cn ON lower(it.name) = lower(cn.true_name) GROUP BY it.request_id, it.pos),
+    hit AS (SELECT * FROM (SELECT * FROM ex UNION ALL SELECT * FROM lw)
+            QUALIFY row_number() OVER (PARTITION BY request_id, pos ORDER BY stage) = 1),
+    rest AS (SELECT it.*, {NORM.format(x='it.name')} AS qn FROM it
+             WHERE NOT EXISTS (SELECT 1 FROM hit h WHERE h.request_id = it.request_id AND h.pos = it.pos)),
+    cnn AS (SELECT true_name, {NORM.format(x='true_name')} AS cn FROM cn),
+    fz AS (SELECT request_id, pos, true_name, 3 AS stage FROM (
+               SELECT r.request_id, r.pos, c.true_name, levenshtein(r.qn, c.cn) AS lev,
+                      greatest(length(r.qn), length(c.cn)) AS l
+               FROM rest r CROSS JOIN cnn c)
+           WHERE (l - lev) * 100 >= 89 * l
+           QUALIFY row_number() OVER (PARTITION BY request_id, pos ORDER BY lev / l, true_name) = 1),
+    allh AS (SELECT * FROM hit UNION ALL SELECT * FROM fz),
+    firstuse AS (SELECT * FROM allh QUALIFY row_number() OVER (PARTITION BY request_id, true_name ORDER BY pos) = 1),
+    res AS (SELECT f.request_id, f.pos, k.product_id, k.product_name,
+                   CASE f.stage WHEN 1 THEN 'exact' WHEN 2 THEN 'lower' ELSE 'fuzzy' END AS match_kind
+            FROM firstuse f JOIN fx_catalog k ON k.product_name = f.true_name)"""
+
+ORACLE["reply_names"] = with_fx(f"WITH {REPLY_ITEMS} SELECT request_id, pos, name FROM it", "fx_reply_items")
+ORACLE["resolve_names"] = with_fx(f"WITH {RESOLVED} SELECT * FROM res", "fx_reply_items", "fx_catalog")
+
+ORACLE["fuzzy_names"] = with_fx(f"""
+    WITH q AS (SELECT product_id, query_name, {NORM.format(x='query_name')} AS qn FROM fx_misspelt),
+    c AS (SELECT DISTINCT product_name, {NORM.format(x='product_name')} AS cn FROM fx_catalog),
+    s AS (SELECT q.product_id, q.query_name, c.product_name AS matched_name, levenshtein(q.qn, c.cn) AS lev,
+                 greatest(length(q.qn), length(c.cn)) AS l
+          FROM q CROSS JOIN c)
+    SELECT product_id, query_name, matched_name, round(100.0 * (l - lev) / l, 4) AS score
+    FROM s WHERE (l - lev) * 100 >= 89 * l
+    QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY lev / l, matched_name) = 1
+""", "fx_misspelt", "fx_catalog")
+
+ORACLE["reply_products"] = with_fx("""
+    WITH cat AS (SELECT CAST(product_id AS VARCHAR) AS code, product_name FROM fx_catalog),
+    hit AS (
+        SELECT it.request_id, it.pos,
+               CASE WHEN it.request_id % 3 = 0 THEN CAST(it.product_id AS VARCHAR)
+                    ELSE (SELECT min(code) FROM cat WHERE lower(cat.product_name) = lower(it.product_name)) END AS code
+        FROM fx_reply_items it),
+    d AS (SELECT * FROM hit QUALIFY row_number() OVER (PARTITION BY request_id, code ORDER BY pos) = 1),
+    t AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY request_id ORDER BY pos) <= 10)
+    SELECT t.request_id, t.pos, t.code AS alike_product_code, cat.product_name AS alike_product_name
+    FROM t JOIN cat ON cat.code = t.code
+""", "fx_reply_items", "fx_catalog")
+
+ORACLE["match_metrics"] = with_fx(f"""
+    WITH {RESOLVED},
+    per AS (SELECT request_id, count(*) AS n FROM res GROUP BY request_id),
+    j AS (SELECT c.c_custkey AS request_id, per.n FROM customer c LEFT JOIN per ON per.request_id = c.c_custkey)
+    SELECT count(*) AS requests, count(n) AS matched_requests, CAST(coalesce(sum(n), 0) AS BIGINT) AS product_rows,
+           count(*) - count(n) AS unmatched_requests
+    FROM j
+""", "fx_reply_items", "fx_catalog")
+
+ORACLE["no_match_rows"] = with_fx(f"""
+    WITH {RESOLVED}
+    SELECT c.c_custkey AS request_id, CASE WHEN c.c_custkey % 10 = 0 THEN '[]' ELSE '<has items>' END AS reply
+    FROM customer c WHERE NOT EXISTS (SELECT 1 FROM res WHERE res.request_id = c.c_custkey)
+""", "fx_reply_items", "fx_catalog")
+
+# -- S7 / P19 -----------------------------------------------------------------------------------
+ORACLE["batch_numbers"] = with_fx("""
+    SELECT customer_id, row_no, CAST(floor(row_no / 500) AS BIGINT) AS batch FROM (
+        SELECT customer_id, CAST(row_number() OVER (ORDER BY customer_id) - 1 AS BIGINT) AS row_no FROM fx_person)
+""", "fx_person")
+ORACLE["customer_range"] = with_fx("""
+    SELECT customer_id, expected_age_last,
+           CAST(row_number() OVER (ORDER BY customer_id) - 1 AS BIGINT) AS row_no
+    FROM fx_person
+""", "fx_person")
