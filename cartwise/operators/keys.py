@@ -103,12 +103,14 @@ def forward_fill(df: DataFrame, keys, order: Sequence, cols: Sequence[str]) -> D
                        for c in df.columns])
 
 
-def linear_fill(df: DataFrame, keys, x: str, cols: Sequence[str]) -> DataFrame:
+def linear_fill(df: DataFrame, keys, x: str, cols: Sequence[str], ends: str = "nearest") -> DataFrame:
     """Linear interpolation of NULLs in ``cols`` along ``x``.
 
     Interior gaps: straight line between the nearest known points below and
-    above.  Below the first or above the last known point: the nearest known
-    value.  Meant for small, distinct x (ages), not for raw fact rows.
+    above.  ``ends="nearest"``: before the first / after the last known
+    point, the nearest known value.  ``ends="forward"``: a leading gap stays
+    NULL and a trailing gap takes the last value (pandas' default).
+    Meant for small, distinct x (ages), not for raw fact rows.
     """
     ks = _cols(keys)
     before = Window.partitionBy(*ks).orderBy(x).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -120,7 +122,8 @@ def linear_fill(df: DataFrame, keys, x: str, cols: Sequence[str]) -> DataFrame:
         n = F.first(known, ignorenulls=True).over(after)
         span = n["x"] - p["x"]
         line = p["v"] + (n["v"] - p["v"]) * (F.col(x) - p["x"]) / span
-        out = out.withColumn(c, F.coalesce(F.col(c), F.when(span > 0, line), p["v"], n["v"]))
+        tail = [p["v"], n["v"]] if ends == "nearest" else [p["v"]]
+        out = out.withColumn(c, F.coalesce(F.col(c), F.when(span > 0, line), *tail))
     return out
 
 

@@ -48,6 +48,8 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     ``right``: rows (right_id, *partition, *keys, *distinct_on).
     ``distinct_on``: a pair only counts when these columns differ
     (``IS DISTINCT FROM``: NULL vs value differs, NULL vs NULL does not).
+    ``partition`` and ``distinct_on`` are attributes of an item (one value
+    per item, as a product's category and brand are).
     ``tie_by_shared=False`` orders by score, then id only; the exactness
     argument then needs strictly positive weights.
     Returns (left_id, right_id, *partition, score double, shared bigint, pair_rank int).
