@@ -7,7 +7,7 @@ frequency rows), joined by equality on customer or product.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources import literals as L
@@ -29,14 +29,20 @@ def append_ranked(first: DataFrame, second: DataFrame, second_type: str = "age_r
     after it (n+1, n+2, ...), union by name, keep ``cap`` per customer.
 
     ``how="inner"`` keeps the second list only for customers of the first,
-    as the job does (T14); ``how="left"`` starts them at 1.
+    as the job does (T14); ``how="left"`` starts them at 1.  One union and
+    windows per customer; each list is read once.
     """
     f = renumber(first, "customer_id", [F.col(first_order).asc(), F.col("product_id").asc()], "_rr")
-    top = f.groupBy("customer_id").agg(F.max("_rr").alias("_max"))
-    s = second.join(top, "customer_id", how).withColumn("_max", F.coalesce("_max", F.lit(0)))
-    s = renumber(s, "customer_id", [F.col(second_order).asc(), F.col("product_id").asc()], "_rr",
-                 offset=F.col("_max")).drop("_max").withColumn("type", F.lit(second_type))
-    both = f.drop(first_order).unionByName(s.drop(second_order), allowMissingColumns=True)
+    f = f.drop(first_order).withColumn("_src", F.lit(0))
+    s = renumber(second, "customer_id", [F.col(second_order).asc(), F.col("product_id").asc()], "_rr")
+    s = s.drop(second_order).withColumn("type", F.lit(second_type)).withColumn("_src", F.lit(1))
+    both = f.unionByName(s, allowMissingColumns=True)
+    top = F.max(F.when(F.col("_src") == 0, F.col("_rr"))).over(Window.partitionBy("customer_id"))
+    both = both.withColumn("_max", top)
+    if how == "inner":
+        both = both.filter((F.col("_src") == 0) | F.col("_max").isNotNull())
+    both = both.withColumn("_rr", F.when(F.col("_src") == 1, F.col("_rr") + F.coalesce("_max", F.lit(0)))
+                           .otherwise(F.col("_rr"))).drop("_max", "_src")
     both = top_k_per_key(both, "customer_id", [F.col("_rr").asc(), _priority().asc(),
                                                F.col("product_id").asc()], cap)
     return both.withColumnRenamed("_rr", "rank").withColumn("rank", F.col("rank").cast("int"))
@@ -53,8 +59,9 @@ def cold_start(cycle: DataFrame, frequency: DataFrame, min_score: float = L.CYCL
                categories=(L.DIAPER_CATEGORY, L.MILK_CATEGORY)) -> DataFrame:
     """Customers of the cycle table without any usable row get their
     frequency list, ranked by frequency, then recency, then id (J2 W8)."""
-    served = cycle.filter((F.col("score") >= min_score) & F.col("category_code").isin(list(categories)))
-    cold = cycle.select("customer_id").distinct().join(served.select("customer_id"), "customer_id", "left_anti")
+    usable = (F.col("score") >= min_score) & F.col("category_code").isin(list(categories))
+    cold = (cycle.groupBy("customer_id").agg(F.max(usable.cast("int")).alias("_u"))
+            .filter(F.coalesce("_u", F.lit(0)) == 0).select("customer_id"))
     rows = frequency.join(cold, "customer_id")
     rows = renumber(rows, "customer_id", [F.col("freq").desc(), F.col("last_date").desc(),
                                           F.col("product_id").asc()], "rank")

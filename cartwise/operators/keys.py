@@ -70,14 +70,12 @@ def next_rung(ladder: DataFrame, keys, rank_col: str = "ranking",
               name: str = "next_ranking") -> DataFrame:
     """Smallest rung above each row's rung within ``keys``.
 
-    Works on the distinct rungs only (``lead`` over a handful of rows per
-    key), then joins back on equality — no inequality join.
+    Rungs are integers: the next rung is the minimum over a range frame that
+    starts one rung up — one window pass, no inequality join, no self join.
     """
-    ks = _cols(keys)
-    rungs = ladder.select(*ks, rank_col).distinct()
-    w = Window.partitionBy(*ks).orderBy(rank_col)
-    rungs = rungs.withColumn(name, F.lead(rank_col).over(w))
-    return ladder.join(rungs, [*ks, rank_col], "left")
+    w = (Window.partitionBy(*_cols(keys)).orderBy(rank_col)
+         .rangeBetween(1, Window.unboundedFollowing))
+    return ladder.withColumn(name, F.min(rank_col).over(w))
 
 
 def round_robin(df: DataFrame, keys, bucket: str, order: Sequence, k: int,

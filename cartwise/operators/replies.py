@@ -119,8 +119,7 @@ def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUT
     grams = grams.filter(F.length("_g") == 2)
     occ = Window.partitionBy("_s", "_g").orderBy("_i")
     grams = grams.withColumn("_k", F.row_number().over(occ))
-    freq = grams.groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_f"))
-    grams = grams.join(freq, ["_g", "_k"])
+    grams = grams.withColumn("_f", F.count(F.lit(1)).over(Window.partitionBy("_g", "_k")))
     rarest = Window.partitionBy("_s").orderBy(F.col("_f").asc(), F.col("_g").asc(), F.col("_k").asc())
     prefix = grams.withColumn("_r", F.row_number().over(rarest)).filter(F.col("_r") <= F.col("_p"))
     qp = prefix.filter("_q").select(F.col("_s").alias("_qs"), "_g", "_k")
@@ -154,20 +153,21 @@ def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CU
     cat = catalog.select("product_id", "product_name").filter(F.col("product_name").isNotNull())
     names_u = cat.select(F.col("product_name").alias("true_name")).distinct()
     items = names.select(key, "pos", before_marker(F.col("name")).alias("base")).filter(F.col("base") != "")
-    exact = items.join(names_u, items.base == names_u.true_name).select(
-        key, "pos", "base", "true_name", F.lit(1).alias("_stage"))
-    lower_map = names_u.groupBy(F.lower("true_name").alias("_low")).agg(F.min("true_name").alias("true_name"))
-    lower = items.join(lower_map, F.lower(items.base) == lower_map._low).select(
-        key, "pos", "base", "true_name", F.lit(2).alias("_stage"))
-    found = exact.unionByName(lower)
-    found = first_per_key(found, [key, "pos"], [F.col("_stage").asc()])
+    # exact and lower-case matches in one join on the lower-cased name
+    low = names_u.select("true_name", F.lower("true_name").alias("_low"))
+    m = items.join(low, F.lower(items.base) == low._low, "left").groupBy(key, "pos", "base").agg(
+        F.max(F.col("base") == F.col("true_name")).alias("_exact"), F.min("true_name").alias("_lower"))
+    stage = F.when(F.col("_exact"), 1).when(F.col("_lower").isNotNull(), 2)
+    m = m.select(key, "pos", "base", F.when(F.col("_exact"), F.col("base")).otherwise(F.col("_lower"))
+                 .alias("true_name"), stage.alias("_stage"))
     if fuzzy:
-        rest = items.join(found.select(key, "pos"), [key, "pos"], "left_anti")
-        qs = rest.select(F.col("base").alias("query")).distinct().withColumn("qid", F.col("query"))
-        fz = fuzzy_best(qs, names_u, cutoff, qid="qid", qtext="query", ctext="true_name")
-        fz = rest.join(fz.withColumnRenamed("qid", "base"), "base").select(
-            key, "pos", "base", "true_name", F.lit(3).alias("_stage"))
-        found = found.unionByName(fz)
+        rest = m.filter(F.col("_stage").isNull()).select(F.col("base").alias("query")).distinct()
+        fz = fuzzy_best(rest.withColumn("qid", F.col("query")), names_u, cutoff, qid="qid", qtext="query",
+                        ctext="true_name").select(F.col("qid").alias("base"), F.col("true_name").alias("_fz"))
+        m = m.join(fz, "base", "left").select(
+            key, "pos", "base", F.coalesce("true_name", "_fz").alias("true_name"),
+            F.coalesce(F.col("_stage"), F.when(F.col("_fz").isNotNull(), 3)).alias("_stage"))
+    found = m.filter(F.col("true_name").isNotNull())
     first = first_per_key(found, [key, "true_name"], [F.col("pos").asc()])
     kinds = F.element_at(F.array(F.lit("exact"), F.lit("lower"), F.lit("fuzzy")), F.col("_stage"))
     return (first.join(cat, first.true_name == cat.product_name)

@@ -88,6 +88,21 @@ def ladder_next(ladder: DataFrame, keys: Sequence[str] = ("category_code", "bran
     return next_rung(ladder, list(keys), "ranking", "next_ranking")
 
 
+def _rung_table(ladder: DataFrame, ks: list) -> DataFrame:
+    """One pass over the ladder: each row's position in its rung (``_idx``),
+    the rung size, and the next rung with its size.  The next rung is the
+    first row of a frame starting one rung up (rankings are integers), so
+    no distinct + join is needed; all windows share the ``ks`` partitioning.
+    """
+    rung = Window.partitionBy(*ks, "ranking")
+    up = Window.partitionBy(*ks).orderBy("ranking").rangeBetween(1, Window.unboundedFollowing)
+    out = (ladder.select(*ks, "ranking", "product_id")
+           .withColumn("_idx", F.row_number().over(rung.orderBy("product_id")) - 1)
+           .withColumn("_n", F.count(F.lit(1)).over(rung)))
+    return (out.withColumn("next_ranking", F.first("ranking").over(up))
+            .withColumn("_next_n", F.first("_n").over(up)))
+
+
 def upsize(cycle: DataFrame, catalog: DataFrame, ladder: DataFrame,
            min_score: float = L.CYCLE_MIN_SCORE,
            categories: Sequence[str] = (L.DIAPER_CATEGORY, L.MILK_CATEGORY),
@@ -105,18 +120,13 @@ def upsize(cycle: DataFrame, catalog: DataFrame, ladder: DataFrame,
               .select("customer_id", "product_id").distinct()
               .join(brands, "product_id", "left")
               .withColumn("brand_id", F.coalesce("brand_id", F.lit(0).cast("bigint"))))
-    lad = ladder_next(ladder, ks)
-    ori = origin.join(lad, ["product_id", "brand_id"])
-    rung_w = Window.partitionBy(*ks, "ranking").orderBy("product_id")
-    cands = (ladder.select(*ks, "ranking", "product_id")
-             .withColumn("_idx", F.row_number().over(rung_w) - 1)
-             .withColumn("_n", F.count(F.lit(1)).over(Window.partitionBy(*ks, "ranking"))))
-    sizes = cands.select(*ks, F.col("ranking").alias("next_ranking"), "_n").distinct()
-    want = (ori.filter(F.col("next_ranking").isNotNull())
-            .join(sizes, [*ks, "next_ranking"])
-            .withColumn("_idx", pick_index(F.col("_n"), F.col("customer_id"), F.col("product_id"), seed=seed)))
-    picked = cands.select(*ks, F.col("ranking").alias("next_ranking"), "_idx",
-                          F.col("product_id").alias("_pick"))
+    rungs = _rung_table(ladder, ks)
+    ori = origin.join(rungs.drop("_idx", "_n"), ["product_id", "brand_id"])
+    if "category_code" not in ks:
+        ori = ori.join(ladder.select("product_id", "brand_id", "category_code"), ["product_id", "brand_id"])
+    want = ori.filter(F.col("next_ranking").isNotNull()).withColumn(
+        "_idx", pick_index(F.col("_next_n"), F.col("customer_id"), F.col("product_id"), seed=seed))
+    picked = rungs.select(*ks, F.col("ranking").alias("next_ranking"), "_idx", F.col("product_id").alias("_pick"))
     rcm = want.join(picked, [*ks, "next_ranking", "_idx"])
     cols = ["customer_id", "product_id", "ranking", "brand_id", "category_code", "type", "product_id_ori"]
     ori_rows = ori.select("customer_id", "product_id", "ranking", "brand_id", "category_code",
@@ -170,19 +180,22 @@ def link_origin(rows: DataFrame, cycle: DataFrame, min_score: float = L.CYCLE_MI
 
 def adjacent_step(rows: DataFrame) -> DataFrame:
     """Per (customer, origin): the lowest 'ori' row, and the 'rcm' rows one
-    rung up — or, if none, the nearest higher one (W17)."""
-    g = ["customer_id", "product_id_ori"]
-    ori = first_per_key(rows.filter(F.col("type") == "ori"), g, [F.col("ranking").asc(), F.col("product_id")])
-    base = ori.select(*g, F.col("ranking").alias("_ori_rank"))
-    rcm = rows.filter(F.col("type") == "rcm").join(base, g).withColumn(
-        "_step", F.col("ranking") - F.col("_ori_rank")).filter(F.col("_step") > 0)
-    w = Window.partitionBy(*g)
-    rcm = rcm.withColumn("_has1", F.max((F.col("_step") == 1).cast("int")).over(w))
-    one = rcm.filter((F.col("_has1") == 1) & (F.col("_step") == 1))
-    near = top_k_per_key(rcm.filter(F.col("_has1") == 0), g,
-                         [F.col("_step").asc(), F.col("product_id").asc()], 1)
-    keep = one.unionByName(near).drop("_ori_rank", "_step", "_has1")
-    return ori.unionByName(keep)
+    rung up — or, if none, the nearest higher one (W17).
+
+    Windows over (customer, origin) only, in one pass (no self join).
+    """
+    g = Window.partitionBy("customer_id", "product_id_ori")
+    is_ori = F.col("type") == "ori"
+    ori_rank = F.min(F.when(is_ori, F.col("ranking"))).over(g)
+    out = rows.withColumn("_step", F.col("ranking") - ori_rank)
+    up = (~is_ori) & (F.col("_step") > 0)
+    out = (out.withColumn("_has1", F.max(F.when(up & (F.col("_step") == 1), 1).otherwise(0)).over(g))
+           .withColumn("_o", F.row_number().over(g.orderBy(is_ori.desc(), F.col("ranking"), F.col("product_id"))))
+           .withColumn("_u", F.row_number().over(g.orderBy(up.desc(), F.col("_step"), F.col("product_id")))))
+    keep = ((is_ori & (F.col("_o") == 1))
+            | (up & (F.col("_has1") == 1) & (F.col("_step") == 1))
+            | (up & (F.col("_has1") == 0) & (F.col("_u") == 1)))
+    return out.filter(keep).drop("_step", "_has1", "_o", "_u")
 
 
 def last_purchase(purchases: DataFrame, date_col: str = "purchase_date") -> DataFrame:

@@ -26,8 +26,12 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._scans: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
-            return read_table(self.spark, self.sf_dir, name)
+            # one scan object per table: the footer/schema is read once
+            if name not in self._scans:
+                self._scans[name] = read_table(self.spark, self.sf_dir, name)
+            return self._scans[name]
         raise AttributeError(name)
