@@ -44,14 +44,18 @@ def order_lines_clean(spark, sf_dir):
     return _clean_lines(Fixtures(spark, sf_dir))
 
 
+def _filtered_lines(fx: Fixtures) -> DataFrame:
+    return fq.filter_lines(fx.order_lines(), fx.excluded(), FIXTURE_OUTPUT_TYPES)
+
+
 @query
 def category_frequency(spark, sf_dir):
-    return fq.category_frequency(_clean_lines(Fixtures(spark, sf_dir)))
+    return fq.category_frequency(_filtered_lines(Fixtures(spark, sf_dir)))
 
 
 @query
 def top_product_per_category(spark, sf_dir):
-    return fq.top_product_per_category(_clean_lines(Fixtures(spark, sf_dir)))
+    return fq.top_product_per_category(_filtered_lines(Fixtures(spark, sf_dir)))
 
 
 @query
