@@ -119,7 +119,10 @@ def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUT
     grams = grams.filter(F.length("_g") == 2)
     occ = Window.partitionBy("_s", "_g").orderBy("_i")
     grams = grams.withColumn("_k", F.row_number().over(occ))
-    grams = grams.withColumn("_f", F.count(F.lit(1)).over(Window.partitionBy("_g", "_k")))
+    # token frequencies by aggregate (partial, map-side), not by a window:
+    # a common bigram would otherwise put all its rows in one task
+    freq = grams.groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_f"))
+    grams = grams.join(freq, ["_g", "_k"])
     rarest = Window.partitionBy("_s").orderBy(F.col("_f").asc(), F.col("_g").asc(), F.col("_k").asc())
     prefix = grams.withColumn("_r", F.row_number().over(rarest)).filter(F.col("_r") <= F.col("_p"))
     qp = prefix.filter("_q").select(F.col("_s").alias("_qs"), "_g", "_k")

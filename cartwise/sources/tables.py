@@ -35,3 +35,8 @@ class Tables:
                 self._scans[name] = read_table(self.spark, self.sf_dir, name)
             return self._scans[name]
         raise AttributeError(name)
+
+
+def tidy_columns(df: DataFrame) -> DataFrame:
+    """Strip leading/trailing blanks from column names (P20)."""
+    return df.toDF(*[c.strip() for c in df.columns])
