@@ -21,6 +21,7 @@ prefix filter on character bigrams that is lossless for the cutoff:
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,12 +96,40 @@ def parse_name_replies(replies: DataFrame, key: str = "request_id", text: str =
 
 
 # -- J15 fuzzy join ------------------------------------------------------------------------
-def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUTOFF,
-               qid: str = "qid", qtext: str = "query", ctext: str = "name") -> DataFrame:
-    """Best choice per query with token-sorted score >= cutoff.
+def lcs_length(a: str, b: str) -> int:
+    """Length of the longest common subsequence (bit-parallel, one big-int
+    step per character of ``b``)."""
+    if not a or not b:
+        return 0
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        masks[ch] = masks.get(ch, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    v = full
+    for ch in b:
+        u = v & masks.get(ch, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - bin(v).count("1")
+
+
+def _lcs_udf():
+    @F.pandas_udf("int")
+    def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int32")
+    return lcs
+
 
-    Returns (qid, name, score) with score = round(100 * (L - lev) / L, 4);
-    best by score, then name.  Queries without a match are absent.
+def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUTOFF,
+               qid: str = "qid", qtext: str = "query", ctext: str = "name",
+               metric: str = "levenshtein") -> DataFrame:
+    """Best choice per query with token-sorted score >= cutoff.
+
+    ``metric="levenshtein"``: score = 100 * (L - lev) / L, L the longer
+    length (native ``levenshtein``).  ``metric="indel"``: the ratio of the
+    original matcher, 100 * 2 * LCS / (l1 + l2); the LCS length runs in an
+    Arrow-batched pandas UDF on the blocked candidate pairs only.
+    Returns (qid, name, score rounded to 4); best by score, then name.
+    Queries without a match are absent.
     """
     q = queries.select(qid, token_sort(F.col(qtext)).alias("_s")).filter(F.length("_s") > 0)
     c = choices.select(F.col(ctext).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
@@ -111,7 +140,11 @@ def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUT
         cs.select("_s", F.lit(False).alias("_q"), F.lit(True).alias("_c")))
     strings = strings.groupBy("_s").agg(F.max("_q").alias("_q"), F.max("_c").alias("_c"))
     n = F.length("_s")
-    dmax = F.floor(F.floor(n * 100 / cutoff) * (100 - cutoff) / 100)
+    if metric == "indel":
+        # partner length <= n (200 - c) / c; indel distance <= (100 - c)(n + that) / 100
+        dmax = F.floor((n + F.floor(n * (200 - cutoff) / cutoff)) * (100 - cutoff) / 100)
+    else:
+        dmax = F.floor(F.floor(n * 100 / cutoff) * (100 - cutoff) / 100)
     strings = strings.withColumn("_p", (2 * dmax + 1).cast("int"))
     grams = strings.select("_s", "_q", "_c", "_p", F.posexplode(F.transform(
         F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
@@ -131,9 +164,16 @@ def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUT
     # strings too short for any bigram can only match exactly (d = 0)
     short = strings.filter(F.length("_s") < 2)
     pairs = pairs.unionByName(short.filter(F.col("_q") & F.col("_c")).select(F.col("_s").alias("_qs"), F.col("_s").alias("_cs")))
-    big = F.greatest(F.length("_qs"), F.length("_cs"))
-    pairs = pairs.filter(F.abs(F.length("_qs") - F.length("_cs")) * 100 <= (100 - cutoff) * big)
-    pairs = pairs.withColumn("_lev", F.levenshtein("_qs", "_cs")).withColumn("_L", big)
+    if metric == "indel":
+        # distance = l1 + l2 - 2 LCS over L = l1 + l2 gives the same formulas below
+        big = F.length("_qs") + F.length("_cs")
+        pairs = pairs.filter(F.abs(F.length("_qs") - F.length("_cs")) * 100 <= (100 - cutoff) * big)
+        dist = big - 2 * _lcs_udf()(F.col("_qs"), F.col("_cs"))
+    else:
+        big = F.greatest(F.length("_qs"), F.length("_cs"))
+        pairs = pairs.filter(F.abs(F.length("_qs") - F.length("_cs")) * 100 <= (100 - cutoff) * big)
+        dist = F.levenshtein("_qs", "_cs")
+    pairs = pairs.withColumn("_lev", dist).withColumn("_L", big)
     pairs = pairs.filter((F.col("_L") - F.col("_lev")) * 100 >= cutoff * F.col("_L"))
     hits = (q.join(pairs.withColumnRenamed("_qs", "_s"), "_s")
             .join(c.withColumnRenamed("_s", "_cs"), "_cs")
@@ -145,7 +185,7 @@ def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUT
 
 # -- J16 name resolution --------------------------------------------------------------------
 def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CUTOFF,
-                  key: str = "request_id", fuzzy: bool = True) -> DataFrame:
+                  key: str = "request_id", fuzzy: bool = True, metric: str = "levenshtein") -> DataFrame:
     """Reply names -> catalog products, in reply order.
 
     Each name is cut at ``@@`` and resolved by exact name, else lower-case
@@ -166,7 +206,7 @@ def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CU
     if fuzzy:
         rest = m.filter(F.col("_stage").isNull()).select(F.col("base").alias("query")).distinct()
         fz = fuzzy_best(rest.withColumn("qid", F.col("query")), names_u, cutoff, qid="qid", qtext="query",
-                        ctext="true_name").select(F.col("qid").alias("base"), F.col("true_name").alias("_fz"))
+                        ctext="true_name", metric=metric).select(F.col("qid").alias("base"), F.col("true_name").alias("_fz"))
         m = m.join(fz, "base", "left").select(
             key, "pos", "base", F.coalesce("true_name", "_fz").alias("true_name"),
             F.coalesce(F.col("_stage"), F.when(F.col("_fz").isNotNull(), 3)).alias("_stage"))

@@ -363,3 +363,14 @@ def batch_numbers(spark, sf_dir):
 def customer_range(spark, sf_dir):
     person = Fixtures(spark, sf_dir).person().select("customer_id", "expected_age_last")
     return keys.row_range(person, ["customer_id"], start=0, end=None)
+
+
+@query
+def fuzzy_names_indel(spark, sf_dir):
+    """J15 with the original matcher's InDel ratio (D8).  DuckDB has no LCS
+    function, so this one has no oracle; tests compare it with brute force."""
+    fx = Fixtures(spark, sf_dir)
+    q = fx.misspelt().select(F.col("product_id").alias("qid"), F.col("query_name").alias("query"))
+    best = rp.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")), metric="indel")
+    return q.join(best, "qid").select(F.col("qid").alias("product_id"), F.col("query").alias("query_name"),
+                                      F.col("name").alias("matched_name"), "score")

@@ -71,3 +71,60 @@ def test_resolve_cascade(spark):
     got = sorted((r.pos, r.product_id, r.match_kind) for r in resolve_names(names, cat).collect())
     assert got == [(0, 1, "exact"), (0, 2, "exact"), (1, 3, "lower"), (3, 4, "fuzzy")]
     assert F is not None
+
+
+def lcs_dp(a, b):
+    prev = [0] * (len(b) + 1)
+    for ca in a:
+        cur = [0]
+        for j, cb in enumerate(b, 1):
+            cur.append(prev[j - 1] + 1 if ca == cb else max(prev[j], cur[j - 1]))
+        prev = cur
+    return prev[-1]
+
+
+def test_lcs_bit_parallel():
+    from cartwise.operators.replies import lcs_length
+    rnd = random.Random(5)
+    for _ in range(500):
+        a = "".join(rnd.choice("abcdé ") for _ in range(rnd.randint(0, 40)))
+        b = "".join(rnd.choice("abcdé ") for _ in range(rnd.randint(0, 40)))
+        assert lcs_length(a, b) == lcs_dp(a, b)
+
+
+def test_fuzzy_indel_matches_brute_force(spark):
+    rnd = random.Random(17)
+    words = ["sữa", "bột", "tã", "quần", "xe", "đẩy", "bình", "nước", "áo", "size", "mini", "pro"]
+    choices = sorted({" ".join(rnd.choice(words) for _ in range(rnd.randint(1, 4))) + f" {rnd.randint(1, 99)}"
+                      for _ in range(250)})
+    queries = []
+    for i in range(250):
+        s = list(rnd.choice(choices))
+        for _ in range(rnd.randint(0, 4)):
+            pos = rnd.randrange(len(s))
+            if rnd.random() < 0.5:
+                del s[pos]
+            else:
+                s.insert(pos, rnd.choice("abcxyz "))
+        queries.append((i, "".join(s) or "x"))
+    expected = {}
+    for qid, q in queries:
+        qn = norm(q)
+        best = None
+        for c in choices:
+            cn = norm(c)
+            tot = len(qn) + len(cn)
+            if not qn or not cn:
+                continue
+            d = tot - 2 * lcs_dp(qn, cn)
+            if (tot - d) * 100 >= 89 * tot:
+                key = (d / tot, c)
+                if best is None or key < best:
+                    best = key
+        if best:
+            expected[qid] = best[1]
+    qdf = spark.createDataFrame(queries, "qid int, query string")
+    cdf = spark.createDataFrame([(c,) for c in choices], "name string")
+    got = {r.qid: r.name for r in fuzzy_best(qdf, cdf, metric="indel").collect()}
+    assert got == expected
+    assert len(expected) > 100

@@ -7,11 +7,14 @@ from cartwise.plans.check import compare
 
 from conftest import SF_CHECK, SF_SMALL
 
-NAMES = sorted(catalog.QUERIES)
+# queries without a SQL form, checked against brute force elsewhere
+NO_ORACLE = {"fuzzy_names_indel"}
+NAMES = sorted(set(catalog.QUERIES) - NO_ORACLE)
 
 
 def test_every_query_has_an_oracle():
     assert set(NAMES) == set(oracle.ORACLE)
+    assert NO_ORACLE <= set(catalog.QUERIES)
 
 
 @pytest.mark.parametrize("name", NAMES)
