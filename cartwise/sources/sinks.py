@@ -28,9 +28,10 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
 
 
 def write_files(df: DataFrame, path: str, n_files: int, keys: Sequence[str] = ()) -> None:
-    """Write about ``n_files`` files (S6): hash-partitioned on ``keys`` when
-    given, else a rebalance that AQE can split when a partition is skewed."""
-    out = df.repartition(n_files, *keys) if keys else df.hint("rebalance", n_files)
+    """Write ``n_files`` files (S6): hash-partitioned on ``keys`` when given,
+    else round-robin — which Spark sorts first, so a retried stage after a
+    lost executor hands every row to the same file again."""
+    out = df.repartition(n_files, *keys) if keys else df.repartition(n_files)
     out.write.mode("overwrite").parquet(path)
 
 
