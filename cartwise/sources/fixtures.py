@@ -40,14 +40,45 @@ def product_name_of(name: Column, key: Column) -> Column:
     return F.concat(name, F.lit(" "), (key % 100).cast("string"))
 
 
+def _memo(method):
+    """Build a derived input once per ``Fixtures`` instance (DataFrames are
+    immutable plans, so sharing them between queries is safe)."""
+    name = method.__name__
+
+    def wrapper(self):
+        if name not in self._built:
+            self._built[name] = method(self)
+        return self._built[name]
+    wrapper.__name__ = name
+    wrapper.__doc__ = method.__doc__
+    return wrapper
+
+
 class Fixtures:
-    """All derived inputs for one scale-factor folder."""
+    """All derived inputs for one scale-factor folder.
+
+    ``Fixtures(spark, d)`` returns the same instance for the same session
+    and folder, so queries share the input definitions.
+    """
+
+    _instances: dict = {}
+
+    def __new__(cls, spark: SparkSession, sf_dir: str):
+        key = (id(spark), sf_dir)
+        inst = cls._instances.get(key)
+        if inst is None or inst.spark is not spark:
+            inst = super().__new__(cls)
+            inst.spark = spark
+            inst.t = Tables(spark, sf_dir)
+            inst._built = {}
+            cls._instances[key] = inst
+        return inst
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.t = Tables(spark, sf_dir)
+        pass
 
     # -- order history -------------------------------------------------
+    @_memo
     def order_lines(self) -> DataFrame:
         li = self.t.lineitem.select("l_orderkey", "l_partkey", "l_linenumber")
         o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -63,10 +94,12 @@ class Fixtures:
             F.col("o_orderdate").alias("ordered_at"),
         )
 
+    @_memo
     def excluded(self) -> DataFrame:
         return (self.t.customer.filter(F.col("c_acctbal") < 0)
                 .select(F.col("c_custkey").alias("customer_id")))
 
+    @_memo
     def purchases(self) -> DataFrame:
         li = self.t.lineitem.select("l_orderkey", "l_partkey")
         o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -76,6 +109,7 @@ class Fixtures:
                         F.to_date("o_orderdate").alias("purchase_date"))
                 .distinct())
 
+    @_memo
     def cycle(self) -> DataFrame:
         li = self.t.lineitem.select("l_orderkey", "l_partkey", "l_discount")
         o = self.t.orders.select("o_orderkey", "o_custkey")
@@ -91,6 +125,7 @@ class Fixtures:
                         F.row_number().over(w).cast("int").alias("rank_cycle"))
 
     # -- catalog ---------------------------------------------------------
+    @_memo
     def catalog(self) -> DataFrame:
         p = self.t.part
         return p.select(
@@ -103,6 +138,7 @@ class Fixtures:
              .otherwise(F.floor(F.col("p_partkey") / 4).cast("bigint")).alias("item_base_id"),
         )
 
+    @_memo
     def model_map(self) -> DataFrame:
         p = self.t.part.filter(F.col("p_partkey") % 11 != 0)
         dup = F.explode(F.when(F.col("p_partkey") % 13 == 0, F.array(F.lit(0), F.lit(1)))
@@ -114,10 +150,12 @@ class Fixtures:
                      F.floor(F.col("p_partkey") / 3).cast("bigint").cast("string")).alias("model_code"),
         )
 
+    @_memo
     def product_label(self) -> DataFrame:
         return self.t.part.select(F.col("p_partkey").alias("product_id"),
                                   (F.col("p_partkey") % 16).cast("int").alias("label_no"))
 
+    @_memo
     def size_labels(self) -> DataFrame:
         p = self.t.part.filter(F.col("p_type") == "SMALL")
         sizes = ["FREE", "NB", "XS", "S", "M", "L", "XL", "XXL"]
@@ -127,6 +165,7 @@ class Fixtures:
             case_map(F.col("p_size") % 9, list(enumerate(sizes)), "XXXL").alias("size_label"),
         )
 
+    @_memo
     def milk_product(self) -> DataFrame:
         p = self.t.part.filter(F.col("p_type") == "MEDIUM")
         return p.select(F.col("p_partkey").alias("product_id"),
@@ -134,6 +173,7 @@ class Fixtures:
                         (F.col("p_partkey") % 6).cast("int").alias("label_no"))
 
     # -- people ------------------------------------------------------------
+    @_memo
     def person(self) -> DataFrame:
         c = self.t.customer
         return c.select(
@@ -145,6 +185,7 @@ class Fixtures:
              .otherwise(((F.col("c_custkey") * 7) % 73).cast("double")).alias("expected_age_last"),
         )
 
+    @_memo
     def growth(self) -> DataFrame:
         ages = [0, 2, 4, 6, 9, 12, 18, 24, 36, 48, 60]
         g = self.spark.createDataFrame([(a,) for a in ages], "a int")
@@ -154,6 +195,7 @@ class Fixtures:
                         F.round(F.lit(50.0) + 8 * F.sqrt(a), 3).alias("height_cm"))
 
     # -- property tables -----------------------------------------------------
+    @_memo
     def properties(self) -> DataFrame:
         p = self.t.part
         props = F.explode(F.when(F.col("p_partkey") % 10 == 0, F.array(*[F.lit(i) for i in (1, 2, 3, 4)]))
@@ -176,6 +218,7 @@ class Fixtures:
             case_map(F.col("p_partkey") % 3, [(0, "1,2,-4"), (1, "1,3")], "2, x,3").alias("list_property"),
         )
 
+    @_memo
     def property_map(self) -> DataFrame:
         p = self.t.part.select("*", F.explode(F.array(F.lit(1), F.lit(2))).alias("prop"))
         nxt = case_map(F.col("p_type"), [("ECONOMY", "LARGE"), ("LARGE", "MEDIUM"), ("MEDIUM", "PROMO"),
@@ -191,6 +234,7 @@ class Fixtures:
         ).distinct()
 
     # -- chat replies (built from table rows) ---------------------------------
+    @_memo
     def reply_items(self) -> DataFrame:
         c = self.t.customer.select("c_custkey").filter(F.col("c_custkey") % 10 != 0)
         c = c.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("pos"))
@@ -201,6 +245,7 @@ class Fixtures:
                         product_name_of(F.col("p_name"), F.col("p_partkey")).alias("product_name"),
                         F.col("p_partkey").alias("product_id"))
 
+    @_memo
     def name_replies(self) -> DataFrame:
         """One free-text reply per customer, in four list formats.
 
@@ -231,6 +276,7 @@ class Fixtures:
         return (every.join(g, "request_id", "left")
                 .select("request_id", F.coalesce("reply", F.lit("[]")).alias("reply")))
 
+    @_memo
     def product_replies(self) -> DataFrame:
         """JSON replies naming products by code, by name, or both."""
         it = self.reply_items()
@@ -248,6 +294,7 @@ class Fixtures:
         return (every.join(g, "request_id", "left")
                 .select("request_id", F.coalesce("reply", F.lit("xin lỗi")).alias("reply")))
 
+    @_memo
     def attribute_reply_items(self) -> DataFrame:
         """What each category's attribute reply holds, one row per element."""
         p = self.properties().select("category_id", "property_id", "property_name").distinct()
@@ -257,6 +304,7 @@ class Fixtures:
              .otherwise(F.lit("0.x")))
         return p.select("category_id", "property_id", "property_name", w.alias("weight_text"))
 
+    @_memo
     def attribute_replies(self) -> DataFrame:
         it = self.attribute_reply_items()
         wt = F.col("weight_text")
@@ -271,6 +319,7 @@ class Fixtures:
         return g.select(F.col("category_id").alias("request_id"),
                         F.concat(F.lit("x ["), body, F.lit(', 3, {"weight": 1}]')).alias("reply"))
 
+    @_memo
     def misspelt(self) -> DataFrame:
         p = self.t.part
         return p.select(F.col("p_partkey").alias("product_id"),
