@@ -146,12 +146,14 @@ def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUT
     else:
         dmax = F.floor(F.floor(n * 100 / cutoff) * (100 - cutoff) / 100)
     strings = strings.withColumn("_p", (2 * dmax + 1).cast("int"))
-    grams = strings.select("_s", "_q", "_c", "_p", F.posexplode(F.transform(
-        F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-        lambda i: F.substring(F.col("_s"), i, 2))).alias("_i", "_g"))
-    grams = grams.filter(F.length("_g") == 2)
-    occ = Window.partitionBy("_s", "_g").orderBy("_i")
-    grams = grams.withColumn("_k", F.row_number().over(occ))
+    # bigrams of each string with their occurrence number inside it (1st,
+    # 2nd, ... "ab"), computed on the string's own array: no shuffle
+    arr = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
+                      lambda i: F.substring(F.col("_s"), i, 2))
+    tokens = F.transform(arr, lambda g, i: F.struct(
+        g.alias("_g"), (F.size(F.filter(F.slice(arr, 1, i), lambda y: y == g)) + 1).alias("_k")))
+    grams = strings.select("_s", "_q", "_c", "_p", F.explode(tokens).alias("_t"))
+    grams = grams.select("_s", "_q", "_c", "_p", "_t._g", "_t._k").filter(F.length("_g") == 2)
     # token frequencies by aggregate (partial, map-side), not by a window:
     # a common bigram would otherwise put all its rows in one task
     freq = grams.groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_f"))
