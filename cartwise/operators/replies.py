@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.replies import attribute_list, name_list, product_list
-from ..functions.text import before_marker, normalize_name, strip, token_sort
+from ..functions.text import before_marker, strip, token_sort
 from ..sources import literals as L
 from .keys import first_per_key, top_k_per_key
 from .similar import normalize_weights

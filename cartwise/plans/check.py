@@ -12,7 +12,6 @@ import sys
 import time
 from decimal import Decimal
 
-from .fixture_sql import FX  # noqa: F401  (documentation: views live there)
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
