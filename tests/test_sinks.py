@@ -32,3 +32,31 @@ def test_jobs_write(spark):
     sim = spark.read.parquet(f"{out}/sim")
     assert sim.count() > 0 and "text_for_llm_alike" in sim.columns
     assert spark.read.parquet(f"{out}/sim").select("category_id").distinct().count() >= 1
+
+
+def test_age_upsize_and_reply_jobs(spark):
+    from cartwise.operators import ages, impute
+    from cartwise.sources.fixtures import AGE_LABELS, MILK_LABELS, label_sheet
+    out = tempfile.mkdtemp(prefix="cw-job2-")
+    fx = Fixtures(spark, SF_SMALL)
+    labels = fx.product_label().join(label_sheet(spark, AGE_LABELS), "label_no").select("product_id", "label")
+    catalog = fx.catalog().withColumn("category_id", F.col("category_code").cast("int"))
+    jobs.age_job(fx.person(), fx.growth(), labels, catalog, f"{out}/age", f"{out}/age_none", batch_size=100)
+    age = spark.read.parquet(f"{out}/age")
+    assert age.count() > 0 and "batch" in age.columns
+    none = spark.read.parquet(f"{out}/age_none")
+    assert none.join(age.select("customer_id").distinct(), "customer_id").count() == 0
+
+    cust = impute.attach_growth(impute.impute_by_group(fx.person()), fx.growth())
+    picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels)), catalog)
+    milk = fx.milk_product().join(label_sheet(spark, MILK_LABELS), "label_no").select("product_id", "brand_id", "label")
+    jobs.upsize_job(fx.cycle(), fx.catalog(), fx.size_labels(), milk, fx.purchases(), picks, fx.model_map(),
+                    f"{out}/blend")
+    blend = spark.read.parquet(f"{out}/blend")
+    assert blend.count() > 0
+    assert blend.groupBy("customer_id").agg(F.count_distinct("product_id").alias("n")).agg(F.max("n")).first()[0] <= 30
+
+    metrics = jobs.name_reply_job(fx.name_replies(), fx.catalog(), f"{out}/names", f"{out}/names_none").first()
+    assert metrics.requests == fx.person().count()
+    assert metrics.matched_requests + metrics.unmatched_requests == metrics.requests
+    assert spark.read.parquet(f"{out}/names_none").count() == metrics.unmatched_requests
