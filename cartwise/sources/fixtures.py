@@ -54,6 +54,24 @@ def _memo(method):
     return wrapper
 
 
+def _materialized(method):
+    """Like ``_memo``, and the result is checkpointed to the shared
+    ``spark.checkpoint.dir``: these inputs are tables in production, read by
+    several branches of one plan; without a table each branch would derive
+    them from the order lines again."""
+    name = method.__name__
+
+    def wrapper(self):
+        if name not in self._built:
+            from ..session import ensure_checkpoint_dir
+            ensure_checkpoint_dir(self.spark)
+            self._built[name] = method(self).checkpoint(eager=True)
+        return self._built[name]
+    wrapper.__name__ = name
+    wrapper.__doc__ = method.__doc__
+    return wrapper
+
+
 class Fixtures:
     """All derived inputs for one scale-factor folder.
 
@@ -99,7 +117,7 @@ class Fixtures:
         return (self.t.customer.filter(F.col("c_acctbal") < 0)
                 .select(F.col("c_custkey").alias("customer_id")))
 
-    @_memo
+    @_materialized
     def purchases(self) -> DataFrame:
         li = self.t.lineitem.select("l_orderkey", "l_partkey")
         o = self.t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -109,7 +127,7 @@ class Fixtures:
                         F.to_date("o_orderdate").alias("purchase_date"))
                 .distinct())
 
-    @_memo
+    @_materialized
     def cycle(self) -> DataFrame:
         li = self.t.lineitem.select("l_orderkey", "l_partkey", "l_discount")
         o = self.t.orders.select("o_orderkey", "o_custkey")
