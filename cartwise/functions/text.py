@@ -74,3 +74,8 @@ def pct(num: ColumnOrName, den: ColumnOrName, digits: int = 2) -> Column:
 def format_run_date(c: ColumnOrName | None = None) -> Column:
     """``yyyyMMdd`` of a date, or of today."""
     return F.date_format(_c(c) if c is not None else F.current_date(), "yyyyMMdd")
+
+
+def as_timestamp(c: ColumnOrName) -> Column:
+    """Text -> ``timestamp_ntz``, NULL when it does not parse."""
+    return _c(c).try_cast("timestamp_ntz")

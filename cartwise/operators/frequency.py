@@ -27,8 +27,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.text import pct, trim_key
+from ..functions.text import as_timestamp, pct, trim_key
 from ..sources import literals as L
 from .keys import top_k_per_key
 
@@ -39,6 +40,8 @@ def filter_lines(lines: DataFrame, excluded: DataFrame | None = None,
                  output_types: Iterable[int] | None = L.OUTPUT_TYPES) -> DataFrame:
     """Keep the listed output types, drop excluded customers."""
     out = lines
+    if isinstance(lines.schema["ordered_at"].dataType, T.StringType):
+        out = out.withColumn("ordered_at", as_timestamp("ordered_at"))
     if output_types is not None:
         out = out.filter(F.col("output_type").isin(list(output_types)))
     if excluded is not None:

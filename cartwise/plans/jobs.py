@@ -83,12 +83,16 @@ def upsize_job(cycle: DataFrame, catalog: DataFrame, diapers: DataFrame, milk: D
     sinks.write_table(blend.blend(ranked, cold, catalog, model_map), out)
 
 
-def name_reply_job(replies_df: DataFrame, catalog: DataFrame, out: str, unmatched_out: str) -> DataFrame:
+def name_reply_job(replies_df: DataFrame, catalog: DataFrame, out: str,
+                   unmatched_out: str) -> tuple[DataFrame, dict]:
     """Parse and resolve chat replies; unmatched requests kept apart.
 
-    Returns the one-row metrics table (A15)."""
+    Returns the one-row metrics table and the counters observed during the
+    write (A15)."""
     resolved = replies.resolve_names(replies.parse_name_replies(replies_df), catalog)
-    sinks.write_table(resolved, out)
+    observed = sinks.write_observed(resolved, out, "resolved", {
+        "product_rows": F.count(F.lit(1)),
+        "fuzzy_rows": F.count_if(F.col("match_kind") == "fuzzy")})
     written = resolved.sparkSession.read.parquet(out)
     sinks.write_table(replies.unresolved_requests(replies_df, written), unmatched_out)
-    return replies.match_metrics(replies_df, written)
+    return replies.match_metrics(replies_df, written), observed

@@ -8,6 +8,7 @@ tables that cut long lineages go to the shared checkpoint folder named by
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -62,6 +63,18 @@ def cut_lineage(df: DataFrame, name: str) -> DataFrame:
     Used between long job stages: a lost executor then re-reads this table
     instead of recomputing the whole upstream plan.
     """
-    path = checkpoint_path(df.sparkSession, name)
+    path = checkpoint_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def write_observed(df: DataFrame, path: str, name: str, metrics: dict[str, Column],
+                   partition_by: Sequence[str] | None = None) -> dict:
+    """Write ``df`` and collect ``metrics`` (aggregate expressions) from the
+    same action with ``DataFrame.observe`` — counters without a second pass
+    over the data (A15)."""
+    from pyspark.sql import Observation
+    obs = Observation(name)
+    observed = df.observe(obs, *[expr.alias(k) for k, expr in metrics.items()])
+    write_table(observed, path, partition_by)
+    return obs.get

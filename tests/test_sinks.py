@@ -56,7 +56,10 @@ def test_age_upsize_and_reply_jobs(spark):
     assert blend.count() > 0
     assert blend.groupBy("customer_id").agg(F.count_distinct("product_id").alias("n")).agg(F.max("n")).first()[0] <= 30
 
-    metrics = jobs.name_reply_job(fx.name_replies(), fx.catalog(), f"{out}/names", f"{out}/names_none").first()
+    table, observed = jobs.name_reply_job(fx.name_replies(), fx.catalog(), f"{out}/names", f"{out}/names_none")
+    metrics = table.first()
+    assert observed["product_rows"] == metrics.product_rows
+    assert observed["fuzzy_rows"] > 0
     assert metrics.requests == fx.person().count()
     assert metrics.matched_requests + metrics.unmatched_requests == metrics.requests
     assert spark.read.parquet(f"{out}/names_none").count() == metrics.unmatched_requests
