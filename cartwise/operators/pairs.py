@@ -11,17 +11,22 @@ split by their right-side frequency:
 
 * cold keys (at most ``hot_threshold`` right rows) are joined directly —
   every left row meets at most ``hot_threshold`` partners per key;
-* for hot keys, right items are grouped by their *signature*: partition,
-  optional distinct-constraint columns and the sorted set of hot keys they
-  hold.  All members of a group get the same hot score from a given ``a``,
-  so ``a`` is joined to groups (not items) and only the first
-  ``top_n + 1`` members of each group by id become candidates.
-
-Exactness: a member that also shares a cold key with ``a`` is a cold pair
-and is scored in full (cold + hot part), so it ranks strictly above every
-member that shares only hot keys (higher count, and weights are >= 0).
-Among the hot-only members of a group the order is by id, and no more than
-``top_n`` of them can rank above the cut — plus one slot for ``a`` itself.
+* hot keys are never joined item to item.  A right item with at most two
+  hot keys is indexed under every non-empty subset of them (at most three
+  entries), keeping only the first ``top_n + 1`` ids per (subset,
+  partition, distinct-constraint value); a left item looks up the singles
+  and pairs of its own hot keys.  Right items with more hot keys are
+  grouped by their full hot-key *signature*; a left item is joined to the
+  groups and each group offers its first ``top_n + 1`` ids.
+* candidates get their full score from their own keys (a handful per item).
+
+Exactness: a right item holding all keys of a subset P scores at least the
+weight of P with at least |P| shared keys (weights >= 0), so it ranks at or
+above every item whose overlap with ``a`` is exactly P; if an item is not
+among the first ``top_n + 1`` ids holding its overlap, ``top_n`` others
+(plus possibly ``a`` itself) rank above it.  A partner sharing a cold key
+is a cold pair and is scored in full anyway.  Signature groups follow the
+same argument with the overlap fixed by the group.
 """
 
 from __future__ import annotations
@@ -33,7 +38,7 @@ from pyspark.sql import functions as F
 
 from .keys import top_k_per_key
 
-DEFAULT_HOT_THRESHOLD = 1000
+DEFAULT_HOT_THRESHOLD = 64
 
 
 def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
@@ -61,8 +66,9 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
           .groupBy(a, *ks, *dis).agg(F.sum("_w").alias("_w")))
     rk = right.select(b, *part, *ks, *dis).distinct()
     lk = lk.select(a, *ks, *[F.col(c).alias(f"_l_{c}") for c in dis], "_w")
+    key = F.to_json(F.struct(*[F.col(c) for c in ks]))
 
-    def other(df):
+    def allowed(df):
         cond = F.col(a) != F.col(b)
         for c in dis:
             cond = cond & ~F.col(f"_l_{c}").eqNullSafe(F.col(c))
@@ -73,38 +79,58 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     lk = lk.join(hot, ks, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
     rk = rk.join(hot, ks, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
 
-    # cold keys: bounded fan-out per left row
-    cold = other(lk.filter(~F.col("_hot")).drop("_hot")
-                 .join(rk.filter(~F.col("_hot")).drop("_hot"), ks))
-    cold = cold.groupBy(a, b, *part).agg(F.sum("_w").alias("_cs"), F.count(F.lit(1)).alias("_cc"))
+    # hot keys as single JSON strings: (a, _k, _w) and (b, _k)
+    lh = lk.filter(F.col("_hot")).select(a, key.alias("_k"), "_w", *[f"_l_{c}" for c in dis])
+    rh = rk.filter(F.col("_hot")).select(b, *part, *dis, key.alias("_k"))
+
+    def with_hot_part(pairs: DataFrame) -> DataFrame:
+        """Hot share of each (a, b): b's own hot keys met by a's hot keys."""
+        hp = (pairs.select(a, b).distinct().join(rh.select(b, "_k"), b)
+              .join(lh.select(a, "_k", "_w"), [a, "_k"])
+              .groupBy(a, b).agg(F.sum("_w").alias("_hs"), F.count(F.lit(1)).alias("_hc")))
+        return pairs.join(hp, [a, b], "left")
 
-    # hot keys: right items grouped by signature.  Group keys are JSON
-    # strings, so NULL partitions / brands group and join exactly.
-    pk = F.to_json(F.struct(*[F.col(c) for c in part])) if part else F.lit("")
-    cold = cold.withColumn("_pk", pk)
-    rh = rk.filter(F.col("_hot")).drop("_hot")
-    sig = (rh.groupBy(b, *part, *dis)
-           .agg(F.array_sort(F.collect_list(F.struct(*ks))).alias("_sig"))
-           .withColumn("_pk", pk)
-           .withColumn("_gk", F.to_json(F.struct(F.col("_pk"), *[F.col(c) for c in dis], F.col("_sig")))))
-    members = top_k_per_key(sig.select("_gk", b, *part), ["_gk"], [F.col(b).asc()], top_n + 1)
-    gkeys = (sig.select("_gk", *[F.col(c).alias(f"_g_{c}") for c in dis], "_sig").distinct()
-             .select("_gk", *[f"_g_{c}" for c in dis], F.explode("_sig").alias("_k"))
-             .select("_gk", *[f"_g_{c}" for c in dis], *[F.col("_k")[c].alias(c) for c in ks]))
-    lh = lk.filter(F.col("_hot")).drop("_hot")
-    ag = lh.join(gkeys, ks)
+    # cold keys: bounded fan-out per left row, scored in full
+    cold = allowed(lk.filter(~F.col("_hot")).drop("_hot")
+                   .join(rk.filter(~F.col("_hot")).drop("_hot"), ks))
+    cold = cold.groupBy(a, b, *part).agg(F.sum("_w").alias("_cs"), F.count(F.lit(1)).alias("_cc"))
+    cold = with_hot_part(cold).select(
+        a, b, *part, (F.col("_cs") + F.coalesce("_hs", F.lit(0.0))).alias("score"),
+        (F.col("_cc") + F.coalesce("_hc", F.lit(0))).alias("shared"))
+
+    # right items' hot-key sets
+    sig = rh.groupBy(b, *part, *dis).agg(F.array_sort(F.collect_list("_k")).alias("_sig"))
+    small = sig.filter(F.size("_sig") <= 2)
+    large = sig.filter(F.size("_sig") > 2)
+
+    # subset index for items with one or two hot keys
+    subsets = F.when(F.size("_sig") == 1, F.array(F.col("_sig"))).otherwise(
+        F.array(F.slice("_sig", 1, 1), F.slice("_sig", 2, 1), F.col("_sig")))
+    index = small.select(b, *part, *dis, F.explode(subsets).alias("_set"))
+    index = index.withColumn("_set", F.to_json("_set"))
+    pk = F.to_json(F.struct(*[F.col(c) for c in part + dis])) if part or dis else F.lit("")
+    index = top_k_per_key(index.withColumn("_pk", pk), ["_set", "_pk"], [F.col(b).asc()], top_n + 1)
+    singles = lh.select(a, *[f"_l_{c}" for c in dis], F.to_json(F.array("_k")).alias("_set"))
+    l2 = lh.select(a, F.col("_k").alias("_k2"))
+    doubles = (lh.join(l2, a).filter(F.col("_k") < F.col("_k2"))
+               .select(a, *[f"_l_{c}" for c in dis], F.to_json(F.array("_k", "_k2")).alias("_set")))
+    sub_cands = allowed(singles.unionByName(doubles).join(index.drop("_pk"), "_set")).select(a, b, *part)
+    sub_cands = with_hot_part(sub_cands.distinct()).select(
+        a, b, *part, F.col("_hs").alias("score"), F.col("_hc").alias("shared"))
+
+    # signature groups for items with more hot keys
+    large = large.withColumn("_gk", F.to_json(F.struct(pk.alias("_pk"), F.col("_sig"))))
+    members = top_k_per_key(large.select("_gk", b, *part), ["_gk"], [F.col(b).asc()], top_n + 1)
+    gkeys = (large.select("_gk", *[F.col(c).alias(f"_g_{c}") for c in dis], "_sig").distinct()
+             .select("_gk", *[f"_g_{c}" for c in dis], F.explode("_sig").alias("_k")))
+    ag = lh.join(gkeys, "_k")
     for c in dis:
         ag = ag.filter(~F.col(f"_l_{c}").eqNullSafe(F.col(f"_g_{c}")))
     ag = ag.groupBy(a, "_gk").agg(F.sum("_w").alias("_hs"), F.count(F.lit(1)).alias("_hc"))
-
-    hot_cands = (ag.join(members, "_gk").filter(F.col(a) != F.col(b))
+    sig_cands = (ag.join(members, "_gk").filter(F.col(a) != F.col(b))
                  .select(a, b, *part, F.col("_hs").alias("score"), F.col("_hc").alias("shared")))
-    cold_full = (cold.join(sig.select(b, "_pk", "_gk"), [b, "_pk"], "left")
-                 .join(ag, [a, "_gk"], "left")
-                 .select(a, b, *part,
-                         (F.col("_cs") + F.coalesce("_hs", F.lit(0.0))).alias("score"),
-                         (F.col("_cc") + F.coalesce("_hc", F.lit(0))).alias("shared")))
-    cands = cold_full.unionByName(hot_cands)
+
+    cands = cold.unionByName(sub_cands).unionByName(sig_cands)
     best = cands.groupBy(a, b, *part).agg(F.max(F.struct("score", "shared")).alias("_m"))
     best = best.select(a, b, *part, F.col("_m.score").alias("score"),
                        F.col("_m.shared").cast("bigint").alias("shared"))
