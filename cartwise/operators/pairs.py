@@ -36,16 +36,17 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
 from .keys import top_k_per_key
 
-DEFAULT_HOT_THRESHOLD = 64
+DEFAULT_HOT_THRESHOLD = 32
 
 
 def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
                left_id: str = "a", right_id: str = "b", weight: str | None = None,
                partition: Sequence[str] = (), distinct_on: Sequence[str] = (),
                top_n: int = 1, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-               tie_by_shared: bool = True) -> DataFrame:
+               tie_by_shared: bool = True, materialize: bool = True) -> DataFrame:
     """Best ``top_n`` right items per (left item, right partition).
 
     ``left``: rows (left_id, *keys, [weight], *distinct_on); one row per
@@ -57,6 +58,9 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     per item, as a product's category and brand are).
     ``tie_by_shared=False`` orders by score, then id only; the exactness
     argument then needs strictly positive weights.
+    ``materialize``: checkpoint the keyed left and right rows (shared
+    checkpoint folder) — five branches read them, and their column sets
+    differ, so Spark could not reuse one computation otherwise.
     Returns (left_id, right_id, *partition, score double, shared bigint, pair_rank int).
     """
     a, b = left_id, right_id
@@ -78,6 +82,14 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
            .filter(F.col("_n") > hot_threshold).select(*ks, F.lit(True).alias("_hot")))
     lk = lk.join(hot, ks, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
     rk = rk.join(hot, ks, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    if materialize:
+        # spread by item before the checkpoint: the candidate joins fan out
+        # from these rows and must not inherit one coalesced partition
+        spark = left.sparkSession
+        ensure_checkpoint_dir(spark)
+        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        lk = lk.repartition(n, a).checkpoint(eager=True)
+        rk = rk.repartition(n, b).checkpoint(eager=True)
 
     # hot keys as single JSON strings: (a, _k, _w) and (b, _k)
     lh = lk.filter(F.col("_hot")).select(a, key.alias("_k"), "_w", *[f"_l_{c}" for c in dis])
