@@ -112,3 +112,17 @@ def test_row_numbers_across_partitions(spark):
     out = keys.batch_numbers(df, ["k"], 500).collect()
     assert sorted((r.k, r.row_no) for r in out) == [(i, i) for i in range(5000)]
     assert {r.batch for r in out} == set(range(10))
+
+
+def test_brand_only_ladder_crosses_category(spark):
+    # With brand-only ladder keys the next rung may be in the other category
+    ladder = spark.createDataFrame([(1, 7, "36", 2), (2, 7, "99", 3), (3, 7, "36", 5)],
+                                   "product_id long, brand_id long, category_code string, ranking int")
+    cycle = spark.createDataFrame([(100, 1, "36", 0.9, 1)],
+                                  "customer_id long, product_id long, category_code string, score double, "
+                                  "rank_cycle int")
+    catalog = spark.createDataFrame([(i, 7) for i in range(1, 4)], "product_id long, brand_id long")
+    brand_only = upsize.upsize(cycle, catalog, ladder, keys=("brand_id",)).filter("type = 'rcm'").collect()
+    assert [(r.product_id, r.category_code, r.ranking) for r in brand_only] == [(2, "99", 3)]
+    default = upsize.upsize(cycle, catalog, ladder).filter("type = 'rcm'").collect()
+    assert [(r.product_id, r.category_code, r.ranking) for r in default] == [(3, "36", 5)]
