@@ -63,3 +63,21 @@ def test_repeatable_across_partitions(spark):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b and len(a) > 0
+
+
+def test_shuffled_input_rows_give_the_same_result(spark):
+    """Every ordering ends in a unique key, so input order does not matter."""
+    from cartwise.operators import frequency as fq
+    from cartwise.operators.ages import diversify
+    from cartwise.sources.fixtures import Fixtures
+    fx = Fixtures(spark, SF_SMALL)
+    lines = fx.order_lines()
+    shuffled = lines.orderBy(F.rand(seed=3)).repartition(7)
+    a = sorted(tuple(r) for r in fq.frequency_profile(lines, fx.excluded(), None, (1, 2, 4, 5)).collect())
+    b = sorted(tuple(r) for r in fq.frequency_profile(shuffled, fx.excluded(), None, (1, 2, 4, 5)).collect())
+    assert a == b and a
+    cand = catalog.QUERIES["age_candidates"](spark, SF_SMALL)
+    cat = fx.catalog().withColumn("category_id", F.col("category_code").cast("int"))
+    x = sorted(tuple(r) for r in diversify(cand, cat).collect())
+    y = sorted(tuple(r) for r in diversify(cand.orderBy(F.rand(seed=5)).repartition(5), cat).collect())
+    assert x == y and x
