@@ -73,11 +73,12 @@ def test_shuffled_input_rows_give_the_same_result(spark):
     fx = Fixtures(spark, SF_SMALL)
     lines = fx.order_lines()
     shuffled = lines.orderBy(F.rand(seed=3)).repartition(7)
-    a = sorted(tuple(r) for r in fq.frequency_profile(lines, fx.excluded(), None, (1, 2, 4, 5)).collect())
-    b = sorted(tuple(r) for r in fq.frequency_profile(shuffled, fx.excluded(), None, (1, 2, 4, 5)).collect())
+    a = sorted((tuple(r) for r in fq.frequency_profile(lines, fx.excluded(), None, (1, 2, 4, 5)).collect()), key=repr)
+    b = sorted((tuple(r) for r in fq.frequency_profile(shuffled, fx.excluded(), None, (1, 2, 4, 5)).collect()),
+               key=repr)
     assert a == b and a
     cand = catalog.QUERIES["age_candidates"](spark, SF_SMALL)
     cat = fx.catalog().withColumn("category_id", F.col("category_code").cast("int"))
-    x = sorted(tuple(r) for r in diversify(cand, cat).collect())
-    y = sorted(tuple(r) for r in diversify(cand.orderBy(F.rand(seed=5)).repartition(5), cat).collect())
+    x = sorted((tuple(r) for r in diversify(cand, cat).collect()), key=repr)
+    y = sorted((tuple(r) for r in diversify(cand.orderBy(F.rand(seed=5)).repartition(5), cat).collect()), key=repr)
     assert x == y and x
