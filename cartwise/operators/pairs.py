@@ -11,13 +11,13 @@ split by their right-side frequency:
 
 * cold keys (at most ``hot_threshold`` right rows) are joined directly —
   every left row meets at most ``hot_threshold`` partners per key;
-* hot keys are never joined item to item.  A right item with at most two
-  hot keys is indexed under every non-empty subset of them (at most three
-  entries), keeping only the first ``top_n + 1`` ids per (subset,
-  partition, distinct-constraint value); a left item looks up the singles
-  and pairs of its own hot keys.  Right items with more hot keys are
-  grouped by their full hot-key *signature*; a left item is joined to the
-  groups and each group offers its first ``top_n + 1`` ids.
+* hot keys are never joined item to item.  A right item with at most
+  ``max_subset`` (3) hot keys is indexed under every non-empty subset of
+  them (at most 7 entries), keeping only the first ``top_n + 1`` ids per
+  (subset, partition, distinct-constraint value); a left item looks up its
+  own hot-key subsets of up to that size.  Right items with more hot keys
+  are grouped by their full hot-key *signature*; a left item is joined to
+  the groups and each group offers its first ``top_n + 1`` ids.
 * candidates get their full score from their own keys (a handful per item).
 
 Exactness: a right item holding all keys of a subset P scores at least the
@@ -46,7 +46,8 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
                left_id: str = "a", right_id: str = "b", weight: str | None = None,
                partition: Sequence[str] = (), distinct_on: Sequence[str] = (),
                top_n: int = 1, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
-               tie_by_shared: bool = True, materialize: bool = True) -> DataFrame:
+               tie_by_shared: bool = True, materialize: bool = True,
+               max_subset: int = 3) -> DataFrame:
     """Best ``top_n`` right items per (left item, right partition).
 
     ``left``: rows (left_id, *keys, [weight], *distinct_on); one row per
@@ -58,6 +59,9 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     per item, as a product's category and brand are).
     ``tie_by_shared=False`` orders by score, then id only; the exactness
     argument then needs strictly positive weights.
+    ``max_subset``: items with at most this many hot keys use the subset
+    index (a right item adds 2^s - 1 entries, a left item looks up its
+    subsets of up to this size); items with more use signature groups.
     ``materialize``: checkpoint the keyed left and right rows (shared
     checkpoint folder) — five branches read them, and their column sets
     differ, so Spark could not reuse one computation otherwise.
@@ -112,21 +116,31 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
 
     # right items' hot-key sets
     sig = rh.groupBy(b, *part, *dis).agg(F.array_sort(F.collect_list("_k")).alias("_sig"))
-    small = sig.filter(F.size("_sig") <= 2)
-    large = sig.filter(F.size("_sig") > 2)
-
-    # subset index for items with one or two hot keys
-    subsets = F.when(F.size("_sig") == 1, F.array(F.col("_sig"))).otherwise(
-        F.array(F.slice("_sig", 1, 1), F.slice("_sig", 2, 1), F.col("_sig")))
-    index = small.select(b, *part, *dis, F.explode(subsets).alias("_set"))
-    index = index.withColumn("_set", F.to_json("_set"))
+    small = sig.filter(F.size("_sig") <= max_subset)
+    large = sig.filter(F.size("_sig") > max_subset)
+
+    # subset index: every non-empty subset of a small hot-key set (bit masks)
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("_sig")).cast("int") - 1)
+    subsets = F.transform(masks, lambda m: F.filter(
+        "_sig", lambda x, i: F.floor(m / F.pow(F.lit(2), i)) % 2 == 1))
+    index = (small.select(b, *part, *dis, F.explode(subsets).alias("_arr"))
+             .select(b, *part, *dis, F.to_json("_arr").alias("_set")))
     pk = F.to_json(F.struct(*[F.col(c) for c in part + dis])) if part or dis else F.lit("")
     index = top_k_per_key(index.withColumn("_pk", pk), ["_set", "_pk"], [F.col(b).asc()], top_n + 1)
-    singles = lh.select(a, *[f"_l_{c}" for c in dis], F.to_json(F.array("_k")).alias("_set"))
-    l2 = lh.select(a, F.col("_k").alias("_k2"))
-    doubles = (lh.join(l2, a).filter(F.col("_k") < F.col("_k2"))
-               .select(a, *[f"_l_{c}" for c in dis], F.to_json(F.array("_k", "_k2")).alias("_set")))
-    sub_cands = allowed(singles.unionByName(doubles).join(index.drop("_pk"), "_set")).select(a, b, *part)
+    # a left item's hot-key subsets of size 1..max_subset, keys in sorted order
+    ldis = [f"_l_{c}" for c in dis]
+    level = lh.select(a, *ldis, F.array("_k").alias("_ks"), F.col("_k").alias("_last"))
+    lookups = [level]
+    for _ in range(max_subset - 1):
+        nxt = lh.select(a, F.col("_k").alias("_k2"))
+        level = (level.join(nxt, a).filter(F.col("_k2") > F.col("_last"))
+                 .select(a, *ldis, F.concat("_ks", F.array("_k2")).alias("_ks"), F.col("_k2").alias("_last")))
+        lookups.append(level)
+    sets = lookups[0]
+    for more in lookups[1:]:
+        sets = sets.unionByName(more)
+    sets = sets.select(a, *ldis, F.to_json("_ks").alias("_set"))
+    sub_cands = allowed(sets.join(index.drop("_pk"), "_set")).select(a, b, *part)
     sub_cands = with_hot_part(sub_cands.distinct()).select(
         a, b, *part, F.col("_hs").alias("score"), F.col("_hc").alias("shared"))
 
