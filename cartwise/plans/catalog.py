@@ -41,6 +41,7 @@ def _clean_lines(fx: Fixtures) -> DataFrame:
 # -- R1 frequency profile ------------------------------------------------------
 @query
 def order_lines_clean(spark, sf_dir):
+    """Kept order lines: output types, excluded customers removed, deduped."""
     return _clean_lines(Fixtures(spark, sf_dir))
 
 
@@ -50,22 +51,26 @@ def _filtered_lines(fx: Fixtures) -> DataFrame:
 
 @query
 def category_frequency(spark, sf_dir):
+    """Distinct orders, share and rank of each category per customer."""
     return fq.category_frequency(_filtered_lines(Fixtures(spark, sf_dir)))
 
 
 @query
 def top_product_per_category(spark, sf_dir):
+    """Most-ordered product per customer and category."""
     return fq.top_product_per_category(_filtered_lines(Fixtures(spark, sf_dir)))
 
 
 @query
 def frequency_profile(spark, sf_dir):
+    """Top product per category with category statistics and model code."""
     fx = Fixtures(spark, sf_dir)
     return fq.frequency_profile(fx.order_lines(), fx.excluded(), fx.model_map(), FIXTURE_OUTPUT_TYPES)
 
 
 @query
 def model_code_map(spark, sf_dir):
+    """Catalog products with their model codes, joined on trimmed codes."""
     fx = Fixtures(spark, sf_dir)
     cat = fx.catalog().select("product_id")
     return fq.attach_model_code(cat, fx.model_map())
@@ -74,6 +79,7 @@ def model_code_map(spark, sf_dir):
 # -- R2 companion products ------------------------------------------------------
 @query
 def companion_top1(spark, sf_dir):
+    """R2: best companion per product and companion category, with model code."""
     fx = Fixtures(spark, sf_dir)
     return af.companion_products(fx.properties(), fx.property_map(), fx.model_map())
 
@@ -85,16 +91,19 @@ def _imputed(fx: Fixtures) -> DataFrame:
 
 @query
 def group_mode(spark, sf_dir):
+    """Most frequent stage per cluster, ties to the smallest."""
     return im.group_mode(Fixtures(spark, sf_dir).person(), "prediction", "stage_last")
 
 
 @query
 def impute_stage_age(spark, sf_dir):
+    """Stage and age filled from group mode and mean."""
     return _imputed(Fixtures(spark, sf_dir))
 
 
 @query
 def growth_gap_fill(spark, sf_dir):
+    """Growth values by age, linear between sheet ages."""
     fx = Fixtures(spark, sf_dir)
     cust = _imputed(fx).select("customer_id", "expected_age_last")
     return im.attach_growth(cust, fx.growth())
@@ -102,6 +111,7 @@ def growth_gap_fill(spark, sf_dir):
 
 @query
 def forward_fill(spark, sf_dir):
+    """Growth values of the largest sheet age at or below each age."""
     fx = Fixtures(spark, sf_dir)
     cust = _imputed(fx).select("customer_id", "expected_age_last")
     return im.carry_growth_forward(cust, fx.growth())
@@ -115,12 +125,14 @@ def _product_labels(fx: Fixtures) -> DataFrame:
 
 @query
 def label_reject(spark, sf_dir):
+    """Size-like age labels flagged."""
     pl = _product_labels(Fixtures(spark, sf_dir))
     return pl.select("product_id", "label", size_like(F.col("label")).alias("rejected"))
 
 
 @query
 def age_label_range(spark, sf_dir):
+    """Age label -> [min, max] months, before the open-end fill."""
     pl = _product_labels(Fixtures(spark, sf_dir))
     return pl.join(ag.label_ranges(pl), "label", "left").select(
         "product_id", "label", "min_age_months", "max_age_months")
@@ -132,6 +144,7 @@ def _age_ranges(fx: Fixtures) -> DataFrame:
 
 @query
 def age_ranges(spark, sf_dir):
+    """Product age ranges after the open-end and catch-all fill."""
     return _age_ranges(Fixtures(spark, sf_dir)).select(
         "product_id", "label", "parsed", "min_age_months", "max_age_months")
 
@@ -142,6 +155,7 @@ def _age_candidates(fx: Fixtures) -> DataFrame:
 
 @query
 def age_candidates(spark, sf_dir):
+    """Best 20 products per customer age."""
     return _age_candidates(Fixtures(spark, sf_dir))
 
 
@@ -155,6 +169,7 @@ def _diversified(fx: Fixtures) -> DataFrame:
 
 @query
 def diversify(spark, sf_dir):
+    """At most 2 variants per base item, round-robin over categories, 15 picks."""
     return _diversified(Fixtures(spark, sf_dir))
 
 
@@ -182,6 +197,7 @@ def _latest(fx: Fixtures) -> DataFrame:
 
 @query
 def strict_label_rank(spark, sf_dir):
+    """Strict milk labels and their rank among the labels present."""
     milk = _milk(Fixtures(spark, sf_dir))
     ranks = up.milk_label_ranks(milk)
     return milk.join(ranks, "label").select("product_id", "label", "min_age_months", "range_months",
@@ -190,21 +206,25 @@ def strict_label_rank(spark, sf_dir):
 
 @query
 def size_ladder(spark, sf_dir):
+    """Diaper and milk ladder, lowest rung per product and brand."""
     return _ladder(Fixtures(spark, sf_dir))
 
 
 @query
 def next_rung(spark, sf_dir):
+    """Next higher rung per ladder row."""
     return up.ladder_next(_ladder(Fixtures(spark, sf_dir)))
 
 
 @query
 def upsize_pairs(spark, sf_dir):
+    """Repurchased products and one next-rung suggestion each."""
     return _upsize_rows(Fixtures(spark, sf_dir))
 
 
 @query
 def origin_islands(spark, sf_dir):
+    """Positional origin islands over the upsize rows."""
     out = up.origin_islands(_upsize_rows(Fixtures(spark, sf_dir)))
     return out.select("customer_id", "product_id", "type", "row_num", F.col("subgroup").cast("bigint"),
                       "product_id_ori_pos")
@@ -212,11 +232,13 @@ def origin_islands(spark, sf_dir):
 
 @query
 def link_origin(spark, sf_dir):
+    """Origin cycle rank, per-customer rank, origin + adjacent step."""
     return _linked(Fixtures(spark, sf_dir))
 
 
 @query
 def latest_purchase(spark, sf_dir):
+    """Rows of the latest purchase date per customer and category."""
     return _latest(Fixtures(spark, sf_dir))
 
 
@@ -232,6 +254,7 @@ def _cold(fx: Fixtures) -> DataFrame:
 
 @query
 def append_ranked(spark, sf_dir):
+    """Age list appended after the upsize list, 30 per customer."""
     return _appended(Fixtures(spark, sf_dir)).select(
         "customer_id", "product_id", "rank", "type", "category_code", "product_id_ori", "rank_chu_ky",
         "formatted_date")
@@ -239,17 +262,20 @@ def append_ranked(spark, sf_dir):
 
 @query
 def cap_30(spark, sf_dir):
+    """Latest 30 products per customer."""
     last = up.last_purchase(Fixtures(spark, sf_dir).purchases())
     return bl.cap_per_customer(last, [F.col("formatted_date").desc(), F.col("product_id").asc()])
 
 
 @query
 def cold_start(spark, sf_dir):
+    """Frequency list for customers without a usable cycle row."""
     return _cold(Fixtures(spark, sf_dir))
 
 
 @query
 def blended(spark, sf_dir):
+    """The blended top-30 list with catalog columns and model code."""
     fx = Fixtures(spark, sf_dir)
     return bl.blend(_appended(fx), _cold(fx), fx.catalog(), fx.model_map())
 
@@ -261,38 +287,45 @@ def _active(fx: Fixtures) -> DataFrame:
 
 @query
 def property_list_explode(spark, sf_dir):
+    """Listed property ids per category: split, tolerant cast, positive."""
     return sm.listed_properties(_active(Fixtures(spark, sf_dir)))
 
 
 @query
 def attributes_in_list(spark, sf_dir):
+    """Listed attributes per category."""
     return sm.attributes_in_list(_active(Fixtures(spark, sf_dir)))
 
 
 @query
 def attribute_importance(spark, sf_dir):
+    """Attribute weights by coverage and value entropy, normalised."""
     return sm.attribute_importance(_active(Fixtures(spark, sf_dir)))
 
 
 @query
 def reply_attributes(spark, sf_dir):
+    """Attribute replies parsed, filtered, weights filled and normalised."""
     fx = Fixtures(spark, sf_dir)
     return rp.reply_attributes(fx.attribute_replies(), sm.attributes_in_list(_active(fx)))
 
 
 @query
 def product_profiles(spark, sf_dir):
+    """One profile text per product."""
     return sm.product_profiles(_active(Fixtures(spark, sf_dir)))
 
 
 @query
 def similar_products(spark, sf_dir):
+    """Ten most similar products per product, same category."""
     props = _active(Fixtures(spark, sf_dir))
     return sm.similar_with_names(sm.similar_products(props), props)
 
 
 @query
 def similar_other_brand(spark, sf_dir):
+    """R11 with other-brand partners only, NULL brand as other."""
     props = _active(Fixtures(spark, sf_dir))
     return sm.similar_with_names(sm.similar_products(props, exclude_same_brand=True), props)
 
@@ -300,6 +333,7 @@ def similar_other_brand(spark, sf_dir):
 # -- S10 / S11 / R7 / J15-J18 request and reply tables ------------------------------------------
 @query
 def request_ages(spark, sf_dir):
+    """One request per distinct (age, weight)."""
     fx = Fixtures(spark, sf_dir)
     cust = im.attach_growth(_imputed(fx).select("customer_id", "expected_age_last"), fx.growth())
     return rp.age_requests(cust)
@@ -307,11 +341,13 @@ def request_ages(spark, sf_dir):
 
 @query
 def request_attributes(spark, sf_dir):
+    """One attribute request per category."""
     return rp.attribute_requests(sm.attributes_in_list(_active(Fixtures(spark, sf_dir))))
 
 
 @query
 def reply_names(spark, sf_dir):
+    """Name replies parsed into ordered names."""
     return rp.parse_name_replies(Fixtures(spark, sf_dir).name_replies())
 
 
@@ -321,11 +357,13 @@ def _resolved(fx: Fixtures) -> DataFrame:
 
 @query
 def resolve_names(spark, sf_dir):
+    """Reply names resolved to products, exact -> lower -> fuzzy."""
     return _resolved(Fixtures(spark, sf_dir))
 
 
 @query
 def fuzzy_names(spark, sf_dir):
+    """Misspelt names matched to catalog names, lossless blocking."""
     fx = Fixtures(spark, sf_dir)
     q = fx.misspelt().select(F.col("product_id").alias("qid"), F.col("query_name").alias("query"))
     best = rp.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")))
@@ -335,6 +373,7 @@ def fuzzy_names(spark, sf_dir):
 
 @query
 def reply_products(spark, sf_dir):
+    """JSON product replies mapped by code or name."""
     fx = Fixtures(spark, sf_dir)
     prof = fx.catalog().select(F.col("product_id").cast("string").alias("product_code"), "product_name")
     return rp.resolve_products(fx.product_replies(), prof)
@@ -342,12 +381,14 @@ def reply_products(spark, sf_dir):
 
 @query
 def match_metrics(spark, sf_dir):
+    """Request / match counters of the name resolution."""
     fx = Fixtures(spark, sf_dir)
     return rp.match_metrics(fx.name_replies(), _resolved(fx))
 
 
 @query
 def no_match_rows(spark, sf_dir):
+    """Requests whose reply resolved to no product."""
     fx = Fixtures(spark, sf_dir)
     return rp.unresolved_requests(fx.name_replies(), _resolved(fx))
 
@@ -355,12 +396,14 @@ def no_match_rows(spark, sf_dir):
 # -- S7 / P19 positional batches ---------------------------------------------------------------
 @query
 def batch_numbers(spark, sf_dir):
+    """Global row numbers and 500-row batches without a single-task window."""
     person = Fixtures(spark, sf_dir).person().select("customer_id")
     return keys.batch_numbers(person, ["customer_id"], 500)
 
 
 @query
 def customer_range(spark, sf_dir):
+    """Rows by global position (P19); here the whole table."""
     person = Fixtures(spark, sf_dir).person().select("customer_id", "expected_age_last")
     return keys.row_range(person, ["customer_id"], start=0, end=None)
 
