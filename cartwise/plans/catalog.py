@@ -34,6 +34,20 @@ def query(fn):
     return fn
 
 
+def shared(fn):
+    """Build an intermediate plan once per inputs folder and session; the
+    queries of the catalogue reuse the same DataFrame definition."""
+    def wrapper(fx: Fixtures) -> DataFrame:
+        key = f"catalog:{fn.__name__}"
+        if key not in fx._built:
+            fx._built[key] = fn(fx)
+        return fx._built[key]
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
+@shared
 def _clean_lines(fx: Fixtures) -> DataFrame:
     return fq.clean_lines(fx.order_lines(), fx.excluded(), FIXTURE_OUTPUT_TYPES)
 
@@ -45,6 +59,7 @@ def order_lines_clean(spark, sf_dir):
     return _clean_lines(Fixtures(spark, sf_dir))
 
 
+@shared
 def _filtered_lines(fx: Fixtures) -> DataFrame:
     return fq.filter_lines(fx.order_lines(), fx.excluded(), FIXTURE_OUTPUT_TYPES)
 
@@ -85,6 +100,7 @@ def companion_top1(spark, sf_dir):
 
 
 # -- R3 / R4 imputation -----------------------------------------------------------
+@shared
 def _imputed(fx: Fixtures) -> DataFrame:
     return im.impute_by_group(fx.person())
 
@@ -118,6 +134,7 @@ def forward_fill(spark, sf_dir):
 
 
 # -- R5 / R6 / R8 age labels, candidates, diversification -----------------------------
+@shared
 def _product_labels(fx: Fixtures) -> DataFrame:
     sheet = label_sheet(fx.spark, AGE_LABELS)
     return fx.product_label().join(F.broadcast(sheet), "label_no").select("product_id", "label")
@@ -138,6 +155,7 @@ def age_label_range(spark, sf_dir):
         "product_id", "label", "min_age_months", "max_age_months")
 
 
+@shared
 def _age_ranges(fx: Fixtures) -> DataFrame:
     return ag.age_ranges(_product_labels(fx))
 
@@ -149,6 +167,7 @@ def age_ranges(spark, sf_dir):
         "product_id", "label", "parsed", "min_age_months", "max_age_months")
 
 
+@shared
 def _age_candidates(fx: Fixtures) -> DataFrame:
     return ag.age_candidates(_imputed(fx), _age_ranges(fx))
 
@@ -159,10 +178,12 @@ def age_candidates(spark, sf_dir):
     return _age_candidates(Fixtures(spark, sf_dir))
 
 
+@shared
 def _catalog_ids(fx: Fixtures) -> DataFrame:
     return fx.catalog().withColumn("category_id", F.col("category_code").cast("int"))
 
 
+@shared
 def _diversified(fx: Fixtures) -> DataFrame:
     return ag.diversify(_age_candidates(fx), _catalog_ids(fx))
 
@@ -174,23 +195,28 @@ def diversify(spark, sf_dir):
 
 
 # -- R12-R15 upsize chain -------------------------------------------------------------
+@shared
 def _milk(fx: Fixtures) -> DataFrame:
     sheet = label_sheet(fx.spark, MILK_LABELS)
     return fx.milk_product().join(F.broadcast(sheet), "label_no").select("product_id", "brand_id", "label")
 
 
+@shared
 def _ladder(fx: Fixtures) -> DataFrame:
     return up.size_ladder(fx.size_labels(), _milk(fx))
 
 
+@shared
 def _upsize_rows(fx: Fixtures) -> DataFrame:
     return up.upsize(fx.cycle(), fx.catalog(), _ladder(fx))
 
 
+@shared
 def _linked(fx: Fixtures) -> DataFrame:
     return up.link_origin(_upsize_rows(fx), fx.cycle())
 
 
+@shared
 def _latest(fx: Fixtures) -> DataFrame:
     return up.latest_purchase(_linked(fx), fx.purchases())
 
@@ -243,11 +269,13 @@ def latest_purchase(spark, sf_dir):
 
 
 # -- R16-R18 blend -----------------------------------------------------------------------
+@shared
 def _appended(fx: Fixtures) -> DataFrame:
     age = _diversified(fx).select("customer_id", "product_id", "pick")
     return bl.append_ranked(_latest(fx), age)
 
 
+@shared
 def _cold(fx: Fixtures) -> DataFrame:
     return bl.cold_start(fx.cycle(), bl.frequency_list(fx.purchases()))
 
@@ -281,6 +309,7 @@ def blended(spark, sf_dir):
 
 
 # -- R9-R11 attributes, profiles, similar products ------------------------------------------
+@shared
 def _active(fx: Fixtures) -> DataFrame:
     return sm.active(fx.properties())
 
@@ -351,6 +380,7 @@ def reply_names(spark, sf_dir):
     return rp.parse_name_replies(Fixtures(spark, sf_dir).name_replies())
 
 
+@shared
 def _resolved(fx: Fixtures) -> DataFrame:
     return rp.resolve_names(rp.parse_name_replies(fx.name_replies()), fx.catalog())
 
