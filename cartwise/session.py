@@ -45,7 +45,10 @@ def build_session(app: str = "cartwise", master: str | None = None,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's configuration applies
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -60,4 +63,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_path(spark: SparkSession, name: str) -> str:
     """A path inside the shared checkpoint folder, for written tables."""
     base = ensure_checkpoint_dir(spark)
+    if not base:
+        raise RuntimeError("no spark.checkpoint.dir configured")
     return os.path.join(base, "tables", name) if "://" not in base else f"{base.rstrip('/')}/tables/{name}"
