@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..functions.replies import attribute_list, name_list, product_list
 from ..functions.text import before_marker, strip, token_sort
 from ..sources import literals as L
+from ..session import ensure_checkpoint_dir
 from .keys import first_per_key, top_k_per_key
 from .similar import normalize_weights
 
@@ -187,13 +188,17 @@ def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUT
 
 # -- J16 name resolution --------------------------------------------------------------------
 def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CUTOFF,
-                  key: str = "request_id", fuzzy: bool = True, metric: str = "levenshtein") -> DataFrame:
+                  key: str = "request_id", fuzzy: bool = True, metric: str = "levenshtein",
+                  materialize: bool = True) -> DataFrame:
     """Reply names -> catalog products, in reply order.
 
     Each name is cut at ``@@`` and resolved by exact name, else lower-case
     name, else the fuzzy join; a catalog name is used once per request
     (first position wins) and expands to all products carrying it.
     Returns (request_id, pos, product_id, product_name, match_kind).
+    ``materialize`` checkpoints the exact/lower-case step (shared folder):
+    the fuzzy branch and the final join both read it, and it carries the
+    parsing of every reply text.
     """
     cat = catalog.select("product_id", "product_name").filter(F.col("product_name").isNotNull())
     names_u = cat.select(F.col("product_name").alias("true_name")).distinct()
@@ -205,6 +210,9 @@ def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CU
     stage = F.when(F.col("_exact"), 1).when(F.col("_lower").isNotNull(), 2)
     m = m.select(key, "pos", "base", F.when(F.col("_exact"), F.col("base")).otherwise(F.col("_lower"))
                  .alias("true_name"), stage.alias("_stage"))
+    if materialize and fuzzy:
+        ensure_checkpoint_dir(names.sparkSession)
+        m = m.checkpoint(eager=True)
     if fuzzy:
         rest = m.filter(F.col("_stage").isNull()).select(F.col("base").alias("query")).distinct()
         fz = fuzzy_best(rest.withColumn("qid", F.col("query")), names_u, cutoff, qid="qid", qtext="query",
