@@ -21,6 +21,7 @@ from ..operators import keys
 from ..operators import replies as rp
 from ..operators import similar as sm
 from ..operators import upsize as up
+from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import AGE_LABELS, MILK_LABELS, Fixtures, label_sheet
 
 # The fixture's output-type codes (line numbers) that stand for kept sales.
@@ -102,7 +103,10 @@ def companion_top1(spark, sf_dir):
 # -- R3 / R4 imputation -----------------------------------------------------------
 @shared
 def _imputed(fx: Fixtures) -> DataFrame:
-    return im.impute_by_group(fx.person())
+    """Imputed customers, checkpointed: read by the age, growth, request
+    and blend queries, each through several branches."""
+    ensure_checkpoint_dir(fx.spark)
+    return im.impute_by_group(fx.person()).checkpoint(eager=True)
 
 
 @query

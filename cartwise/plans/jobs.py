@@ -37,7 +37,8 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
     Customers without any product go to ``no_match_out`` (S9).  With
     ``batch_size`` the result is written as numbered customer batches (S7).
     """
-    cust = impute.attach_growth(impute.impute_by_group(persons), growth)
+    # customers feed the distinct ages, the final join and the no-match table
+    cust = sinks.cut_lineage(impute.attach_growth(impute.impute_by_group(persons), growth), "age_customers")
     picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels)), catalog)
     picks = picks.join(catalog.select("product_id", "product_name", "category_name"), "product_id", "left")
     if batch_size:
