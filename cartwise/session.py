@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 
 # Settings every job relies on: AQE for runtime re-planning (partition
 # coalescing, skew-join splitting, broadcast conversion from real sizes),
-# UTC for timestamps, no web UI.
+# UTC for timestamps, no web UI, checkpoint files cleaned up when unused.
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # checkpointed intermediates are removed once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
