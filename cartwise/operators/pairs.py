@@ -15,7 +15,9 @@ split by their right-side frequency:
   ``max_subset`` (3) hot keys is indexed under every non-empty subset of
   them (at most 7 entries), keeping only the first ``top_n + 1`` ids per
   (subset, partition, distinct-constraint value); a left item looks up its
-  own hot-key subsets of up to that size.  Right items with more hot keys
+  own hot-key subsets of up to that size, extended level by level only
+  while some right item holds the set (apriori pruning, lossless because
+  every subset of an indexed set is indexed).  Right items with more hot keys
   are grouped by their full hot-key *signature*; a left item is joined to
   the groups and each group offers its first ``top_n + 1`` ids.
 * candidates get their full score from their own keys (a handful per item).
@@ -125,21 +127,26 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
         "_sig", lambda x, i: F.floor(m / F.pow(F.lit(2), i)) % 2 == 1))
     index = (small.select(b, *part, *dis, F.explode(subsets).alias("_arr"))
              .select(b, *part, *dis, F.to_json("_arr").alias("_set")))
+    existing = index.select("_set").distinct()
     pk = F.to_json(F.struct(*[F.col(c) for c in part + dis])) if part or dis else F.lit("")
     index = top_k_per_key(index.withColumn("_pk", pk), ["_set", "_pk"], [F.col(b).asc()], top_n + 1)
-    # a left item's hot-key subsets of size 1..max_subset, keys in sorted order
+    # a left item's hot-key subsets of size 1..max_subset, keys in sorted
+    # order; a set is only extended if some right item holds it (every
+    # subset of an indexed set is indexed too, so nothing is lost)
     ldis = [f"_l_{c}" for c in dis]
     level = lh.select(a, *ldis, F.array("_k").alias("_ks"), F.col("_k").alias("_last"))
+    level = level.withColumn("_set", F.to_json("_ks")).join(existing, "_set", "left_semi")
     lookups = [level]
     for _ in range(max_subset - 1):
         nxt = lh.select(a, F.col("_k").alias("_k2"))
         level = (level.join(nxt, a).filter(F.col("_k2") > F.col("_last"))
                  .select(a, *ldis, F.concat("_ks", F.array("_k2")).alias("_ks"), F.col("_k2").alias("_last")))
+        level = level.withColumn("_set", F.to_json("_ks")).join(existing, "_set", "left_semi")
         lookups.append(level)
     sets = lookups[0]
     for more in lookups[1:]:
         sets = sets.unionByName(more)
-    sets = sets.select(a, *ldis, F.to_json("_ks").alias("_set"))
+    sets = sets.select(a, *ldis, "_set")
     sub_cands = allowed(sets.join(index.drop("_pk"), "_set")).select(a, b, *part)
     sub_cands = with_hot_part(sub_cands.distinct()).select(
         a, b, *part, F.col("_hs").alias("score"), F.col("_hc").alias("shared"))
