@@ -93,6 +93,14 @@ def attribute_importance(properties: DataFrame, top_k: int = L.ATTRIBUTE_TOP_K,
     return out.select(group, "property_id", "property_name", "weight", "attr_rank")
 
 
+def top_attributes(properties: DataFrame, weights: DataFrame, k: int = 1,
+                   group: str = "category_id") -> DataFrame:
+    """Property rows of each category's ``k`` most important attributes (R9
+    feeding R10/R11; the original job profiles and compares on the top one)."""
+    chosen = weights.filter(F.col("attr_rank") <= k).select(group, "property_id")
+    return properties.join(chosen, [group, "property_id"], "left_semi")
+
+
 def product_profiles(properties: DataFrame, max_props: int = L.MAX_PROPS_PER_PROFILE) -> DataFrame:
     """``name@@code | p: v; p: v | Category: c | Brand: b`` per product.
 

@@ -50,12 +50,17 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
 
 
 def similar_job(properties: DataFrame, out: str, errors_out: str | None = None,
-                top_n: int = L.SIMILAR_TOP_N, exclude_same_brand: bool = False) -> None:
+                top_n: int = L.SIMILAR_TOP_N, exclude_same_brand: bool = False,
+                attribute_top_k: int | None = 1) -> None:
     """Attribute weights, profiles and the top-N similar products of every
     active product, with profile texts; targets without any pair go to
-    ``errors_out``."""
+    ``errors_out``.  ``attribute_top_k`` keeps each category's most important
+    attributes only (the original job uses the top one); ``None`` compares
+    on all listed attributes, weighted."""
     props = similar.active(properties)
     weights = similar.attribute_importance(props)
+    if attribute_top_k is not None:
+        props = similar.top_attributes(props, weights, attribute_top_k)
     pairs = similar.similar_products(props, weights, top_n, exclude_same_brand=exclude_same_brand)
     prof = similar.product_profiles(props).select("product_code", "text_for_llm")
     res = similar.similar_with_names(pairs, props)
