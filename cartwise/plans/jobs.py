@@ -51,12 +51,14 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
 
 def similar_job(properties: DataFrame, out: str, errors_out: str | None = None,
                 top_n: int = L.SIMILAR_TOP_N, exclude_same_brand: bool = False,
-                attribute_top_k: int | None = 1) -> None:
+                attribute_top_k: int | None = None) -> None:
     """Attribute weights, profiles and the top-N similar products of every
     active product, with profile texts; targets without any pair go to
-    ``errors_out``.  ``attribute_top_k`` keeps each category's most important
-    attributes only (the original job uses the top one); ``None`` compares
-    on all listed attributes, weighted."""
+    ``errors_out``.  By default all listed attributes count, weighted by
+    R9.  ``attribute_top_k`` keeps each category's most important
+    attributes only, as the original job does with its chosen one; with
+    the entropy weights a near-unique attribute (a price) ranks first and
+    shares few values, so the weighted form is the default."""
     props = similar.active(properties)
     weights = similar.attribute_importance(props)
     if attribute_top_k is not None:
