@@ -49,7 +49,7 @@ def main() -> None:
 
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm):
-        for n in ("frequency_profile", "blended"):
+        for n in ("frequency_profile", "blended", "companion_top1", "resolve_names"):
             catalog.QUERIES[n](spark, warm).write.format("noop").mode("overwrite").save()
 
     times = {}

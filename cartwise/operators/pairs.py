@@ -12,8 +12,8 @@ split by their right-side frequency:
 * cold keys (at most ``hot_threshold`` right rows) are joined directly —
   every left row meets at most ``hot_threshold`` partners per key;
 * hot keys are never joined item to item.  A right item with at most
-  ``max_subset`` (3) hot keys is indexed under every non-empty subset of
-  them (at most 7 entries), keeping only the first ``top_n + 1`` ids per
+  ``max_subset`` (4) hot keys is indexed under every non-empty subset of
+  them (at most 15 entries), keeping only the first ``top_n + 1`` ids per
   (subset, partition, distinct-constraint value); a left item looks up its
   own hot-key subsets of up to that size, extended level by level only
   while some right item holds the set (apriori pruning, lossless because
@@ -49,7 +49,7 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
                partition: Sequence[str] = (), distinct_on: Sequence[str] = (),
                top_n: int = 1, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
                tie_by_shared: bool = True, materialize: bool = True,
-               max_subset: int = 3) -> DataFrame:
+               max_subset: int = 4) -> DataFrame:
     """Best ``top_n`` right items per (left item, right partition).
 
     ``left``: rows (left_id, *keys, [weight], *distinct_on); one row per

@@ -32,13 +32,13 @@ def test_similar_hot_split_is_exact(spark, threshold, other):
     assert _rows(base) == _rows(hot)
 
 
-@pytest.mark.parametrize("max_subset", [1, 2, 3])
+@pytest.mark.parametrize("max_subset", [1, 2, 3, 4])
 def test_pair_top_n_against_brute_force(spark, max_subset):
     rnd = random.Random(3)
     brand = {i: rnd.choice([1, 2, None]) for i in range(30)}
     left = [(a, f"k{rnd.randint(0, 6)}", float(rnd.randint(0, 3)), brand[a]) for a in range(30)
-            for _ in range(3)]
-    right = [(b, f"c{b % 3}", f"k{rnd.randint(0, 6)}", brand[b]) for b in range(30) for _ in range(3)]
+            for _ in range(5)]
+    right = [(b, f"c{b % 3}", f"k{rnd.randint(0, 6)}", brand[b]) for b in range(30) for _ in range(5)]
     ldf = spark.createDataFrame(left, "a int, k string, w double, brand int")
     rdf = spark.createDataFrame(right, "b int, part string, k string, brand int")
     got = pair_top_n(ldf, rdf, ["k"], weight="w", partition=["part"], distinct_on=["brand"], top_n=2,
