@@ -66,3 +66,13 @@ AGE_BATCH_SIZE = 500
 SIMILAR_BATCH_SIZE = 100
 COMPANION_OUTPUT_FILES = 48
 ATTRIBUTE_TOP_K = 5
+
+# Growth sheet headers (age months, weight kg, weight lb, height inch, height
+# cm) and the column names used here.
+GROWTH_SHEET_COLUMNS = {
+    "Tuổi (tháng)": "age_months",
+    "Cân nặng (kg)": "weight_kg",
+    "Cân nặng (lb)": "weight_lb",
+    "Chiều cao (inch)": "height_inch",
+    "Chiều cao (cm)": "height_cm",
+}

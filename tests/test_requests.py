@@ -42,3 +42,21 @@ def test_age_range_allow_lists(spark):
     labels = spark.createDataFrame(rows, "product_id int, label string, category_code string, propertyid string")
     out = ages.age_ranges(labels, categories=[114, 112], properties=["age_range", "age_usp"])
     assert [r.product_id for r in out.collect()] == [1]
+
+
+def test_growth_sheet_reader(spark):
+    import os
+    import tempfile
+
+    from cartwise.operators.impute import attach_growth
+    from cartwise.sources.sheets import read_growth_sheet
+    d = tempfile.mkdtemp(prefix="cw-sheet-")
+    path = os.path.join(d, "growth.csv")
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write("Tuổi (tháng),Cân nặng (kg), Cân nặng (lb),Chiều cao (inch),Chiều cao (cm)\n")
+        fh.write("0,3.3,7.3,19.6,49.9\n12,9.6,21.2,29.8,75.7\n24,12.2,26.9,34.2,87.1\n")
+    sheet = read_growth_sheet(spark, path)
+    assert sheet.columns == ["age_months", "weight_kg", "weight_lb", "height_inch", "height_cm"]
+    cust = spark.createDataFrame([(1, 6.0), (2, 30.0)], "customer_id int, expected_age_last double")
+    got = {r.customer_id: r.weight_kg for r in attach_growth(cust, sheet, cols=("weight_kg",)).collect()}
+    assert got == {1: 6.45, 2: 12.2}
