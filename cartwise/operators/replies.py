@@ -97,26 +97,36 @@ def parse_name_replies(replies: DataFrame, key: str = "request_id", text: str =
 
 
 # -- J15 fuzzy join ------------------------------------------------------------------------
-def lcs_length(a: str, b: str) -> int:
-    """Length of the longest common subsequence (bit-parallel, one big-int
-    step per character of ``b``)."""
-    if not a or not b:
-        return 0
-    masks: dict[str, int] = {}
-    for i, ch in enumerate(a):
-        masks[ch] = masks.get(ch, 0) | (1 << i)
-    full = (1 << len(a)) - 1
-    v = full
-    for ch in b:
-        u = v & masks.get(ch, 0)
-        v = ((v + u) | (v - u)) & full
-    return len(a) - bin(v).count("1")
+def _make_lcs():
+    # Built inside a closure so that cloudpickle ships the code to the
+    # Python workers by value: executors need no installed package for the
+    # one Python UDF of the library.
+    def lcs_length(a: str, b: str) -> int:
+        """Length of the longest common subsequence (bit-parallel, one big-int
+        step per character of ``b``)."""
+        if not a or not b:
+            return 0
+        masks: dict = {}
+        for i, ch in enumerate(a):
+            masks[ch] = masks.get(ch, 0) | (1 << i)
+        full = (1 << len(a)) - 1
+        v = full
+        for ch in b:
+            u = v & masks.get(ch, 0)
+            v = ((v + u) | (v - u)) & full
+        return len(a) - bin(v).count("1")
+    return lcs_length
+
+
+lcs_length = _make_lcs()
 
 
 def _lcs_udf():
+    lcs_fn = lcs_length
+
     @F.pandas_udf("int")
     def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([lcs_length(x, y) for x, y in zip(a, b)], dtype="int32")
+        return pd.Series([lcs_fn(x, y) for x, y in zip(a, b)], dtype="int32")
     return lcs
 
 
