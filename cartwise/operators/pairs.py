@@ -90,10 +90,14 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     rk = rk.join(hot, ks, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
     if materialize:
         # spread by item before the checkpoint: the candidate joins fan out
-        # from these rows and must not inherit one coalesced partition
+        # from these rows and must not inherit one coalesced partition; one
+        # partition per core keeps every core busy without small files
         spark = left.sparkSession
         ensure_checkpoint_dir(spark)
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        try:
+            n = spark.sparkContext.defaultParallelism
+        except Exception:  # Spark Connect
+            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
         lk = lk.repartition(n, a).checkpoint(eager=True)
         rk = rk.repartition(n, b).checkpoint(eager=True)
 
