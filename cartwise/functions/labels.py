@@ -101,3 +101,34 @@ def is_strict_milk_label(label) -> Column:
     t = _c(label)
     return ((t == L.STRICT_NEWBORN) | t.rlike(rf"^Từ (\d+) {L.UNIT_YEAR}")
             | t.rlike(rf"^(\d+) - (\d+) {UNIT}"))
+
+
+KG = r"\s*kg"
+
+
+def weight_range(label) -> Column:
+    """Weight label -> struct(min_kg, max_kg) for the optional second
+    interval of the age candidates (R6).  Same rule shapes as the age labels:
+    "dưới x kg" -> (0, x); "từ x (kg) đến y kg"; "trên/từ x kg" -> (x, NULL);
+    "x - y kg"; "x kg" -> (x, x).  Comma or dot decimals; else (NULL, NULL).
+    """
+    t = F.lower(strip(_c(label)))
+    under = rf"^dưới\s+{NUM}{KG}"
+    from_to = rf"^từ\s+{NUM}(?:{KG})?\s+đến\s+{NUM}{KG}"
+    above = rf"^(?:từ|trên)\s+{NUM}{KG}"
+    dash = rf"^{NUM}(?:{KG})?\s*-\s*{NUM}{KG}"
+    single = rf"^{NUM}{KG}"
+    null = F.lit(None).cast("double")
+    lo = (F.when(t.rlike(under), F.lit(0.0))
+          .when(t.rlike(from_to), _num(t, from_to, 1))
+          .when(t.rlike(above), _num(t, above, 1))
+          .when(t.rlike(dash), _num(t, dash, 1))
+          .when(t.rlike(single), _num(t, single, 1))
+          .otherwise(null))
+    hi = (F.when(t.rlike(under), _num(t, under, 1))
+          .when(t.rlike(from_to), _num(t, from_to, 2))
+          .when(t.rlike(above), null)
+          .when(t.rlike(dash), _num(t, dash, 2))
+          .when(t.rlike(single), _num(t, single, 1))
+          .otherwise(null))
+    return F.struct(lo.alias("min_kg"), hi.alias("max_kg"))

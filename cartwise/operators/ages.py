@@ -15,7 +15,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.labels import age_range, size_like
+from ..functions.labels import age_range, size_like, weight_range
 from ..sources import literals as L
 from .keys import first_per_key, round_robin, top_k_per_key
 
@@ -54,13 +54,25 @@ def age_ranges(labels: DataFrame, label_col: str = "label", key: str = "product_
     return rows.select(key, label_col).join(lr, label_col, "left")
 
 
+def weight_ranges(labels: DataFrame, label_col: str = "label", key: str = "product_id") -> DataFrame:
+    """Product -> [min, max] kg from weight labels; open end stays open."""
+    r = weight_range(F.col(label_col))
+    out = labels.select(key, r["min_kg"].alias("min_kg"), r["max_kg"].alias("max_kg"))
+    return out.filter(F.col("min_kg").isNotNull())
+
+
 def age_candidates(customers: DataFrame, ranges: DataFrame, k: int = L.AGE_POOL_K,
-                   age_col: str = "expected_age_last", include_unparsed: bool = True) -> DataFrame:
+                   age_col: str = "expected_age_last", include_unparsed: bool = True,
+                   weights: DataFrame | None = None, weight_col: str = "weight_kg") -> DataFrame:
     """The best ``k`` products per customer age (re-aimed choice).
 
     A product matches when ``min <= age <= max`` (narrowest range if it has
-    several).  Order: parsed first, narrower range, closer to the middle,
-    smaller product id.  Returns (customer_id, age, product_id, cand_rank).
+    several).  With ``weights`` (product_id, min_kg, max_kg), a product that
+    has a weight range must also contain the customer's weight (open end
+    allowed); products without one are not restricted.  Candidates are
+    computed per distinct (age, weight).  Order: parsed first, narrower
+    range, closer to the middle, smaller product id.
+    Returns (customer_id, age, product_id, cand_rank).
     """
     r = ranges.filter(F.col("min_age_months").isNotNull() & F.col("max_age_months").isNotNull())
     if not include_unparsed:
@@ -70,17 +82,27 @@ def age_candidates(customers: DataFrame, ranges: DataFrame, k: int = L.AGE_POOL_
                       [F.col("parsed").desc(), F.col("_width").asc(), F.col("min_age_months").asc()])
     lo, hi = F.floor("min_age_months"), F.floor("max_age_months")
     r = r.filter(lo <= hi).withColumn("_bucket", F.explode(F.sequence(lo, hi)))
-    ages = (customers.select(F.col(age_col).alias("age")).filter(F.col("age").isNotNull()).distinct()
-            .withColumn("_bucket", F.floor("age")))
+    wt = F.col(weight_col) if weights is not None else F.lit(None).cast("double")
+    ages = (customers.select(F.col(age_col).alias("age"), wt.alias("_wt")).filter(F.col("age").isNotNull())
+            .distinct().withColumn("_bucket", F.floor("age")))
     m = ages.join(r, "_bucket").filter(
         (F.col("age") >= F.col("min_age_months")) & (F.col("age") <= F.col("max_age_months")))
+    if weights is not None:
+        w = first_per_key(weights.select("product_id", "min_kg", "max_kg"), "product_id",
+                          [(F.col("max_kg") - F.col("min_kg")).asc_nulls_last(), F.col("min_kg").asc()])
+        m = m.join(w, "product_id", "left").filter(
+            F.col("min_kg").isNull()
+            | ((F.col("_wt") >= F.col("min_kg")) & (F.col("max_kg").isNull() | (F.col("_wt") <= F.col("max_kg")))))
     mid = (F.col("min_age_months") + F.col("max_age_months")) / 2
-    best = top_k_per_key(m, "age", [F.col("parsed").desc(), F.col("_width").asc(),
-                                    F.abs(F.col("age") - mid).asc(), F.col("product_id").asc()],
+    key = F.struct(F.col("age"), F.col("_wt"))
+    best = top_k_per_key(m.withColumn("_key", key), "_key",
+                         [F.col("parsed").desc(), F.col("_width").asc(),
+                          F.abs(F.col("age") - mid).asc(), F.col("product_id").asc()],
                          k, rank_col="cand_rank")
-    best = best.select("age", "product_id", "cand_rank")
-    return (customers.select("customer_id", F.col(age_col).alias("age"))
-            .join(best, "age").select("customer_id", "age", "product_id", "cand_rank"))
+    best = best.select("age", "_wt", "product_id", "cand_rank")
+    cust = customers.select("customer_id", F.col(age_col).alias("age"), wt.alias("_wt"))
+    return (cust.join(best, (cust.age == best.age) & cust._wt.eqNullSafe(best._wt))
+            .select("customer_id", cust.age, "product_id", "cand_rank"))
 
 
 def diversify(candidates: DataFrame, catalog: DataFrame, k: int = L.AGE_FINAL_K,

@@ -61,3 +61,32 @@ def test_strict_milk_label_unknown(spark):
     assert lenient.min_age_months is None
     with pytest.raises(Exception, match="unknown milk label"):
         df.select(strict_milk_label(F.col("label"), strict=True).alias("p")).collect()
+
+
+@pytest.mark.parametrize("text,lo,hi", [
+    ("Dưới 5 kg", 0.0, 5.0),
+    ("từ 3 đến 6,5 kg", 3.0, 6.5),
+    ("Trên 9 kg", 9.0, None),
+    ("4 - 8kg", 4.0, 8.0),
+    ("11 kg", 11.0, 11.0),
+    ("6 tháng", None, None),
+])
+def test_weight_labels(spark, text, lo, hi):
+    from cartwise.functions.labels import weight_range
+    df = spark.createDataFrame([(text,)], "label string")
+    r = df.select(weight_range(F.col("label")).alias("r")).first().r
+    assert (r.min_kg, r.max_kg) == (lo, hi)
+
+
+def test_age_candidates_with_weight_interval(spark):
+    from cartwise.operators.ages import age_candidates, weight_ranges
+    ranges = spark.createDataFrame([(1, True, 0.0, 24.0), (2, True, 0.0, 24.0), (3, True, 0.0, 24.0)],
+                                   "product_id long, parsed boolean, min_age_months double, max_age_months double")
+    wl = spark.createDataFrame([(1, "dưới 8 kg"), (2, "trên 10 kg")], "product_id long, label string")
+    cust = spark.createDataFrame([(10, 12.0, 9.5), (11, 12.0, 7.0), (12, 20.0, 11.0)],
+                                 "customer_id long, expected_age_last double, weight_kg double")
+    got = age_candidates(cust, ranges, weights=weight_ranges(wl)).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r.customer_id, set()).add(r.product_id)
+    assert by == {10: {3}, 11: {1, 3}, 12: {2, 3}}
