@@ -31,15 +31,18 @@ def companion_job(properties: DataFrame, mapping: DataFrame, model_map: DataFram
 
 
 def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: DataFrame, out: str,
-            no_match_out: str | None = None, batch_size: int | None = None) -> None:
+            no_match_out: str | None = None, batch_size: int | None = None,
+            weight_labels: DataFrame | None = None) -> None:
     """Impute ages, attach growth values, match age ranges, diversify.
 
     Customers without any product go to ``no_match_out`` (S9).  With
     ``batch_size`` the result is written as numbered customer batches (S7).
+    ``weight_labels`` (product_id, label) adds the weight interval (R6).
     """
     # customers feed the distinct ages, the final join and the no-match table
     cust = sinks.cut_lineage(impute.attach_growth(impute.impute_by_group(persons), growth), "age_customers")
-    picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels)), catalog)
+    weights = ages.weight_ranges(weight_labels) if weight_labels is not None else None
+    picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels), weights=weights), catalog)
     picks = picks.join(catalog.select("product_id", "product_name", "category_name"), "product_id", "left")
     if batch_size:
         sinks.write_batches(picks, out, ["customer_id", "pick"], batch_size)
