@@ -451,3 +451,16 @@ def fuzzy_names_indel(spark, sf_dir):
     best = rp.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")), metric="indel")
     return q.join(best, "qid").select(F.col("qid").alias("product_id"), F.col("query").alias("query_name"),
                                       F.col("name").alias("matched_name"), "score")
+
+
+@query
+def request_similar(spark, sf_dir):
+    """One similarity request per product: its profile and its candidates' profiles."""
+    props = _active(Fixtures(spark, sf_dir))
+    return rp.similarity_requests(sm.product_profiles(props), sm.similar_products(props))
+
+
+@query
+def request_catalog(spark, sf_dir):
+    """The sorted catalog name list as its own table."""
+    return rp.catalog_lines(Fixtures(spark, sf_dir).catalog())

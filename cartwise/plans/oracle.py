@@ -629,3 +629,44 @@ ORACLE["customer_range"] = with_fx("""
            CAST(row_number() OVER (ORDER BY customer_id) - 1 AS BIGINT) AS row_no
     FROM fx_person
 """, "fx_person")
+
+PROFILES = """
+    pp AS (
+        SELECT DISTINCT trim(product_code) AS product_code, trim(product_name) AS product_name, property_id,
+               trim(property_name) AS property_name, trim(value_id) AS value, category_id, brand_id
+        FROM fx_properties WHERE status_id IN (4, 5)),
+    pr_ AS (SELECT *, row_number() OVER (PARTITION BY product_code ORDER BY property_id, property_name, value)
+                 AS pos FROM pp),
+    pg AS (SELECT product_code, product_name, category_id, brand_id,
+                  string_agg(property_name || ': ' || value, '; ' ORDER BY pos) AS pairs
+           FROM pr_ WHERE pos <= 20 GROUP BY product_code, product_name, category_id, brand_id),
+    prof AS (SELECT product_code,
+                    product_name || '@@' || product_code || ' | ' || pairs || ' | Category: '
+                    || coalesce(CAST(category_id AS VARCHAR), '') || ' | Brand: '
+                    || coalesce(CAST(brand_id AS VARCHAR), '') AS text_for_llm
+             FROM pg)"""
+
+SIMILAR_TOP = """
+    sp AS (
+        SELECT DISTINCT trim(product_code) AS code, category_id, property_id, value_id AS value
+        FROM fx_properties WHERE status_id IN (4, 5) AND value_id IS NOT NULL AND trim(value_id) <> ''
+          AND value_id <> 'Đang cập nhật'),
+    spr AS (SELECT a.code AS a, b.code AS b, count(*) AS shared
+            FROM sp a JOIN sp b ON a.category_id = b.category_id AND a.property_id = b.property_id
+                               AND a.value = b.value AND a.code <> b.code
+            GROUP BY a.code, b.code),
+    st AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY shared DESC, b) AS alike_rank
+           FROM spr QUALIFY alike_rank <= 10)"""
+
+ORACLE["request_similar"] = with_fx(f"""
+    WITH {PROFILES}, {SIMILAR_TOP}
+    SELECT st.a AS product_code, t.text_for_llm AS target_text,
+           string_agg(c.text_for_llm, chr(10) ORDER BY st.alike_rank) AS candidates
+    FROM st JOIN prof c ON c.product_code = st.b JOIN prof t ON t.product_code = st.a
+    GROUP BY st.a, t.text_for_llm
+""", "fx_properties")
+
+ORACLE["request_catalog"] = with_fx("""
+    SELECT DISTINCT product_name AS name, '- ' || product_name AS line FROM fx_catalog
+    WHERE product_name IS NOT NULL
+""", "fx_catalog")
