@@ -464,3 +464,25 @@ def request_similar(spark, sf_dir):
 def request_catalog(spark, sf_dir):
     """The sorted catalog name list as its own table."""
     return rp.catalog_lines(Fixtures(spark, sf_dir).catalog())
+
+
+# -- S9 quarantine tables ---------------------------------------------------------------------------
+@query
+def off_ladder(spark, sf_dir):
+    """Products whose size or milk label is not on the ladder."""
+    fx = Fixtures(spark, sf_dir)
+    return up.off_ladder(fx.size_labels(), _milk(fx))
+
+
+@query
+def similar_errors(spark, sf_dir):
+    """Active products without any similar product."""
+    props = _active(Fixtures(spark, sf_dir))
+    return sm.similar_errors(props, sm.similar_products(props))
+
+
+@query
+def age_no_match(spark, sf_dir):
+    """Customers without any age candidate."""
+    fx = Fixtures(spark, sf_dir)
+    return ag.unmatched(_imputed(fx).select("customer_id"), _age_candidates(fx))

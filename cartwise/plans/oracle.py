@@ -670,3 +670,22 @@ ORACLE["request_catalog"] = with_fx("""
     SELECT DISTINCT product_name AS name, '- ' || product_name AS line FROM fx_catalog
     WHERE product_name IS NOT NULL
 """, "fx_catalog")
+
+# -- S9 ------------------------------------------------------------------------------------------
+ORACLE["off_ladder"] = with_fx("""
+    SELECT product_id, size_label AS label, '36' AS category_code FROM fx_size_labels
+    WHERE size_label NOT IN ('NB', 'XS', 'S', 'M', 'L', 'XL', 'XXL', 'XXXL')
+""", "fx_size_labels")
+
+ORACLE["similar_errors"] = with_fx(f"""
+    WITH {SIMILAR_TOP},
+    t AS (SELECT DISTINCT trim(product_code) AS productcode, product_name AS productname
+          FROM fx_properties WHERE status_id IN (4, 5))
+    SELECT productcode, productname, 'no product shares a property value' AS error FROM t
+    WHERE productcode NOT IN (SELECT a FROM spr)
+""", "fx_properties")
+
+ORACLE["age_no_match"] = with_fx(f"""
+    WITH {CANDIDATES}
+    SELECT customer_id FROM imp WHERE customer_id NOT IN (SELECT customer_id FROM cand)
+""", "fx_person", "fx_product_label", "fx_age_labels")
