@@ -169,7 +169,9 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
 
     cands = cold.unionByName(sub_cands).unionByName(sig_cands)
     best = cands.groupBy(a, b, *part).agg(F.max(F.struct("score", "shared")).alias("_m"))
-    best = best.select(a, b, *part, F.col("_m.score").alias("score"),
+    # scores are sums of (rounded) weights: 9 digits make equal sums equal
+    # whatever the summation order
+    best = best.select(a, b, *part, F.round(F.col("_m.score"), 9).alias("score"),
                        F.col("_m.shared").cast("bigint").alias("shared"))
     order = [F.col("score").desc(), F.col("shared").desc(), F.col(b).asc()]
     if not tie_by_shared:

@@ -486,3 +486,11 @@ def age_no_match(spark, sf_dir):
     """Customers without any age candidate."""
     fx = Fixtures(spark, sf_dir)
     return ag.unmatched(_imputed(fx).select("customer_id"), _age_candidates(fx))
+
+
+@query
+def similar_weighted(spark, sf_dir):
+    """R11 with R9 attribute weights: the similar job's scoring."""
+    props = _active(Fixtures(spark, sf_dir))
+    pairs = sm.similar_products(props, weights=sm.attribute_importance(props))
+    return sm.similar_with_names(pairs, props)

@@ -689,3 +689,49 @@ ORACLE["age_no_match"] = with_fx(f"""
     WITH {CANDIDATES}
     SELECT customer_id FROM imp WHERE customer_id NOT IN (SELECT customer_id FROM cand)
 """, "fx_person", "fx_product_label", "fx_age_labels")
+
+ATTR_WEIGHTS = ACTIVE + f""",
+    ncat AS (SELECT category_id, count(DISTINCT code) AS n FROM act GROUP BY category_id),
+    vals AS (SELECT a.* FROM act a WHERE {REAL} AND EXISTS (
+                 SELECT 1 FROM attrs t WHERE t.category_id = a.category_id AND t.property_id = a.property_id
+                   AND t.property_name = a.property_name)),
+    pv AS (SELECT category_id, property_id, property_name, value, count(DISTINCT code) AS c
+           FROM vals GROUP BY category_id, property_id, property_name, value),
+    pa AS (SELECT category_id, property_id, property_name, count(DISTINCT code) AS w
+           FROM vals GROUP BY category_id, property_id, property_name),
+    ent AS (SELECT pv.category_id, pv.property_id, pv.property_name,
+                   -sum((pv.c / pa.w) * ln(pv.c / pa.w)) AS h, any_value(pa.w) AS w
+            FROM pv JOIN pa ON pv.category_id = pa.category_id AND pv.property_id = pa.property_id
+                           AND pv.property_name = pa.property_name
+            GROUP BY pv.category_id, pv.property_id, pv.property_name),
+    sc AS (SELECT t.category_id, t.property_id, t.property_name,
+                  round(coalesce(e.w, 0) / n.n * coalesce(e.h, 0.0) / ln(greatest(2, n.n)), 9) AS weight
+           FROM attrs t LEFT JOIN ent e ON t.category_id = e.category_id AND t.property_id = e.property_id
+                                       AND t.property_name = e.property_name
+           JOIN ncat n ON t.category_id = n.category_id),
+    aw AS (SELECT category_id, property_id,
+                  CASE WHEN sum(weight) OVER (PARTITION BY category_id) > 0
+                       THEN round(weight / sum(weight) OVER (PARTITION BY category_id), 6) ELSE weight END AS weight,
+                  row_number() OVER (PARTITION BY category_id ORDER BY weight DESC, property_name) AS attr_rank
+           FROM sc QUALIFY attr_rank <= 5)"""
+
+ORACLE["similar_weighted"] = with_fx(f"""
+    WITH {ATTR_WEIGHTS},
+    p AS (
+        SELECT DISTINCT trim(product_code) AS code, category_id, property_id, value_id AS value
+        FROM fx_properties WHERE status_id IN (4, 5) AND value_id IS NOT NULL AND trim(value_id) <> ''
+          AND value_id <> 'Đang cập nhật'),
+    pr AS (SELECT a.code AS a, b.code AS b, round(sum(coalesce(aw.weight, 1.0)), 9) AS score, count(*) AS shared
+           FROM p a JOIN p b ON a.category_id = b.category_id AND a.property_id = b.property_id
+                            AND a.value = b.value AND a.code <> b.code
+           LEFT JOIN aw ON aw.category_id = a.category_id AND aw.property_id = a.property_id
+           GROUP BY a.code, b.code),
+    t AS (SELECT a, b, score, shared,
+                 CAST(row_number() OVER (PARTITION BY a ORDER BY score DESC, shared DESC, b) AS INTEGER) AS alike_rank
+          FROM pr QUALIFY alike_rank <= 10),
+    names AS (SELECT DISTINCT trim(product_code) AS code, product_name, category_id
+              FROM fx_properties WHERE status_id IN (4, 5))
+    SELECT t.a AS product_code, n1.product_name, n1.category_id, t.b AS alike_product_code,
+           n2.product_name AS alike_product_name, t.score, t.shared, t.alike_rank
+    FROM t JOIN names n1 ON n1.code = t.a JOIN names n2 ON n2.code = t.b
+""", "fx_properties")
