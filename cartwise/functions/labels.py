@@ -97,12 +97,6 @@ def strict_milk_label(label, strict: bool = True) -> Column:
     return F.struct(lo.alias("min_age_months"), width.alias("range_months"))
 
 
-def is_strict_milk_label(label) -> Column:
-    t = _c(label)
-    return ((t == L.STRICT_NEWBORN) | t.rlike(rf"^Từ (\d+) {L.UNIT_YEAR}")
-            | t.rlike(rf"^(\d+) - (\d+) {UNIT}"))
-
-
 KG = r"\s*kg"
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import _c, clean_item, first_non_empty, strip
+from .text import _c, clean_item, first_non_empty, strip, to_double
 
 _STRICT_JSON = {"allowSingleQuotes": "false"}
 
@@ -51,7 +51,7 @@ def attribute_list(reply) -> Column:
     items = F.transform(parsed, lambda s: F.struct(
         strip(F.coalesce(s["attribute"], F.lit(""))).alias("attribute"),
         strip(F.coalesce(s["reason"], F.lit(""))).alias("reason"),
-        strip(s["weight"]).try_cast("double").alias("weight")))
+        to_double(strip(s["weight"])).alias("weight")))
     return F.filter(items, lambda s: s["attribute"] != "")
 
 

@@ -32,11 +32,12 @@ def companion_job(properties: DataFrame, mapping: DataFrame, model_map: DataFram
 
 def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: DataFrame, out: str,
             no_match_out: str | None = None, batch_size: int | None = None,
-            weight_labels: DataFrame | None = None) -> None:
+            weight_labels: DataFrame | None = None, run_date: str | None = None) -> None:
     """Impute ages, attach growth values, match age ranges, diversify.
 
     Customers without any product go to ``no_match_out`` (S9).  With
-    ``batch_size`` the result is written as numbered customer batches (S7).
+    ``batch_size`` the result is written as numbered customer batches (S7);
+    otherwise with ``run_date`` it lands in that day's partition (S8).
     ``weight_labels`` (product_id, label) adds the weight interval (R6).
     """
     # customers feed the distinct ages, the final join and the no-match table
@@ -46,6 +47,8 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
     picks = picks.join(catalog.select("product_id", "product_name", "category_name"), "product_id", "left")
     if batch_size:
         sinks.write_batches(picks, out, ["customer_id", "pick"], batch_size)
+    elif run_date:
+        sinks.write_table(sinks.with_run_date(picks, run_date), out, partition_by=["run_date"])
     else:
         sinks.write_table(picks, out)
     if no_match_out:

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import format_run_date
 from ..operators.keys import batch_numbers
 from ..session import checkpoint_path
 
@@ -38,7 +39,7 @@ def write_files(df: DataFrame, path: str, n_files: int, keys: Sequence[str] = ()
 
 def with_run_date(df: DataFrame, run_date: str | None = None) -> DataFrame:
     """Add the ``run_date`` partition column, ``yyyyMMdd``."""
-    value = F.lit(run_date) if run_date else F.date_format(F.current_date(), "yyyyMMdd")
+    value = F.lit(run_date) if run_date else format_run_date()
     return df.withColumn("run_date", value)
 
 

@@ -66,3 +66,15 @@ def test_age_upsize_and_reply_jobs(spark):
     assert metrics.requests == fx.person().count()
     assert metrics.matched_requests + metrics.unmatched_requests == metrics.requests
     assert spark.read.parquet(f"{out}/names_none").count() == metrics.unmatched_requests
+
+
+def test_run_date_partitions(spark):
+    out = tempfile.mkdtemp(prefix="cw-day-")
+    df = spark.range(0, 10).withColumnRenamed("id", "customer_id")
+    sinks.write_table(sinks.with_run_date(df, "20261201"), out, partition_by=["run_date"])
+    sinks.write_table(sinks.with_run_date(df.limit(3), "20261202"), out, partition_by=["run_date"])
+    sinks.write_table(sinks.with_run_date(df.limit(4), "20261202"), out, partition_by=["run_date"])
+    counts = {r.run_date: r["count"] for r in spark.read.parquet(out).groupBy("run_date").count().collect()}
+    assert counts == {20261201: 10, 20261202: 4}  # dynamic overwrite: other days kept
+    today = sinks.with_run_date(df).select("run_date").first().run_date
+    assert len(today) == 8 and today.isdigit()
