@@ -63,7 +63,8 @@ def weight_ranges(labels: DataFrame, label_col: str = "label", key: str = "produ
 
 def age_candidates(customers: DataFrame, ranges: DataFrame, k: int = L.AGE_POOL_K,
                    age_col: str = "expected_age_last", include_unparsed: bool = True,
-                   weights: DataFrame | None = None, weight_col: str = "weight_kg") -> DataFrame:
+                   weights: DataFrame | None = None, weight_col: str = "weight_kg",
+                   attributes: DataFrame | None = None) -> DataFrame:
     """The best ``k`` products per customer age (re-aimed choice).
 
     A product matches when ``min <= age <= max`` (narrowest range if it has
@@ -72,7 +73,10 @@ def age_candidates(customers: DataFrame, ranges: DataFrame, k: int = L.AGE_POOL_
     allowed); products without one are not restricted.  Candidates are
     computed per distinct (age, weight).  Order: parsed first, narrower
     range, closer to the middle, smaller product id.
-    Returns (customer_id, age, product_id, cand_rank).
+    ``attributes`` (product_id, ...) are attached to the per-age table before
+    it fans out to customers, so no customer-level join on product is needed
+    (a product popular at a common age would be a hot key there).
+    Returns (customer_id, age, product_id, cand_rank[, attributes]).
     """
     r = ranges.filter(F.col("min_age_months").isNotNull() & F.col("max_age_months").isNotNull())
     if not include_unparsed:
@@ -100,20 +104,27 @@ def age_candidates(customers: DataFrame, ranges: DataFrame, k: int = L.AGE_POOL_
                           F.abs(F.col("age") - mid).asc(), F.col("product_id").asc()],
                          k, rank_col="cand_rank")
     best = best.select("age", "_wt", "product_id", "cand_rank")
+    extra = []
+    if attributes is not None:
+        best = best.join(attributes, "product_id", "left")
+        extra = [c for c in attributes.columns if c != "product_id"]
     cust = customers.select("customer_id", F.col(age_col).alias("age"), wt.alias("_wt"))
     return (cust.join(best, (cust.age == best.age) & cust._wt.eqNullSafe(best._wt))
-            .select("customer_id", cust.age, "product_id", "cand_rank"))
+            .select("customer_id", cust.age, "product_id", "cand_rank", *extra))
 
 
-def diversify(candidates: DataFrame, catalog: DataFrame, k: int = L.AGE_FINAL_K,
+def diversify(candidates: DataFrame, catalog: DataFrame | None = None, k: int = L.AGE_FINAL_K,
               max_per_item: int = L.MAX_PER_BASE_ITEM, pos_col: str = "cand_rank",
               bucket: str = "category_id") -> DataFrame:
     """At most ``max_per_item`` variants per base item, then one pick per
     category in turn (ascending category; NULL category dropped, T17) until
-    ``k`` picks.  A missing base item falls back to the product id."""
-    cat = catalog.select("product_id", bucket, "item_base_id")
-    ext = candidates.join(cat, "product_id", "left").withColumn(
-        "item_base_id", F.coalesce("item_base_id", "product_id"))
+    ``k`` picks.  A missing base item falls back to the product id.
+    Without ``catalog`` the candidates already carry the bucket and base item
+    (see ``age_candidates(attributes=...)``)."""
+    ext = candidates
+    if catalog is not None:
+        ext = ext.join(catalog.select("product_id", bucket, "item_base_id"), "product_id", "left")
+    ext = ext.withColumn("item_base_id", F.coalesce("item_base_id", "product_id"))
     ext = top_k_per_key(ext, ["customer_id", "item_base_id"], [F.col(pos_col).asc()], max_per_item)
     out = round_robin(ext, "customer_id", bucket, [F.col(pos_col).asc()], k, name="pick")
     return out.select("customer_id", "product_id", bucket, "item_base_id", pos_col, "pick")

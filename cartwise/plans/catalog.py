@@ -189,7 +189,9 @@ def _catalog_ids(fx: Fixtures) -> DataFrame:
 
 @shared
 def _diversified(fx: Fixtures) -> DataFrame:
-    return ag.diversify(_age_candidates(fx), _catalog_ids(fx))
+    attrs = _catalog_ids(fx).select("product_id", "category_id", "item_base_id")
+    cands = ag.age_candidates(_imputed(fx), _age_ranges(fx), attributes=attrs)
+    return ag.diversify(cands)
 
 
 @query

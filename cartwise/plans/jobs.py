@@ -43,7 +43,8 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
     # customers feed the distinct ages, the final join and the no-match table
     cust = sinks.cut_lineage(impute.attach_growth(impute.impute_by_group(persons), growth), "age_customers")
     weights = ages.weight_ranges(weight_labels) if weight_labels is not None else None
-    picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels), weights=weights), catalog)
+    attrs = catalog.select("product_id", "category_id", "item_base_id")
+    picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels), weights=weights, attributes=attrs))
     picks = picks.join(catalog.select("product_id", "product_name", "category_name"), "product_id", "left")
     if batch_size:
         sinks.write_batches(picks, out, ["customer_id", "pick"], batch_size)
