@@ -126,3 +126,10 @@ def test_brand_only_ladder_crosses_category(spark):
     assert [(r.product_id, r.category_code, r.ranking) for r in brand_only] == [(2, "99", 3)]
     default = upsize.upsize(cycle, catalog, ladder).filter("type = 'rcm'").collect()
     assert [(r.product_id, r.category_code, r.ranking) for r in default] == [(3, "36", 5)]
+
+
+def test_row_range_bounds(spark):
+    df = spark.range(0, 1000, 1, 6).select((F.col("id") * 7 % 1000).alias("k")).repartition(4)
+    out = keys.row_range(df, ["k"], start=100, end=249).collect()
+    assert sorted(r.k for r in out) == list(range(100, 250))
+    assert sorted(r.row_no for r in out) == list(range(100, 250))
