@@ -5,9 +5,13 @@ A-Z lower-cased).  Two documents link at Jaccard >= 75 / 100; the result is
 each document's connected component.
 
 1. Sets.  Documents with equal sets are one class; the smallest id stands for it.
-2. Blocks.  Shingles are ordered by hash; linked sets must share one of their
-   first n - ceil(0.75 n) + 1 shingles.  Shingles held by one class only drop out,
-   and shingles held by the same classes are one block.
+2. Blocks.  Shingles are ordered by hash; of their first n - ceil(0.75 n) + 1 + k
+   shingles, linked sets share at least k + 1 (k = n // 20).  Shingles held by
+   one class only drop out.  A class with at most ceil(0.75 n) // 20 frequent shingles
+   (held by more than ``hot`` classes) leaves their blocks: each of its links
+   still shares another one.  Boilerplate thus makes no large blocks; they only hold
+   sets that consist of frequent shingles.  Shingles held by the same classes
+   are one block.
 3. Trees.  In a block, every class is a point: its shingles are hashed into
    groups, the coordinates are the group counts.  The overlap of two sets
    is at most the sum of coordinate minima, and that of a point with a box of
@@ -36,7 +40,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import top_k_per_key
@@ -45,7 +49,7 @@ from .wordhash import WordHasher, mix
 
 SHINGLE, PERCENT = 5, 75
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-LEAF, COARSE = 32, 16
+LEAF, COARSE, SPARE = 32, 64, 20
 
 
 def shingle_set(hasher: WordHasher, text) -> np.ndarray:
@@ -67,7 +71,7 @@ def linked(common: int, a: int, b: int) -> bool:
 
 def count_vector(s: np.ndarray) -> np.ndarray:
     """Group counts; the number of groups is a power of two near a quarter of the set's size."""
-    groups = 1 << int(np.clip(np.ceil(np.log2(max(len(s), 1) / 4 + 1)), 4, 14))
+    groups = 1 << int(np.clip(np.ceil(np.log2(max(len(s), 1) / 4 + 1)), 6, 14))
     return np.bincount((s & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
 
 
@@ -95,8 +99,8 @@ class Tree:
             lo, hi = lo[up], hi[np.append(up[1:], len(hi)) - 1]
             corner = np.maximum.reduceat(corner, up)
 
-    def near(self, i: int) -> np.ndarray:
-        """Points after ``i`` in packed order that the bounds let link with the point at place ``i``."""
+    def near(self, i: int, label: np.ndarray) -> np.ndarray:
+        """Points after ``i`` in packed order, of another label, that the bounds let link with the point at place ``i``."""
         p = self.order[i]
         n, c = self.sizes[p], self.coarse[p]
         nodes = np.arange(len(self.levels[-1][0]))
@@ -115,53 +119,71 @@ class Tree:
         at = (nodes[:, None] * LEAF + np.arange(LEAF)).ravel()
         at = at[(at > i) & (at < len(self.order))]
         q = self.order[at]
+        q = q[label[q] != label[p]]
         m = self.sizes[q]
         bound = np.minimum(self.coarse[q], c).sum(1)
         q = q[(m * PERCENT <= n * 100) & (bound * (100 + PERCENT) >= PERCENT * (n + m))]
-        v, out = self.vectors[p], []
-        for x in q.tolist():  # the finest bound both points have
-            w = self.vectors[x]
-            g = min(len(v), len(w))
-            if np.minimum(folded(v, g), folded(w, g)).sum() * (100 + PERCENT) >= PERCENT * (n + self.sizes[x]):
-                out.append(x)
-        return np.array(out, np.int64)
+        v = self.vectors[p]  # then the finest bound both points have
+        return np.array([x for x in q.tolist() if may_link(n, v, self.sizes[x], self.vectors[x])], np.int64)
 
 
 class Parts:
-    """Union-find over the points of a task."""
+    """Labels of the points of a task; joining two parts relabels the smaller one."""
 
     def __init__(self, n: int):
-        self.up = list(range(n))
-
-    def find(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = x = self.up[self.up[x]]
-        return x
+        self.label = np.arange(n)
+        self.members = [[i] for i in range(n)]
 
     def join(self, a: int, b: int) -> bool:
-        a, b = self.find(a), self.find(b)
+        a, b = int(self.label[a]), int(self.label[b])
         if a == b:
             return False
-        self.up[max(a, b)] = min(a, b)
+        if len(self.members[a]) < len(self.members[b]):
+            a, b = b, a
+        self.label[self.members[b]] = a
+        self.members[a] += self.members[b]
+        self.members[b] = []
         return True
 
 
 def groups_of(batches, key: str):
-    """Whole groups of rows that arrive sorted by ``key``, across batches."""
+    """Whole groups of rows that arrive sorted by ``key``, across batches: column name -> array."""
     held = None
     for pdf in batches:
-        pdf = pdf if held is None else pd.concat([held, pdf], ignore_index=True)
-        if not len(pdf):
+        cols = {c: pdf[c].to_numpy() for c in pdf.columns}
+        if held is not None:
+            cols = {c: np.concatenate([held[c], v]) for c, v in cols.items()}
+        k = cols[key]
+        if not len(k):
             continue
-        k = pdf[key].to_numpy()
         edge = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-        for a, b in zip(edge[:-1], edge[1:]):
-            yield pdf.iloc[a:b]
-        held = pdf.iloc[edge[-1]:]
-    if held is not None and len(held):
+        for a, b in zip(edge[:-1].tolist(), edge[1:].tolist()):
+            yield {c: v[a:b] for c, v in cols.items()}
+        held = {c: v[edge[-1]:] for c, v in cols.items()}
+    if held is not None:
         yield held
 
 
+def pair_frames(pairs, size: int = 50_000):
+    """Frames (a, b) of many pairs each."""
+    a, b = [], []
+    for x, y in pairs:
+        a.append(x)
+        b.append(y)
+        if len(a) >= size:
+            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+            a, b = [], []
+    yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+
+
+def may_link(n: int, v: np.ndarray, m: int, w: np.ndarray) -> bool:
+    """Whether sizes and summed coordinate minima let two sets link."""
+    if min(n, m) * 100 < PERCENT * max(n, m):
+        return False
+    g = min(len(v), len(w))
+    return int(np.minimum(folded(v, g), folded(w, g)).sum()) * (100 + PERCENT) >= PERCENT * (n + m)
+
+
 def sets_table(docs: DataFrame) -> DataFrame:
     """(doc_id, n, cls, prefix, vec) of every row; a task gives a class's prefix once."""
     def rows(batches):
@@ -174,7 +196,7 @@ def sets_table(docs: DataFrame) -> DataFrame:
                 cls = int(mix(mix(s + np.uint64(n)).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
                 if n and cls not in seen:
                     seen.add(cls)
-                    out.append((d, n, cls, s[:n - needed(n) + 1].view(np.int64), count_vector(s).astype("<u2").tobytes()))
+                    out.append((d, n, cls, s[:n - needed(n) + 1 + n // SPARE].view(np.int64), count_vector(s).astype("<u2").tobytes()))
                 else:
                     out.append((d, n, cls, None, None))
             yield pd.DataFrame(out, columns=["doc_id", "n", "cls", "prefix", "vec"]).astype({"doc_id": "Int64"})
@@ -202,50 +224,55 @@ def block_chains(members: DataFrame, chunk: int) -> DataFrame:
     split = chunk_pairs(members, "tok", "n_cls", "cls", chunk).withColumn("task", F.struct("tok", "part"))
     split = split.withColumn("key", F.concat_ws("/", "tok", "part")).drop("task", "tok")
 
-    def rows(batches):
+    def pairs(batches):
         for g in groups_of(batches, "key"):
-            cls, parts = g["cls"].to_numpy(), Parts(len(g))
-            tree = Tree(g["n"].to_numpy(), [np.frombuffer(v, "<u2").astype(np.int64) for v in g["vec"]])
-            a, b = [], []
-            for i in range(len(g)):
+            cls, n = g["cls"].tolist(), g["n"]
+            vec = [np.frombuffer(v, "<u2").astype(np.int64) for v in g["vec"]]
+            if len(cls) == 2:
+                if may_link(int(n[0]), vec[0], int(n[1]), vec[1]):
+                    yield cls
+                continue
+            tree, parts = Tree(n, vec), Parts(len(cls))
+            for i in range(len(cls)):
                 p = int(tree.order[i])
-                for q in tree.near(i).tolist():
+                for q in tree.near(i, parts.label).tolist():
                     if parts.join(p, q):
-                        a.append(cls[p])
-                        b.append(cls[q])
-            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+                        yield cls[p], cls[q]
+
+    def rows(batches):
+        yield from pair_frames(pairs(batches))
 
     return (split.select("key", "cls", "n", "vec").repartition("key").sortWithinPartitions("key", "cls")
             .mapInPandas(rows, "a long, b long"))
 
 
 def verified(keyed: DataFrame) -> DataFrame:
-    """(a, b, degree columns): links that join parts, from rows (key, cls, comp, grams) of whole groups."""
-    def rows(batches):
+    """(a, b): links that join parts, from rows (key, cls, comp, grams) of whole groups."""
+    def pairs(batches):
         for g in groups_of(batches, "key"):
-            cls, comp = g["cls"].to_numpy(), g["comp"].to_numpy()
+            cls, comp = g["cls"].tolist(), g["comp"].tolist()
             sets = [np.frombuffer(x, np.uint64) for x in g["grams"]]
-            sizes, parts = np.array([len(s) for s in sets]), Parts(len(g))
+            sizes, parts = np.array([len(s) for s in sets]), Parts(len(cls))
             places: dict[int, int] = {}
-            for i, c in enumerate(comp.tolist()):  # what is joined already
+            for i, c in enumerate(comp):  # what is joined already
                 parts.join(places.setdefault(c, i), i)
-            tree, a, b = Tree(sizes, [count_vector(s) for s in sets]), [], []
-            degree = np.zeros(len(g), np.int64)
-            for i in range(len(g)):
+            tree = Tree(sizes, [count_vector(s) for s in sets])
+            degree = np.zeros(len(cls), np.int64)
+            for i in range(len(cls)):
                 p = int(tree.order[i])
-                near = tree.near(i)
+                near = tree.near(i, parts.label)
                 for q in near[np.argsort(-degree[near], kind="stable")].tolist():  # likely centres first
-                    if parts.find(p) != parts.find(q):
-                        x, y = sets[p], sets[q]
-                        both = np.concatenate([x, y])
+                    if parts.label[p] != parts.label[q]:
+                        both = np.concatenate([sets[p], sets[q]])
                         both.sort()
-                        if linked(int((both[1:] == both[:-1]).sum()), len(x), len(y)):
+                        if linked(int((both[1:] == both[:-1]).sum()), sizes[p], sizes[q]):
                             parts.join(p, q)
-                            a.append(cls[p])
-                            b.append(cls[q])
                             degree[p] += 1
                             degree[q] += 1
-            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+                            yield cls[p], cls[q]
+
+    def rows(batches):
+        yield from pair_frames(pairs(batches))
 
     return (keyed.select("key", "cls", "comp", "grams").repartition("key").sortWithinPartitions("key", "cls")
             .mapInPandas(rows, "a long, b long"))
@@ -270,16 +297,23 @@ def with_parts(rows: DataFrame, links: DataFrame) -> DataFrame:
         "comp", F.coalesce("comp", "cls"))
 
 
-def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4) -> DataFrame:
+def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: int = 64) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     table = written(sets_table(docs), "sets")
     spark = docs.sparkSession
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     classes = written(table.filter("n > 0").groupBy("cls", "n").agg(
         F.min("doc_id").alias("rep"), F.max("vec").alias("vec")), "classes")
-    # blocks: one partitioning by shingle serves the counts and the members
+    # blocks: one shuffle by shingle, counted in place
     tokens = table.filter("prefix IS NOT NULL").select("cls", F.explode("prefix").alias("tok")).repartition(parallel, "tok")
-    held = tokens.groupBy("tok", "cls").agg(F.count(F.lit(1)).alias("_c")).drop("_c")
+    held = tokens.groupBy("tok", "cls").agg(F.count(F.lit(1)).alias("_c"))
+    held = held.select("tok", "cls", F.count(F.lit(1)).over(Window.partitionBy("tok")).alias("n_cls"))
+    held = written(held.filter("n_cls > 1"), "recurring")
+    frequent = held.filter(F.col("n_cls") > hot).select("tok", "cls")
+    heavy = (frequent.groupBy("cls").agg(F.count(F.lit(1)).alias("h")).join(classes.select("cls", "n"), "cls")
+             .filter(F.col("h") > F.floor(F.ceil(F.col("n") * PERCENT / 100) / SPARE)).select("cls"))
+    held = held.filter(F.col("n_cls") <= hot).select("tok", "cls").union(
+        frequent.join(heavy, "cls").select("tok", "cls"))
     lists = held.groupBy("tok").agg(F.count(F.lit(1)).alias("n_cls"), F.bit_xor(F.xxhash64("cls")).alias("x"),
                                     F.bit_xor(F.xxhash64("cls", F.lit(9))).alias("y")).filter("n_cls > 1")
     blocks = lists.groupBy("n_cls", "x", "y").agg(F.min("tok").alias("tok")).select("tok", "n_cls")

@@ -123,8 +123,15 @@ def minimax_cuts(prefix: DataFrame, total: int, largest: int, shards: int, bins:
             a, b = min(a, b), max(a, b)
             i = bisect.bisect_left(ends, a)
             j = min(bisect.bisect_left(ends, b), len(ends) - 1)
-            coarse = [x for x in range(i, j + 1) if firsts[x] != ends[x]]
-            windows += [(firsts[x] - 1, ends[x]) for x in coarse if (firsts[x] - 1, ends[x]) not in windows]
+            while i <= j and firsts[i] == ends[i]:
+                i += 1
+            while i <= j and firsts[j] == ends[j]:
+                j -= 1
+            if i <= j:
+                if windows and windows[-1][1] >= firsts[i] - 1:
+                    windows[-1] = (windows[-1][0], max(windows[-1][1], ends[j]))
+                else:
+                    windows.append((firsts[i] - 1, ends[j]))
         if not windows:
             break
     return balanced(sorted({*ends, *firsts}), total, shards, most)
