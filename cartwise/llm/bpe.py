@@ -19,10 +19,12 @@ gives an empty result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import heapq
 import json
 import re
 import unicodedata
 import uuid
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -52,13 +54,18 @@ def byte_letters() -> list[str]:
 class Vocabulary:
     """Ids, merge ranks and special tokens of a vocabulary file."""
 
+    LONG, NONE = 256, 1 << 62
+
     def __init__(self, spec: dict):
         model = spec["model"]
         if model["type"] != "BPE" or spec.get("decoder") or not model.get("end_of_word_suffix"):
             raise ValueError("the vocabulary must be BPE with a word-end suffix and without a decoder")
         self.suffix = model["end_of_word_suffix"]
         self.ids = model["vocab"]
-        self.ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        ranks = {tuple(m if isinstance(m, list) else m.split(" ")): i for i, m in enumerate(model["merges"])}
+        # (left id, right id) -> rank and merged id, packed
+        self.pairs = {(self.ids[a] << 32) | self.ids[b]: (r << 32) | self.ids[a + b] for (a, b), r in ranks.items()
+                      if a in self.ids and b in self.ids and a + b in self.ids}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.letters = byte_letters()
         self.tokens = [""] * (max([*self.ids.values(), *self.special.values()]) + 1)
@@ -72,24 +79,52 @@ class Vocabulary:
             return cls(json.load(f))
 
     def merge(self, word: str) -> list[int]:
-        """Exact merging of one word: the pair of lowest rank, leftmost first."""
-        parts = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
-        parts[-1] += self.suffix
-        while len(parts) > 1:
-            best = min(((self.ranks.get(p, 1 << 40), i) for i, p in enumerate(zip(parts, parts[1:]))))
-            if best[0] == 1 << 40:
+        """Exact merging of one word: always the pair of lowest rank, the leftmost of equal ones."""
+        letters = [self.letters[b] for b in word.encode("utf-8", "surrogatepass")]
+        letters[-1] += self.suffix
+        parts = [self.ids[p] for p in letters if p in self.ids]
+        if len(parts) > self.LONG:
+            return self.merge_long(parts)
+        pairs, none = self.pairs, self.NONE
+        ranks = [pairs.get((a << 32) | b, none) for a, b in zip(parts, parts[1:])]
+        while ranks:
+            best = min(ranks)
+            if best == none:
                 break
-            a, b = parts[best[1]], parts[best[1] + 1]
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and parts[i] == a and parts[i + 1] == b:
-                    out.append(a + b)
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts if p in self.ids]
+            i = ranks.index(best)
+            parts[i:i + 2] = [best & 0xFFFFFFFF]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = pairs.get((parts[i - 1] << 32) | parts[i], none)
+            if i < len(ranks):
+                ranks[i] = pairs.get((parts[i] << 32) | parts[i + 1], none)
+        return parts
+
+    def merge_long(self, parts: list[int]) -> list[int]:
+        """The same with a heap over a linked list: n log n for words of any length."""
+        after, before = [*range(1, len(parts)), -1], [-1, *range(len(parts) - 1)]
+        heap = []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j >= 0 and (r := self.pairs.get((parts[i] << 32) | parts[j])) is not None:
+                heapq.heappush(heap, (r >> 32, i, parts[i], parts[j], r & 0xFFFFFFFF))
+
+        for i in range(len(parts) - 1):
+            offer(i)
+        while heap:
+            _, i, a, b, new = heapq.heappop(heap)
+            j = after[i] if parts[i] == a else -1
+            if j < 0 or parts[j] != b:
+                continue  # one of the two has changed since
+            parts[i], parts[j] = new, -1
+            after[i] = after[j]
+            if after[j] >= 0:
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [p for p in parts if p >= 0]
 
 
 def normalised(text: str) -> str:
@@ -112,18 +147,17 @@ def words_of(chunk: str) -> list[str]:
 class Encoder:
     """Encodes batches of texts; remembers at most ``remember`` chunks."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None, remember: int = 200_000):
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None, remember: int = 500_000):
         self.vocabulary, self.lexicon, self.remember = vocabulary, lexicon, remember
         self.known: dict[str, bytes] = {}
 
     def learn(self, chunks) -> None:
         parts = {c: words_of(c) for c in chunks}
         words = list({w for ws in parts.values() for w in ws})
-        found = self.lexicon.lookup([w.encode("utf-8", "surrogatepass") for w in words]) if self.lexicon else [-1] * len(words)
+        found = self.lexicon.lookup([w.encode("utf-8", "surrogatepass") for w in words]).tolist() if self.lexicon else [-1] * len(words)
         ids = {}
         for w, r in zip(words, found):
-            got = self.lexicon.output(r) if r >= 0 else self.vocabulary.merge(w)
-            ids[w] = np.asarray(got, "<u4").tobytes()
+            ids[w] = self.lexicon.output(r) if r >= 0 else array("I", self.vocabulary.merge(w)).tobytes()
         for c, ws in parts.items():
             self.known[c] = b"".join([ids[w] for w in ws])
 
@@ -184,7 +218,7 @@ def frequent_words(docs: DataFrame, size: int, flush: int = 200_000) -> list[str
     return [bytes(w).decode("utf-8", "surrogatepass") for w in top]
 
 
-def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = 50_000) -> str:
+def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> str:
     """Compile the frequent words, store the file in the shared folder; its name for the workers."""
     spark = docs.sparkSession
     outputs = {w.encode("utf-8", "surrogatepass"): vocabulary.merge(w) for w in frequent_words(docs, size)}
@@ -202,7 +236,7 @@ def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = 50_000) -
 
 
 def encode_documents(docs: DataFrame, vocabulary_path: str, keep: list[str], decode: bool = False,
-                     size: int = 50_000) -> DataFrame:
+                     size: int = 100_000) -> DataFrame:
     """``keep``, n_tokens and ``ids`` (little-endian 32-bit words) of every row, with ``decode`` also the text of the ids."""
     with open(vocabulary_path, encoding="utf-8") as f:
         text = f.read()

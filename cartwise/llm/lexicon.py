@@ -131,5 +131,6 @@ class Lexicon:
             state[at] = self.targets[arc]
         return np.where(alive & (self.final[state] > 0), rank, -1)
 
-    def output(self, rank: int) -> np.ndarray:
-        return self.ids[self.offsets[rank]:self.offsets[rank + 1]]
+    def output(self, rank: int) -> bytes:
+        """The ids of a word as little-endian 32-bit words."""
+        return self.ids[self.offsets[rank]:self.offsets[rank + 1]].astype("<u4").tobytes()
