@@ -19,6 +19,7 @@ gives an empty result; columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -245,6 +246,8 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep: list[str], dec
 
     def rows(batches):
         coder = Encoder(Vocabulary(json.loads(spec.value)), Lexicon.open(SparkFiles.get(name)))
+        gc.freeze()  # the tables live as long as the task: no cycles to look for in them
+        gc.set_threshold(200_000, 50, 1000)
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
             for i, j in text_slices(texts):
