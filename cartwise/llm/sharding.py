@@ -37,12 +37,12 @@ from .common import full_text, written
 ROW_BYTES = 16
 
 
-def greedy(ends, firsts, total: int, shards: int, capacity: int, upper: bool) -> list[int] | None:
+def greedy(ends, firsts, total: int, shards: int, capacity: int, upper: bool, strict: bool = True) -> list[int] | None:
     """Cuts for ``capacity`` over binned prefix sums, or None if ``shards`` are too few.
 
     ``ends``: last group end per bin, ``firsts``: first one.  ``upper`` takes the
     searched position itself inside a bin (no cut can lie further), else
-    the bin's first end (a real cut).
+    the bin's first end (a real cut).  Not ``strict``: the first cuts, whatever is left.
     """
     cuts, at = [], 0
     while total - at > capacity:
@@ -52,7 +52,7 @@ def greedy(ends, firsts, total: int, shards: int, capacity: int, upper: bool) ->
         if j < len(ends) and firsts[j] <= reach:
             best = min(reach, ends[j]) if upper else firsts[j]
         if best <= at or len(cuts) + 1 >= shards:
-            return None
+            return None if strict else cuts
         at = best
         cuts.append(at)
     return cuts
@@ -114,13 +114,12 @@ def minimax_cuts(prefix: DataFrame, total: int, largest: int, shards: int, bins:
         if least == most or width == 1:
             break
         # cut k lies between its lowest place at the least and its highest at the largest capacity
-        lo = greedy(ends, firsts, total, shards, least, False) or []
-        hi = greedy(ends, firsts, total, shards, most, True) or []
-        windows, low = [], least
+        lo = greedy(ends, firsts, total, shards, least, False, strict=False)
+        hi = greedy(ends, firsts, total, shards, most, True, strict=False)
+        windows, low, before = [], least, span
         for k in range(shards - 1):
             a = lo[k] if k < len(lo) else total
             b = min(total, hi[k] if k < len(hi) else total)
-            a, b = min(a, b), max(a, b)
             i = bisect.bisect_left(ends, a)
             j = min(bisect.bisect_left(ends, b), len(ends) - 1)
             while i <= j and firsts[i] == ends[i]:
@@ -134,6 +133,8 @@ def minimax_cuts(prefix: DataFrame, total: int, largest: int, shards: int, bins:
                     windows.append((firsts[i] - 1, ends[j]))
         if not windows:
             break
+        if 2 * sum(b - a for a, b in windows) > before:  # always on the way to bins of one position
+            bins *= 2
     return balanced(sorted({*ends, *firsts}), total, shards, most)
 
 
