@@ -3,14 +3,6 @@
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    s = build_session("cartwise-tests", "local[*]", 8)
-    s.sparkContext.setLogLevel("ERROR")
-    yield s
-    s.stop()
-
-
 def prose(seed: int, n: int) -> str:
     return " ".join(f"w{(seed * 7919 + i * 104729) % 5003}" for i in range(n))
 
