@@ -38,19 +38,20 @@ def age_ranges(labels: DataFrame, label_col: str = "label", key: str = "product_
 
     Open end -> the largest parsed maximum over all labels (A9); unparsed ->
     [0, that maximum] and ``parsed = false`` (T10); size-like -> NULL range.
-    Optional allow-lists of categories and property ids (P9).
+    Optional allow-lists of categories and property ids (P9) apply after that
+    maximum, which is taken over all labels.
     """
     rows = labels
-    if categories is not None:
-        rows = rows.filter(F.col(category_col).cast("string").isin([str(c) for c in categories]))
-    if properties is not None:
-        rows = rows.filter(F.col(property_col).isin(list(properties)))
-    lr = label_ranges(rows, label_col)
+    lr = label_ranges(labels, label_col)
     top = F.max("max_age_months").over(Window.partitionBy())
     lr = lr.select(label_col,
                    F.col("min_age_months").isNotNull().alias("parsed"),
                    F.coalesce("min_age_months", F.lit(0.0)).alias("min_age_months"),
                    F.coalesce("max_age_months", top).alias("max_age_months"))
+    if categories is not None:
+        rows = rows.filter(F.col(category_col).cast("string").isin([str(c) for c in categories]))
+    if properties is not None:
+        rows = rows.filter(F.col(property_col).isin(list(properties)))
     return rows.select(key, label_col).join(lr, label_col, "left")
 
 

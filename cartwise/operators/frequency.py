@@ -63,11 +63,14 @@ def order_product_stats(lines: DataFrame) -> DataFrame:
          .agg(F.max("ordered_at").alias("ordered_at")))
     in_order = Window.partitionBy("customer_id", "order_id")
     in_order_cat = Window.partitionBy("customer_id", "order_id", "category_id")
-    d = (d.withColumn("_fo", (F.row_number().over(
-            in_order.orderBy(F.col("category_id").asc_nulls_first(), "product_id")) == 1).cast("int"))
-         .withColumn("_fc", (F.row_number().over(in_order_cat.orderBy("product_id")) == 1).cast("int")))
+    # a NULL order id is no order: its lines count for dates only
+    real = F.col("order_id").isNotNull()
+    d = (d.withColumn("_fo", (real & (F.row_number().over(
+            in_order.orderBy(F.col("category_id").asc_nulls_first(), "product_id")) == 1)).cast("int"))
+         .withColumn("_fc", (real & (F.row_number().over(in_order_cat.orderBy("product_id")) == 1)).cast("int"))
+         .withColumn("_real", real.cast("int")))
     p = d.groupBy("customer_id", "category_id", "product_id").agg(
-        F.count(F.lit(1)).alias("order_count"), F.max("ordered_at").alias("last_purchase_date"),
+        F.sum("_real").alias("order_count"), F.max("ordered_at").alias("last_purchase_date"),
         F.sum("_fc").alias("_fc"), F.sum("_fo").alias("_fo"))
     p = p.repartition("customer_id")
     per_cat = Window.partitionBy("customer_id", "category_id")
@@ -127,11 +130,11 @@ def frequency_profile(lines: DataFrame, excluded: DataFrame | None = None,
                       output_types: Iterable[int] | None = L.OUTPUT_TYPES) -> DataFrame:
     """Top product per (customer, category) with category statistics.
 
-    NULL categories keep their rows, but their in-category statistics stay
-    NULL, as the original equality joins on a NULL key give (T4).
+    NULL categories and NULL customers keep their rows, but their statistics
+    stay NULL, as the original equality joins on a NULL key give (T4).
     """
     top = _top_product(order_product_stats(filter_lines(lines, excluded, output_types)))
-    known = F.col("category_id").isNotNull()
+    known = F.col("category_id").isNotNull() & F.col("customer_id").isNotNull()
     out = top.select(
         "customer_id", "category_id", "product_id", "order_count",
         F.when(known, F.col("category_order_count")).alias("total_orders_in_category"),

@@ -138,7 +138,8 @@ def similar_products(properties: DataFrame, weights: DataFrame | None = None, to
     keys = (["category_id"] if same_category_only else []) + ["property_id", "value"]
     left = p
     if weights is not None:
-        w = weights.select("category_id", "property_id", F.col("weight").alias("_w"))
+        # one weight per property, whatever rows repeat it
+        w = weights.groupBy("category_id", "property_id").agg(F.max("weight").alias("_w"))
         left = left.join(w, ["category_id", "property_id"], "left")
         left = left.withColumn("_w", F.coalesce("_w", F.lit(1.0)))
     else:
@@ -147,7 +148,8 @@ def similar_products(properties: DataFrame, weights: DataFrame | None = None, to
     right = p.select(F.col("code").alias("b"), *keys, "brand_id")
     dis = ["brand_id"] if exclude_same_brand else []
     if not exclude_same_brand:
-        left, right = left.drop("brand_id"), right.drop("brand_id")
+        # a product listed under two brands still shares a value once
+        left, right = left.drop("brand_id").distinct(), right.drop("brand_id").distinct()
     return pair_top_n(left, right, keys, weight="_w", distinct_on=dis, top_n=top_n,
                       hot_threshold=hot_threshold)
 

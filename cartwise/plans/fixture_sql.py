@@ -90,7 +90,7 @@ FX = {
         SELECT c.c_custkey AS request_id, CAST(i.pos AS INTEGER) AS pos, {PNAME} AS product_name,
                p.p_partkey AS product_id
         FROM customer c CROSS JOIN (VALUES (0),(1),(2),(3),(4)) i(pos)
-        JOIN part p ON p.p_partkey = (c.c_custkey * 7 + i.pos) % 200
+        JOIN part p ON p.p_partkey = (c.c_custkey * 7 + i.pos) % (SELECT max(p_partkey) + 1 FROM part)
         WHERE c.c_custkey % 10 <> 0""",
     "fx_misspelt": """
         SELECT p_partkey AS product_id,

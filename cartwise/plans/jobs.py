@@ -47,7 +47,7 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
     picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels), weights=weights, attributes=attrs))
     picks = picks.join(catalog.select("product_id", "product_name", "category_name"), "product_id", "left")
     if batch_size:
-        sinks.write_batches(picks, out, ["customer_id", "pick"], batch_size)
+        sinks.write_batches(picks, out, ["customer_id"], batch_size)
     elif run_date:
         sinks.write_table(sinks.with_run_date(picks, run_date), out, partition_by=["run_date"])
     else:

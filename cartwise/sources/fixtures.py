@@ -257,7 +257,8 @@ class Fixtures:
         c = self.t.customer.select("c_custkey").filter(F.col("c_custkey") % 10 != 0)
         c = c.select("c_custkey", F.explode(F.sequence(F.lit(0), F.lit(4))).alias("pos"))
         p = self.t.part.select("p_partkey", "p_name")
-        j = c.join(p, p.p_partkey == (c.c_custkey * 7 + c.pos) % 200)
+        keys = (p.agg(F.max("p_partkey")).first()[0] or 0) + 1  # names come from the whole part table
+        j = c.join(p, p.p_partkey == (c.c_custkey * 7 + c.pos) % keys)
         return j.select(F.col("c_custkey").alias("request_id"),
                         F.col("pos").cast("int").alias("pos"),
                         product_name_of(F.col("p_name"), F.col("p_partkey")).alias("product_name"),
@@ -275,7 +276,7 @@ class Fixtures:
         rid = F.col("request_id")
         name = F.when(rid % 3 == 0, F.upper("product_name")).otherwise(F.col("product_name"))
         name = F.when((F.col("pos") == 4) & (rid % 7 == 0),
-                      F.concat(F.substring(name, 1, 3), F.substring(name, 5, 1 << 20))
+                      F.concat(F.substring(name, 1, 3), F.substring(name, F.lit(5), F.length(name)))
                       ).otherwise(name)
         it = it.select("request_id", "pos", name.alias("name"))
         g = it.groupBy("request_id").agg(
@@ -341,7 +342,7 @@ class Fixtures:
     def misspelt(self) -> DataFrame:
         p = self.t.part
         return p.select(F.col("p_partkey").alias("product_id"),
-                        F.concat(F.substring("p_name", 1, 3), F.substring("p_name", 5, 1 << 20), F.lit(" "),
+                        F.concat(F.substring("p_name", 1, 3), F.substring(F.col("p_name"), F.lit(5), F.length("p_name")), F.lit(" "),
                                  (F.col("p_partkey") % 100).cast("string")).alias("query_name"))
 
 
