@@ -225,18 +225,30 @@ def block_chains(members: DataFrame, chunk: int) -> DataFrame:
     split = split.withColumn("key", F.concat_ws("/", "tok", "part")).drop("task", "tok")
 
     def pairs(batches):
+        up: dict[int, int] = {}  # what this task has chained in earlier blocks
+
+        def find(c: int) -> int:
+            while up.get(c, c) != c:
+                up[c] = c = up.get(up[c], up[c])
+            return c
+
         for g in groups_of(batches, "key"):
             cls, n = g["cls"].tolist(), g["n"]
-            vec = [np.frombuffer(v, "<u2").astype(np.int64) for v in g["vec"]]
-            if len(cls) == 2:
-                if may_link(int(n[0]), vec[0], int(n[1]), vec[1]):
-                    yield cls
+            comp = [find(c) for c in cls]
+            if len(set(comp)) == 1:
                 continue
-            tree, parts = Tree(n, vec), Parts(len(cls))
+            vec = [np.frombuffer(v, "<u2").astype(np.int64) for v in g["vec"]]
+            parts, places = Parts(len(cls)), {}
+            for i, c in enumerate(comp):
+                parts.join(places.setdefault(c, i), i)
+            tree = Tree(n, vec) if len(cls) > 2 else None
             for i in range(len(cls)):
-                p = int(tree.order[i])
-                for q in tree.near(i, parts.label).tolist():
+                p = int(tree.order[i]) if tree else i
+                near = tree.near(i, parts.label).tolist() if tree else [
+                    q for q in range(i + 1, 2) if may_link(int(n[p]), vec[p], int(n[q]), vec[q])]
+                for q in near:
                     if parts.join(p, q):
+                        up[find(cls[q])] = find(cls[p])
                         yield cls[p], cls[q]
 
     def rows(batches):
