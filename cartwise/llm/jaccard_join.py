@@ -49,7 +49,7 @@ from .wordhash import WordHasher, mix
 
 SHINGLE, PERCENT = 5, 75
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-LEAF, COARSE, SPARE = 32, 64, 20
+LEAF, COARSE, SPARE, STEP = 32, 64, 20, 4096
 
 
 def shingle_set(hasher: WordHasher, text) -> np.ndarray:
@@ -57,7 +57,10 @@ def shingle_set(hasher: WordHasher, text) -> np.ndarray:
     if not text:
         return np.zeros(0, np.uint64)
     h = hasher.word_hashes(text.encode("utf-8", "surrogatepass").translate(LOWER))
-    return np.unique(hasher.runs(h, min(SHINGLE, len(h)))) if len(h) else np.zeros(0, np.uint64)
+    if not len(h):
+        return h
+    s = np.sort(hasher.runs(h, min(SHINGLE, len(h))))
+    return s[np.append(True, s[1:] != s[:-1])]
 
 
 def needed(n):
@@ -79,12 +82,21 @@ def folded(v: np.ndarray, groups: int) -> np.ndarray:
     return v.reshape(-1, groups).sum(0) if len(v) > groups else v
 
 
+def coarse_counts(vectors: list[np.ndarray]) -> np.ndarray:
+    """The vectors folded to ``COARSE`` groups, those of one length at a time."""
+    out, lengths = np.empty((len(vectors), COARSE), np.int64), np.array([len(v) for v in vectors])
+    for n in np.unique(lengths).tolist():
+        at = np.flatnonzero(lengths == n)
+        out[at] = np.concatenate([vectors[i] for i in at.tolist()]).reshape(len(at), -1, COARSE).sum(1)
+    return out
+
+
 class Tree:
     """R-tree over count vectors, packed in order of set size, then of coarse counts."""
 
     def __init__(self, sizes: np.ndarray, vectors: list[np.ndarray]):
         self.sizes, self.vectors = sizes, vectors
-        coarse = np.stack([folded(v, COARSE) for v in vectors])
+        coarse = coarse_counts(vectors)
         self.order = np.lexsort((coarse[:, 0], sizes))
         self.coarse = coarse
         self.levels = []  # from the leaves up: first point, last point, upper corner, sizes
@@ -127,6 +139,43 @@ class Tree:
         return np.array([x for x in q.tolist() if may_link(n, v, self.sizes[x], self.vectors[x])], np.int64)
 
 
+    def near_pairs(self, label: np.ndarray):
+        """Pairs of points of different labels that the bounds let link, leaf by leaf.
+
+        Both sides descend together: a pair of nodes is opened where the corners' minima allow a link.
+        """
+        a, b = np.triu_indices(len(self.levels[-1][0]))
+        for depth in range(len(self.levels) - 1, -1, -1):
+            corner, lo, hi = self.levels[depth]
+            # a <= b: b's sizes are not below a's
+            ok = hi[a] * 100 >= lo[b] * PERCENT
+            a, b = a[ok], b[ok]
+            bound = np.concatenate([np.minimum(corner[a[k:k + STEP]], corner[b[k:k + STEP]]).sum(1)
+                                    for k in range(0, len(a), STEP)] or [np.zeros(0, np.int64)])
+            # the smallest sizes of the two nodes that can link at all
+            least = lo[b] + np.maximum(lo[a], -(-PERCENT * lo[b] // 100))
+            ok = bound * (100 + PERCENT) >= PERCENT * least
+            a, b = a[ok], b[ok]
+            if depth:
+                width, step = len(self.levels[depth - 1][0]), np.arange(LEAF)
+                shape = (len(a), LEAF, LEAF)
+                up = np.broadcast_to((a[:, None] * LEAF + step)[:, :, None], shape).ravel()
+                down = np.broadcast_to((b[:, None] * LEAF + step)[:, None, :], shape).ravel()
+                ok = (up <= down) & (down < width)
+                a, b = up[ok], down[ok]
+        for x, y in zip(a.tolist(), b.tolist()):
+            p, q = self.order[x * LEAF:(x + 1) * LEAF], self.order[y * LEAF:(y + 1) * LEAF]
+            apart = (label[p][:, None] != label[q]) & (self.sizes[q] * PERCENT <= self.sizes[p][:, None] * 100)
+            i, j = np.nonzero(np.triu(apart, 1) if x == y else apart)
+            i, j = p[i], q[j]
+            bound = np.minimum(self.coarse[i], self.coarse[j]).sum(1)
+            ok = bound * (100 + PERCENT) >= PERCENT * (self.sizes[i] + self.sizes[j])
+            for m, n in zip(i[ok].tolist(), j[ok].tolist()):
+                v, w = self.vectors[m], self.vectors[n]
+                if label[m] != label[n] and (len(v) == len(w) == COARSE or may_link(self.sizes[m], v, self.sizes[n], w)):
+                    yield m, n
+
+
 class Parts:
     """Labels of the points of a task; joining two parts relabels the smaller one."""
 
@@ -241,15 +290,12 @@ def block_chains(members: DataFrame, chunk: int) -> DataFrame:
             parts, places = Parts(len(cls)), {}
             for i, c in enumerate(comp):
                 parts.join(places.setdefault(c, i), i)
-            tree = Tree(n, vec) if len(cls) > 2 else None
-            for i in range(len(cls)):
-                p = int(tree.order[i]) if tree else i
-                near = tree.near(i, parts.label).tolist() if tree else [
-                    q for q in range(i + 1, 2) if may_link(int(n[p]), vec[p], int(n[q]), vec[q])]
-                for q in near:
-                    if parts.join(p, q):
-                        up[find(cls[q])] = find(cls[p])
-                        yield cls[p], cls[q]
+            near = Tree(n, vec).near_pairs(parts.label) if len(cls) > 2 else [
+                (0, 1)] * may_link(int(n[0]), vec[0], int(n[1]), vec[1])
+            for p, q in near:
+                if parts.join(p, q):
+                    up[find(cls[q])] = find(cls[p])
+                    yield cls[p], cls[q]
 
     def rows(batches):
         yield from pair_frames(pairs(batches))
@@ -315,11 +361,10 @@ def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: i
     spark = docs.sparkSession
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     classes = written(table.filter("n > 0").groupBy("cls", "n").agg(
-        F.min("doc_id").alias("rep"), F.max("vec").alias("vec")), "classes")
+        F.min("doc_id").alias("rep"), F.max("vec").alias("vec"), F.max("prefix").alias("prefix")), "classes")
     # blocks: one shuffle by shingle, counted in place
-    tokens = table.filter("prefix IS NOT NULL").select("cls", F.explode("prefix").alias("tok")).repartition(parallel, "tok")
-    held = tokens.groupBy("tok", "cls").agg(F.count(F.lit(1)).alias("_c"))
-    held = held.select("tok", "cls", F.count(F.lit(1)).over(Window.partitionBy("tok")).alias("n_cls"))
+    tokens = classes.select("cls", F.explode("prefix").alias("tok")).repartition(parallel, "tok")
+    held = tokens.select("tok", "cls", F.count(F.lit(1)).over(Window.partitionBy("tok")).alias("n_cls"))
     held = written(held.filter("n_cls > 1"), "recurring")
     frequent = held.filter(F.col("n_cls") > hot).select("tok", "cls")
     heavy = (frequent.groupBy("cls").agg(F.count(F.lit(1)).alias("h")).join(classes.select("cls", "n"), "cls")
