@@ -84,7 +84,7 @@ def folded(v: np.ndarray, groups: int) -> np.ndarray:
 
 def coarse_counts(vectors: list[np.ndarray]) -> np.ndarray:
     """The vectors folded to ``COARSE`` groups, those of one length at a time."""
-    out, lengths = np.empty((len(vectors), COARSE), np.int64), np.array([len(v) for v in vectors])
+    out, lengths = np.empty((len(vectors), COARSE), np.int32), np.array([len(v) for v in vectors])
     for n in np.unique(lengths).tolist():
         at = np.flatnonzero(lengths == n)
         out[at] = np.concatenate([vectors[i] for i in at.tolist()]).reshape(len(at), -1, COARSE).sum(1)
@@ -166,11 +166,13 @@ class Tree:
         for x, y in zip(a.tolist(), b.tolist()):
             p, q = self.order[x * LEAF:(x + 1) * LEAF], self.order[y * LEAF:(y + 1) * LEAF]
             apart = (label[p][:, None] != label[q]) & (self.sizes[q] * PERCENT <= self.sizes[p][:, None] * 100)
-            i, j = np.nonzero(np.triu(apart, 1) if x == y else apart)
-            i, j = p[i], q[j]
-            bound = np.minimum(self.coarse[i], self.coarse[j]).sum(1)
-            ok = bound * (100 + PERCENT) >= PERCENT * (self.sizes[i] + self.sizes[j])
-            for m, n in zip(i[ok].tolist(), j[ok].tolist()):
+            if x == y:
+                apart = np.triu(apart, 1)
+            if not apart.any():
+                continue
+            bound = np.minimum(self.coarse[p][:, None], self.coarse[q]).sum(2)
+            i, j = np.nonzero(apart & (bound * (100 + PERCENT) >= PERCENT * (self.sizes[p][:, None] + self.sizes[q])))
+            for m, n in zip(p[i].tolist(), q[j].tolist()):
                 v, w = self.vectors[m], self.vectors[n]
                 if label[m] != label[n] and (len(v) == len(w) == COARSE or may_link(self.sizes[m], v, self.sizes[n], w)):
                     yield m, n
