@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -52,37 +52,33 @@ def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
-def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def connected(edges: DataFrame, a: str = "a", b: str = "b", rows_per_file: int = 100_000) -> DataFrame:
     """Smallest id reachable over undirected ``edges``: rows (id, component_id).
 
-    Alternating large-star / small-star rounds: every node hooks to the
-    smallest id it has seen, neighbours meet through the old parent, until
-    nothing changes.  Each round is two aggregations over at most two rows
-    per edge; rounds grow with the logarithm of the longest chain.  One row
-    per round reaches the driver: count and 128 bits of hashes of the distinct
-    edges, which tell whether the round changed any.  Nodes without an edge
-    are not in the result.
+    Alternating large-star / small-star rounds over edges (u, v), u > v: v gives
+    way to its smallest neighbour, then the smaller neighbours of u (and u) hook
+    to the smallest of them, until nothing moves.  Rounds grow with the logarithm
+    of the longest chain; edges never get more.  A centre's many edges meet in a left
+    join (skew splits) and a combined minimum; a window only takes a node's distinct
+    smaller neighbours.  One row per round reaches the driver: whether an
+    edge moved, and the count, by which the next round's files are dealt.  Nodes
+    without an edge are not in the result.
     """
-    def state(df: DataFrame):
-        return df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v")), F.bit_xor(F.xxhash64("v", "u", F.lit(9)))).first()
-
     cur = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"))
                   .filter("u <> v").distinct(), "edges")
-    before = state(cur)
-    while True:
-        # large-star: bigger neighbours hook to the smallest id around the node
-        both = cur.select("u", "v").union(cur.select(F.col("v"), F.col("u")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        big = (both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-               .distinct())
-        # small-star: smaller neighbours (and the node) hook to the smallest of them
-        low2 = big.groupBy("u").agg(F.min("v").alias("m"))
-        small = (big.join(low2, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low2.select("u", F.col("m").alias("v"))).distinct())
-        cur = written(small, "edges")
-        now = state(cur)
-        if now == before:
-            break
-        before = now
-    stars = cur.select(F.col("u").alias("id"), F.col("v").alias("component_id"))
-    return stars.union(cur.select(F.col("v").alias("id"), F.col("v").alias("component_id"))).distinct()
+    moved, n = True, cur.count()
+    while moved and n:
+        parent = cur.groupBy(F.col("u").alias("v")).agg(F.min("v").alias("p"))
+        large = cur.join(parent, "v", "left").select(
+            "u", F.coalesce("p", "v").alias("v"), F.col("p").isNotNull().alias("moved"))
+        low = large.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+        hook = F.struct(F.col("u"), F.col("m").alias("v"), (F.col("moved") | (F.col("v") != F.col("m"))).alias("moved"))
+        step = F.struct(F.col("v").alias("u"), F.col("m").alias("v"), F.lit(True).alias("moved"))
+        small = low.select(F.explode(F.when(F.col("v") != F.col("m"), F.array(hook, step)).otherwise(F.array(hook)))
+                           .alias("e")).select("e.*")
+        files = max(-(-n // rows_per_file), edges.sparkSession.sparkContext.defaultParallelism)
+        cur = written(small.groupBy("u", "v").agg(F.max("moved").alias("moved")).coalesce(files), "edges")
+        moved, n = cur.agg(F.max("moved"), F.count(F.lit(1))).first()
+        cur = cur.select("u", "v")
+    return cur.select(F.col("u").alias("id"), F.col("v").alias("component_id")).union(
+        cur.select(F.col("v").alias("id"), F.col("v").alias("component_id")).distinct())

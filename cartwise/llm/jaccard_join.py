@@ -49,7 +49,7 @@ from .wordhash import WordHasher, mix
 
 SHINGLE, PERCENT = 5, 75
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-LEAF, COARSE, SPARE, STEP = 32, 64, 20, 4096
+LEAF, COARSE, SPARE, STEP, BATCH = 32, 64, 20, 4096, 50_000
 
 
 def shingle_set(hasher: WordHasher, text) -> np.ndarray:
@@ -215,16 +215,17 @@ def groups_of(batches, key: str):
         yield held
 
 
-def pair_frames(pairs, size: int = 50_000):
-    """Frames (a, b) of many pairs each."""
-    a, b = [], []
-    for x, y in pairs:
-        a.append(x)
-        b.append(y)
-        if len(a) >= size:
-            yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
-            a, b = [], []
-    yield pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
+def large_frames(columns, size: int):
+    """Frames of at least ``size`` rows (the last one fewer) from dicts of arrays."""
+    held, n = [], 0
+    for c in columns:
+        held.append(c)
+        n += len(next(iter(c.values())))
+        if n >= size:
+            yield pd.DataFrame({k: np.concatenate([h[k] for h in held]) for k in c})
+            held, n = [], 0
+    if held:
+        yield pd.DataFrame({k: np.concatenate([h[k] for h in held]) for k in held[0]})
 
 
 def may_link(n: int, v: np.ndarray, m: int, w: np.ndarray) -> bool:
@@ -268,14 +269,14 @@ def chunk_pairs(df: DataFrame, key: str, size: str, item: str, chunk: int) -> Da
 
 
 def block_chains(members: DataFrame, chunk: int) -> DataFrame:
-    """(a, b): classes chained by pairs that the bounds let pass, per block.
+    """(a, b): classes chained by pairs that the bounds let pass; b is the smallest class a task chained a with.
 
     ``members``: tok, cls, n_cls (classes of the block), n, vec.
     """
     split = chunk_pairs(members, "tok", "n_cls", "cls", chunk).withColumn("task", F.struct("tok", "part"))
     split = split.withColumn("key", F.concat_ws("/", "tok", "part")).drop("task", "tok")
 
-    def pairs(batches):
+    def rows(batches):
         up: dict[int, int] = {}  # what this task has chained in earlier blocks
 
         def find(c: int) -> int:
@@ -296,29 +297,33 @@ def block_chains(members: DataFrame, chunk: int) -> DataFrame:
                 (0, 1)] * may_link(int(n[0]), vec[0], int(n[1]), vec[1])
             for p, q in near:
                 if parts.join(p, q):
-                    up[find(cls[q])] = find(cls[p])
-                    yield cls[p], cls[q]
-
-    def rows(batches):
-        yield from pair_frames(pairs(batches))
+                    x, y = find(cls[p]), find(cls[q])
+                    up[max(x, y)] = min(x, y)
+        at = list(up)
+        for k in range(0, len(at), BATCH):
+            yield pd.DataFrame({"a": at[k:k + BATCH], "b": [find(c) for c in at[k:k + BATCH]]})
 
     return (split.select("key", "cls", "n", "vec").repartition("key").sortWithinPartitions("key", "cls")
             .mapInPandas(rows, "a long, b long"))
 
 
 def verified(keyed: DataFrame) -> DataFrame:
-    """(a, b): links that join parts, from rows (key, cls, comp, grams) of whole groups."""
-    def pairs(batches):
+    """(cls, comp, root, degree) of the rows (key, cls, comp, grams) of whole groups.
+
+    ``comp`` is the part a class is known to be in; ``root`` the smallest of those
+    that links join in its group; ``degree`` its links found here.
+    """
+    def groups(batches):
         for g in groups_of(batches, "key"):
-            cls, comp = g["cls"].tolist(), g["comp"].tolist()
+            comp = g["comp"]
             sets = [np.frombuffer(x, np.uint64) for x in g["grams"]]
-            sizes, parts = np.array([len(s) for s in sets]), Parts(len(cls))
+            sizes, parts = np.array([len(s) for s in sets]), Parts(len(sets))
             places: dict[int, int] = {}
-            for i, c in enumerate(comp):  # what is joined already
+            for i, c in enumerate(comp.tolist()):  # what is joined already
                 parts.join(places.setdefault(c, i), i)
             tree = Tree(sizes, [count_vector(s) for s in sets])
-            degree = np.zeros(len(cls), np.int64)
-            for i in range(len(cls)):
+            degree = np.zeros(len(sets), np.int64)
+            for i in range(len(sets)):
                 p = int(tree.order[i])
                 near = tree.near(i, parts.label)
                 for q in near[np.argsort(-degree[near], kind="stable")].tolist():  # likely centres first
@@ -329,13 +334,15 @@ def verified(keyed: DataFrame) -> DataFrame:
                             parts.join(p, q)
                             degree[p] += 1
                             degree[q] += 1
-                            yield cls[p], cls[q]
+            root = np.full(len(sets), np.iinfo(np.int64).max)
+            np.minimum.at(root, parts.label, comp)
+            yield {"cls": g["cls"], "comp": comp, "root": root[parts.label], "degree": degree}
 
     def rows(batches):
-        yield from pair_frames(pairs(batches))
+        yield from large_frames(groups(batches), BATCH)
 
     return (keyed.select("key", "cls", "comp", "grams").repartition("key").sortWithinPartitions("key", "cls")
-            .mapInPandas(rows, "a long, b long"))
+            .mapInPandas(rows, "cls long, comp long, root long, degree long"))
 
 
 def grams_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -350,11 +357,9 @@ def grams_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return met.mapInPandas(rows, "cls long, cluster long, size long, grams binary")
 
 
-def with_parts(rows: DataFrame, links: DataFrame) -> DataFrame:
-    """``rows`` with ``comp``, the component of ``cls`` under ``links`` (itself where it has none)."""
-    comps = connected(links)
-    return rows.join(comps.withColumnsRenamed({"id": "cls", "component_id": "comp"}), "cls", "left").withColumn(
-        "comp", F.coalesce("comp", "cls"))
+def moved(parts: DataFrame, roots: DataFrame) -> DataFrame:
+    """``parts`` (cls, comp) with every comp replaced by its root, where ``roots`` (comp, root) has one."""
+    return parts.join(roots, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp"))
 
 
 def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: int = 64) -> DataFrame:
@@ -384,31 +389,36 @@ def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: i
     sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
     wanted = cluster.join(sizes, "cluster").join(classes.select("cls", F.col("rep").alias("doc_id")), "cls")
     sets = written(grams_of(docs, wanted), "grams")
-    # inside chunks
+    # inside chunks: a class is in one group, so its root there is its part
     chunks = F.ceil(F.col("size") / chunk).cast("int")
     mine = F.pmod(F.xxhash64("cls", F.lit(5)), chunks)
-    links = written(verified(sets.select(F.concat_ws("/", "cluster", mine).alias("key"), "cls",
-                                         F.col("cls").alias("comp"), "grams")), "links")
+    inside = written(verified(sets.select(F.concat_ws("/", "cluster", mine).alias("key"), "cls",
+                                          F.col("cls").alias("comp"), "grams")), "links")
+    parts = inside.select("cls", F.col("root").alias("comp"))
     large = sets.filter(F.col("size") > chunk)
     if large.limit(1).count():
-        # over the best connected members of each chunk's parts
-        degree = links.select(F.col("a").alias("cls")).union(links.select("b")).groupBy("cls").agg(
-            F.count(F.lit(1)).alias("degree"))
-        ranked = with_parts(large.select("cls", "cluster"), links).join(degree, "cls", "left")
-        best = top_k_per_key(ranked, ["cluster", "comp"], [F.col("degree").desc_nulls_last(), F.col("cls").asc()], hubs)
-        keyed = best.select("cluster", "comp", "cls").join(large.select("cls", "grams"), "cls").withColumn("key", F.concat_ws("/", "cluster", F.lit("hub")))
-        links = written(links.union(verified(keyed)), "links")
+        # over the best connected members of the chunks' parts; a part is in one group
+        ranked = large.select("cls", "cluster").join(parts.join(inside.select("cls", "degree"), "cls"), "cls")
+        best = top_k_per_key(ranked, ["cluster", "comp"], [F.col("degree").desc(), F.col("cls").asc()], hubs)
+        n_best = best.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_best"))
+        group = F.pmod(F.xxhash64("comp", F.lit(5)), F.ceil(F.col("n_best") / chunk))
+        keyed = (best.join(n_best, "cluster").withColumn("key", F.concat_ws("/", "cluster", group))
+                 .select("key", "comp", "cls").join(large.select("cls", "grams"), "cls"))
+        over = written(verified(keyed), "links").filter("comp <> root").select("comp", "root").distinct()
+        parts = written(moved(parts, over), "parts")
         # what is still apart: chunk by chunk
-        parts = with_parts(large, links)
-        apart = parts.groupBy("cluster").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-        rest = chunk_pairs(parts.join(apart.select("cluster"), "cluster"), "cluster", "size", "cls", chunk)
-        links = written(links.union(verified(rest.withColumn("key", F.concat_ws("/", "cluster", "part")))), "links")
-    return component_rows(table, classes, links)
-
-
-def component_rows(table: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    """Every row with its set size and the smallest id of its component."""
-    parts = with_parts(classes.select("cls", "n", "rep"), links)
+        still = large.join(parts, "cls")
+        apart = still.groupBy("cluster").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+        rest = chunk_pairs(still.join(apart.select("cluster"), "cluster"), "cluster", "size", "cls", chunk)
+        links = written(verified(rest.withColumn("key", F.concat_ws("/", "cluster", "part"))), "links")
+        parts = moved(parts, connected(links, "comp", "root").withColumnsRenamed(
+            {"id": "comp", "component_id": "root"}))
+    return component_rows(table, classes, parts)
+
+
+def component_rows(table: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
+    """Every row with its set size and the smallest id of its component; a class without a part is its own."""
+    parts = classes.select("cls", "n", "rep").join(parts, "cls", "left").withColumn("comp", F.coalesce("comp", "cls"))
     low = parts.groupBy("comp").agg(F.min("rep").alias("component_id"))
     ids = parts.join(low, "comp").select("cls", "n", "component_id")
     out = table.select("doc_id", "n", "cls").join(ids, ["cls", "n"], "left")
