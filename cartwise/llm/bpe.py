@@ -36,6 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .common import written
 from .lexicon import Lexicon, compile_lexicon
 
 # the vocabulary's word pattern; \x1c-\x1f are white space to Python, not to the vocabulary
@@ -193,8 +194,13 @@ def text_slices(texts: list[str], size: int = 1 << 22):
         yield start, len(texts)
 
 
-def frequent_words(docs: DataFrame, size: int, flush: int = 200_000) -> list[str]:
-    """The ``size`` most frequent words of all texts; tasks add up their own counts first."""
+def frequent_words(docs: DataFrame, size: int, longest: int = 64, flush: int = 200_000) -> list[str]:
+    """About ``size`` most frequent words of at most ``longest`` bytes; tasks add up their own counts first.
+
+    Classes of counts (sixteenths of a doubling) are taken from the top; of the class that
+    no longer fits whole, the share that does goes by hash.  The driver gets one row per class
+    and the words chosen, at every number of partitions.
+    """
     def counted(batches):
         chunks: Counter = Counter()
 
@@ -215,8 +221,18 @@ def frequent_words(docs: DataFrame, size: int, flush: int = 200_000) -> list[str
         yield emit()
 
     counts = docs.select("text").mapInPandas(counted, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.filter("n > 1").orderBy(F.col("n").desc(), "word").limit(size).select("word").toPandas()["word"]
-    return [bytes(w).decode("utf-8", "surrogatepass") for w in top]
+    level = F.floor(F.log2("n") * 16).cast("int")
+    ranked = written(counts.filter((F.col("n") > 1) & (F.octet_length("word") <= longest))
+                     .select("word", level.alias("level")), "words")
+    left, lowest, share = size, 0, 1.0
+    for lowest, n in ranked.groupBy("level").count().orderBy(F.col("level").desc()).collect():
+        share = min(1.0, left / n)
+        left -= n
+        if left <= 0:
+            break
+    place = F.pmod(F.xxhash64("word"), F.lit(1 << 30))
+    top = ranked.filter((F.col("level") > lowest) | (F.col("level") == lowest) & (place < int(share * (1 << 30))))
+    return sorted(bytes(r["word"]).decode("utf-8", "surrogatepass") for r in top.select("word").collect())
 
 
 def build_lexicon(docs: DataFrame, vocabulary: Vocabulary, size: int = 100_000) -> str:
