@@ -6,9 +6,12 @@ letters, digits and the signs of base64).  A window of fixed width slides over
 it, and its Shannon entropy follows from counts updated by the character that
 enters and the one that leaves.  Windows at or above the class's threshold are
 joined into spans.  Allow-listed candidates are left out: words (letters
-only), numbers, unique-id notation, identifiers joined from words, links and
-mail addresses, strings marked as examples, alphabets and digit rows; so are
-spans that a base span covers.
+only), numbers, unique-id notation, identifiers joined from words, strings marked
+as examples, alphabets and digit rows, and candidates that lie inside the host
+and path of a link or the domain of a mail address; so are spans that a base span
+covers.  A link ends at white space, quotes, brackets, commas, semicolons and
+colons, and at its query or fragment: their values and the user part before the
+host (``postgres://app:key@db``) are scanned like any text.
 
 Positions are code points, ends exclusive.
 
@@ -21,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -38,7 +42,11 @@ ALLOW = [re.compile(p) for p in (
     r"[A-Za-z]+", r"[0-9]+", r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
     r"(?:[A-Za-z]+[_/+=-]+)*[A-Za-z]*[0-9]{0,4}", r"[0-9]+(?:[-/_][0-9]+)+",
     r"(?s).*(?:example|EXAMPLE|abcdefgh|ABCDEFGH|01234567|12345678).*")]
-LINK = re.compile(r"(?:https?://|www\.|/|@)[^\x20\x09-\x0D]*$")
+# a link's host and path after its user part, or a mail address's domain
+STOP = r"""\s/?#@"'`,<>(){}\[\]\\|"""
+PLACE = r"(?:[\w.-]+|\[[0-9A-Fa-f:.]+\])(?::[0-9]+)?(?:/[\w./~%!$*+@=-]*)?"
+LINK = re.compile(rf"(?<=[A-Za-z0-9])://(?P<user>[^{STOP}]*@)?(?P<place>{PLACE})"
+                  rf"|(?<![\w@./-])www\.{PLACE}|(?<=[\w.+-])@[\w-]+(?:\.[\w-]+)+")
 WEIGHT = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -67,15 +75,26 @@ def high_windows(s: str, threshold: float, width: int = WINDOW) -> list[tuple[in
     return out
 
 
+def link_places(text: str) -> list[tuple[int, int]]:
+    """The hosts and paths of links and the domains of mail addresses, in order."""
+    return [(m.start("place") if m["user"] else m.start(), m.end()) for m in LINK.finditer(text)]
+
+
 def scan(text: str) -> list[tuple[str, int, int]]:
     """All spans of a text: (kind, start, end), by start, then kind as listed."""
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
     base = list(found)
+    places = None
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if any(p.fullmatch(s) for p in ALLOW) or LINK.search(text, max(0, m.start() - 200), m.start()):
+        if any(p.fullmatch(s) for p in ALLOW):
+            continue
+        if places is None:
+            places = link_places(text)
+        at = bisect_right(places, (m.start(), len(text))) - 1  # the last place that starts here or before
+        if at >= 0 and m.end() <= places[at][1]:
             continue
         kind = "hex" if ALL_HEX.fullmatch(s) else "base64"
         for a, b in high_windows(s, THRESHOLD[kind]):

@@ -204,6 +204,17 @@ def test_secret_spans(spark, odd, empty):
     assert secrets.secret_scan(empty).count() == 0
 
 
+def test_only_places_of_links_hide_secrets():
+    key, long = "q7Zk2Vx9Lm4Rt8Wb1Yc6Np3", "seg.ment/" * 40
+    for text in ('{"url":"https://a.b","key":"%s"}', "a@b.c,%s", "postgres://app:%s@db", "https://%s@a.b/c",
+                 "https://a.b/c?key=%s", "https://a.b/c#%s", "https://a.b/c,%s", "f(https://a.b/c)(%s)",
+                 "f('www.a.b/c','%s')", "https://a.b/login:%s", "https://a.b/" + long + '","%s'):
+        assert [s for s in secrets.scan(text % key) if s[0] == "entropy"], text
+    for text in ("https://a.b/%s", "see www.a.b/%s", "x@%s.example.org", "https://u:p@a.b:80/c.d/%s", "https://%s.a.b/",
+                 "https://a.b/" + long + "%s", "https://a.b/" + "x." * 150 + "%s", '{"url":"https://a.b/c.%s","n":1}'):
+        assert not [s for s in secrets.scan(text % key) if s[0] == "entropy"], text
+
+
 def test_entropy_counts_are_incremental():
     rng = random.Random(2)
     for _ in range(200):
