@@ -33,15 +33,19 @@ def label_ranges(labels: DataFrame, label_col: str = "label") -> DataFrame:
 
 def age_ranges(labels: DataFrame, label_col: str = "label", key: str = "product_id",
                categories: Iterable | None = None, properties: Iterable | None = None,
-               category_col: str = "category_code", property_col: str = "propertyid") -> DataFrame:
+               category_col: str = "category_code", property_col: str = "propertyid",
+               label_properties: Iterable | None = None) -> DataFrame:
     """Product -> [min, max] months.
 
     Open end -> the largest parsed maximum over all labels (A9); unparsed ->
     [0, that maximum] and ``parsed = false`` (T10); size-like -> NULL range.
     Optional allow-lists of categories and property ids (P9) apply after that
-    maximum, which is taken over all labels.
+    maximum, which is taken over all labels, or over those of
+    ``label_properties``; a label that these do not have has no range.
     """
     rows = labels
+    if label_properties is not None:
+        labels = labels.filter(F.col(property_col).isin(list(label_properties)))
     lr = label_ranges(labels, label_col)
     top = F.max("max_age_months").over(Window.partitionBy())
     lr = lr.select(label_col,

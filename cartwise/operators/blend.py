@@ -58,11 +58,12 @@ def frequency_list(purchases: DataFrame, date_col: str = "purchase_date") -> Dat
 def cold_start(cycle: DataFrame, frequency: DataFrame, min_score: float = L.CYCLE_MIN_SCORE,
                categories=(L.DIAPER_CATEGORY, L.MILK_CATEGORY)) -> DataFrame:
     """Customers of the cycle table without any usable row get their
-    frequency list, ranked by frequency, then recency, then id (J2 W8)."""
+    frequency list, ranked by frequency, then recency, then id (J2 W8); one
+    without such a list stays as one row without a product."""
     usable = (F.col("score") >= min_score) & F.col("category_code").isin(list(categories))
     cold = (cycle.groupBy("customer_id").agg(F.max(usable.cast("int")).alias("_u"))
             .filter(F.coalesce("_u", F.lit(0)) == 0).select("customer_id"))
-    rows = frequency.join(cold, "customer_id")
+    rows = cold.join(frequency, "customer_id", "left")
     rows = renumber(rows, "customer_id", [F.col("freq").desc(), F.col("last_date").desc(),
                                           F.col("product_id").asc()], "rank")
     return rows.select("customer_id", "product_id", F.col("rank").cast("int").alias("rank"),

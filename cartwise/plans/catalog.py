@@ -457,9 +457,11 @@ def fuzzy_names_indel(spark, sf_dir):
 
 @query
 def request_similar(spark, sf_dir):
-    """One similarity request per product: its profile and its candidates' profiles."""
+    """One similarity request per product with a candidate: its profile and its ten best candidates'
+    profiles, as its SQL states; ``jobs.similar_job`` writes the whole requests (S10)."""
     props = _active(Fixtures(spark, sf_dir))
-    return rp.similarity_requests(sm.product_profiles(props), sm.similar_products(props))
+    return rp.similarity_requests(sm.product_profiles(props), sm.similar_products(props),
+                                  all_targets=False)
 
 
 @query

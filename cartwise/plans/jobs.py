@@ -39,12 +39,19 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
     ``batch_size`` the result is written as numbered customer batches (S7);
     otherwise with ``run_date`` it lands in that day's partition (S8).
     ``weight_labels`` (product_id, label) adds the weight interval (R6).
+    Labels with ``category_code`` or ``propertyid`` meet the job's
+    allow-lists (P9).
     """
+    lists = {}
+    if "category_code" in labels.columns:
+        lists["categories"] = L.AGE_JOB_CATEGORIES
+    if "propertyid" in labels.columns:
+        lists.update(properties=L.AGE_JOB_PROPERTIES, label_properties=L.AGE_LABEL_PROPERTIES)
     # customers feed the distinct ages, the final join and the no-match table
     cust = sinks.cut_lineage(impute.attach_growth(impute.impute_by_group(persons), growth), "age_customers")
     weights = ages.weight_ranges(weight_labels) if weight_labels is not None else None
     attrs = catalog.select("product_id", "category_id", "item_base_id")
-    picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels), weights=weights, attributes=attrs))
+    picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels, **lists), weights=weights, attributes=attrs))
     picks = picks.join(catalog.select("product_id", "product_name", "category_name"), "product_id", "left")
     if batch_size:
         sinks.write_batches(picks, out, ["customer_id"], batch_size)
@@ -58,14 +65,16 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
 
 def similar_job(properties: DataFrame, out: str, errors_out: str | None = None,
                 top_n: int = L.SIMILAR_TOP_N, exclude_same_brand: bool = False,
-                attribute_top_k: int | None = None) -> None:
+                attribute_top_k: int | None = None, requests_out: str | None = None) -> None:
     """Attribute weights, profiles and the top-N similar products of every
     active product, with profile texts; targets without any pair go to
     ``errors_out``.  By default all listed attributes count, weighted by
     R9.  ``attribute_top_k`` keeps each category's most important
     attributes only, as the original job does with its chosen one; with
     the entropy weights a near-unique attribute (a price) ranks first and
-    shares few values, so the weighted form is the default."""
+    shares few values, so the weighted form is the default.
+    ``requests_out`` takes one request per product with its up to
+    ``MAX_SIMILAR_CANDIDATES`` candidates (S10)."""
     props = similar.active(properties)
     weights = similar.attribute_importance(props)
     if attribute_top_k is not None:
@@ -79,6 +88,9 @@ def similar_job(properties: DataFrame, out: str, errors_out: str | None = None,
     sinks.write_table(res, out, partition_by=["category_id"])
     if errors_out:
         sinks.write_table(similar.similar_errors(props, pairs), errors_out)
+    if requests_out:
+        wide = similar.similar_products(props, weights, L.MAX_SIMILAR_CANDIDATES, exclude_same_brand=exclude_same_brand)
+        sinks.write_table(replies.similarity_requests(similar.product_profiles(props), wide), requests_out)
 
 
 def upsize_job(cycle: DataFrame, catalog: DataFrame, diapers: DataFrame, milk: DataFrame,

@@ -36,6 +36,43 @@ def test_similarity_requests_and_catalog_lines(spark):
     assert all(r.line == "- " + r.name for r in lines)
 
 
+def test_similarity_requests_keep_every_target_and_candidate(spark, tmp_path):
+    from cartwise.plans import jobs
+    rows = [(str(i), f"p{i}", 1, 1, "color", "red", 7, 4, "1") for i in range(14)]
+    rows.append(("99", "alone", 2, 1, "color", "red", 7, 4, "1"))
+    props = spark.createDataFrame(rows, "product_code string, product_name string, category_id int, property_id int, "
+                                        "property_name string, value_id string, brand_id int, status_id int, "
+                                        "list_property string")
+    jobs.similar_job(props, f"{tmp_path}/sim", requests_out=f"{tmp_path}/req")
+    got = {r.product_code: r.candidates for r in spark.read.parquet(f"{tmp_path}/req").collect()}
+    assert len(got) == 15 and got.pop("99") == ""
+    assert all(len(c.split("\n")) == 13 for c in got.values())
+
+
+def test_cold_customer_without_purchases_stays(spark):
+    from cartwise.operators import blend
+    cycle = spark.createDataFrame([(1, 0.1, "36"), (2, 0.1, "36"), (3, 0.9, "36")],
+                                  "customer_id int, score double, category_code string")
+    freq = spark.createDataFrame([(1, 10, 2, 5), (3, 10, 2, 5)],
+                                 "customer_id int, product_id int, freq long, last_date int")
+    out = blend.cold_start(cycle, freq).collect()
+    assert sorted((r.customer_id, r.product_id or 0, r.rank, r.type) for r in out) == [
+        (1, 10, 1, "freg_rcm"), (2, 0, 1, "freg_rcm")]
+
+
+def test_age_job_lists(spark):
+    from cartwise.sources import literals as L
+    labels = spark.createDataFrame([(1, "6 tháng", "114", "age_range"), (2, "6 tháng", "999", "age_range"),
+                                    (3, "6 tháng", "114", "color"), (4, "Từ 3 tháng", "114", "age_usp"),
+                                    (5, "90 tuổi", "114", "color")],
+                                   "product_id int, label string, category_code string, propertyid string")
+    full = ages.age_ranges(labels, label_properties=["age_range", "age_usp"]).collect()
+    assert {r.product_id: r.max_age_months for r in full}[5] is None
+    out = ages.age_ranges(labels, categories=L.AGE_JOB_CATEGORIES, properties=L.AGE_JOB_PROPERTIES,
+                          label_properties=L.AGE_LABEL_PROPERTIES).collect()
+    assert sorted(r.product_id for r in out) == [1, 4]
+
+
 def test_age_range_allow_lists(spark):
     rows = [(1, "6 tháng", "114", "age_range"), (2, "6 tháng", "999", "age_range"),
             (3, "6 tháng", "114", "color")]
