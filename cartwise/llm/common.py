@@ -28,6 +28,11 @@ def full_text(docs: DataFrame) -> Column:
     return F.coalesce(docs["text"], F.lit(""))
 
 
+def quoted(name: str) -> Column:
+    """The column of this very name, whatever signs it holds."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def id_remainder(col: Column, m: int) -> Column:
     """crc32 of the id written as text, modulo ``m`` (a NULL id counts as empty text)."""
     return (F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % m).cast("int")

@@ -23,10 +23,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from .common import id_remainder
+from .common import id_remainder, quoted
 
 FOLDS, HELD = 4, 2
 DIM = 1 << 13
@@ -122,7 +124,7 @@ def fit(docs: DataFrame, max_languages: int = 1000) -> CodeModel | None:
 
 
 def predict(docs: DataFrame, model: CodeModel | None, keep: list[str], min_gap: float = 0.05) -> DataFrame:
-    """``keep`` and lang_pred, score, ambiguous of every row."""
+    """k0, k1, .. (the columns ``keep``) and lang_pred, score, ambiguous of every row."""
     def label(text):
         if model is None or not has_letter(text):
             return UNKNOWN, 0.0, True
@@ -134,16 +136,14 @@ def predict(docs: DataFrame, model: CodeModel | None, keep: list[str], min_gap:
         return model.languages[order[0]], float(1 / p.sum()), bool(loss[order[1]] - loss[order[0]] < min_gap)
 
     def answer(batches):
-        for pdf in batches:
-            got = [label(t) for t in pdf["text"]]
-            out = pdf[keep].copy()
-            out["lang_pred"], out["score"], out["ambiguous"] = (
-                [g[0] for g in got], [g[1] for g in got], [g[2] for g in got])
-            yield out
+        for b in batches:
+            got = [label(t) for t in b.column(len(keep)).to_pylist()]
+            cols = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.bool_()))]
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keep)], *cols], names=kinds.names)
 
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(
-        answer, f"{kinds}, lang_pred string, score double, ambiguous boolean")
+    kinds = StructType([StructField(f"k{i}", docs.schema[c].dataType) for i, c in enumerate(keep)])
+    kinds = kinds.add("lang_pred", "string").add("score", "double").add("ambiguous", "boolean")
+    return docs.select(*[quoted(c).alias(f"k{i}") for i, c in enumerate(keep)], "text").mapInArrow(answer, kinds)
 
 
 def languages_of(docs: DataFrame, min_gap: float = 0.05) -> DataFrame:
@@ -151,6 +151,7 @@ def languages_of(docs: DataFrame, min_gap: float = 0.05) -> DataFrame:
     held = id_remainder(F.col("doc_id"), FOLDS) == HELD
     model = fit(docs.filter(~held))
     out = predict(docs, model, ["doc_id"], min_gap)
+    out = out.withColumnRenamed("k0", "doc_id")
     return out.select("doc_id", held.alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
@@ -159,4 +160,5 @@ def known_language(docs: DataFrame, min_gap: float = 0.05) -> DataFrame:
     held = id_remainder(F.col("doc_id"), FOLDS) == HELD
     model = fit(docs.filter(~held))
     out = predict(docs, model, docs.columns, min_gap)
-    return out.filter(f"lang_pred <> '{UNKNOWN}' AND NOT ambiguous").select(*docs.columns)
+    return out.filter(f"lang_pred <> '{UNKNOWN}' AND NOT ambiguous").select(
+        *[F.col(f"k{i}").alias(c) for i, c in enumerate(docs.columns)])

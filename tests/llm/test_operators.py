@@ -305,3 +305,16 @@ def test_components_of_odd_tables(odd, empty):
     assert out[1] == out[2] == out[3] == out[10] == 1 and out[4] == 4 and out[None] is None
     assert jaccard_join.jaccard_components(empty).count() == 0
     assert set(jaccard_join.one_per_component(odd).columns) == set(odd.columns)
+
+
+# ids and classes, extra columns, many strata
+def test_stages_take_any_column(spark, odd):
+    import corpus_pipeline
+    df = odd.selectExpr("*", "'x' AS lang_pred", "false AS ambiguous", "CAST(NULL AS date) AS `a b-c`",
+                        "IF(doc_id = 1, NULL, doc_id + 9007199254740993) AS k0")
+    out = language_id.known_language(df)
+    assert out.schema.names == df.columns and out.select("k0").schema[0].dataType == df.schema["k0"].dataType
+    was = {(r["doc_id"], r["k0"], r["score"], r["lang_pred"]) for r in df.collect()}
+    assert {(r["doc_id"], r["k0"], r["score"], r["lang_pred"]) for r in out.collect()} <= was
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, df, SF).count() >= 0, name
