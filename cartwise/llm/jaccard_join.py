@@ -40,7 +40,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import top_k_per_key
@@ -236,25 +236,30 @@ def may_link(n: int, v: np.ndarray, m: int, w: np.ndarray) -> bool:
     return int(np.minimum(folded(v, g), folded(w, g)).sum()) * (100 + PERCENT) >= PERCENT * (n + m)
 
 
+def text_key(docs: DataFrame) -> Column:
+    """Tells apart the texts of rows with one id."""
+    return F.xxhash64(docs["text"])
+
+
 def sets_table(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, cls, prefix, vec) of every row; a task gives a class's prefix once."""
+    """(doc_id, key, n, cls, prefix, vec) of every row; a task gives a class's prefix once.  ``key``: see text_key."""
     def rows(batches):
         hasher, seen = WordHasher(), set()
         for pdf in batches:
             out = []
-            for d, t in zip(pdf["doc_id"], pdf["text"]):
+            for d, k, t in zip(pdf["doc_id"], pdf["key"], pdf["text"]):
                 s = shingle_set(hasher, t)
                 n = len(s)
                 cls = int(mix(mix(s + np.uint64(n)).sum(dtype=np.uint64, keepdims=True)).view(np.int64)[0])
                 if n and cls not in seen:
                     seen.add(cls)
-                    out.append((d, n, cls, s[:n - needed(n) + 1 + n // SPARE].view(np.int64), count_vector(s).astype("<u2").tobytes()))
+                    out.append((d, k, n, cls, s[:n - needed(n) + 1 + n // SPARE].view(np.int64), count_vector(s).astype("<u2").tobytes()))
                 else:
-                    out.append((d, n, cls, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "n", "cls", "prefix", "vec"]).astype({"doc_id": "Int64"})
+                    out.append((d, k, n, cls, None, None))
+            yield pd.DataFrame(out, columns=["doc_id", "key", "n", "cls", "prefix", "vec"]).astype({"doc_id": "Int64"})
 
-    return docs.select("doc_id", "text").mapInPandas(
-        rows, "doc_id long, n long, cls long, prefix array<long>, vec binary")
+    return docs.select("doc_id", text_key(docs).alias("key"), "text").mapInPandas(
+        rows, "doc_id long, key long, n long, cls long, prefix array<long>, vec binary")
 
 
 def chunk_pairs(df: DataFrame, key: str, size: str, item: str, chunk: int) -> DataFrame:
@@ -346,14 +351,16 @@ def verified(keyed: DataFrame) -> DataFrame:
 
 
 def grams_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, cluster, size, grams): the whole sets of the wanted representatives (doc_id, cls, cluster, size)."""
+    """(cls, cluster, size, grams): the whole sets of the wanted representatives (rep, key, cls, cluster, size)."""
     def rows(batches):
         hasher = WordHasher()
         for pdf in batches:
             yield pd.DataFrame({"cls": pdf["cls"], "cluster": pdf["cluster"], "size": pdf["size"],
                                 "grams": [shingle_set(hasher, t).tobytes() for t in pdf["text"]]})
 
-    met = docs.select("doc_id", "text").join(wanted, "doc_id").dropDuplicates(["cls"])
+    held = docs.select("doc_id", text_key(docs).alias("_key"), "text")
+    met = held.join(wanted, held["doc_id"].eqNullSafe(wanted["rep"]) & (held["_key"] == wanted["key"]))
+    met = met.select("cls", "cluster", "size", "text").dropDuplicates(["cls"])
     return met.mapInPandas(rows, "cls long, cluster long, size long, grams binary")
 
 
@@ -368,7 +375,9 @@ def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: i
     spark = docs.sparkSession
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     classes = written(table.filter("n > 0").groupBy("cls", "n").agg(
-        F.min("doc_id").alias("rep"), F.max("vec").alias("vec"), F.max("prefix").alias("prefix")), "classes")
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"),
+        F.max("vec").alias("vec"), F.max("prefix").alias("prefix")).select(
+        "cls", "n", F.col("first.doc_id").alias("rep"), F.col("first.key").alias("key"), "vec", "prefix"), "classes")
     # blocks: one shuffle by shingle, counted in place
     tokens = classes.select("cls", F.explode("prefix").alias("tok")).repartition(parallel, "tok")
     held = tokens.select("tok", "cls", F.count(F.lit(1)).over(Window.partitionBy("tok")).alias("n_cls"))
@@ -387,7 +396,7 @@ def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: i
     # clusters and their sets
     cluster = connected(chains).withColumnsRenamed({"id": "cls", "component_id": "cluster"})
     sizes = cluster.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"))
-    wanted = cluster.join(sizes, "cluster").join(classes.select("cls", F.col("rep").alias("doc_id")), "cls")
+    wanted = cluster.join(sizes, "cluster").join(classes.select("cls", "rep", "key"), "cls")
     sets = written(grams_of(docs, wanted), "grams")
     # inside chunks: a class is in one group, so its root there is its part
     chunks = F.ceil(F.col("size") / chunk).cast("int")

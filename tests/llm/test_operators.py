@@ -318,3 +318,17 @@ def test_stages_take_any_column(spark, odd):
     assert {(r["doc_id"], r["k0"], r["score"], r["lang_pred"]) for r in out.collect()} <= was
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, df, SF).count() >= 0, name
+
+
+def test_classes_bring_their_own_sets(spark):
+    a = prose(1, 120).split()
+    texts = [" ".join(a), " ".join(a + ["x1", "x2"]), " ".join(a + ["x1", "x2", "x3", "x4"]), prose(9, 120)]
+    rows = [(1, texts[0], "en", "s", 1), (None, texts[1], "en", "s", 1), (1, texts[3], "en", "s", 1),
+            (2, texts[2], "en", "s", 1), (3, prose(9, 120) + " y1", "en", "s", 1)]
+    got = [(r["doc_id"], r["component_id"]) for r in
+           jaccard_join.jaccard_components(spark.createDataFrame(rows, SCHEMA)).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1), (None, 1), (1, 1), (2, 1), (3, 1)], key=str)
+    again = spark.createDataFrame([(None, texts[0] + " q1", "en", "s", 1), (7, texts[0], "en", "s", 1),
+                                   (7, prose(5, 90), "en", "s", 1), (8, prose(5, 90) + " z", "en", "s", 1)], SCHEMA)
+    parts = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard_join.jaccard_components(again).collect()}
+    assert len(parts) == 4 and set(parts.values()) == {7}
