@@ -17,8 +17,8 @@ stratum by summing the tail in logarithms.
 Everything is DataFrame functions: words are split once per row, three-word
 windows are sorted inside the row, nothing is exploded.  The thresholds table
 has one row per stratum that can certify anything; such a stratum holds at
-least ln(error / tests) / ln(1 - risk) labelled documents, and ``max_strata``
-(the largest ones) bounds the broadcast.
+least ln(error / tests) / ln(1 - risk) labelled documents.  It is joined by stratum
+and salt, so a hot stratum's rows are spread; Spark broadcasts it where it is small.
 
 Results for odd input: NULL and empty texts have no words and fail the base
 rules; a NULL stratum is a stratum of its own; repeated rows get equal
@@ -118,7 +118,7 @@ def allowed_rejections(n: Column, risk: float, log_level: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0).cast("long"), reach), start, step)["k"]
 
 
-def thresholds(holdout: DataFrame, risk: float, error: float, max_strata: int) -> DataFrame:
+def thresholds(holdout: DataFrame, risk: float, error: float) -> DataFrame:
     """(stratum, cut_<rule>..): certified cutoffs, NULL where none is.
 
     ``holdout``: measured rows of good documents that pass the base rules.
@@ -134,18 +134,20 @@ def thresholds(holdout: DataFrame, risk: float, error: float, max_strata: int) -
         F.col("n"), risk / len(MEASURES), F.lit(math.log(error / tests))))
     cuts = [F.coalesce(*[F.when(F.col(f"{r}_{c}") <= F.col("k"), F.lit(c)) for c in grid]).alias(f"cut_{r}")
             for r, grid in MEASURES.items()]
-    return allowed.filter("k >= 0").orderBy(F.col("n").desc(), "stratum").limit(max_strata).select("stratum", *cuts)
+    return allowed.filter("k >= 0").select("stratum", *cuts)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
-                  error: float = 0.05, max_strata: int = 10000) -> DataFrame:
+                  error: float = 0.05, salts: int = 32) -> DataFrame:
     """Per row: doc_id, the counts, base_failed, kept and the verdict of each rule."""
     rows = written(measured(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), ["doc_id", "stratum"]), "measured")
     good = labels.filter("quality = 1").select("doc_id").distinct()
     holdout = rows.filter(~base_failed()).join(good, "doc_id", "left_semi")
-    cuts = thresholds(holdout, risk, error, max_strata)
-    cuts = cuts.withColumnRenamed("stratum", "s")
-    out = rows.join(F.broadcast(cuts), rows["stratum"].eqNullSafe(cuts["s"]), "left")
+    cuts = thresholds(holdout, risk, error)
+    # a hot stratum's rows meet copies of its cutoffs in as many tasks
+    cuts = cuts.withColumnRenamed("stratum", "s").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(salts)).cast("int")
+    out = rows.join(cuts, rows["stratum"].eqNullSafe(cuts["s"]) & (salt == cuts["salt"]), "left")
     out = out.withColumn("base_failed", base_failed())
     hits = [F.coalesce(exceeds(r, F.col(f"cut_{r}")), F.lit(False)).alias(f"hit_{r}") for r in MEASURES]
     out = out.select("doc_id", *COUNTS, "base_failed", *hits)

@@ -332,3 +332,10 @@ def test_classes_bring_their_own_sets(spark):
                                    (7, prose(5, 90), "en", "s", 1), (8, prose(5, 90) + " z", "en", "s", 1)], SCHEMA)
     parts = {(r["doc_id"], r["n_shingles"]): r["component_id"] for r in jaccard_join.jaccard_components(again).collect()}
     assert len(parts) == 4 and set(parts.values()) == {7}
+
+
+def test_every_stratum_has_its_cutoffs(spark):
+    n = 10050
+    holdout = spark.range(n * 60).selectExpr(f"CAST(id % {n} AS string) AS stratum", *[f"100L AS {c}" for c in quality_rules.COUNTS])
+    cuts = quality_rules.thresholds(holdout, 0.99, 0.5)
+    assert cuts.count() == n
