@@ -30,13 +30,15 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import ensure_checkpoint_dir
-from .common import written
+from .common import quoted, written
 from .lexicon import Lexicon, compile_lexicon
 
 # the vocabulary's word pattern; \x1c-\x1f are white space to Python, not to the vocabulary
@@ -264,16 +266,18 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep: list[str], dec
         coder = Encoder(Vocabulary(json.loads(spec.value)), Lexicon.open(SparkFiles.get(name)))
         gc.freeze()  # the tables live as long as the task: no cycles to look for in them
         gc.set_threshold(200_000, 50, 1000)
-        for pdf in batches:
-            texts = [t or "" for t in pdf["text"]]
+        for b in batches:
+            texts = [t or "" for t in b.column(len(keep)).to_pylist()]
             for i, j in text_slices(texts):
                 ids = coder.encode(texts[i:j])
-                out = pdf[keep].iloc[i:j].copy()
-                out["n_tokens"], out["ids"] = [len(x) // 4 for x in ids], ids
+                cols = [pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())]
                 if decode:
-                    out["decoded"] = [coder.decode(x) for x in ids]
-                yield out
-
-    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
-    return docs.select(*dict.fromkeys([*keep, "text"])).mapInPandas(
-        rows, f"{kinds}, n_tokens long, ids binary" + ", decoded string" * decode)
+                    cols.append(pa.array([coder.decode(x) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays([*[c.slice(i, j - i) for c in b.columns[:len(keep)]], *cols],
+                                                 names=kinds.names)
+
+    kinds = StructType([StructField(c, docs.schema[c].dataType) for c in keep])  # Arrow, as pandas rounds ids beside a NULL
+    kinds = kinds.add("n_tokens", "long").add("ids", "binary")
+    if decode:
+        kinds = kinds.add("decoded", "string")
+    return docs.select(*[quoted(c) for c in keep], F.col("text").alias("_text")).mapInArrow(rows, kinds)

@@ -33,6 +33,16 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def id_text(df: DataFrame) -> DataFrame:
+    """doc_id as text: pandas would hold a batch's ids as floats where one is NULL."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("string"))
+
+
+def id_long(df: DataFrame) -> DataFrame:
+    """doc_id as a number again."""
+    return df.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def id_remainder(col: Column, m: int) -> Column:
     """crc32 of the id written as text, modulo ``m`` (a NULL id counts as empty text)."""
     return (F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % m).cast("int")

@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import top_k_per_key
-from .common import connected, written
+from .common import connected, id_long, id_text, written
 from .wordhash import WordHasher, mix
 
 SHINGLE, PERCENT = 5, 75
@@ -256,10 +256,10 @@ def sets_table(docs: DataFrame) -> DataFrame:
                     out.append((d, k, n, cls, s[:n - needed(n) + 1 + n // SPARE].view(np.int64), count_vector(s).astype("<u2").tobytes()))
                 else:
                     out.append((d, k, n, cls, None, None))
-            yield pd.DataFrame(out, columns=["doc_id", "key", "n", "cls", "prefix", "vec"]).astype({"doc_id": "Int64"})
+            yield pd.DataFrame(out, columns=["doc_id", "key", "n", "cls", "prefix", "vec"])
 
-    return docs.select("doc_id", text_key(docs).alias("key"), "text").mapInPandas(
-        rows, "doc_id long, key long, n long, cls long, prefix array<long>, vec binary")
+    return id_long(id_text(docs.select("doc_id", text_key(docs).alias("key"), "text")).mapInPandas(
+        rows, "doc_id string, key long, n long, cls long, prefix array<long>, vec binary"))
 
 
 def chunk_pairs(df: DataFrame, key: str, size: str, item: str, chunk: int) -> DataFrame:

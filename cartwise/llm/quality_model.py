@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, full_text, id_remainder, written
+from .common import SPACES, full_text, id_long, id_remainder, id_text, written
 
 FOLDS, HELD = 3, 1
 
@@ -199,6 +199,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, max_rows: int = 20000) ->
             s = model.score(pdf[FEATURES].to_numpy(float).reshape(-1, len(FEATURES)))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": s})
 
-    out = rows.mapInPandas(score_rows, "doc_id long, score double")
+    out = id_long(id_text(rows.select("doc_id", *FEATURES)).mapInPandas(score_rows, "doc_id string, score double"))
     return out.select("doc_id", (id_remainder(F.col("doc_id"), FOLDS) == HELD).alias("held_out"), "score",
                       (F.col("score") >= 0.5).cast("int").alias("predicted"))

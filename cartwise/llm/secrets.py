@@ -29,6 +29,8 @@ from bisect import bisect_right
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from .common import id_long, id_text
+
 KINDS = ("assign", "access", "hex", "entropy")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""",
                     re.ASCII | re.IGNORECASE)
@@ -120,7 +122,7 @@ def secret_scan(docs: DataFrame) -> DataFrame:
                 out.append((d, n["assign"], n["access"], n["hex"],
                             hashlib.sha256(written_spans(base).encode()).hexdigest(), written_spans(spans), n["entropy"]))
             yield pd.DataFrame(out, columns=["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans",
-                                             "n_entropy"]).astype({"doc_id": "Int64"})
+                                             "n_entropy"])
 
-    return docs.select("doc_id", "text").mapInPandas(
-        rows, "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long")
+    return id_long(id_text(docs.select("doc_id", "text")).mapInPandas(
+        rows, "doc_id string, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_entropy long"))

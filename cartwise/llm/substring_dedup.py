@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import text_slices
-from .common import written
+from .common import id_long, id_text, written
 from .wordhash import WordHasher, sliding
 
 WINDOW, PHRASE = 50, 8
@@ -205,11 +205,12 @@ def first_pass(docs: DataFrame, marks: DataFrame, write) -> DataFrame:
                 for (d, words), drop in zip(waiting, shard.locate()):
                     kept = [w for w, x in zip(words, drop) if not x]
                     out.append((d, len(words), len(words) - len(kept), write(kept), None, None, None, None, None))
-                yield pd.DataFrame(out, columns=RESULT + PENDING).astype({"doc_id": "Int64"})
+                yield pd.DataFrame(out, columns=RESULT + PENDING)
 
     met = docs.select("doc_id", "text").join(marks, docs["doc_id"] == marks["id"], "left").drop("id")
-    return met.mapInPandas(rows, "doc_id long, n_words long, n_removed long, kept string, text string, "
-                                 "at array<long>, first array<long>, w1 array<long>, w2 array<long>")
+    return id_long(id_text(met).mapInPandas(
+        rows, "doc_id string, n_words long, n_removed long, kept string, text string, "
+              "at array<long>, first array<long>, w1 array<long>, w2 array<long>"))
 
 
 def second_pass(pending: DataFrame, found: DataFrame, write) -> DataFrame:

@@ -339,3 +339,18 @@ def test_every_stratum_has_its_cutoffs(spark):
     holdout = spark.range(n * 60).selectExpr(f"CAST(id % {n} AS string) AS stratum", *[f"100L AS {c}" for c in quality_rules.COUNTS])
     cuts = quality_rules.thresholds(holdout, 0.99, 0.5)
     assert cuts.count() == n
+
+
+def test_large_ids_beside_a_null_id(spark):
+    big = (1 << 53) + 1
+    rows = [(None, prose(4, 60), "en", "s", 1), (big, prose(1, 120), "en", "s", 1),
+            (big + 2, prose(1, 120) + " x1", "en", "s", 1), (big + 4, prose(6, 50), "de", "s", 1)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(1)
+    labels = spark.createDataFrame([(big, 1, 0), (big + 4, 0, 0)], "doc_id long, quality int, toxic int")
+    want = Counter(r[0] for r in rows)
+    for out in (bpe.encode_documents(df, queries.VOCABULARY, ["doc_id"]), secrets.secret_scan(df),
+                language_id.languages_of(df), quality_model.quality_scores(df, labels),
+                substring_dedup.drop_repeats(df), jaccard_join.jaccard_components(df)):
+        assert Counter(r["doc_id"] for r in out.select("doc_id").collect()) == want, out.columns
+    parts = {r["doc_id"]: r["component_id"] for r in jaccard_join.jaccard_components(df).collect()}
+    assert parts[big] == parts[big + 2] == big
