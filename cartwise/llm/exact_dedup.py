@@ -1,10 +1,10 @@
-"""Exact dedup (operator 5): tree-merge of sorted digest runs.
+"""Exact dedup (operator 5): tree-merge of digest runs by hash aggregation.
 
-Each input partition becomes one *run*: its rows' digests, sorted, one entry
+Each input partition becomes one *run*: one entry
 per distinct digest with the identifier that stays and a count.  Runs are
 exchanged in rounds of a binomial tree: in a round, the runs whose number
-agrees above the next ``levels`` bits meet (2**levels of them), are merged in
-sorted order, and leave one run that again holds one entry per digest.  The
+agrees above the next ``levels`` bits meet (2**levels of them), are merged by
+a hash aggregate (which stands in for a merge of sorted runs), and leave one run that again holds one entry per digest.  The
 digest space is cut into ``ranges``, and a run is exchanged range by range,
 so no task ever holds more than one range of 2**levels runs; a text with
 any number of copies is one entry per run, whatever its count.  The last
@@ -38,7 +38,7 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def merge_round(runs: DataFrame, shift: int) -> DataFrame:
-    """One round: runs agreeing above ``shift`` bits are merged per digest range, in digest order."""
+    """One round: runs agreeing above ``shift`` bits are merged per digest range by a hash aggregate."""
     met = runs.withColumn("run", F.shiftright("run", shift))
     return met.groupBy("part", "run", *KEY).agg(F.max("keep_id").alias("keep_id"), F.sum("n").alias("n"))
 
