@@ -3,12 +3,12 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
-from cartwise.session import build_session  # noqa: E402
+from paths import SF_SMALL  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_CHECK = "/root/testdata/sf0.01"
+from cartwise.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

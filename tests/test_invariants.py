@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from cartwise.plans import catalog
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 SF = "/root/testdata/sf0.01"
 

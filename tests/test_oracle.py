@@ -5,7 +5,7 @@ import pytest
 from cartwise.plans import catalog, oracle
 from cartwise.plans.check import compare
 
-from conftest import SF_CHECK, SF_SMALL
+from paths import SF_CHECK, SF_SMALL
 
 # queries without a SQL form, checked against brute force elsewhere
 NO_ORACLE = {"fuzzy_names_indel"}

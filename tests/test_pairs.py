@@ -9,7 +9,7 @@ from cartwise.operators.pairs import pair_top_n
 from cartwise.operators.similar import active, similar_products
 from cartwise.sources.fixtures import Fixtures
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _rows(df):

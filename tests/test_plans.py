@@ -7,7 +7,7 @@ import pytest
 
 from cartwise.plans import catalog
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def _plan(df) -> str:

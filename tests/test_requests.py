@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cartwise.operators import ages, replies, similar
 from cartwise.sources.fixtures import Fixtures
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_reply_content_and_attach(spark):

@@ -8,7 +8,7 @@ from cartwise.plans import jobs
 from cartwise.sources import sinks
 from cartwise.sources.fixtures import Fixtures
 
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_batches_and_quarantine(spark):
