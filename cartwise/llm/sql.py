@@ -49,4 +49,66 @@ FROM w LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = w.doc_id
 GROUP BY w.doc_id, n
 """
 
-ORACLE = {"op4_substring_dedup": OP4, "op5_exact_dedup": OP5, "op10_jaccard_join": OP10}
+CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+    lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
+
+
+def _field(x: str) -> str:
+    return f"coalesce(strlen({x}::VARCHAR)::VARCHAR || ':' || {x}::VARCHAR, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+OP13 = f"""
+WITH RECURSIVE leaf AS (
+  SELECT doc_id, source, {_leaf('text')} AS h,
+         CASE WHEN xor({CRC}, 4294967295) % 5 = 0 THEN {_leaf(SMALL)} ELSE {_leaf('text')} END AS seen
+  FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, h) - 1 AS r,
+         count(*) OVER (PARTITION BY source) AS n FROM leaf),
+node AS (
+  SELECT source AS g, 0 AS lvl, r AS i, h, n FROM placed
+  UNION ALL
+  SELECT g, lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16
+  FROM node WHERE n > 1 GROUP BY g, lvl, i // 16, n),
+sub AS (
+  SELECT g, h, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS r, count(*) OVER () AS n FROM node WHERE n = 1),
+high AS (
+  SELECT 0 AS lvl, r AS i, h, n FROM sub
+  UNION ALL
+  SELECT lvl + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)), (n + 15) // 16
+  FROM high WHERE n > 1 GROUP BY lvl, i // 16, n),
+run AS (
+  SELECT g, 0 AS tree, lvl, i // 16 AS p, list(h ORDER BY i) AS hs FROM node WHERE n > 1 GROUP BY g, lvl, i // 16
+  UNION ALL
+  SELECT NULL, 1, lvl, i // 16, list(h ORDER BY i) FROM high WHERE n > 1 GROUP BY lvl, i // 16),
+depth AS (SELECT range AS lvl, 1::BIGINT << CAST(4 * range AS INT) AS w FROM range(15)),
+step AS (
+  SELECT p.source, p.doc_id, p.r, run.tree, run.lvl, run.hs, (p.r // d.w) % 16 AS k
+  FROM placed p CROSS JOIN depth d JOIN run
+    ON run.tree = 0 AND run.g IS NOT DISTINCT FROM p.source AND run.lvl = d.lvl AND run.p = p.r // (d.w * 16)
+  UNION ALL
+  SELECT p.source, p.doc_id, p.r, run.tree, run.lvl, run.hs, (sub.r // d.w) % 16
+  FROM placed p JOIN sub ON sub.g IS NOT DISTINCT FROM p.source CROSS JOIN depth d JOIN run
+    ON run.tree = 1 AND run.lvl = d.lvl AND run.p = sub.r // (d.w * 16)),
+path AS (
+  SELECT source, doc_id, r,
+         list({{'l': coalesce(array_to_string(hs[1:k], ''), ''), 'r': coalesce(array_to_string(hs[k + 2:], ''), '')}}
+              ORDER BY tree, lvl) AS steps
+  FROM step GROUP BY source, doc_id, r),
+done AS (
+  SELECT p.doc_id, p.h AS leaf, sub.h AS subroot, (SELECT h FROM high WHERE n = 1) AS root,
+         sha256(coalesce(array_to_string(list_transform(steps, lambda x: x.l || x.r), ''), '')) AS proof_sha256,
+         list_reduce(list_prepend({{'l': '', 'r': p.seen}}, coalesce(steps, [])),
+                     lambda a, x: {{'l': '', 'r': sha256(x.l || a.r || x.r)}}).r AS folded_root
+  FROM placed p JOIN sub ON sub.g IS NOT DISTINCT FROM p.source
+  LEFT JOIN path ON path.source IS NOT DISTINCT FROM p.source AND path.r = p.r)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done
+"""
+
+ORACLE = {"op4_substring_dedup": OP4, "op5_exact_dedup": OP5, "op10_jaccard_join": OP10, "op13_merkle_manifest": OP13}
