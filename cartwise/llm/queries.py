@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (bpe, exact_dedup, jaccard_join, language_id, merkle, mixing, quality_model, quality_rules, secrets,
-               sharding, substring_dedup)
+from . import (bpe, exact_dedup, jaccard_join, language_id, merkle, minhash, mixing, quality_model, quality_rules,
+               secrets, sharding, substring_dedup, whitening)
 from .common import read_documents, read_labels
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -57,10 +57,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_documents(spark, sf_dir))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_components(read_documents(spark, sf_dir))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified_manifest(read_documents(spark, sf_dir))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_quality_model, op3_quality_rules, op4_substring_dedup, op5_exact_dedup, op6_sharding,
-    op7_language_id, op8_secrets, op9_mixing, op10_jaccard_join, op13_merkle_manifest)}
+    op7_language_id, op8_secrets, op9_mixing, op10_jaccard_join, op11_whitening, op12_minhash,
+    op13_merkle_manifest)}

@@ -49,6 +49,9 @@ FROM w LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = w.doc_id
 GROUP BY w.doc_id, n
 """
 
+OP12 = (OP10.replace("100 * count(*) >= 75", "100 * count(*) >= 85")
+        .replace("min(reach.c) AS component_id", "min(reach.c) AS component_id, w.doc_id = min(reach.c) AS kept"))
+
 CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
   lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
     lambda a, k: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"""
@@ -111,4 +114,4 @@ done AS (
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM done
 """
 
-ORACLE = {"op4_substring_dedup": OP4, "op5_exact_dedup": OP5, "op10_jaccard_join": OP10, "op13_merkle_manifest": OP13}
+ORACLE = {"op4_substring_dedup": OP4, "op5_exact_dedup": OP5, "op10_jaccard_join": OP10, "op12_minhash": OP12, "op13_merkle_manifest": OP13}
