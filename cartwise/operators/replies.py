@@ -5,30 +5,19 @@ as tables: Spark builds one request row per distinct request key, replies
 come back as a (request key, text) table, and parsing plus name resolution
 run here as joins.
 
-Fuzzy matching (J15) never compares all pairs.  Candidates come from a
-prefix filter on character bigrams that is lossless for the cutoff:
-
-* names are normalised and token-sorted; score = 100 * (L - lev) / L with
-  L = the longer length, so score >= c needs lev <= d(L) = floor((100-c)L/100);
-* two strings within edit distance k share >= L - 1 - 2k bigrams (q-gram
-  lemma, q = 2), so a lower bound t of that overlap holds for every valid
-  partner of a string of length n (L ranges over [n, n * 100 / c]);
-* under one global order of bigram tokens (rarest first), two sets sharing
-  >= t tokens share a token among their first |set| - t + 1 ones (prefix
-  filter).  Only those prefix tokens are joined; rare tokens come first, so
-  blocks stay small.  Exact edit distances are computed on the candidates.
+Fuzzy matching (J15) is :mod:`cartwise.operators.fuzzy`.
 """
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.replies import attribute_list, name_list, product_list
-from ..functions.text import before_marker, strip, token_sort
+from ..functions.text import before_marker, strip
 from ..sources import literals as L
 from ..session import ensure_checkpoint_dir
+from .fuzzy import fuzzy_best
 from .keys import first_per_key, top_k_per_key
 from .similar import normalize_weights
 
@@ -98,106 +87,6 @@ def parse_name_replies(replies: DataFrame, key: str = "request_id", text: str =
     return replies.select(key, F.posexplode(name_list(F.col(text))).alias("pos", "name"))
 
 
-# -- J15 fuzzy join ------------------------------------------------------------------------
-def _make_lcs():
-    # Built inside a closure so that cloudpickle ships the code to the
-    # Python workers by value: executors need no installed package for the
-    # one Python UDF of the library.
-    def lcs_length(a: str, b: str) -> int:
-        """Length of the longest common subsequence (bit-parallel, one big-int
-        step per character of ``b``)."""
-        if not a or not b:
-            return 0
-        masks: dict = {}
-        for i, ch in enumerate(a):
-            masks[ch] = masks.get(ch, 0) | (1 << i)
-        full = (1 << len(a)) - 1
-        v = full
-        for ch in b:
-            u = v & masks.get(ch, 0)
-            v = ((v + u) | (v - u)) & full
-        return len(a) - bin(v).count("1")
-    return lcs_length
-
-
-lcs_length = _make_lcs()
-
-
-def _lcs_udf():
-    lcs_fn = lcs_length
-
-    @F.pandas_udf("int")
-    def lcs(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([lcs_fn(x, y) for x, y in zip(a, b)], dtype="int32")
-    return lcs
-
-
-def fuzzy_best(queries: DataFrame, choices: DataFrame, cutoff: int = L.FUZZY_CUTOFF,
-               qid: str = "qid", qtext: str = "query", ctext: str = "name",
-               metric: str = "levenshtein") -> DataFrame:
-    """Best choice per query with token-sorted score >= cutoff.
-
-    ``metric="levenshtein"``: score = 100 * (L - lev) / L, L the longer
-    length (native ``levenshtein``).  ``metric="indel"``: the ratio of the
-    original matcher, 100 * 2 * LCS / (l1 + l2); the LCS length runs in an
-    Arrow-batched pandas UDF on the blocked candidate pairs only.
-    Returns (qid, name, score rounded to 4); best by score, then name.
-    Queries without a match are absent.
-    """
-    q = queries.select(qid, token_sort(F.col(qtext)).alias("_s")).filter(F.length("_s") > 0)
-    c = choices.select(F.col(ctext).alias("_name")).filter(F.col("_name").isNotNull()).distinct()
-    c = c.select("_name", token_sort(F.col("_name")).alias("_s")).filter(F.length("_s") > 0)
-    qs = q.select(F.col("_s")).distinct()
-    cs = c.select(F.col("_s")).distinct()
-    strings = qs.select("_s", F.lit(True).alias("_q"), F.lit(False).alias("_c")).unionByName(
-        cs.select("_s", F.lit(False).alias("_q"), F.lit(True).alias("_c")))
-    strings = strings.groupBy("_s").agg(F.max("_q").alias("_q"), F.max("_c").alias("_c"))
-    n = F.length("_s")
-    if metric == "indel":
-        # partner length <= n (200 - c) / c; indel distance <= (100 - c)(n + that) / 100
-        dmax = F.floor((n + F.floor(n * (200 - cutoff) / cutoff)) * (100 - cutoff) / 100)
-    else:
-        dmax = F.floor(F.floor(n * 100 / cutoff) * (100 - cutoff) / 100)
-    strings = strings.withColumn("_p", (2 * dmax + 1).cast("int"))
-    # bigrams of each string with their occurrence number inside it (1st,
-    # 2nd, ... "ab"), computed on the string's own array: no shuffle
-    arr = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
-                      lambda i: F.substring(F.col("_s"), i, 2))
-    tokens = F.transform(arr, lambda g, i: F.struct(
-        g.alias("_g"), (F.size(F.filter(F.slice(arr, 1, i), lambda y: y == g)) + 1).alias("_k")))
-    grams = strings.select("_s", "_q", "_c", "_p", F.explode(tokens).alias("_t"))
-    grams = grams.select("_s", "_q", "_c", "_p", "_t._g", "_t._k").filter(F.length("_g") == 2)
-    # token frequencies by aggregate (partial, map-side), not by a window:
-    # a common bigram would otherwise put all its rows in one task
-    freq = grams.groupBy("_g", "_k").agg(F.count(F.lit(1)).alias("_f"))
-    grams = grams.join(freq, ["_g", "_k"])
-    rarest = Window.partitionBy("_s").orderBy(F.col("_f").asc(), F.col("_g").asc(), F.col("_k").asc())
-    prefix = grams.withColumn("_r", F.row_number().over(rarest)).filter(F.col("_r") <= F.col("_p"))
-    qp = prefix.filter("_q").select(F.col("_s").alias("_qs"), "_g", "_k")
-    cp = prefix.filter("_c").select(F.col("_s").alias("_cs"), "_g", "_k")
-    pairs = qp.join(cp, ["_g", "_k"]).select("_qs", "_cs").distinct()
-    # strings too short for any bigram can only match exactly (d = 0)
-    short = strings.filter(F.length("_s") < 2)
-    pairs = pairs.unionByName(short.filter(F.col("_q") & F.col("_c")).select(F.col("_s").alias("_qs"), F.col("_s").alias("_cs")))
-    if metric == "indel":
-        # distance = l1 + l2 - 2 LCS over L = l1 + l2 gives the same formulas below
-        big = F.length("_qs") + F.length("_cs")
-        pairs = pairs.filter(F.abs(F.length("_qs") - F.length("_cs")) * 100 <= (100 - cutoff) * big)
-        dist = big - 2 * _lcs_udf()(F.col("_qs"), F.col("_cs"))
-    else:
-        big = F.greatest(F.length("_qs"), F.length("_cs"))
-        pairs = pairs.filter(F.abs(F.length("_qs") - F.length("_cs")) * 100 <= (100 - cutoff) * big)
-        dist = F.levenshtein("_qs", "_cs")
-    pairs = pairs.withColumn("_lev", dist).withColumn("_L", big)
-    pairs = pairs.filter((F.col("_L") - F.col("_lev")) * 100 >= cutoff * F.col("_L"))
-    hits = (q.join(pairs.withColumnRenamed("_qs", "_s"), "_s")
-            .join(c.withColumnRenamed("_s", "_cs"), "_cs")
-            .withColumn("_ratio", F.col("_lev") / F.col("_L")))
-    best = first_per_key(hits, qid, [F.col("_ratio").asc(), F.col("_name").asc()])
-    return best.select(qid, F.col("_name").alias(ctext),
-                       F.round(100.0 * (F.col("_L") - F.col("_lev")) / F.col("_L"), 4).alias("score"))
-
-
 # -- J16 name resolution --------------------------------------------------------------------
 def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CUTOFF,
                   key: str = "request_id", fuzzy: bool = True, metric: str = "levenshtein",

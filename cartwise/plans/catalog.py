@@ -16,6 +16,7 @@ from ..operators import affinity as af
 from ..operators import ages as ag
 from ..operators import blend as bl
 from ..operators import frequency as fq
+from ..operators import fuzzy as fz
 from ..operators import impute as im
 from ..operators import keys
 from ..operators import replies as rp
@@ -399,10 +400,10 @@ def resolve_names(spark, sf_dir):
 
 @query
 def fuzzy_names(spark, sf_dir):
-    """Misspelt names matched to catalog names, lossless blocking."""
+    """Misspelt names matched to catalog names through the segment index."""
     fx = Fixtures(spark, sf_dir)
     q = fx.misspelt().select(F.col("product_id").alias("qid"), F.col("query_name").alias("query"))
-    best = rp.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")))
+    best = fz.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")))
     return q.join(best, "qid").select(F.col("qid").alias("product_id"), F.col("query").alias("query_name"),
                                       F.col("name").alias("matched_name"), "score")
 
@@ -446,11 +447,10 @@ def customer_range(spark, sf_dir):
 
 @query
 def fuzzy_names_indel(spark, sf_dir):
-    """J15 with the original matcher's InDel ratio (D8).  DuckDB has no LCS
-    function, so this one has no oracle; tests compare it with brute force."""
+    """J15 with the original matcher's InDel ratio (D8); its SQL folds the edit matrix over arrays."""
     fx = Fixtures(spark, sf_dir)
     q = fx.misspelt().select(F.col("product_id").alias("qid"), F.col("query_name").alias("query"))
-    best = rp.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")), metric="indel")
+    best = fz.fuzzy_best(q, fx.catalog().select(F.col("product_name").alias("name")), metric="indel")
     return q.join(best, "qid").select(F.col("qid").alias("product_id"), F.col("query").alias("query_name"),
                                       F.col("name").alias("matched_name"), "score")
 

@@ -591,6 +591,30 @@ ORACLE["fuzzy_names"] = with_fx(f"""
     QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY lev / l, matched_name) = 1
 """, "fx_misspelt", "fx_catalog")
 
+# edit matrix of the InDel ratio, row by row over the characters of qn, cell by cell over those of cn;
+# a pair beyond the cutoff by Levenshtein is beyond it by InDel (which allows no replacement)
+ORACLE["fuzzy_names_indel"] = with_fx(f"""
+    WITH q AS (SELECT product_id, query_name, {NORM.format(x='query_name')} AS qn FROM fx_misspelt),
+    c AS (SELECT DISTINCT product_name, {NORM.format(x='product_name')} AS cn FROM fx_catalog),
+    p AS (SELECT a.qn, b.cn, length(a.qn) + length(b.cn) AS l, string_split(b.cn, '') AS ys
+          FROM (SELECT DISTINCT qn FROM q) a CROSS JOIN (SELECT DISTINCT cn FROM c) b
+          WHERE levenshtein(a.qn, b.cn) * 100 <= 11 * (length(a.qn) + length(b.cn))),
+    d AS (SELECT qn, cn, l, list_reduce(
+            list_prepend({{'x': '', 'r': list_transform(range(len(ys) + 1), lambda i: 0)}},
+                         list_transform(string_split(qn, ''), lambda x: {{'x': x, 'r': []::INTEGER[]}})),
+            lambda above, here: {{'x': '', 'r': list_reduce(
+                list_prepend({{'y': '', 'j': 0, 'r': [0]}},
+                             list_transform(range(1, len(ys) + 1), lambda j: {{'y': ys[j], 'j': j::INTEGER, 'r': []::INTEGER[]}})),
+                lambda t, n: {{'y': '', 'j': n.j, 'r': list_append(t.r,
+                    CASE WHEN n.y = here.x THEN above.r[n.j] + 1 ELSE greatest(above.r[n.j + 1], t.r[n.j]) END)}}).r}}).r[-1] AS lcs
+          FROM p),
+    s AS (SELECT q.product_id, q.query_name, c.product_name AS matched_name, d.l, d.l - 2 * d.lcs AS gap
+          FROM q JOIN d USING (qn) JOIN c USING (cn))
+    SELECT product_id, query_name, matched_name, round(100.0 * (l - gap) / l, 4) AS score
+    FROM s WHERE (l - gap) * 100 >= 89 * l
+    QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY gap / l, matched_name) = 1
+""", "fx_misspelt", "fx_catalog")
+
 ORACLE["reply_products"] = with_fx("""
     WITH cat AS (SELECT CAST(product_id AS VARCHAR) AS code, product_name FROM fx_catalog),
     hit AS (

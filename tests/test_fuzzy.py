@@ -1,10 +1,11 @@
-"""The prefix-filtered fuzzy join loses no match against a full comparison."""
+"""The segment-indexed fuzzy join loses no match against a full comparison."""
 
 import random
 
 from pyspark.sql import functions as F
 
-from cartwise.operators.replies import fuzzy_best, resolve_names
+from cartwise.operators.fuzzy import candidate_pairs, fuzzy_best, numbered_strings
+from cartwise.operators.replies import resolve_names
 
 
 def lev(a, b):
@@ -84,7 +85,7 @@ def lcs_dp(a, b):
 
 
 def test_lcs_bit_parallel():
-    from cartwise.operators.replies import lcs_length
+    from cartwise.operators.fuzzy import lcs_length
     rnd = random.Random(5)
     for _ in range(500):
         a = "".join(rnd.choice("abcdé ") for _ in range(rnd.randint(0, 40)))
@@ -128,3 +129,36 @@ def test_fuzzy_indel_matches_brute_force(spark):
     got = {r.qid: r.name for r in fuzzy_best(qdf, cdf, metric="indel").collect()}
     assert got == expected
     assert len(expected) > 100
+
+
+def test_candidates_hold_every_match_and_little_else(spark):
+    """Every pair within the cutoff is a candidate; under 1 % of all pairs are, on names of one pattern."""
+    from cartwise.functions.text import token_sort
+    from cartwise.sources.fixtures import Fixtures
+    from paths import SF_CHECK
+    fx = Fixtures(spark, SF_CHECK)
+    q = fx.misspelt().select(token_sort("query_name").alias("_s")).distinct()
+    c = fx.catalog().select(token_sort("product_name").alias("_s")).distinct()
+    strings = numbered_strings(q, c)
+    text = {r.sid: r.s for r in strings.collect()}
+    total = q.count() * c.count()
+    for metric, cutoff in (("levenshtein", 89), ("indel", 89), ("levenshtein", 75), ("indel", 80)):
+        got = {(text[r.qid], text[r.cid]) for r in candidate_pairs(strings, cutoff, metric).collect()}
+        if cutoff == 89:
+            assert len(got) < 0.01 * total, (metric, len(got), total)
+        some = sorted(r._s for r in q.collect())[::40]
+        for a in some:
+            for b in (r._s for r in c.collect()[::3]):
+                big = len(a) + len(b) if metric == "indel" else max(len(a), len(b))
+                d = big - 2 * lcs_dp(a, b) if metric == "indel" else lev(a, b)
+                if (big - d) * 100 >= cutoff * big:
+                    assert (a, b) in got
+
+
+def test_fuzzy_on_empty_null_and_repeated_names(spark):
+    q = spark.createDataFrame([(1, None), (2, ""), (3, "  "), (4, "a"), (5, "a"), (6, "zz zz")], "qid int, query string")
+    c = spark.createDataFrame([("A",), ("a",), (None,), ("",), ("zz  ZZ",)], "name string")
+    for metric in ("levenshtein", "indel"):
+        got = sorted((r.qid, r.name, r.score) for r in fuzzy_best(q, c, metric=metric).collect())
+        assert got == [(4, "A", 100.0), (5, "A", 100.0), (6, "zz  ZZ", 100.0)]
+        assert fuzzy_best(q.limit(0), c, metric=metric).count() == 0 == fuzzy_best(q, c.limit(0), metric=metric).count()
