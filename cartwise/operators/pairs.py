@@ -18,8 +18,8 @@ split by their right-side frequency:
   own hot-key subsets of up to that size, extended level by level only
   while some right item holds the set (apriori pruning, lossless because
   every subset of an indexed set is indexed).  Right items with more hot keys
-  are grouped by their full hot-key *signature*; a left item is joined to
-  the groups and each group offers its first ``top_n + 1`` ids.
+  go through the posting lists of :mod:`postings`, read until nothing unread
+  can reach an item's best ``top_n``.
 * candidates get their full score from their own keys (a handful per item).
 
 Exactness: a right item holding all keys of a subset P scores at least the
@@ -27,8 +27,7 @@ weight of P with at least |P| shared keys (weights >= 0), so it ranks at or
 above every item whose overlap with ``a`` is exactly P; if an item is not
 among the first ``top_n + 1`` ids holding its overlap, ``top_n`` others
 (plus possibly ``a`` itself) rank above it.  A partner sharing a cold key
-is a cold pair and is scored in full anyway.  Signature groups follow the
-same argument with the overlap fixed by the group.
+is a cold pair and is scored in full anyway.
 """
 
 from __future__ import annotations
@@ -40,6 +39,7 @@ from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
 from .keys import top_k_per_key
+from .postings import top_by_sets
 
 DEFAULT_HOT_THRESHOLD = 32
 
@@ -49,7 +49,7 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
                partition: Sequence[str] = (), distinct_on: Sequence[str] = (),
                top_n: int = 1, hot_threshold: int = DEFAULT_HOT_THRESHOLD,
                tie_by_shared: bool = True, materialize: bool = True,
-               max_subset: int = 4) -> DataFrame:
+               max_subset: int = 4, trace: list | None = None) -> DataFrame:
     """Best ``top_n`` right items per (left item, right partition).
 
     ``left``: rows (left_id, *keys, [weight], *distinct_on); one row per
@@ -63,10 +63,11 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     argument then needs strictly positive weights.
     ``max_subset``: items with at most this many hot keys use the subset
     index (a right item adds 2^s - 1 entries, a left item looks up its
-    subsets of up to this size); items with more use signature groups.
+    subsets of up to this size); items with more use posting lists.
     ``materialize``: checkpoint the keyed left and right rows (shared
     checkpoint folder) — five branches read them, and their column sets
     differ, so Spark could not reuse one computation otherwise.
+    ``trace``: takes the numbers of pairs that posting lists scored, round by round.
     Returns (left_id, right_id, *partition, score double, shared bigint, pair_rank int).
     """
     a, b = left_id, right_id
@@ -77,6 +78,7 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     rk = right.select(b, *part, *ks, *dis).distinct()
     lk = lk.select(a, *ks, *[F.col(c).alias(f"_l_{c}") for c in dis], "_w")
     key = F.to_json(F.struct(*[F.col(c) for c in ks]))
+    field = F.xxhash64(*[F.col(c) for c in ks[:-1]]) if len(ks) > 1 else F.xxhash64(*ks)
 
     def allowed(df):
         cond = F.col(a) != F.col(b)
@@ -102,8 +104,8 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
         rk = rk.repartition(n, b).checkpoint(eager=True)
 
     # hot keys as single JSON strings: (a, _k, _w) and (b, _k)
-    lh = lk.filter(F.col("_hot")).select(a, key.alias("_k"), "_w", *[f"_l_{c}" for c in dis])
-    rh = rk.filter(F.col("_hot")).select(b, *part, *dis, key.alias("_k"))
+    lh = lk.filter(F.col("_hot")).select(a, key.alias("_k"), field.alias("_f"), "_w", *[f"_l_{c}" for c in dis])
+    rh = rk.filter(F.col("_hot")).select(b, *part, *dis, key.alias("_k"), field.alias("_f"))
 
     def with_hot_part(pairs: DataFrame) -> DataFrame:
         """Hot share of each (a, b): b's own hot keys met by a's hot keys."""
@@ -155,25 +157,23 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     sub_cands = with_hot_part(sub_cands.distinct()).select(
         a, b, *part, F.col("_hs").alias("score"), F.col("_hc").alias("shared"))
 
-    # signature groups for items with more hot keys
-    large = large.withColumn("_gk", F.to_json(F.struct(pk.alias("_pk"), F.col("_sig"))))
-    members = top_k_per_key(large.select("_gk", b, *part), ["_gk"], [F.col(b).asc()], top_n + 1)
-    gkeys = (large.select("_gk", *[F.col(c).alias(f"_g_{c}") for c in dis], "_sig").distinct()
-             .select("_gk", *[f"_g_{c}" for c in dis], F.explode("_sig").alias("_k")))
-    ag = lh.join(gkeys, "_k")
-    for c in dis:
-        ag = ag.filter(~F.col(f"_l_{c}").eqNullSafe(F.col(f"_g_{c}")))
-    ag = ag.groupBy(a, "_gk").agg(F.sum("_w").alias("_hs"), F.count(F.lit(1)).alias("_hc"))
-    sig_cands = (ag.join(members, "_gk").filter(F.col(a) != F.col(b))
-                 .select(a, b, *part, F.col("_hs").alias("score"), F.col("_hc").alias("shared")))
-
-    cands = cold.unionByName(sub_cands).unionByName(sig_cands)
+    order = [F.col("score").desc(), F.col("shared").desc(), F.col(b).asc()]
+    if not tie_by_shared:
+        order = [order[0], order[2]]
+    cands = cold.unionByName(sub_cands)
+    # items with more hot keys, if there are any
+    many = large.select(b, *part, *dis)
+    if many.limit(1).count():
+        wide = rh.join(many.select(b, *[F.col(c).alias(f"_m_{c}") for c in part + dis]), b)
+        for c in part + dis:
+            wide = wide.filter(F.col(c).eqNullSafe(F.col(f"_m_{c}")))
+        cands = cands.unionByName(top_by_sets(
+            lh.select(a, *ldis, F.col("_f").alias("f"), F.col("_k").alias("k"), F.col("_w").alias("w")),
+            wide.select(b, *part, *dis, F.col("_f").alias("f"), F.col("_k").alias("k")),
+            a, b, part, dis, top_n, order, trace))
     best = cands.groupBy(a, b, *part).agg(F.max(F.struct("score", "shared")).alias("_m"))
     # scores are sums of (rounded) weights: 9 digits make equal sums equal
     # whatever the summation order
     best = best.select(a, b, *part, F.round(F.col("_m.score"), 9).alias("score"),
                        F.col("_m.shared").cast("bigint").alias("shared"))
-    order = [F.col("score").desc(), F.col("shared").desc(), F.col(b).asc()]
-    if not tie_by_shared:
-        order = [order[0], order[2]]
     return top_k_per_key(best, [a, *part], order, top_n, rank_col="pair_rank")

@@ -60,3 +60,48 @@ def test_pair_top_n_against_brute_force(spark, max_subset):
     expected = sorted((a, b, part, -s, -c) for (a, part), v in best.items() for (s, c, b) in sorted(v)[:2])
     got_rows = sorted((r.a, r.b, r.part, r.score, r.shared) for r in got.collect())
     assert got_rows == expected
+
+
+def test_many_hot_keys_are_exact_and_bounded(spark):
+    """15 properties of 5 values: brute force, and few pairs scored for each result row."""
+    rnd, n, top = random.Random(8), 500, 10
+    held = {a: [(p, rnd.randint(0, 4)) for p in range(15)] for a in range(n)}
+    held |= {n + i: held[7] for i in range(30)}  # a group of copies
+    rows = [(a, p, v) for a, ks in held.items() for p, v in ks]
+    left = spark.createDataFrame(rows, "a int, p int, v int")
+    right = left.withColumnRenamed("a", "b")
+    trace = []
+    got = pair_top_n(left, right, ["p", "v"], top_n=top, trace=trace)
+    want = []
+    for a, ks in held.items():
+        mine = set(ks)
+        near = sorted((-len(mine & set(other)), b) for b, other in held.items() if b != a and mine & set(other))
+        want += [(a, b, float(-s), -s, i + 1) for i, (s, b) in enumerate(near[:top])]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert sum(trace) < 25 * len(held) * top and sum(trace) < len(held) ** 2 / 2, trace
+
+
+@pytest.mark.parametrize("tie_by_shared", [True, False])
+def test_weights_partitions_and_brands_of_many_hot_keys(spark, tie_by_shared):
+    rnd, n = random.Random(9), 70
+    info = {i: (rnd.choice([1, 2, None]), rnd.choice(["x", "y", None])) for i in range(n)}
+    held = {i: {(p, rnd.randint(0, 2)) for p in range(rnd.randint(5, 12))} for i in range(n)}
+    weight = {(p, v): round(rnd.random() + 0.01, 3) for p in range(12) for v in range(3)}
+    left = spark.createDataFrame([(i, p, v, weight[p, v], info[i][0]) for i in held for p, v in held[i]],
+                                 "a int, p int, v int, w double, brand int")
+    right = spark.createDataFrame([(i, info[i][1], p, v, info[i][0]) for i in held for p, v in held[i]],
+                                  "b int, part string, p int, v int, brand int")
+    got = pair_top_n(left, right, ["p", "v"], weight="w", partition=["part"], distinct_on=["brand"], top_n=3,
+                     hot_threshold=3, max_subset=2, tie_by_shared=tie_by_shared)
+    want = []
+    for a in held:
+        by = {}
+        for b in held:
+            both = held[a] & held[b]
+            if a != b and info[a][0] != info[b][0] and both:
+                s = round(sum(weight[k] for k in both), 9)
+                by.setdefault(info[b][1], []).append((-s, -len(both), b) if tie_by_shared else (-s, 0, b, len(both)))
+        for part, rows in by.items():
+            for r in sorted(rows)[:3]:
+                want.append((a, r[2], part, -r[0], -r[1] if tie_by_shared else r[3]))
+    assert sorted(((r.a, r.b, r.part, r.score, r.shared) for r in got.collect()), key=str) == sorted(want, key=str)
