@@ -146,6 +146,30 @@ def row_numbers(df: DataFrame, order: Sequence[str], name: str = "row_no") -> Da
     return out.withColumn(name, F.col("_off") + local).drop("_pid", "_mid", "_off")
 
 
+def group_positions(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "pos",
+                    size: str = "n") -> DataFrame:
+    """0-based position ``name`` inside each group by ``order``, and the group's row count ``size``.
+
+    As :func:`row_numbers`, but per group: a group of any size spreads over
+    the range partitions it covers.  A partition's run of a group knows its
+    first position from the runs of the same group in earlier partitions,
+    one small row for each partition and group that meet.
+    """
+    ranged = (df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+              .withColumn("_mid", F.monotonically_increasing_id()).checkpoint(eager=True))
+    ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33))
+    runs = ranged.groupBy("_pid", *group).agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    whole = Window.partitionBy(*group)
+    runs = runs.select(F.col("_pid").alias("_run"), *[F.col(c).alias(f"_g_{c}") for c in group], "_first",
+                       (F.sum("_rows").over(whole.orderBy("_pid")) - F.col("_rows")).alias("_before"),
+                       F.sum("_rows").over(whole).alias(size))
+    same = F.col("_pid") == F.col("_run")
+    for c in group:
+        same = same & F.col(c).eqNullSafe(F.col(f"_g_{c}"))
+    out = ranged.join(runs, same).withColumn(name, F.col("_mid") - F.col("_first") + F.col("_before"))
+    return out.select(*df.columns, name, size)
+
+
 def batch_numbers(df: DataFrame, order: Sequence[str], size: int, name: str = "batch") -> DataFrame:
     """``batch = floor(row_no / size)`` over a global order."""
     out = row_numbers(df, order, "_row_no")

@@ -66,21 +66,6 @@ def attribute_requests(attributes: DataFrame, top_k: int = L.ATTRIBUTE_TOP_K,
     return g.select(group, F.size("_names").alias("n_attributes"), prompt.alias("prompt"))
 
 
-def similarity_requests(profiles: DataFrame, candidates: DataFrame,
-                        max_candidates: int = L.MAX_SIMILAR_CANDIDATES, all_targets: bool = True) -> DataFrame:
-    """One request per target: its profile text and up to ``max_candidates``
-    candidate texts, best deterministic candidates first (S10).  With
-    ``all_targets`` one without candidates gets a request with empty ``candidates``."""
-    c = top_k_per_key(candidates, "a", [F.col("pair_rank").asc()], max_candidates)
-    texts = profiles.select(F.col("product_code").alias("b"), F.col("text_for_llm").alias("_t"))
-    c = c.join(texts, "b")
-    g = c.groupBy("a").agg(F.array_sort(F.collect_list(F.struct("pair_rank", "_t"))).alias("_c"))
-    tgt = profiles.select(F.col("product_code").alias("a"), F.col("text_for_llm").alias("target_text"))
-    lines = F.array_join(F.transform("_c", lambda x: x["_t"]), "\n")
-    return tgt.join(g, "a", "left" if all_targets else "inner").select(F.col("a").alias("product_code"), "target_text",
-                                           F.coalesce(lines, F.lit("")).alias("candidates"))
-
-
 # -- R7 / F11 parsed names -------------------------------------------------------------------
 def parse_name_replies(replies: DataFrame, key: str = "request_id", text: str = "reply") -> DataFrame:
     """(request, reply) -> (request, pos, name), reply order kept."""

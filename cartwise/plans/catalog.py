@@ -20,6 +20,7 @@ from ..operators import fuzzy as fz
 from ..operators import impute as im
 from ..operators import keys
 from ..operators import replies as rp
+from ..operators import requests as rq
 from ..operators import similar as sm
 from ..operators import upsize as up
 from ..session import ensure_checkpoint_dir
@@ -457,11 +458,14 @@ def fuzzy_names_indel(spark, sf_dir):
 
 @query
 def request_similar(spark, sf_dir):
-    """One similarity request per product with a candidate: its profile and its ten best candidates'
-    profiles, as its SQL states; ``jobs.similar_job`` writes the whole requests (S10)."""
-    props = _active(Fixtures(spark, sf_dir))
-    return rp.similarity_requests(sm.product_profiles(props), sm.similar_products(props),
-                                  all_targets=False)
+    """One similarity request per product: its profile and up to 1000 others of its category."""
+    return rq.similarity_requests(sm.product_profiles(_active(Fixtures(spark, sf_dir))))
+
+
+@query
+def request_similar_other_brand(spark, sf_dir):
+    """Similarity requests whose candidates are of another brand."""
+    return rq.similarity_requests(sm.product_profiles(_active(Fixtures(spark, sf_dir))), other_brand=True)
 
 
 @query

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import affinity, ages, blend, frequency, impute, replies, similar, upsize
+from ..operators import affinity, ages, blend, frequency, impute, replies, requests, similar, upsize
 from ..sources import literals as L
 from ..sources import sinks
 
@@ -73,8 +73,8 @@ def similar_job(properties: DataFrame, out: str, errors_out: str | None = None,
     attributes only, as the original job does with its chosen one; with
     the entropy weights a near-unique attribute (a price) ranks first and
     shares few values, so the weighted form is the default.
-    ``requests_out`` takes one request per product with its up to
-    ``MAX_SIMILAR_CANDIDATES`` candidates (S10)."""
+    ``requests_out`` takes one request per product with up to 1000
+    others of its category (S10)."""
     props = similar.active(properties)
     weights = similar.attribute_importance(props)
     if attribute_top_k is not None:
@@ -89,8 +89,8 @@ def similar_job(properties: DataFrame, out: str, errors_out: str | None = None,
     if errors_out:
         sinks.write_table(similar.similar_errors(props, pairs), errors_out)
     if requests_out:
-        wide = similar.similar_products(props, weights, L.MAX_SIMILAR_CANDIDATES, exclude_same_brand=exclude_same_brand)
-        sinks.write_table(replies.similarity_requests(similar.product_profiles(props), wide), requests_out)
+        sinks.write_table(requests.similarity_requests(similar.product_profiles(props), other_brand=exclude_same_brand),
+                          requests_out)
 
 
 def upsize_job(cycle: DataFrame, catalog: DataFrame, diapers: DataFrame, milk: DataFrame,

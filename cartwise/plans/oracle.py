@@ -667,7 +667,7 @@ PROFILES = """
     prof AS (SELECT product_code,
                     product_name || '@@' || product_code || ' | ' || pairs || ' | Category: '
                     || coalesce(CAST(category_id AS VARCHAR), '') || ' | Brand: '
-                    || coalesce(CAST(brand_id AS VARCHAR), '') AS text_for_llm
+                    || coalesce(CAST(brand_id AS VARCHAR), '') AS text_for_llm, category_id, brand_id
              FROM pg)"""
 
 SIMILAR_TOP = """
@@ -682,14 +682,33 @@ SIMILAR_TOP = """
     st AS (SELECT a, b, row_number() OVER (PARTITION BY a ORDER BY shared DESC, b) AS alike_rank
            FROM spr QUALIFY alike_rank <= 10)"""
 
-ORACLE["request_similar"] = with_fx(f"""
-    WITH {PROFILES}, {SIMILAR_TOP}
-    SELECT st.a AS product_code, t.text_for_llm AS target_text,
-           string_agg(c.text_for_llm, chr(10) ORDER BY st.alike_rank) AS candidates
-    FROM st JOIN prof c ON c.product_code = st.b JOIN prof t ON t.product_code = st.a
-    GROUP BY st.a, t.text_for_llm
+
+def _requests_sql(gap: str) -> str:
+    """Places of the others are numbered without the gap; a request takes 1000 of them from its start on."""
+    return with_fx(f"""
+    WITH {PROFILES},
+    one AS (SELECT * FROM prof WHERE category_id IS NOT NULL),
+    place AS (SELECT *, row_number() OVER (PARTITION BY category_id ORDER BY brand_id NULLS FIRST, product_code) - 1 AS pos,
+                     count(*) OVER (PARTITION BY category_id) AS n FROM one),
+    brand AS (SELECT *, min(pos) OVER (PARTITION BY category_id, brand_id) AS lo,
+                     max(pos) OVER (PARTITION BY category_id, brand_id) + 1 AS hi FROM place),
+    t AS (SELECT product_code, category_id, n, {gap} FROM brand),
+    s AS (SELECT *, n - (hi - lo) AS others FROM t WHERE n > hi - lo),
+    st AS (SELECT *, CAST(('0x' || substr(md5('similar|' || product_code), 1, 15)) AS BIGINT) % others AS start FROM s),
+    c AS (SELECT st.product_code, p.text_for_llm,
+                 ((CASE WHEN p.pos < st.lo THEN p.pos ELSE p.pos - (st.hi - st.lo) END) - start + others) % others AS turn
+          FROM st JOIN place p ON p.category_id = st.category_id AND NOT (p.pos >= st.lo AND p.pos < st.hi)),
+    g AS (SELECT product_code, count(*) AS k, string_agg(text_for_llm, chr(10) ORDER BY turn) AS lines
+          FROM c WHERE turn < 1000 GROUP BY product_code)
+    SELECT prof.product_code, prof.text_for_llm AS target_text, coalesce(g.k, 0) AS n_candidates,
+           coalesce(g.lines, '') AS candidates
+    FROM prof LEFT JOIN g ON g.product_code = prof.product_code
 """, "fx_properties")
 
+
+ORACLE["request_similar"] = _requests_sql("pos AS lo, pos + 1 AS hi")
+ORACLE["request_similar_other_brand"] = _requests_sql("lo, hi")
+
 ORACLE["request_catalog"] = with_fx("""
     SELECT DISTINCT product_name AS name, '- ' || product_name AS line FROM fx_catalog
     WHERE product_name IS NOT NULL

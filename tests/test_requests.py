@@ -1,10 +1,13 @@
 """Request tables (S10), reply intake (S11) and allow-lists."""
 
+import hashlib
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from cartwise.operators import ages, replies, similar
+from cartwise.operators import ages, replies, requests
 from cartwise.sources.fixtures import Fixtures
 
 from paths import SF_SMALL
@@ -22,20 +25,35 @@ def test_reply_content_and_attach(spark):
     assert out == {1: "[a]", 2: "[]", 3: "[]"}
 
 
-def test_similarity_requests_and_catalog_lines(spark):
-    props = similar.active(Fixtures(spark, SF_SMALL).properties())
-    pairs = similar.similar_products(props, top_n=3)
-    prof = similar.product_profiles(props)
-    req = replies.similarity_requests(prof, pairs, max_candidates=2)
-    rows = req.collect()
-    assert rows and all(len(r.candidates.split("\n")) <= 2 for r in rows)
-    assert all("@@" in r.target_text for r in rows)
+def test_catalog_lines(spark):
     lines = replies.catalog_lines(Fixtures(spark, SF_SMALL).catalog()).collect()
     names = [r.name for r in lines]
     assert names == sorted(names) and len(names) == len(set(names))
     assert all(r.line == "- " + r.name for r in lines)
 
 
+@pytest.mark.parametrize("other_brand", [False, True])
+@pytest.mark.parametrize("limit,block", [(5, 3), (4, 100), (1000, 7)])
+def test_requests_take_a_run_of_their_category(spark, limit, block, other_brand):
+    """Every request: the next ``limit`` others of its category around the ring, from its own start."""
+    rnd = random.Random(limit + block)
+    rows = [(f"p{i:03d}", f"n{i}", "big" if i < 40 else rnd.choice(["x", "y", None]), rnd.choice([1, 2, None]), f"t{i}") for i in range(60)]
+    rows += [("lonely", "l", "alone", 1, "tl"), ("p001", "zz", "zz", 9, "second profile")]
+    prof = spark.createDataFrame(rows, "product_code string, product_name string, category_id string, brand_id int, text_for_llm string")
+    got = {r.product_code: r for r in requests.similarity_requests(prof.repartition(5), limit, other_brand, block).collect()}
+    one = {r[0]: r for r in reversed(rows)}
+    assert set(got) == set(one)
+    for code, _, cat, brand, text in one.values():
+        order = sorted((r for r in one.values() if cat is not None and r[2] == cat),
+                       key=lambda r: (r[3] is not None, r[3] or 0, r[0]))
+        rest = [r[4] for r in order if (r[3] != brand if other_brand else r[0] != code)]
+        start = int(hashlib.md5(f"similar|{code}".encode()).hexdigest()[:15], 16) % len(rest) if rest else 0
+        want = (rest[start:] + rest[:start])[:limit]
+        assert got[code].target_text == text and got[code].n_candidates == len(want)
+        assert got[code].candidates == "\n".join(want)
+    assert requests.similarity_requests(prof.limit(0)).count() == 0
+
+
 def test_similarity_requests_keep_every_target_and_candidate(spark, tmp_path):
     from cartwise.plans import jobs
     rows = [(str(i), f"p{i}", 1, 1, "color", "red", 7, 4, "1") for i in range(14)]
