@@ -1,11 +1,12 @@
 """R5, R6, R8 — age ranges of products, age candidates, diversification.
 
-Range matching (customer age within a product's [min, max] months) is an
-inequality join; here each product range is exploded into whole-month
-buckets and matched by equality on ``floor(age)``, then checked exactly.
-Candidates are computed once per distinct age and joined back to the
-customers, so the work grows with the catalog, not with customers x
-products.
+Range matching (customer age within a product's [min, max] months, weight
+within its [min, max] kg) is an inequality join in two dimensions; here a
+product is the canonical tree nodes of its ranges and a customer the
+nodes above its age and weight (:mod:`intervals`), matched by equality and
+then checked exactly.  Candidates are computed once per distinct age and
+weight and joined back to the customers, so the work grows with the
+catalog, not with customers x products.
 """
 
 from __future__ import annotations
@@ -17,8 +18,11 @@ from pyspark.sql import functions as F
 
 from ..functions.labels import age_range, size_like, weight_range
 from ..sources import literals as L
+from .intervals import cell_of, nodes_of, pairs, path_of
 from .keys import first_per_key, round_robin, top_k_per_key
 
+KG_CELLS = 10  # cells of a kilogram
+
 
 def label_ranges(labels: DataFrame, label_col: str = "label") -> DataFrame:
     """Distinct labels -> parsed (min, max), before any fill.
@@ -89,19 +93,22 @@ def age_candidates(customers: DataFrame, ranges: DataFrame, k: int = L.AGE_POOL_
     width = F.col("max_age_months") - F.col("min_age_months")
     r = first_per_key(r.withColumn("_width", width), "product_id",
                       [F.col("parsed").desc(), F.col("_width").asc(), F.col("min_age_months").asc()])
-    lo, hi = F.floor("min_age_months"), F.floor("max_age_months")
-    r = r.filter(lo <= hi).withColumn("_bucket", F.explode(F.sequence(lo, hi)))
-    wt = F.col(weight_col) if weights is not None else F.lit(None).cast("double")
-    ages = (customers.select(F.col(age_col).alias("age"), wt.alias("_wt")).filter(F.col("age").isNotNull())
-            .distinct().withColumn("_bucket", F.floor("age")))
-    m = ages.join(r, "_bucket").filter(
-        (F.col("age") >= F.col("min_age_months")) & (F.col("age") <= F.col("max_age_months")))
+    r = r.filter(F.col("min_age_months") <= F.col("max_age_months"))
+    wt = F.col(weight_col).cast("double") if weights is not None else F.lit(None).cast("double")
+    points = customers.select(F.col(age_col).alias("age"), wt.alias("_wt")).filter(F.col("age").isNotNull()).distinct()
+    nodes, path = nodes_of(cell_of(F.col("min_age_months")), cell_of(F.col("max_age_months"))), path_of(cell_of(F.col("age")))
     if weights is not None:
+        # a product without a weight range takes every weight, an unknown one too
         w = first_per_key(weights.select("product_id", "min_kg", "max_kg"), "product_id",
                           [(F.col("max_kg") - F.col("min_kg")).asc_nulls_last(), F.col("min_kg").asc()])
-        m = m.join(w, "product_id", "left").filter(
-            F.col("min_kg").isNull()
-            | ((F.col("_wt") >= F.col("min_kg")) & (F.col("max_kg").isNull() | (F.col("_wt") <= F.col("max_kg")))))
+        r = r.join(w, "product_id", "left").filter(F.col("max_kg").isNull() | (F.col("min_kg") <= F.col("max_kg")))
+        kg = nodes_of(cell_of(F.col("min_kg"), KG_CELLS), cell_of(F.col("max_kg"), KG_CELLS))
+        nodes, path = pairs(nodes, kg), pairs(path, path_of(cell_of(F.col("_wt"), KG_CELLS)))
+    m = points.withColumn("_node", F.explode(path)).join(r.withColumn("_node", F.explode(nodes)), "_node").filter(
+        (F.col("age") >= F.col("min_age_months")) & (F.col("age") <= F.col("max_age_months")))
+    if weights is not None:
+        m = m.filter(F.col("min_kg").isNull() | ((F.col("_wt") >= F.col("min_kg")) & (
+            F.col("max_kg").isNull() | (F.col("_wt") <= F.col("max_kg")))))
     mid = (F.col("min_age_months") + F.col("max_age_months")) / 2
     key = F.struct(F.col("age"), F.col("_wt"))
     best = top_k_per_key(m.withColumn("_key", key), "_key",

@@ -24,7 +24,8 @@ from ..operators import requests as rq
 from ..operators import similar as sm
 from ..operators import upsize as up
 from ..session import ensure_checkpoint_dir
-from ..sources.fixtures import AGE_LABELS, MILK_LABELS, Fixtures, label_sheet
+from ..sources import literals as lit
+from ..sources.fixtures import AGE_LABELS, MILK_LABELS, WEIGHT_LABELS, Fixtures, label_sheet
 
 # The fixture's output-type codes (line numbers) that stand for kept sales.
 FIXTURE_OUTPUT_TYPES = (1, 2, 4, 5)
@@ -184,6 +185,35 @@ def age_candidates(spark, sf_dir):
     return _age_candidates(Fixtures(spark, sf_dir))
 
 
+@query
+def weight_label_range(spark, sf_dir):
+    """Weight label -> [min, max] kg, open ends NULL (F8 for the second interval of R6)."""
+    return _weight_ranges(Fixtures(spark, sf_dir))
+
+
+@shared
+def _weight_ranges(fx: Fixtures) -> DataFrame:
+    sheet = label_sheet(fx.spark, WEIGHT_LABELS)
+    return ag.weight_ranges(fx.weight_label().join(F.broadcast(sheet), "label_no"))
+
+
+@query
+def age_weight_candidates(spark, sf_dir):
+    """R6 with both intervals: best 20 products per customer age and fractional weight."""
+    fx = Fixtures(spark, sf_dir)
+    return ag.age_candidates(fx.weighed(), _age_ranges(fx), weights=_weight_ranges(fx))
+
+
+@query
+def age_ranges_listed(spark, sf_dir):
+    """R5 behind the job's lists: 78 categories, 8 properties, maximum over the 6 age properties."""
+    fx = Fixtures(spark, sf_dir)
+    labels = fx.listed_label().join(F.broadcast(label_sheet(spark, AGE_LABELS)), "label_no")
+    out = ag.age_ranges(labels, categories=lit.AGE_JOB_CATEGORIES, properties=lit.AGE_JOB_PROPERTIES,
+                        label_properties=lit.AGE_LABEL_PROPERTIES)
+    return out.select("product_id", "label", "parsed", "min_age_months", "max_age_months")
+
+
 @shared
 def _catalog_ids(fx: Fixtures) -> DataFrame:
     return fx.catalog().withColumn("category_id", F.col("category_code").cast("int"))

@@ -43,6 +43,25 @@ FX = {
                round(50.0 + 8 * sqrt(CAST(a AS DOUBLE)), 3) AS height_cm
         FROM (VALUES (0),(2),(4),(6),(9),(12),(18),(24),(36),(48),(60)) g(a)""",
     "fx_product_label": "SELECT p_partkey AS product_id, CAST(p_partkey % 16 AS INTEGER) AS label_no FROM part",
+    "fx_weight_label": """
+        SELECT p_partkey AS product_id, CAST((p_partkey + more) % 8 AS INTEGER) AS label_no
+        FROM part CROSS JOIN (VALUES (0), (3)) d(more) WHERE p_partkey % 4 <> 0 AND (more = 0 OR p_partkey % 7 = 0)""",
+    "fx_weight_labels": """
+        SELECT label_no, CAST(lo AS DOUBLE) AS lo, CAST(hi AS DOUBLE) AS hi FROM (VALUES
+          (0, 0.0, 5.5), (1, 4.0, 8.0), (2, 6.0, 11.25), (3, 9.0, 14.0), (4, 12.0, NULL), (5, 7.5, 7.5), (7, 3.05, NULL)
+        ) t(label_no, lo, hi)""",
+    "fx_weighed": """
+        SELECT c_custkey AS customer_id, age AS expected_age_last,
+               CASE WHEN c_custkey % 7 = 0 THEN NULL
+                    ELSE round(3.2::DOUBLE + 0.21::DOUBLE * coalesce(age, 0) + (c_custkey % 37) / 16::DOUBLE, 3) END AS weight_kg
+        FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST((c_custkey * 7) % 73 AS DOUBLE) END AS age
+              FROM customer)""",
+    "fx_listed_label": """
+        SELECT p_partkey AS product_id, CAST(p_partkey % 16 AS INTEGER) AS label_no,
+               CAST(p_partkey % 310 AS VARCHAR) AS category_code,
+               CASE p_size % 6 WHEN 0 THEN 'age_range' WHEN 1 THEN 'age_usp' WHEN 2 THEN 'recommended_age'
+                    WHEN 3 THEN 'weight_usp' WHEN 4 THEN 'color' ELSE 'size' END AS propertyid
+        FROM part""",
     "fx_size_labels": f"""
         SELECT p_partkey AS product_id, {BRAND} AS brand_id,
                CASE p_size % 9 WHEN 0 THEN 'FREE' WHEN 1 THEN 'NB' WHEN 2 THEN 'XS' WHEN 3 THEN 'S'

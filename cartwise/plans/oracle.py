@@ -204,6 +204,45 @@ ORACLE["age_label_range"] = with_fx(f"""
 ORACLE["age_ranges"] = with_fx(f"WITH {RANGES} SELECT * FROM rng", "fx_product_label", "fx_age_labels")
 ORACLE["age_candidates"] = with_fx(f"WITH {CANDIDATES} SELECT * FROM cand",
                                    "fx_person", "fx_product_label", "fx_age_labels")
+ORACLE["weight_label_range"] = with_fx("""
+    SELECT w.product_id, l.lo AS min_kg, l.hi AS max_kg FROM fx_weight_label w JOIN fx_weight_labels l USING (label_no)
+""", "fx_weight_label", "fx_weight_labels")
+
+ORACLE["age_weight_candidates"] = with_fx(f"""
+    WITH {RANGES},
+    kg AS (SELECT w.product_id, l.lo, l.hi FROM fx_weight_label w JOIN fx_weight_labels l USING (label_no)
+           QUALIFY row_number() OVER (PARTITION BY w.product_id ORDER BY l.hi - l.lo NULLS LAST, l.lo) = 1),
+    pt AS (SELECT DISTINCT expected_age_last AS age, weight_kg AS wt FROM fx_weighed WHERE expected_age_last IS NOT NULL),
+    m AS (
+        SELECT a.age, a.wt, r.product_id, r.parsed, r.max_age_months - r.min_age_months AS w,
+               abs(a.age - (r.min_age_months + r.max_age_months) / 2) AS d
+        FROM pt a JOIN rng r ON a.age BETWEEN r.min_age_months AND r.max_age_months
+        LEFT JOIN kg ON kg.product_id = r.product_id
+        WHERE kg.lo IS NULL OR (a.wt >= kg.lo AND (kg.hi IS NULL OR a.wt <= kg.hi))),
+    best AS (
+        SELECT age, wt, product_id,
+               CAST(row_number() OVER (PARTITION BY age, wt ORDER BY parsed DESC, w, d, product_id) AS INTEGER) AS cand_rank
+        FROM m QUALIFY cand_rank <= 20)
+    SELECT c.customer_id, best.age, best.product_id, best.cand_rank
+    FROM fx_weighed c JOIN best ON best.age = c.expected_age_last AND best.wt IS NOT DISTINCT FROM c.weight_kg
+""", "fx_product_label", "fx_age_labels", "fx_weight_label", "fx_weight_labels", "fx_weighed")
+
+ORACLE["age_ranges_listed"] = with_fx("""
+    WITH pl AS (SELECT f.product_id, f.category_code, f.propertyid, l.* FROM fx_listed_label f JOIN fx_age_labels l USING (label_no)),
+    six AS (SELECT DISTINCT label FROM pl WHERE propertyid IN ('age_range_filter_multi', 'recommended_age_usp', 'age_usp',
+                'recommended_age', 'age_range', 'children_clothing_size')),
+    mx AS (SELECT max(hi) AS m FROM pl WHERE NOT rejected AND label IN (SELECT label FROM six))
+    SELECT product_id, label, CASE WHEN ok THEN lo IS NOT NULL END AS parsed,
+           CASE WHEN ok THEN coalesce(lo, 0::DOUBLE) END AS min_age_months, CASE WHEN ok THEN coalesce(hi, m) END AS max_age_months
+    FROM (SELECT *, NOT rejected AND label IN (SELECT label FROM six) AS ok FROM pl CROSS JOIN mx
+          WHERE propertyid IN ('age_range_filter_multi', 'recommended_age_usp', 'age_usp', 'recommended_age', 'age_range',
+                               'weight_filter', 'weight_usp', 'children_clothing_size')
+            AND CAST(category_code AS INTEGER) IN (114, 112, 209, 189, 271, 272, 270, 122, 123, 110, 108, 107, 121, 120, 124, 125, 126, 127, 106, 105, 113, 109,
+    116, 102, 103, 111, 279, 273, 274, 275, 276, 277, 278, 281, 284, 283, 232, 264, 263, 194, 200, 201, 254, 150, 13, 176,
+    208, 289, 290, 294, 299, 306, 307, 364, 59, 3, 353, 236, 237, 238, 239, 240, 241, 242, 243, 206, 193, 18, 38, 33, 28,
+    24, 268, 296, 300, 302, 303, 308))
+""", "fx_listed_label", "fx_age_labels")
+
 ORACLE["diversify"] = with_fx(f"WITH {DIVERSIFIED} SELECT * FROM div",
                               "fx_person", "fx_product_label", "fx_age_labels", "fx_catalog")
 

@@ -173,6 +173,30 @@ class Fixtures:
         return self.t.part.select(F.col("p_partkey").alias("product_id"),
                                   (F.col("p_partkey") % 16).cast("int").alias("label_no"))
 
+    @_memo
+    def weight_label(self) -> DataFrame:
+        """Weight labels of three products in four; every seventh has a second, narrower one."""
+        p = self.t.part.filter(F.col("p_partkey") % 4 != 0).select(
+            "p_partkey", F.explode(F.when(F.col("p_partkey") % 7 == 0, F.array(F.lit(0), F.lit(3)))
+                                   .otherwise(F.array(F.lit(0)))).alias("more"))
+        return p.select(F.col("p_partkey").alias("product_id"), ((F.col("p_partkey") + F.col("more")) % 8).cast("int").alias("label_no"))
+
+    @_memo
+    def weighed(self) -> DataFrame:
+        """Customers with their own weight: grams of their key over a growing base, NULL for every seventh."""
+        age = F.col("expected_age_last")
+        return self.person().select("customer_id", "expected_age_last", F.when(
+            F.col("customer_id") % 7 != 0,
+            F.round(F.lit(3.2) + 0.21 * F.coalesce(age, F.lit(0.0)) + (F.col("customer_id") % 37) / 16, 3)).alias("weight_kg"))
+
+    @_memo
+    def listed_label(self) -> DataFrame:
+        """Age labels with the category and property they stand under."""
+        k, names = F.col("p_partkey"), ["age_range", "age_usp", "recommended_age", "weight_usp", "color", "size"]
+        return self.t.part.select(k.alias("product_id"), (k % 16).cast("int").alias("label_no"),
+                                  (k % 310).cast("string").alias("category_code"),
+                                  F.element_at(F.array(*[F.lit(n) for n in names]), (F.col("p_size") % 6 + 1).cast("int")).alias("propertyid"))
+
     @_memo
     def size_labels(self) -> DataFrame:
         p = self.t.part.filter(F.col("p_type") == "SMALL")
@@ -354,6 +378,11 @@ AGE_LABELS = [
     (12, "12 - 18"), (13, "Size L"), (14, "Freesize"), (15, "Mọi lứa tuổi"),
 ]
 
+WEIGHT_LABELS = [
+    (0, "Dưới 5,5 kg"), (1, "4 - 8 kg"), (2, "6 kg - 11,25 kg"), (3, "Từ 9 đến 14 kg"), (4, "Trên 12 kg"),
+    (5, "7.5 kg"), (6, "Đang cập nhật"), (7, "Từ 3,05 kg"),
+]
+
 MILK_LABELS = [
     (0, "Trẻ sơ sinh"), (1, "0 - 6 tháng"), (2, "6 - 12 tháng"), (3, "1 - 2 tuổi"),
     (4, "Từ 1 tuổi"), (5, "Từ 2 tuổi"),
