@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .keys import first_per_key, forward_fill, linear_fill
+from .scan import fill_by_position
 
 
 def group_mode(df: DataFrame, group: str, col: str, name: str | None = None) -> DataFrame:
@@ -69,3 +70,20 @@ def carry_growth_forward(customers: DataFrame, growth: DataFrame, age_col: str =
     grid = forward_fill(_age_grid(customers, growth, age_col, sheet_age, cols), [], ["_age"], list(cols))
     grid = grid.select(F.col("_age").alias(age_col), *cols)
     return customers.join(grid, age_col, "left")
+
+
+def growth_by_position(customers: DataFrame, growth: DataFrame, age_col: str = "expected_age_last",
+                       sheet_age: str = "age_months", cols: Sequence[str] = ("weight_kg", "height_cm"),
+                       id_col: str = "customer_id", digits: int = 6) -> DataFrame:
+    """The original's positional form over all customers (W18 W19): sheet values by equal age, linear
+    along the rows from the oldest to the youngest, then forward along the rows from the youngest on.
+
+    Customers of one age get different values where the age is not in the sheet
+    (T8); an unknown age comes last both times, equal ages by id.
+    """
+    known = growth.select(F.col(sheet_age).alias(age_col), *cols)
+    rows = customers.select(id_col, age_col).join(known, age_col, "left").select(id_col, age_col, *cols)
+    tie = F.col(id_col).asc()
+    rows = fill_by_position(rows, [F.col(age_col).desc_nulls_last(), tie], cols)
+    rows = fill_by_position(rows, [F.col(age_col).asc_nulls_last(), tie], cols, "forward")
+    return rows.select(id_col, age_col, *[F.round(c, digits).alias(c) for c in cols])

@@ -140,6 +140,13 @@ def forward_fill(spark, sf_dir):
     return im.carry_growth_forward(cust, fx.growth())
 
 
+@query
+def growth_by_position(spark, sf_dir):
+    """Gaps filled by row position over all customers, as the original does (W18 W19, two-pass scan)."""
+    fx = Fixtures(spark, sf_dir)
+    return im.growth_by_position(_imputed(fx), fx.growth())
+
+
 # -- R5 / R6 / R8 age labels, candidates, diversification -----------------------------
 @shared
 def _product_labels(fx: Fixtures) -> DataFrame:

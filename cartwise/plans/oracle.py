@@ -150,6 +150,33 @@ ORACLE["forward_fill"] = with_fx(f"""
     FROM b LEFT JOIN fx_growth g ON g.age_months = b.a0
 """, "fx_person", "fx_growth")
 
+def _line_sql(c: str) -> str:
+    """Line between the nearest known rows by position, the last value behind them."""
+    return f"""coalesce({c}, CASE WHEN n{c} IS NULL THEN p{c} ELSE p{c} + (n{c} - p{c}) * (i - ip{c}) / (in{c} - ip{c}) END)"""
+
+
+def _near_sql(c: str) -> str:
+    back = "OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    ahead = "OVER (ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)"
+    at = f"CASE WHEN {c} IS NOT NULL THEN i END"
+    return (f"last_value({c} IGNORE NULLS) {back} AS p{c}, first_value({c} IGNORE NULLS) {ahead} AS n{c}, "
+            f"last_value({at} IGNORE NULLS) {back} AS ip{c}, first_value({at} IGNORE NULLS) {ahead} AS in{c}")
+
+
+ORACLE["growth_by_position"] = with_fx(f"""
+    WITH {IMPUTED},
+    r AS (SELECT i.customer_id, i.expected_age_last AS age, g.weight_kg, g.height_cm,
+                 row_number() OVER (ORDER BY i.expected_age_last DESC NULLS LAST, i.customer_id) AS i
+          FROM imp i LEFT JOIN fx_growth g ON g.age_months = i.expected_age_last),
+    near AS (SELECT *, {_near_sql('weight_kg')}, {_near_sql('height_cm')} FROM r),
+    line AS (SELECT customer_id, age, {_line_sql('weight_kg')} AS weight_kg, {_line_sql('height_cm')} AS height_cm,
+                    row_number() OVER (ORDER BY age ASC NULLS LAST, customer_id) AS j FROM near)
+    SELECT customer_id, age AS expected_age_last,
+           round(last_value(weight_kg IGNORE NULLS) OVER (ORDER BY j), 6) AS weight_kg,
+           round(last_value(height_cm IGNORE NULLS) OVER (ORDER BY j), 6) AS height_cm
+    FROM line
+""", "fx_person", "fx_growth")
+
 # -- R5 / R6 / R8 --------------------------------------------------------------------------
 PRODUCT_LABELS = """
     pl AS (
