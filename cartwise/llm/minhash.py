@@ -13,17 +13,19 @@ document's connected component, of which the smallest id stays.
    the probability of their similarity, nearly independently.
 2. Banding.  Classes that agree in a whole band share a bucket: two linked ones
    miss all bands with probability below 1e-8.  Buckets with the same members are one.
-3. Rounds of pivots.  In each round a bucket names a few members by changing hash
-   orders, and every class is compared with one named member of another component
-   per order: at most ``picks`` pairs a class, whatever the bucket's size.  Links
-   join components, so a large group of near copies soon is one component.
-4. The rest.  Once the pairs of members in different components are few (or
-   ``rounds`` have passed), all of them are bounded by their sketches, in blocks of
-   at most ``chunk`` members a side: agreement below the binomial bound (missed
-   with probability 1e-9) rules a pair out; every other one is compared.
+3. Clusters.  In a bucket the sketches are compared: agreement below the binomial
+   bound (missed with probability 1e-9) rules a pair out, every other one ties its
+   classes together.  Chains, not pairs, leave a bucket; all chains together give
+   clusters, which hold every link.  The members of a bucket of more than ``chunk``
+   classes are tied together as they are.
+4. Verification.  Whole sets meet once per cluster; a pair that the sketches do not rule
+   out and that no links connect yet is compared exactly.  A cluster that exceeds
+   ``chunk`` classes (or ``SHINGLES`` shingles) is split: its chunks are joined inside,
+   then over the best connected members of their parts, and only what is still apart
+   is compared chunk by chunk.
 
 A comparison counts the common shingles of the two whole sets.  Nothing is capped:
-each pair of a bucket is compared, bounded out, or inside one component already.
+each pair of a bucket is compared, bounded out, or connected already.
 64-bit hashes stand for shingles and classes.
 
 Results for odd input: NULL texts and texts without words have an empty set,
@@ -44,12 +46,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import top_k_per_key
 from .common import connected, written
-from .jaccard_join import component_rows, groups_of, shingle_set, text_key
+from .jaccard_join import BATCH, Parts, component_rows, groups_of, large_frames, moved, shingle_set, text_key
 from .wordhash import WordHasher, mix
 
 PERCENT, BANDS, ROWS = 85, 32, 5
 SIZE = BANDS * ROWS
+SHINGLES = 1 << 21  # shingles of a chunk, about
 AT_ONCE = 2048  # shingle hashes taken together, over several rounds of a small set
 SALTS = mix(np.arange(1, 2 * SIZE + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
@@ -111,110 +115,156 @@ def band_keys() -> Column:
 
 
 def buckets_of(classes: DataFrame) -> DataFrame:
-    """(band, cls): the members of buckets of two or more classes, one bucket for each set of members."""
+    """(band, cls, m, root): members of buckets of m > 1 classes and the least of them, one bucket for each set of members."""
     keyed = classes.select("cls", F.explode(band_keys()).alias("band"))
     lists = keyed.groupBy("band").agg(F.count(F.lit(1)).alias("m"), F.bit_xor(F.xxhash64("cls")).alias("x"),
-                                      F.bit_xor(F.xxhash64("cls", F.lit(9))).alias("y")).filter("m > 1")
-    return keyed.join(lists.groupBy("m", "x", "y").agg(F.min("band").alias("band")).select("band"), "band")
+                                      F.bit_xor(F.xxhash64("cls", F.lit(9))).alias("y"), F.min("cls").alias("root")).filter("m > 1")
+    return keyed.join(lists.groupBy("m", "x", "y", "root").agg(F.min("band").alias("band")).select("band", "m", "root"), "band")
+
+
+def may_link(i: int, at: np.ndarray, n: np.ndarray, marks: np.ndarray, least: int) -> np.ndarray:
+    """Those places of ``at`` that sizes and sketches let link with place ``i``."""
+    at = at[np.minimum(n[at], n[i]) * 100 >= np.maximum(n[at], n[i]) * PERCENT]
+    return at[(marks[at] == marks[i]).sum(1) >= least]
+
+
+def marks_of(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), "<u2").reshape(len(column), SIZE)
+
+
+def bucket_chains(members: DataFrame) -> DataFrame:
+    """(a, b): classes tied together in buckets (band, cls, n, marks); b is the least class a task has tied a to."""
+    least = agreement_bound()
+
+    def rows(batches):
+        up: dict[int, int] = {}  # what this task has tied in earlier buckets
+
+        def find(c: int) -> int:
+            while up.get(c, c) != c:
+                up[c] = c = up.get(up[c], up[c])
+            return c
+
+        for g in groups_of(batches, "band"):
+            cls, n = g["cls"].tolist(), g["n"]
+            comp = [find(c) for c in cls]
+            if len(set(comp)) == 1:
+                continue
+            parts, places, marks = Parts(len(cls)), {}, marks_of(g["marks"])
+            for i, c in enumerate(comp):
+                parts.join(places.setdefault(c, i), i)
+            for i in range(len(cls) - 1):
+                later = np.arange(i + 1, len(cls))
+                for j in may_link(i, later[parts.label[later] != parts.label[i]], n, marks, least).tolist():
+                    if parts.join(i, j):
+                        x, y = find(cls[i]), find(cls[j])
+                        up[max(x, y)] = min(x, y)
+        at = list(up)
+        for k in range(0, len(at), BATCH):
+            yield pd.DataFrame({"a": at[k:k + BATCH], "b": [find(c) for c in at[k:k + BATCH]]})
+
+    return (members.select("band", "cls", "n", "marks").repartition("band").sortWithinPartitions("band", "cls")
+            .mapInPandas(rows, "a long, b long"))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, n, grams): whole shingle sets of classes (cls, n, rep, key), from a row of each."""
+    """(cls, n, marks, cluster, chunks, grams): whole shingle sets of classes (.., rep, key), from a row of each."""
     def rows(batches):
         hasher = WordHasher()
         for pdf in batches:
-            yield pd.DataFrame({"cls": pdf["cls"], "n": pdf["n"],
-                                "grams": [shingle_set(hasher, t).view(np.int64) for t in pdf["text"]]})
+            yield pd.DataFrame({**{c: pdf[c] for c in ("cls", "n", "marks", "cluster", "chunks")},
+                                "grams": [shingle_set(hasher, t).tobytes() for t in pdf["text"]]})
 
     held = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(docs).alias("_key"), "text")
     met = held.join(wanted, held["doc_id"].eqNullSafe(wanted["rep"]) & (held["_key"] == wanted["key"]))
     met = met.dropDuplicates(["doc_id", "_key"])  # repeated rows
-    return met.select("cls", "n", "text").mapInPandas(rows, "cls long, n long, grams array<long>")
-
-
-def links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """(a, b) of the pairs whose whole sets are similar enough."""
-    one = sets.select(F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("of_a"))
-    two = sets.select(F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("of_b"))
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    return (pairs.join(one, "a").join(two, "b")
-            .filter(100 * common >= PERCENT * (F.col("n_a") + F.col("n_b") - common)).select("a", "b"))
+    return met.select("cls", "n", "marks", "cluster", "chunks", "text").mapInPandas(
+        rows, "cls long, n long, marks binary, cluster long, chunks int, grams binary")
 
 
-def sizes_allow(n: Column, m: Column) -> Column:
-    return F.least(n, m) * 100 >= F.greatest(n, m) * PERCENT
+def verified(keyed: DataFrame) -> DataFrame:
+    """(cls, comp, root, degree) of the rows (key, cls, comp, side, n, marks, grams) of whole groups.
 
-
-def pivot_pairs(still: DataFrame, turn: int, picks: int) -> DataFrame:
-    """(a, b): every class with a named member of another component, one per order at most."""
-    order = [F.xxhash64("cls", F.lit(turn * picks + j)) for j in range(picks)]
-    named = still.groupBy("band").agg(F.array(*[
-        F.min(F.struct(o.alias("o"), "cls", "comp", "n")) for o in order]).alias("named"))
-    met = still.join(named, "band").select("cls", "comp", "n", F.posexplode("named").alias("j", "p"))
-    met = met.filter((F.col("p.comp") != F.col("comp")) & sizes_allow(F.col("n"), F.col("p.n")))
-    best = met.groupBy("cls", "j").agg(F.min("p").alias("p"))
-    return best.select(F.least("cls", "p.cls").alias("a"), F.greatest("cls", "p.cls").alias("b")).distinct()
-
-
-def bounded_pairs(still: DataFrame, chunk: int) -> DataFrame:
-    """(a, b): all pairs of members (band, m, cls, comp, n, marks) of different components that the sketches let link."""
+    ``comp`` is the part a class is known to be in; ``root`` the smallest of those
+    that links join in its group; ``degree`` its links found here.  Where a group has
+    two sides, only pairs across them are compared.
+    """
     least = agreement_bound()
-    parts = F.ceil(F.col("m") / chunk).cast("int")
-    mine = F.pmod(F.xxhash64("cls", F.lit(5)), parts).cast("int")
-    met = F.transform(F.sequence(F.lit(0), parts - 1), lambda o: F.concat_ws("/", F.least(o, mine), F.greatest(o, mine)))
-    split = still.select("cls", "comp", "n", "marks", mine.alias("side"), "band", F.explode(met).alias("part"))
 
-    def rows(batches):
+    def groups(batches):
         for g in groups_of(batches, "key"):
-            cls, comp, n, side = g["cls"], g["comp"], g["n"], g["side"]
-            marks = np.frombuffer(b"".join(g["marks"]), "<u2").reshape(len(cls), SIZE)
-            cross = side.min() != side.max()  # members of one side meet in a group of their own
-            for i in range(len(cls) - 1):
-                at = np.arange(i + 1, len(cls))
-                ok = (comp[at] != comp[i]) & (np.minimum(n[at], n[i]) * 100 >= np.maximum(n[at], n[i]) * PERCENT)
-                if cross:
-                    ok &= side[at] != side[i]
-                at = at[ok]
-                at = at[(marks[at] == marks[i]).sum(1) >= least]
-                if len(at):
-                    yield pd.DataFrame({"a": np.minimum(cls[at], cls[i]), "b": np.maximum(cls[at], cls[i])})
-
-    keyed = split.withColumn("key", F.concat_ws("/", "band", "part")).drop("band", "part")
-    return (keyed.repartition("key").sortWithinPartitions("key", "cls")
-            .mapInPandas(rows, "a long, b long").distinct())
+            comp, n, side, marks = g["comp"], g["n"], g["side"], marks_of(g["marks"])
+            sets = [np.frombuffer(x, np.uint64) for x in g["grams"]]
+            parts, places, degree = Parts(len(sets)), {}, np.zeros(len(sets), np.int64)
+            for i, c in enumerate(comp.tolist()):  # what is joined already
+                parts.join(places.setdefault(c, i), i)
+            cross = side.min() != side.max()
+            for i in range(len(sets) - 1):
+                later = np.arange(i + 1, len(sets))
+                later = later[(parts.label[later] != parts.label[i]) & ((side[later] != side[i]) if cross else True)]
+                near = may_link(i, later, n, marks, least)
+                for j in near[np.argsort(-degree[near], kind="stable")].tolist():  # likely centres first
+                    if parts.label[i] != parts.label[j]:
+                        both = np.concatenate([sets[i], sets[j]])
+                        both.sort()
+                        common = int((both[1:] == both[:-1]).sum())
+                        if 100 * common >= PERCENT * (n[i] + n[j] - common):
+                            parts.join(i, j)
+                            degree[i] += 1
+                            degree[j] += 1
+            root = np.full(len(sets), np.iinfo(np.int64).max)
+            np.minimum.at(root, parts.label, comp)
+            yield {"cls": g["cls"], "comp": comp, "root": root[parts.label], "degree": degree}
 
-
-def joined(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """``comps`` (cls, comp) after the links (a, b) between classes."""
-    of = comps.withColumnsRenamed({"cls": "a", "comp": "ca"}), comps.withColumnsRenamed({"cls": "b", "comp": "cb"})
-    edges = links.join(of[0], "a").join(of[1], "b").select("ca", "cb").distinct()
-    roots = connected(edges, "ca", "cb").withColumnsRenamed({"id": "comp", "component_id": "root"})
-    return comps.join(roots, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp"))
-
-
-def near_components(docs: DataFrame, picks: int = 4, rounds: int = 8, spare: int = 8, chunk: int = 1024) -> DataFrame:
+    def rows(batches):
+        yield from large_frames(groups(batches), BATCH)
+
+    return (keyed.select("key", "cls", "comp", "side", "n", "marks", "grams").repartition("key").sortWithinPartitions("key", "cls")
+            .mapInPandas(rows, "cls long, comp long, root long, degree long"))
+
+
+def linked_parts(sets: DataFrame, chunk: int, hubs: int) -> DataFrame:
+    """(cls, comp): the parts that links join in each cluster."""
+    mine = F.pmod(F.xxhash64("cls", F.lit(5)), "chunks").cast("int")
+    inside = written(verified(sets.withColumn("key", F.concat_ws("/", "cluster", mine)).withColumn("side", F.lit(0))
+                              .withColumn("comp", F.col("cls"))), "links")
+    parts = inside.select("cls", F.col("root").alias("comp"))
+    large = sets.filter("chunks > 1")
+    if not large.limit(1).count():
+        return parts
+    # over the best connected members of the chunks' parts; a part is in one group
+    ranked = large.select("cls", "cluster").join(parts.join(inside.select("cls", "degree"), "cls"), "cls")
+    best = top_k_per_key(ranked, ["cluster", "comp"], [F.col("degree").desc(), F.col("cls").asc()], hubs)
+    n_best = best.groupBy("cluster").agg(F.count(F.lit(1)).alias("n_best"))
+    group = F.pmod(F.xxhash64("comp", F.lit(5)), F.ceil(F.col("n_best") / chunk))
+    keyed = (best.join(n_best, "cluster").withColumn("key", F.concat_ws("/", "cluster", group)).withColumn("side", F.lit(0))
+             .select("key", "side", "comp", "cls").join(large.select("cls", "n", "marks", "grams"), "cls"))
+    over = written(verified(keyed), "links").filter("comp <> root").select("comp", "root").distinct()
+    parts = written(moved(parts, over), "parts")
+    # what is still apart: chunk by chunk
+    still = large.join(parts, "cls")
+    apart = still.groupBy("cluster").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
+    still = still.join(apart.select("cluster"), "cluster").withColumn("side", mine)
+    pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda o: F.struct(
+        F.least(o, F.col("side")).alias("x"), F.greatest(o, F.col("side")).alias("y")))
+    rest = still.withColumn("pair", F.explode(F.filter(pairs, lambda p: p["x"] != p["y"])))
+    links = written(verified(rest.withColumn("key", F.concat_ws("/", "cluster", "pair.x", "pair.y"))), "links")
+    return moved(parts, connected(links, "comp", "root").withColumnsRenamed({"id": "comp", "component_id": "root"}))
+
+
+def near_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept."""
     table = written(sketched(docs), "sketched")
     classes = written(table.filter("n > 0").groupBy("cls", "n").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"), F.max("marks").alias("marks"))
         .select("cls", "n", F.col("first.doc_id").alias("rep"), F.col("first.key").alias("key"), "marks"), "classes")
     members = written(buckets_of(classes), "members")
-    comps = written(members.select("cls", F.col("cls").alias("comp")).distinct(), "comps")
-    sets = written(sets_of(docs, comps.join(classes.select("cls", "n", "rep", "key"), "cls")), "sets")
-    for turn in range(rounds + 1):
-        seen = members.join(comps, "cls")
-        spread = seen.groupBy("band").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("m"))
-        still = written(seen.join(spread.filter("lo <> hi").select("band", "m"), "band")
-                        .join(sets.select("cls", "n"), "cls"), "open")
-        each = still.groupBy("band", "m", "comp").agg(F.count(F.lit(1)).alias("k"))
-        n, pairs = each.agg(F.sum("k"), F.sum(F.col("k") * (F.col("m") - F.col("k")).cast("double")) / 2).first()
-        if not n:
-            break
-        if turn == rounds or (turn and pairs <= spare * n):
-            rest = bounded_pairs(still.join(classes.select("cls", "marks"), "cls"), chunk)
-            comps = joined(comps, written(links_of(rest, sets), "links"))
-            break
-        links = written(links_of(pivot_pairs(still, turn, picks), sets), "links")
-        comps = written(joined(comps, links), "comps")
-    out = component_rows(table, classes, comps)
+    small = members.filter(F.col("m") <= chunk).select("band", "cls").join(classes.select("cls", "n", "marks"), "cls")
+    tied = members.filter((F.col("m") > chunk) & (F.col("cls") != F.col("root"))).select(F.col("cls").alias("a"), F.col("root").alias("b"))
+    chains = written(bucket_chains(small).union(tied.distinct()), "chains")
+    cluster = connected(chains).withColumnsRenamed({"id": "cls", "component_id": "cluster"})
+    wanted = written(cluster.join(classes, "cls"), "clusters")
+    sizes = wanted.groupBy(F.col("cluster").alias("c")).agg(
+        F.greatest(F.ceil(F.count(F.lit(1)) / chunk), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("chunks"))
+    sets = written(sets_of(docs, wanted.join(sizes, F.col("cluster") == F.col("c"))), "sets")
+    out = component_rows(table, classes, linked_parts(sets, chunk, hubs))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

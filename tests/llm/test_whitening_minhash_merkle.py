@@ -117,7 +117,7 @@ def near_rows(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("options", [{}, {"rounds": 0}, {"picks": 1, "rounds": 1, "chunk": 3}])
+@pytest.mark.parametrize("options", [{}, {"chunk": 3}, {"chunk": 7, "hubs": 1}])
 def test_near_copies_match_brute_force(spark, odd, options):
     df = odd.filter("doc_id IS NOT NULL").select("doc_id", "text").union(
         spark.createDataFrame(near_rows(4), SCHEMA).select("doc_id", "text"))
