@@ -6,12 +6,14 @@ from the whole driver tables (:mod:`cartwise.sources.fixtures`).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import size_like
+from ..functions.text import as_timestamp, format_run_date
 from ..operators import affinity as af
 from ..operators import ages as ag
 from ..operators import blend as bl
@@ -23,9 +25,11 @@ from ..operators import replies as rp
 from ..operators import requests as rq
 from ..operators import similar as sm
 from ..operators import upsize as up
-from ..session import ensure_checkpoint_dir
+from ..session import checkpoint_path, ensure_checkpoint_dir
+from ..sources import batches, ranged, sinks
 from ..sources import literals as lit
 from ..sources.fixtures import AGE_LABELS, MILK_LABELS, WEIGHT_LABELS, Fixtures, label_sheet
+from . import jobs
 
 # The fixture's output-type codes (line numbers) that stand for kept sales.
 FIXTURE_OUTPUT_TYPES = (1, 2, 4, 5)
@@ -483,6 +487,13 @@ def customer_range(spark, sf_dir):
     return keys.row_range(person, ["customer_id"], start=0, end=None)
 
 
+@query
+def customer_range_inside(spark, sf_dir):
+    """Rows 50 to 1049 by global position."""
+    person = Fixtures(spark, sf_dir).person().select("customer_id", "expected_age_last")
+    return keys.row_range(person, ["customer_id"], start=50, end=1049)
+
+
 @query
 def fuzzy_names_indel(spark, sf_dir):
     """J15 with the original matcher's InDel ratio (D8); its SQL folds the edit matrix over arrays."""
@@ -511,6 +522,63 @@ def request_catalog(spark, sf_dir):
     return rp.catalog_lines(Fixtures(spark, sf_dir).catalog())
 
 
+# -- tables written and read back ---------------------------------------------------------------
+def _place(spark, name: str) -> str:
+    """A new folder for a table, in the shared checkpoint folder."""
+    return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
+
+
+@query
+def frequency_sorted(spark, sf_dir):
+    """The frequency profile written in global order, read back with its row numbers."""
+    fx, path = Fixtures(spark, sf_dir), _place(spark, "frequency")
+    jobs.frequency_job(fx.order_lines(), fx.excluded(), fx.model_map(), path, FIXTURE_OUTPUT_TYPES)
+    return ranged.read_sorted(spark, path)
+
+
+@query
+def frequency_slice(spark, sf_dir):
+    """Customers 100 to 299 of the sorted table, from the files that hold them."""
+    fx, path = Fixtures(spark, sf_dir), _place(spark, "frequency")
+    jobs.frequency_job(fx.order_lines(), fx.excluded(), fx.model_map(), path, FIXTURE_OUTPUT_TYPES)
+    return ranged.read_sorted(spark, path, 100, 299)
+
+
+@query
+def batch_commits(spark, sf_dir):
+    """The age picks written as committed batches of 500 customers: the manifest."""
+    picks = _diversified(Fixtures(spark, sf_dir)).select("customer_id", "product_id", "pick")
+    return batches.write_batches(picks, _place(spark, "picks"), ["customer_id"], 500)
+
+
+@query
+def companion_files(spark, sf_dir):
+    """The companion products in 48 files: files and rows as read back."""
+    fx, path = Fixtures(spark, sf_dir), _place(spark, "companions")
+    jobs.companion_job(fx.properties(), fx.property_map(), fx.model_map(), path)
+    return spark.read.parquet(path).agg(F.count_distinct("_metadata.file_name").alias("files"), F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def run_date_path(spark, sf_dir):
+    """The catalog written under run date and category, one category twice, read back."""
+    cat, path = Fixtures(spark, sf_dir).catalog().drop("category_name"), _place(spark, "catalog")
+    day = F.to_date(F.lit("2024-02-29"))
+    dated = cat.withColumn("run_date", format_run_date(day))
+    sinks.write_table(dated, path, partition_by=["run_date", "category_code"])
+    again = dated.filter("category_code = '3'").withColumn("product_name", F.upper("product_name"))
+    sinks.write_table(again, path, partition_by=["run_date", "category_code"])
+    back = spark.read.schema(dated.schema).parquet(path)
+    return back.select("run_date", "category_code", "product_id", "product_name", "brand_id", "item_base_id")
+
+
+@query
+def text_timestamps(spark, sf_dir):
+    """Purchase times that arrive as text, NULL where they do not parse."""
+    t = Fixtures(spark, sf_dir).text_orders()
+    return t.select("order_id", "ordered_text", as_timestamp("ordered_text").alias("ordered_at"))
+
+
 # -- S9 quarantine tables ---------------------------------------------------------------------------
 @query
 def off_ladder(spark, sf_dir):

@@ -56,6 +56,13 @@ FX = {
                     ELSE round(3.2::DOUBLE + 0.21::DOUBLE * coalesce(age, 0) + (c_custkey % 37) / 16::DOUBLE, 3) END AS weight_kg
         FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST((c_custkey * 7) % 73 AS DOUBLE) END AS age
               FROM customer)""",
+    "fx_text_orders": """
+        SELECT o_orderkey AS order_id,
+               CASE WHEN o_orderkey % 10 = 3 THEN 'day ' || strftime(o_orderdate, '%Y-%m-%d')
+                    WHEN o_orderkey % 10 = 5 THEN NULL
+                    WHEN o_orderkey % 2 = 0 THEN strftime(o_orderdate, '%Y-%m-%d') || ' 10:' || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') || ':07'
+                    ELSE strftime(o_orderdate, '%Y-%m-%d') END AS ordered_text
+        FROM orders""",
     "fx_listed_label": """
         SELECT p_partkey AS product_id, CAST(p_partkey % 16 AS INTEGER) AS label_no,
                CAST(p_partkey % 310 AS VARCHAR) AS category_code,

@@ -12,16 +12,17 @@ from pyspark.sql import functions as F
 
 from ..operators import affinity, ages, blend, frequency, impute, replies, requests, similar, upsize
 from ..sources import literals as L
-from ..sources import sinks
+from ..sources import batches, ranged, sinks
+
+FREQUENCY_ORDER = ["customer_id", "category_rank", "category_id", "product_id", "model_code"]
 
 
 def frequency_job(lines: DataFrame, excluded: DataFrame, model_map: DataFrame, out: str,
                   output_types=L.OUTPUT_TYPES) -> None:
-    """Frequency profile per customer and category, sorted inside files by
-    customer and category rank (O1) — a per-file sort, no global one."""
+    """Frequency profile per customer and category in global order: sorted
+    files that do not overlap, with a key-range manifest (O1)."""
     df = frequency.frequency_profile(lines, excluded, model_map, output_types)
-    df = df.repartition("customer_id").sortWithinPartitions("customer_id", "category_rank")
-    sinks.write_table(df, out)
+    ranged.write_sorted(df, out, FREQUENCY_ORDER)
 
 
 def companion_job(properties: DataFrame, mapping: DataFrame, model_map: DataFrame, out: str,
@@ -36,7 +37,8 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
     """Impute ages, attach growth values, match age ranges, diversify.
 
     Customers without any product go to ``no_match_out`` (S9).  With
-    ``batch_size`` the result is written as numbered customer batches (S7);
+    ``batch_size`` the result is written as numbered customer batches that
+    a restarted job completes (S7);
     otherwise with ``run_date`` it lands in that day's partition (S8).
     ``weight_labels`` (product_id, label) adds the weight interval (R6).
     Labels with ``category_code`` or ``propertyid`` meet the job's
@@ -54,7 +56,7 @@ def age_job(persons: DataFrame, growth: DataFrame, labels: DataFrame, catalog: D
     picks = ages.diversify(ages.age_candidates(cust, ages.age_ranges(labels, **lists), weights=weights, attributes=attrs))
     picks = picks.join(catalog.select("product_id", "product_name", "category_name"), "product_id", "left")
     if batch_size:
-        sinks.write_batches(picks, out, ["customer_id"], batch_size)
+        batches.write_batches(picks, out, ["customer_id"], batch_size)
     elif run_date:
         sinks.write_table(sinks.with_run_date(picks, run_date), out, partition_by=["run_date"])
     else:

@@ -61,6 +61,28 @@ ORACLE["frequency_profile"] = with_fx(f"""
     LEFT JOIN fx_model_map m ON trim(m.product_code) = CAST(t.product_id AS VARCHAR)
 """, "fx_order_lines", "fx_excluded", "fx_model_map")
 
+FREQUENCY_ORDER = ", ".join(f"{c} NULLS FIRST" for c in ("customer_id", "category_rank", "category_id", "product_id", "model_code"))
+
+
+def _sorted_sql(keep: str) -> str:
+    return with_fx(f"""
+    WITH {CLEAN_LINES}, {CATEGORY_FREQ}, {TOP_PRODUCT},
+    f AS (
+        SELECT t.customer_id, t.category_id, t.product_id, t.order_count,
+               c.category_order_count AS total_orders_in_category,
+               round(t.order_count / c.category_order_count * 100, 2) AS product_freq_in_category,
+               t.last_purchase_date, c.category_freq, c.category_rank, m.model_code
+        FROM topp t
+        LEFT JOIN catf c ON t.customer_id = c.customer_id AND t.category_id = c.category_id
+        LEFT JOIN fx_model_map m ON trim(m.product_code) = CAST(t.product_id AS VARCHAR)),
+    n AS (SELECT *, row_number() OVER (ORDER BY {FREQUENCY_ORDER}) - 1 AS row_no FROM f)
+    SELECT * FROM n {keep}
+""", "fx_order_lines", "fx_excluded", "fx_model_map")
+
+
+ORACLE["frequency_sorted"] = _sorted_sql("")
+ORACLE["frequency_slice"] = _sorted_sql("WHERE customer_id BETWEEN 100 AND 299")
+
 ORACLE["model_code_map"] = with_fx("""
     SELECT c.product_id, m.model_code
     FROM fx_catalog c LEFT JOIN fx_model_map m ON trim(m.product_code) = CAST(c.product_id AS VARCHAR)
@@ -98,6 +120,9 @@ ORACLE["companion_top1"] = with_fx("""
     LEFT JOIN fx_model_map mm ON trim(mm.product_code) = t.product_code_sub
 """, "fx_properties", "fx_property_map", "fx_model_map")
 
+ORACLE["companion_files"] = f"SELECT CAST(48 AS BIGINT) AS files, count(*) AS rows FROM ({ORACLE['companion_top1']})"
+
+
 # -- R3 / R4 ----------------------------------------------------------------------------
 MODE = """
     mode AS (
@@ -273,6 +298,26 @@ ORACLE["age_ranges_listed"] = with_fx("""
 ORACLE["diversify"] = with_fx(f"WITH {DIVERSIFIED} SELECT * FROM div",
                               "fx_person", "fx_product_label", "fx_age_labels", "fx_catalog")
 
+ORACLE["batch_commits"] = with_fx(f"""
+    WITH {DIVERSIFIED},
+    k AS (SELECT customer_id, CAST((row_number() OVER (ORDER BY customer_id) - 1) // 500 AS BIGINT) AS batch
+          FROM (SELECT DISTINCT customer_id FROM div)),
+    r AS (SELECT k.batch, customer_id, md5(concat_ws('|', customer_id, product_id, pick)) AS m FROM div JOIN k USING (customer_id))
+    SELECT batch, count(DISTINCT customer_id) AS keys, count(*) AS rows,
+           concat_ws('-', bit_xor(('0x' || substr(m, 1, 15))::BIGINT)::VARCHAR, sum(('0x' || substr(m, 16, 8))::BIGINT)::VARCHAR) AS digest
+    FROM r GROUP BY batch
+""", "fx_person", "fx_product_label", "fx_age_labels", "fx_catalog")
+
+ORACLE["run_date_path"] = with_fx("""
+    SELECT '20240229' AS run_date, category_code, product_id,
+           CASE category_code WHEN '3' THEN upper(product_name) ELSE product_name END AS product_name, brand_id, item_base_id
+    FROM fx_catalog
+""", "fx_catalog")
+
+ORACLE["text_timestamps"] = with_fx("""
+    SELECT order_id, ordered_text, TRY_CAST(ordered_text AS TIMESTAMP) AS ordered_at FROM fx_text_orders
+""", "fx_text_orders")
+
 # -- R12-R15 ---------------------------------------------------------------------------------
 PRIO = "CASE type WHEN 'ori' THEN 1 WHEN 'rcm' THEN 2 WHEN 'age_rcm' THEN 3 WHEN 'freg_rcm' THEN 4 END"
 TYPE_ORD = "CASE WHEN type = 'ori' THEN 0 ELSE 1 END"
@@ -720,6 +765,8 @@ ORACLE["customer_range"] = with_fx("""
     FROM fx_person
 """, "fx_person")
 
+ORACLE["customer_range_inside"] = f"SELECT * FROM ({ORACLE['customer_range']}) WHERE row_no BETWEEN 50 AND 1049"
+
 PROFILES = """
     pp AS (
         SELECT DISTINCT trim(product_code) AS product_code, trim(product_name) AS product_name, property_id,

@@ -189,6 +189,16 @@ class Fixtures:
             F.col("customer_id") % 7 != 0,
             F.round(F.lit(3.2) + 0.21 * F.coalesce(age, F.lit(0.0)) + (F.col("customer_id") % 37) / 16, 3)).alias("weight_kg"))
 
+    @_memo
+    def text_orders(self) -> DataFrame:
+        """Order times as text, in the forms they arrive in; every tenth does not parse."""
+        o, k = self.t.orders, F.col("o_orderkey")
+        day = F.date_format("o_orderdate", "yyyy-MM-dd")
+        text = (F.when(k % 10 == 3, F.concat(F.lit("day "), day)).when(k % 10 == 5, F.lit(None).cast("string"))
+                .when(k % 2 == 0, F.concat(day, F.lit(" 10:"), F.lpad((k % 60).cast("string"), 2, "0"), F.lit(":07")))
+                .otherwise(day))
+        return o.select(k.alias("order_id"), text.alias("ordered_text"))
+
     @_memo
     def listed_label(self) -> DataFrame:
         """Age labels with the category and property they stand under."""

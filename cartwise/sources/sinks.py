@@ -15,7 +15,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import format_run_date
-from ..operators.keys import batch_numbers
 from ..session import checkpoint_path
 
 
@@ -43,17 +42,6 @@ def with_run_date(df: DataFrame, run_date: str | None = None) -> DataFrame:
     return df.withColumn("run_date", value)
 
 
-def write_batches(df: DataFrame, path: str, order: Sequence[str], size: int) -> DataFrame:
-    """Numbered batches of ``size`` keys in ``order`` as one partitioned
-    write (S7), instead of one write per batch.  All rows of a key (a
-    customer, a product) are in one batch.  Returns the per-batch row counts
-    (the numbers the original file names carry)."""
-    keys = list(order)
-    numbered = df.join(batch_numbers(df.select(*keys).distinct(), keys, size).drop("row_no"), keys)
-    numbered.write.mode("overwrite").partitionBy("batch").parquet(path)
-    return numbered.sparkSession.read.parquet(path).groupBy("batch").agg(F.count(F.lit(1)).alias("rows"))
-
-
 def split_quarantine(df: DataFrame, ok: Column) -> tuple[DataFrame, DataFrame]:
     """Rows meeting ``ok`` and the rest, kept apart."""
     cond = F.coalesce(ok, F.lit(False))
