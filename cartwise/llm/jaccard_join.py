@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.keys import top_k_per_key
-from .common import connected, id_long, id_text, written
+from .common import connected, id_long, id_text, quoted, written
 from .wordhash import WordHasher, mix
 
 SHINGLE, PERCENT = 5, 75
@@ -369,8 +369,8 @@ def moved(parts: DataFrame, roots: DataFrame) -> DataFrame:
     return parts.join(roots, "comp", "left").select("cls", F.coalesce("root", "comp").alias("comp"))
 
 
-def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: int = 64) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id."""
+def component_parts(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: int = 64) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows (doc_id, key, n, cls), classes, and the parts (cls, comp) that links make."""
     table = written(sets_table(docs), "sets")
     spark = docs.sparkSession
     parallel = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -422,7 +422,12 @@ def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: i
         links = written(verified(rest.withColumn("key", F.concat_ws("/", "cluster", "part"))), "links")
         parts = moved(parts, connected(links, "comp", "root").withColumnsRenamed(
             {"id": "comp", "component_id": "root"}))
-    return component_rows(table, classes, parts)
+    return table, classes, parts
+
+
+def jaccard_components(docs: DataFrame, chunk: int = 1024, hubs: int = 4, hot: int = 64) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id."""
+    return component_rows(*component_parts(docs, chunk, hubs, hot))
 
 
 def component_rows(table: DataFrame, classes: DataFrame, parts: DataFrame) -> DataFrame:
@@ -435,8 +440,20 @@ def component_rows(table: DataFrame, classes: DataFrame, parts: DataFrame) -> Da
                       F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
-def one_per_component(docs: DataFrame) -> DataFrame:
-    """One document of each component (its smallest id), all columns kept; rows without an id stay."""
-    comps = jaccard_components(docs)
-    gone = comps.filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
+def one_per_component(docs: DataFrame, **options) -> DataFrame:
+    """One row of each component, all columns kept: the smallest id's (of its texts the one with the least hash,
+    of repeated rows one); of NULL ids only where no other is there.  Texts without words all stay."""
+    table, classes, parts = component_parts(docs, **options)
+    comp = F.coalesce("comp", "cls").alias("comp")
+    first = classes.join(parts, "cls", "left").select(comp, F.struct(F.col("rep").isNull().alias("none"), "rep", "key").alias("f"))
+    first = first.groupBy("comp").agg(F.min("f").alias("f")).select("f.rep", F.col("f.key").alias("rep_key"))
+    held = table.filter("n > 0").groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("rows"))
+    plan = held.join(first, held["doc_id"].eqNullSafe(first["rep"]) & (held["key"] == first["rep_key"]), "left")
+    # what a row's id and text say: absent (no words), gone, the one that stays, or one of several equal ones
+    plan = plan.select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"),
+                       F.when(F.col("rep_key").isNull(), 0).when(F.col("rows") == 1, 1).otherwise(2).alias("_stay"))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), "doc_id", text_key(docs).alias("key"))
+    met = rows.join(plan, rows["doc_id"].eqNullSafe(plan["_id"]) & (rows["key"] == plan["_key"]), "left")
+    once = met.filter("_stay IS NULL OR _stay = 1").select("row.*")
+    more = met.filter("_stay = 2").groupBy("_id", "_key").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return once.union(more.select("row.*"))
