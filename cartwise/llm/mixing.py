@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, full_text, written
+from .common import WORD, full_text, quoted, written
 
 WEIGHTS = (3, 1, 2)
 BUDGET_SHARE = 1.5
@@ -69,8 +69,8 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, e
                 seed: int = 17) -> DataFrame:
     """Per row: doc_id, size, source_size, target, taken (words), times (passes taken)."""
     sized = written(docs.select("doc_id", "source", n_words(full_text(docs)).alias("size"),
-                                F.xxhash64(F.col("doc_id"), F.lit(seed)).alias("h"),
-                                F.xxhash64(full_text(docs)).alias("th")), "sizes")
+                                F.xxhash64(F.col("doc_id"), row_hash(docs), F.lit(seed)).alias("h"),
+                                row_hash(docs).alias("th")), "sizes")
     rows = sized.count()
     cells = max(1, math.isqrt(rows))
     targets = written(source_targets(sized, weights, share, epochs), "targets")
@@ -122,13 +122,18 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, e
                     times.alias("times"), "source", "th")
 
 
+def row_hash(docs: DataFrame) -> Column:
+    """Hash of all columns of a row, NULLs and values told apart."""
+    cols = [quoted(f.name) if f.dataType.typeName() not in ("map", "variant") else F.to_json(quoted(f.name)) for f in docs.schema]
+    return F.xxhash64(*cols, *[c.isNull() for c in cols])
+
+
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, columns unchanged."""
     plan = (mix_sources(docs, **options).filter("times > 0").groupBy("doc_id", "source", "th")
-            .agg(F.sum("times").alias("times")))
-    rows = docs.withColumn("_th", F.xxhash64(full_text(docs))).dropDuplicates(["doc_id", "source", "_th"])
-    on = (rows["doc_id"].eqNullSafe(plan["doc_id"]) & rows["source"].eqNullSafe(plan["source"])
-          & (rows["_th"] == plan["th"]))
-    out = rows.join(plan.select("doc_id", "source", "th", "times"), on)
-    return (out.select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), "times")).alias("_pass"))
-            .drop("_pass"))
+            .agg(F.sum("times").alias("times")).withColumnsRenamed({"doc_id": "p_id", "source": "p_source", "th": "p_th"}))
+    rows = docs.select(F.struct(*[quoted(c) for c in docs.columns]).alias("row"), "doc_id", "source", row_hash(docs).alias("th"))
+    on = (rows["doc_id"].eqNullSafe(plan["p_id"]) & rows["source"].eqNullSafe(plan["p_source"]) & (rows["th"] == plan["p_th"]))
+    # rows equal in all columns are one in the plan, which counts them
+    met = rows.dropDuplicates(["doc_id", "source", "th"]).join(plan, on)
+    return met.select("row", F.explode(F.sequence(F.lit(1), "times"))).select("row.*")
