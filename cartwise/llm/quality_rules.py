@@ -140,9 +140,12 @@ def thresholds(holdout: DataFrame, risk: float, error: float) -> DataFrame:
 def quality_rules(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.02,
                   error: float = 0.05, salts: int = 32) -> DataFrame:
     """Per row: doc_id, the counts, base_failed, kept and the verdict of each rule."""
-    rows = written(measured(docs.select("doc_id", "text", F.col(stratum).alias("stratum")), ["doc_id", "stratum"]), "measured")
+    rows = docs.select("doc_id", "text", F.col(stratum).alias("stratum"), F.xxhash64("text").alias("trial"))
+    rows = written(measured(rows, ["doc_id", "stratum", "trial"]), "measured")
     good = labels.filter("quality = 1").select("doc_id").distinct()
+    # the bound counts independent trials: a label is one, however often its document is repeated
     holdout = rows.filter(~base_failed()).join(good, "doc_id", "left_semi")
+    holdout = holdout.groupBy("doc_id").agg(F.min(F.struct("trial", "stratum", *COUNTS)).alias("row")).select("row.*")
     cuts = thresholds(holdout, risk, error)
     # a hot stratum's rows meet copies of its cutoffs in as many tasks
     cuts = cuts.withColumnRenamed("stratum", "s").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
