@@ -10,8 +10,10 @@ differ; a text whose two best codewords are closer than ``min_gap`` is flagged
 ambiguous.
 
 n-gram counts are taken over all training rows, whole texts, by Spark: a task
-adds up its counts per language, Spark sums them.  The driver holds languages
-x ``DIM`` counts; ``max_languages`` bounds it (more is an error, none is dropped).
+adds up its counts per language, Spark sums them, and from the sums each n-gram's
+frequencies on both sides of every bit.  The driver holds the languages' names and
+codewords and n-grams x bits weights; bits grow with the logarithm of the languages,
+of which there may be any number.
 
 Results for odd input: a NULL text, an empty one and one without a letter are
 ``und`` with score 0; a NULL language is not learnt from; with one language
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from .common import id_remainder, quoted
+from .common import id_remainder, quoted, written
 
 FOLDS, HELD = 4, 2
 DIM = 1 << 13
@@ -63,7 +65,7 @@ def codewords(n: int) -> np.ndarray:
         return np.array([[1.0 if s >> i & 1 else -1.0 for s in splits] for i in range(n)])
     bits = max(15, 10 * int(np.ceil(np.log2(n))))
     rng, best, apart = np.random.default_rng(7), None, -1
-    for _ in range(50):
+    for _ in range(50 if n <= 200 else 2):  # long random codewords are well apart as they are
         m = rng.choice([-1.0, 1.0], size=(n, bits))
         m = m[:, np.abs(m.sum(0)) < n]
         d = ((m.shape[1] - m @ m.T) / 2 + np.eye(n) * bits).min()
@@ -73,54 +75,82 @@ def codewords(n: int) -> np.ndarray:
 
 
 class CodeModel:
-    """Codewords, one n-gram weight vector per bit, and the bit weights."""
-
-    def __init__(self, languages: list[str], counts: np.ndarray):
-        self.languages = languages
-        self.code = codewords(len(languages))
-        freq = (counts + 0.5) / (counts.sum(1, keepdims=True) + 0.5 * DIM)
-        bits = self.code.shape[1]
-        self.weights, self.bit_weight, self.scale = np.zeros((DIM, bits)), np.ones(bits), np.ones(bits)
-        for b in range(bits):
-            plus, minus = freq[self.code[:, b] > 0].mean(0), freq[self.code[:, b] < 0].mean(0)
-            w = np.log(plus / minus)
-            self.weights[:, b] = w
-            self.bit_weight[b] = ((plus - minus) * w).sum() / 2  # mean margin of either side
-        if bits:
-            # margins in units of half the mean one: texts of every length share a scale
-            self.scale = 4 / np.maximum(self.bit_weight, 1e-9)
+    """Codewords, one n-gram weight vector per bit, and the bit weights.
+
+    ``plus`` and ``minus``: per n-gram and bit the mean smoothed frequency over
+    the languages of either side.
+    """
+
+    def __init__(self, languages: list[str], code: np.ndarray, plus: np.ndarray, minus: np.ndarray):
+        self.languages, self.code = languages, code
+        self.weights = np.log(plus / minus)
+        self.bit_weight = ((plus - minus) * self.weights).sum(0) / 2  # mean margin of either side
+        # margins in units of half the mean one: texts of every length share a scale
+        self.scale = 4 / np.maximum(self.bit_weight, 1e-9)
+        if code.shape[1]:
             self.bit_weight = self.bit_weight / max(self.bit_weight.sum(), 1e-9)
 
     def losses(self, counts: np.ndarray) -> np.ndarray:
         """Loss per language for rows of n-gram counts."""
         margin = counts @ self.weights / np.maximum(counts.sum(1, keepdims=True), 1) * self.scale
-        return np.stack([(np.logaddexp(0, -margin * row) * self.bit_weight).sum(1) for row in self.code], 1)
+        hit, miss = np.logaddexp(0, -margin) * self.bit_weight, np.logaddexp(0, margin) * self.bit_weight
+        return hit @ (self.code > 0).T + miss @ (self.code < 0).T
 
 
-def fit(docs: DataFrame, max_languages: int = 1000) -> CodeModel | None:
+def fit(docs: DataFrame, held: int = 256) -> CodeModel | None:
+    """The model of all languages of ``docs``, however many: their n-gram counts stay in Spark.
+
+    A task holds at most ``held`` languages' counts at once.  The driver gets the
+    languages with their sizes, and per n-gram and bit the sums over the languages of either side.
+    """
     rows = docs.select("text", "lang").filter("text IS NOT NULL AND lang IS NOT NULL")
 
     def add_up(batches):
         sums: dict[str, np.ndarray] = {}
+
+        def counted():
+            for lang, c in sums.items():
+                at = np.flatnonzero(c)
+                yield pd.DataFrame({"lang": lang, "gram": at, "n": c[at]})
+            sums.clear()
+
         for pdf in batches:
             for text, lang in zip(pdf["text"], pdf["lang"]):
                 if text:
                     c = ngram_counts(text)
                     sums[lang] = sums[lang] + c if lang in sums else c
-        for lang, c in sums.items():
-            at = np.flatnonzero(c)
-            yield pd.DataFrame({"lang": lang, "gram": at, "n": c[at]})
-
-    grams = rows.mapInPandas(add_up, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = grams.toPandas()
-    languages = sorted(found["lang"].unique())
-    if len(languages) > max_languages:
-        raise ValueError(f"{len(languages)} languages; max_languages is {max_languages}")
-    if not languages:
+                    if len(sums) > held:
+                        yield from counted()
+        yield from counted()
+
+    grams = written(rows.mapInPandas(add_up, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")), "grams")
+    sizes = sorted(tuple(r) for r in grams.groupBy("lang").agg(F.sum("n")).collect())
+    if not sizes:
         return None
-    counts = np.zeros((len(languages), DIM))
-    counts[found["lang"].map({x: i for i, x in enumerate(languages)}), found["gram"]] = found["n"]
-    return CodeModel(languages, counts)
+    languages, code = [x for x, _ in sizes], codewords(len(sizes))
+    bits = code.shape[1]
+    if not bits:
+        return CodeModel(languages, code, np.ones((DIM, 0)), np.ones((DIM, 0)))
+    place, share = {x: i for i, x in enumerate(languages)}, 1 / (np.array([n for _, n in sizes]) + 0.5 * DIM)
+
+    def by_bit(batches):
+        total = np.zeros((DIM, 2 * bits))
+        for pdf in batches:
+            at = pdf["lang"].map(place).to_numpy()
+            for k in range(0, len(at), 4096):
+                i = at[k:k + 4096]
+                side = np.hstack([code[i] > 0, code[i] < 0]) * (pdf["n"].to_numpy()[k:k + 4096] * share[i])[:, None]
+                np.add.at(total, pdf["gram"].to_numpy()[k:k + 4096], side)
+        at = np.flatnonzero(total.any(1))
+        yield pd.DataFrame({"gram": at, "v": list(total[at])})
+
+    sums = grams.mapInPandas(by_bit, "gram long, v array<double>").groupBy("gram").agg(
+        F.array(*[F.sum(F.col("v")[j]) for j in range(2 * bits)]).alias("v")).toPandas()
+    sides = np.hstack([code > 0, code < 0])
+    freq = np.tile(0.5 * (sides * share[:, None]).sum(0), (DIM, 1))
+    freq[sums["gram"]] += np.stack(sums["v"])
+    freq /= sides.sum(0)
+    return CodeModel(languages, code, freq[:, :bits], freq[:, bits:])
 
 
 def predict(docs: DataFrame, model: CodeModel | None, keep: list[str], min_gap: float = 0.05) -> DataFrame:
