@@ -40,15 +40,18 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 ALL_HEX = re.compile(r"[0-9a-f]+|[0-9A-F]+")
 WINDOW = 20
 THRESHOLD = {"hex": 3.1, "base64": 3.75}
+WORDS = [re.compile(p) for p in (r"[A-Za-z]+", r"(?:[A-Za-z]+[_/+=-]+)*[A-Za-z]*[0-9]{0,4}")]
 ALLOW = [re.compile(p) for p in (
-    r"[A-Za-z]+", r"[0-9]+", r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}",
-    r"(?:[A-Za-z]+[_/+=-]+)*[A-Za-z]*[0-9]{0,4}", r"[0-9]+(?:[-/_][0-9]+)+",
+    r"[0-9]+", r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", r"[0-9]+(?:[-/_][0-9]+)+",
     r"(?s).*(?:example|EXAMPLE|abcdefgh|ABCDEFGH|01234567|12345678).*")]
 # a link's host and path after its user part, or a mail address's domain
 STOP = r"""\s/?#@"'`,<>(){}\[\]\\|"""
 PLACE = r"(?:[\w.-]+|\[[0-9A-Fa-f:.]+\])(?::[0-9]+)?(?:/[\w./~%!$*+@=-]*)?"
 LINK = re.compile(rf"(?<=[A-Za-z0-9])://(?P<user>[^{STOP}]*@)?(?P<place>{PLACE})"
                   rf"|(?<![\w@./-])www\.{PLACE}|(?<=[\w.+-])@[\w-]+(?:\.[\w-]+)+")
+CASE_BREAK = re.compile(r"[A-Z]{2,}(?=[a-z])|(?<=[A-Z])[a-z](?![a-z])")
+CASE_CHANGE = re.compile(r"(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]")
+HOOK = re.compile(r"hook", re.IGNORECASE)
 WEIGHT = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
 
 
@@ -77,9 +80,16 @@ def high_windows(s: str, threshold: float, width: int = WINDOW) -> list[tuple[in
     return out
 
 
+def mixed_at_random(s: str) -> bool:
+    """Letters whose case changes as no words do: capitals in a row before a small letter, small letters alone."""
+    odd = sum(1 for _ in CASE_BREAK.finditer(s))
+    return odd * 12 >= len(s) and odd > 2 or odd == 2 and 5 * sum(1 for _ in CASE_CHANGE.finditer(s)) >= 2 * len(s)
+
+
 def link_places(text: str) -> list[tuple[int, int]]:
-    """The hosts and paths of links and the domains of mail addresses, in order."""
-    return [(m.start("place") if m["user"] else m.start(), m.end()) for m in LINK.finditer(text)]
+    """The hosts and paths of links and the domains of mail addresses, in order; a webhook's path is no such place."""
+    return [(m.start("place") if m["user"] else m.start(), m.end()) for m in LINK.finditer(text)
+            if not HOOK.search(m.group())]
 
 
 def scan(text: str) -> list[tuple[str, int, int]]:
@@ -87,11 +97,10 @@ def scan(text: str) -> list[tuple[str, int, int]]:
     found = [("assign", m.start(), m.end()) for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= 6]
     found += [("access", m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= 20]
     found += [("hex", m.start(), m.end()) for m in HEX.finditer(text)]
-    base = list(found)
-    places = None
+    places, more = None, []
     for m in CANDIDATE.finditer(text):
         s = m.group()
-        if any(p.fullmatch(s) for p in ALLOW):
+        if any(p.fullmatch(s) for p in ALLOW) or any(p.fullmatch(s) for p in WORDS) and not mixed_at_random(s):
             continue
         if places is None:
             places = link_places(text)
@@ -99,10 +108,15 @@ def scan(text: str) -> list[tuple[str, int, int]]:
         if at >= 0 and m.end() <= places[at][1]:
             continue
         kind = "hex" if ALL_HEX.fullmatch(s) else "base64"
-        for a, b in high_windows(s, THRESHOLD[kind]):
-            a, b = a + m.start(), b + m.start()
-            if not any(x <= a and b <= y for _, x, y in base):
-                found.append(("entropy", a, b))
+        more += [(a + m.start(), b + m.start()) for a, b in high_windows(s, THRESHOLD[kind])]
+    # spans inside a base span are known: both lists in order of start, and how far base spans reach so far
+    reach, k = -1, 0
+    base = sorted((x, y) for _, x, y in found)
+    for a, b in more:
+        while k < len(base) and base[k][0] <= a:
+            reach, k = max(reach, base[k][1]), k + 1
+        if b > reach:
+            found.append(("entropy", a, b))
     return sorted(found, key=lambda f: (f[1], KINDS.index(f[0]), f[2]))
 
 
