@@ -6,7 +6,9 @@ a word's ids come from the lexicon, and words it lacks are merged exactly, lowes
 rank first.  The lexicon is compiled from the most frequent words of the whole
 corpus (Spark counts them; ``size`` bounds what reaches the driver), kept in
 ``spark.checkpoint.dir``, shipped by Spark and memory-mapped by every worker.
-It only saves work: results do not depend on which words are in it.
+It only saves work: results do not depend on which words are in it.  A text
+with code points that Python's Unicode tables do not know is normalised and split by the
+vocabulary's own library, whose tables are other ones.
 
 The vocabulary file is in the JSON format of the tokenizers library and must
 use the scheme above: byte-level alphabet, an end-of-word suffix, no decoder
@@ -36,6 +38,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
+from tokenizers import Tokenizer
 
 from ..session import ensure_checkpoint_dir
 from .common import quoted, written
@@ -131,6 +134,45 @@ class Vocabulary:
         return [p for p in parts if p >= 0]
 
 
+class Newer:
+    """The vocabulary's own normaliser and word splitter, for code points where Python's tables may differ.
+
+    Python and the tokenizers library carry different Unicode versions; texts come
+    out alike but for code points that Python does not know and the order of combining
+    marks, so only texts with one (outside the first marks, U+0300 on) take this way.
+    """
+
+    _unknown = None
+
+    def __init__(self, spec: str):
+        self.spec, self._library = spec, None
+
+    @classmethod
+    def in_text(cls, text: str) -> bool:
+        if text.isascii():
+            return False
+        if cls._unknown is None:
+            gone = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn"
+                    or unicodedata.combining(chr(c)) and not 0x300 <= c <= 0x344]
+            starts = [c for i, c in enumerate(gone) if not i or gone[i - 1] != c - 1]
+            ends = [c for i, c in enumerate(gone) if i + 1 == len(gone) or gone[i + 1] != c + 1]
+            cls._unknown = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]")
+        return cls._unknown.search(text) is not None
+
+    @property
+    def library(self) -> Tokenizer:
+        if self._library is None:
+            self._library = Tokenizer.from_str(self.spec)
+        return self._library
+
+    def chunks_of(self, text: str) -> list[str]:
+        normaliser = self.library.normalizer
+        return [c for c in (normaliser.normalize_str(text) if normaliser else text).split(" ") if c]
+
+    def words_of(self, chunk: str) -> list[str]:
+        return [chunk[a:b] for _, (a, b) in self.library.pre_tokenizer.pre_tokenize_str(chunk)]
+
+
 def normalised(text: str) -> str:
     """NFC and lower case, letter by letter (no final-sigma rule)."""
     if text.isascii():
@@ -151,12 +193,18 @@ def words_of(chunk: str) -> list[str]:
 class Encoder:
     """Encodes batches of texts; remembers at most ``remember`` chunks."""
 
-    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None, remember: int = 500_000):
-        self.vocabulary, self.lexicon, self.remember = vocabulary, lexicon, remember
+    def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None, newer: Newer | None = None, remember: int = 500_000):
+        self.vocabulary, self.lexicon, self.newer, self.remember = vocabulary, lexicon, newer, remember
         self.known: dict[str, bytes] = {}
 
+    def chunks_of(self, text: str) -> list[str]:
+        return self.newer.chunks_of(text) if self.newer and Newer.in_text(text) else chunks_of(normalised(text))
+
+    def words_of(self, chunk: str) -> list[str]:
+        return self.newer.words_of(chunk) if self.newer and Newer.in_text(chunk) else words_of(chunk)
+
     def learn(self, chunks) -> None:
-        parts = {c: words_of(c) for c in chunks}
+        parts = {c: self.words_of(c) for c in chunks}
         words = list({w for ws in parts.values() for w in ws})
         found = self.lexicon.lookup([w.encode("utf-8", "surrogatepass") for w in words]).tolist() if self.lexicon else [-1] * len(words)
         ids = {}
@@ -169,7 +217,7 @@ class Encoder:
         """Ids of each text as little-endian 32-bit words."""
         v = self.vocabulary
         cut = [v.cut.split(t) if v.cut and "<" in t else [t] for t in texts]
-        pieces = [[p if i % 2 else chunks_of(normalised(p)) for i, p in enumerate(ps)] for ps in cut]
+        pieces = [[p if i % 2 else self.chunks_of(p) for i, p in enumerate(ps)] for ps in cut]
         missing = {c for ps in pieces for p in ps[::2] for c in p if c not in self.known}
         if len(self.known) + len(missing) > self.remember:
             self.known = {}
@@ -263,7 +311,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, keep: list[str], dec
     name = build_lexicon(docs, Vocabulary(json.loads(text)), size)
 
     def rows(batches):
-        coder = Encoder(Vocabulary(json.loads(spec.value)), Lexicon.open(SparkFiles.get(name)))
+        coder = Encoder(Vocabulary(json.loads(spec.value)), Lexicon.open(SparkFiles.get(name)), Newer(spec.value))
         gc.freeze()  # the tables live as long as the task: no cycles to look for in them
         gc.set_threshold(200_000, 50, 1000)
         for b in batches:
