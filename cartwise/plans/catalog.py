@@ -20,15 +20,17 @@ from ..operators import blend as bl
 from ..operators import frequency as fq
 from ..operators import fuzzy as fz
 from ..operators import impute as im
-from ..operators import keys
+from ..operators import intake, keys
 from ..operators import replies as rp
 from ..operators import requests as rq
 from ..operators import similar as sm
+from ..operators import statistics
 from ..operators import upsize as up
 from ..session import checkpoint_path, ensure_checkpoint_dir
 from ..sources import batches, ranged, sinks
 from ..sources import literals as lit
-from ..sources.fixtures import AGE_LABELS, MILK_LABELS, WEIGHT_LABELS, Fixtures, label_sheet
+from ..sources.fixtures import AGE_LABELS, MILK_LABELS, WEIGHT_LABELS, Fixtures, growth_workbook, label_sheet
+from ..sources.sheets import read_growth_sheet
 from . import jobs
 
 # The fixture's output-type codes (line numbers) that stand for kept sales.
@@ -544,6 +546,40 @@ def frequency_slice(spark, sf_dir):
     return ranged.read_sorted(spark, path, 100, 299)
 
 
+@query
+def growth_from_sheet(spark, sf_dir):
+    """Growth values of all customers from the spreadsheet itself; a cell that is no number is a gap."""
+    fx, path = Fixtures(spark, sf_dir), _place(spark, "growth") + ".xlsx"
+    growth_workbook(fx.growth(), path)
+    cust = _imputed(fx).select("customer_id", "expected_age_last")
+    return im.attach_growth(cust, read_growth_sheet(spark, path, "xlsx"))
+
+
+@query
+def growth_sheet_cells(spark, sf_dir):
+    """Rows of the spreadsheet with the customers of their age and the cells kept apart."""
+    fx, path = Fixtures(spark, sf_dir), _place(spark, "growth") + ".xlsx"
+    growth_workbook(fx.growth(), path)
+    n = _imputed(fx).groupBy(F.col("expected_age_last").alias("age_months")).agg(F.count(F.lit(1)).alias("n_customers"))
+    sheet = read_growth_sheet(spark, path, "xlsx", bad_cells=True)
+    return sheet.join(n, "age_months", "left").select(
+        "age_months", "weight_kg", "height_cm", "bad_cells", F.coalesce("n_customers", F.lit(0)).alias("n_customers"))
+
+
+@query
+def reply_intake(spark, sf_dir):
+    """Raw reply bodies to items: lists, fences, single objects, wrong types, broken and missing bodies."""
+    out = intake.reply_items(Fixtures(spark, sf_dir).raw_replies())
+    return out.select("request_id", "state", "pos", "is_object", "code", "name")
+
+
+@query
+def run_statistics(spark, sf_dir):
+    """Rows, distinct requests and products per batch of 100 requests and over the run, from mergeable bitmaps."""
+    res = _resolved(Fixtures(spark, sf_dir)).withColumn("batch", F.floor(F.col("request_id") / 100).cast("long"))
+    return statistics.run_statistics(res, "batch", ["request_id", "product_id"])
+
+
 @query
 def batch_commits(spark, sf_dir):
     """The age picks written as committed batches of 500 customers: the manifest."""

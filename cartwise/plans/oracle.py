@@ -298,6 +298,50 @@ ORACLE["age_ranges_listed"] = with_fx("""
 ORACLE["diversify"] = with_fx(f"WITH {DIVERSIFIED} SELECT * FROM div",
                               "fx_person", "fx_product_label", "fx_age_labels", "fx_catalog")
 
+GROWTH_SHEET = """
+    w AS (SELECT age_months, weight_kg AS v FROM fx_growth WHERE age_months <> 9),
+    h AS (SELECT age_months, height_cm AS v FROM fx_growth)"""
+
+
+def _near_age(t: str) -> str:
+    """Value of table ``t`` at an age: on the line between its neighbours, the nearest beyond its ends."""
+    below = f"(SELECT max(age_months) FROM {t} WHERE age_months <= i.expected_age_last)"
+    above = f"(SELECT min(age_months) FROM {t} WHERE age_months >= i.expected_age_last)"
+    return f"""SELECT i.customer_id, round(CASE WHEN i.expected_age_last IS NULL THEN NULL WHEN a.v IS NULL THEN b.v
+                   WHEN b.v IS NULL OR a.age_months = b.age_months THEN a.v
+                   ELSE a.v + (b.v - a.v) * (i.expected_age_last - a.age_months) / (b.age_months - a.age_months) END, 6) AS v
+        FROM imp i LEFT JOIN {t} a ON a.age_months = {below} LEFT JOIN {t} b ON b.age_months = {above}"""
+
+
+ORACLE["growth_from_sheet"] = with_fx(f"""
+    WITH {IMPUTED}, {GROWTH_SHEET}, x AS ({_near_age('w')}), y AS ({_near_age('h')})
+    SELECT i.customer_id, i.expected_age_last, x.v AS weight_kg, y.v AS height_cm
+    FROM imp i JOIN x USING (customer_id) JOIN y USING (customer_id)
+""", "fx_person", "fx_growth")
+
+ORACLE["growth_sheet_cells"] = with_fx(f"""
+    WITH {IMPUTED}
+    SELECT g.age_months, CASE WHEN g.age_months <> 9 THEN g.weight_kg END AS weight_kg, g.height_cm,
+           CASE WHEN g.age_months = 9 THEN 'B6=n/a' END AS bad_cells,
+           (SELECT count(*) FROM imp WHERE imp.expected_age_last = g.age_months) AS n_customers
+    FROM fx_growth g
+""", "fx_person", "fx_growth")
+
+ORACLE["reply_intake"] = with_fx("""
+    WITH c AS (SELECT c_custkey AS request_id, c_custkey % 7 AS form, c_custkey % 10 = 0 AS empty FROM customer),
+    it AS (SELECT i.*, c.form FROM fx_reply_items i JOIN c USING (request_id)),
+    wrong AS (SELECT request_id, p AS pos FROM c CROSS JOIN (VALUES (0), (1), (2), (3)) w(p) WHERE form = 3 AND NOT empty)
+    SELECT request_id, CASE form WHEN 4 THEN 'no_content' WHEN 5 THEN 'broken' WHEN 6 THEN 'missing' ELSE 'no_items' END AS state,
+           CAST(NULL AS INTEGER) AS pos, CAST(NULL AS BOOLEAN) AS is_object, CAST(NULL AS VARCHAR) AS code, CAST(NULL AS VARCHAR) AS name
+    FROM c WHERE form >= 4 OR empty
+    UNION ALL
+    SELECT request_id, 'ok', pos, true, CAST(product_id AS VARCHAR), product_name FROM it WHERE form <= 1 OR (form = 2 AND pos = 0)
+    UNION ALL
+    SELECT request_id, 'ok', 4, true, CAST(product_id AS VARCHAR), product_name FROM it WHERE form = 3 AND pos = 0
+    UNION ALL
+    SELECT request_id, 'ok', pos, false, NULL, NULL FROM wrong
+""", "fx_reply_items")
+
 ORACLE["batch_commits"] = with_fx(f"""
     WITH {DIVERSIFIED},
     k AS (SELECT customer_id, CAST((row_number() OVER (ORDER BY customer_id) - 1) // 500 AS BIGINT) AS batch
@@ -739,6 +783,13 @@ ORACLE["reply_products"] = with_fx("""
     FROM t JOIN cat ON cat.code = t.code
 """, "fx_reply_items", "fx_catalog")
 
+ORACLE["run_statistics"] = with_fx(f"""
+    WITH {RESOLVED},
+    b AS (SELECT request_id // 100 AS batch, request_id, product_id FROM res)
+    SELECT batch, count(*) AS rows, count(DISTINCT request_id) AS distinct_request_id, count(DISTINCT product_id) AS distinct_product_id
+    FROM b GROUP BY GROUPING SETS ((batch), ())
+""", "fx_reply_items", "fx_catalog")
+
 ORACLE["match_metrics"] = with_fx(f"""
     WITH {RESOLVED},
     per AS (SELECT request_id, count(*) AS n FROM res GROUP BY request_id),

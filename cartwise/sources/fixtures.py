@@ -347,6 +347,29 @@ class Fixtures:
         return (every.join(g, "request_id", "left")
                 .select("request_id", F.coalesce("reply", F.lit("xin lỗi")).alias("reply")))
 
+    @_memo
+    def raw_replies(self) -> DataFrame:
+        """Reply bodies as they arrive, one per customer, in seven forms by ``request_id % 7``: a list, a fenced list,
+        a single object, elements of wrong types, an error body, a body cut short, none."""
+        rid, form = F.col("request_id"), F.col("request_id") % 7
+        g = self.reply_items().groupBy("request_id").agg(F.array_sort(F.collect_list(F.struct("pos", "product_id", "product_name"))).alias("i"))
+        every = self.t.customer.select(F.col("c_custkey").alias("request_id")).join(g, "request_id", "left")
+        objects = F.transform("i", lambda x: F.to_json(F.struct(
+            x["product_id"].cast("string").alias("productcode"), x["product_name"].alias("productname"))))
+        first = F.element_at("i", 1)
+        listed = F.concat(F.lit("["), F.array_join(objects, ", "), F.lit("]"))
+        content = (F.when(F.col("i").isNull(), F.lit("xin lỗi"))
+                   .when(form == 1, F.concat(F.lit("Kết quả:\n```json\n"), listed, F.lit("\n```")))
+                   .when(form == 2, F.concat(F.lit("Chọn "), F.to_json(F.struct(
+                       first["product_id"].alias("code"), F.lit(" ").alias("productname"), first["product_name"].alias("name")))))
+                   .when(form == 3, F.concat(F.lit('[7, "x", null, [1], '), F.element_at(objects, 1), F.lit("]")))
+                   .otherwise(listed))
+        body = F.to_json(F.struct(F.array(F.struct(F.struct(F.lit("assistant").alias("role"), content.alias("content")).alias("message")))
+                                  .alias("choices")))
+        raw = (F.when(form == 4, F.lit('{"error": {"code": 503}}')).when(form == 5, F.substring(body, 1, 40))
+               .when(form == 6, F.lit(None).cast("string")).otherwise(body))
+        return every.select(rid, raw.alias("raw"))
+
     @_memo
     def attribute_reply_items(self) -> DataFrame:
         """What each category's attribute reply holds, one row per element."""
@@ -380,6 +403,37 @@ class Fixtures:
                                  (F.col("p_partkey") % 100).cast("string")).alias("query_name"))
 
 
+def growth_workbook(growth: DataFrame, path: str) -> None:
+    """The growth table as a spreadsheet file, as it comes: blanks in headers, one weight that is no number."""
+    import io
+    import zipfile
+    rows = [(r.age_months, "n/a" if r.age_months == 9 else r.weight_kg, r.weight_kg * 2, r.height_cm / 2, r.height_cm)
+            for r in growth.orderBy("age_months").collect()]  # one row per sheet age
+
+    def row(n, cells):
+        return f'<row r="{n}">' + "".join(
+            f'<c r="{"ABCDE"[i]}{n}" t="inlineStr"><is><t xml:space="preserve">{c}</t></is></c>' if isinstance(c, str)
+            else f'<c r="{"ABCDE"[i]}{n}"><v>{c!r}</v></c>' for i, c in enumerate(cells)) + "</row>"
+
+    header = ["Tuổi (tháng)", "Cân nặng (kg)", " Cân nặng (lb)", "Chiều cao (inch)", "Chiều cao (cm) "]
+    main, rel = "http://schemas.openxmlformats.org/spreadsheetml/2006/main", "http://schemas.openxmlformats.org/officeDocument/2006/relationships"
+    parts = {
+        "xl/workbook.xml": f'<workbook xmlns="{main}" xmlns:r="{rel}"><sheets><sheet name="S" sheetId="1" r:id="rId1"/></sheets></workbook>',
+        "xl/_rels/workbook.xml.rels": '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                                      '<Relationship Id="rId1" Type="w" Target="worksheets/sheet1.xml"/></Relationships>',
+        "xl/worksheets/sheet1.xml": f'<worksheet xmlns="{main}"><sheetData>'
+                                    + "".join(row(n + 1, r) for n, r in enumerate([header, *rows])) + "</sheetData></worksheet>"}
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for name, text in parts.items():
+            z.writestr(name, text)
+    sc = growth.sparkSession.sparkContext
+    at = sc._jvm.org.apache.hadoop.fs.Path(path)
+    stream = at.getFileSystem(sc._jsc.hadoopConfiguration()).create(at)
+    stream.write(bytearray(out.getvalue()))
+    stream.close()
+
+
 # Literal label sheets joined to table rows by label number (FIXTURES.md §3).
 AGE_LABELS = [
     (0, "Trẻ sơ sinh"), (1, "Dưới 6 tháng"), (2, "Dưới 1,5 tuổi"), (3, "Từ 6 tháng đến 2 tuổi"),
