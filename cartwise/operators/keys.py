@@ -66,18 +66,6 @@ def islands(df: DataFrame, keys, order: Sequence, is_start: Column, value: str,
     return df.withColumn(out_col or f"{value}_first", F.first(value).over(w))
 
 
-def next_rung(ladder: DataFrame, keys, rank_col: str = "ranking",
-              name: str = "next_ranking") -> DataFrame:
-    """Smallest rung above each row's rung within ``keys``.
-
-    Rungs are integers: the next rung is the minimum over a range frame that
-    starts one rung up — one window pass, no inequality join, no self join.
-    """
-    w = (Window.partitionBy(*_cols(keys)).orderBy(rank_col)
-         .rangeBetween(1, Window.unboundedFollowing))
-    return ladder.withColumn(name, F.min(rank_col).over(w))
-
-
 def round_robin(df: DataFrame, keys, bucket: str, order: Sequence, k: int,
                 name: str = "pick") -> DataFrame:
     """Take one row per bucket in turn until ``k`` picks.

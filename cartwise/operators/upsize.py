@@ -25,8 +25,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.labels import strict_milk_label
+from ..session import ensure_checkpoint_dir
 from ..sources import literals as L
-from .keys import (first_per_key, islands, next_rung, pick_index, renumber, running_count,
+from .keys import (first_per_key, group_positions, islands, pick_index, renumber, running_count,
                    top_k_per_key)
 
 def type_order():
@@ -83,24 +84,30 @@ def off_ladder(diapers: DataFrame, milk: DataFrame) -> DataFrame:
     return d.unionByName(m)
 
 
+def _rung_steps(ladder: DataFrame, ks: list) -> DataFrame:
+    """Each rung of each key with its size, and the next higher rung with its size.
+
+    Sizes are aggregated first, so the window runs on one row per rung (a
+    few per key), however many products a key or the NULL brand holds.
+    """
+    w = Window.partitionBy(*ks).orderBy("ranking")
+    sized = ladder.groupBy(*ks, "ranking").agg(F.count(F.lit(1)).alias("_n"))
+    return sized.withColumn("next_ranking", F.lead("ranking").over(w)).withColumn("_next_n", F.lead("_n").over(w))
+
+
 def ladder_next(ladder: DataFrame, keys: Sequence[str] = ("category_code", "brand_id")) -> DataFrame:
     """Each ladder row with the next higher rung of its keys."""
-    return next_rung(ladder, list(keys), "ranking", "next_ranking")
+    steps = _rung_steps(ladder, list(keys)).drop("_n", "_next_n")
+    return ladder.join(steps, [*keys, "ranking"]).select(*ladder.columns, "next_ranking")
 
 
 def _rung_table(ladder: DataFrame, ks: list) -> DataFrame:
-    """One pass over the ladder: each row's position in its rung (``_idx``),
-    the rung size, and the next rung with its size.  The next rung is the
-    first row of a frame starting one rung up (rankings are integers), so
-    no distinct + join is needed; all windows share the ``ks`` partitioning.
-    """
-    rung = Window.partitionBy(*ks, "ranking")
-    up = Window.partitionBy(*ks).orderBy("ranking").rangeBetween(1, Window.unboundedFollowing)
-    out = (ladder.select(*ks, "ranking", "product_id")
-           .withColumn("_idx", F.row_number().over(rung.orderBy("product_id")) - 1)
-           .withColumn("_n", F.count(F.lit(1)).over(rung)))
-    return (out.withColumn("next_ranking", F.first("ranking").over(up))
-            .withColumn("_next_n", F.first("_n").over(up)))
+    """Each row with its position in its rung (``_idx``), the rung's size, and
+    the next rung with its size; positions are numbered over range
+    partitions, so a large rung is no single task."""
+    ensure_checkpoint_dir(ladder.sparkSession)
+    rows = group_positions(ladder.select(*ks, "ranking", "product_id"), [*ks, "ranking"], ["product_id"], "_idx", "_size")
+    return rows.drop("_size").join(_rung_steps(ladder, ks), [*ks, "ranking"])
 
 
 def upsize(cycle: DataFrame, catalog: DataFrame, ladder: DataFrame,
