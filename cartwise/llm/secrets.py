@@ -52,7 +52,7 @@ LINK = re.compile(rf"(?<=[A-Za-z0-9])://(?P<user>[^{STOP}]*@)?(?P<place>{PLACE})
 CASE_BREAK = re.compile(r"[A-Z]{2,}(?=[a-z])|(?<=[A-Z])[a-z](?![a-z])")
 CASE_CHANGE = re.compile(r"(?<=[a-z])[A-Z]|(?<=[A-Z])[a-z]")
 HOOK = re.compile(r"hook", re.IGNORECASE)
-WEIGHT = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 1)]
+WEIGHT = [0.0] + [c * math.log2(c) for c in range(1, WINDOW + 2)]  # a window and the next sign
 
 
 def high_windows(s: str, threshold: float, width: int = WINDOW) -> list[tuple[int, int]]:
