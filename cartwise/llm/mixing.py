@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, full_text, quoted, written
+from .common import WORD, full_text, quoted, row_hash, written
 
 WEIGHTS = (3, 1, 2)
 BUDGET_SHARE = 1.5
@@ -122,12 +122,6 @@ def mix_sources(docs: DataFrame, weights=WEIGHTS, share: float = BUDGET_SHARE, e
                     times.alias("times"), "source", "th")
 
 
-def row_hash(docs: DataFrame) -> Column:
-    """Hash of all columns of a row, NULLs and values told apart."""
-    cols = [quoted(f.name) if f.dataType.typeName() not in ("map", "variant") else F.to_json(quoted(f.name)) for f in docs.schema]
-    return F.xxhash64(*cols, *[c.isNull() for c in cols])
-
-
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: every document as often as it is taken, columns unchanged."""
     plan = (mix_sources(docs, **options).filter("times > 0").groupBy("doc_id", "source", "th")

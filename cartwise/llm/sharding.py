@@ -5,6 +5,7 @@ digest; a shard is a contiguous run of groups, and the partition is the one
 whose largest shard is smallest: binary search on the capacity, each capacity
 checked greedily (fill a shard up to it, then cut), and the cuts of the smallest
 feasible capacity are used: among the cuts that keep to it, those nearest to even shares.
+The partition is contiguous over the groups that are left after the next step.
 
 A group larger than an even share of what is left to deal (at most ``shards``
 of them) takes a shard of its own first, else its size would be the capacity
@@ -32,7 +33,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import full_text, written
+from .common import full_text, row_hash, written
 
 ROW_BYTES = 16
 
@@ -142,11 +143,11 @@ def shard_documents(docs: DataFrame, shards: int = 40, bins: int = 32768, bucket
     """Per row: doc_id, size, text_crc32, law, shard, slot, grown_shard."""
     text = full_text(docs).cast("binary")
     sized = docs.select("doc_id", (F.octet_length(text) + ROW_BYTES).cast("long").alias("size"),
-                        F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("digest"))
+                        F.crc32(text).alias("text_crc32"), F.unhex(F.sha2(text, 256)).alias("digest"), row_hash(docs).alias("row"))
     sized = written(sized, "sized")
     rows = sized.count()
     spread = max(1, math.isqrt(rows))
-    cell = F.pmod(F.xxhash64("doc_id"), F.lit(spread)).alias("cell")
+    cell = F.pmod(F.xxhash64("doc_id", "row"), F.lit(spread)).alias("cell")
     sized = sized.withColumn("cell", cell)
     bucket = (F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long") % buckets).alias("bucket")
     cells = written(sized.groupBy("digest", "cell").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("bytes"))
@@ -187,7 +188,7 @@ def shard_documents(docs: DataFrame, shards: int = 40, bins: int = 32768, bucket
     order = Window.partitionBy("shard", "bucket").orderBy("digest", "cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = (cells.withColumn("before", F.coalesce(F.sum("n").over(order), F.lit(0))).join(base, ["shard", "bucket"])
               .select("digest", "cell", "shard", (F.col("base") + F.col("before")).alias("start")))
-    numbered = sized.withColumn("i", F.row_number().over(Window.partitionBy("digest", "cell").orderBy("doc_id")))
+    numbered = sized.withColumn("i", F.row_number().over(Window.partitionBy("digest", "cell").orderBy("doc_id", "row")))
     return (numbered.join(starts, ["digest", "cell"])
             .select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                     (F.col("start") + F.col("i") - 1).cast("long").alias("slot"),
