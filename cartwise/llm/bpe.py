@@ -142,22 +142,23 @@ class Newer:
     marks, so only texts with one (outside the first marks, U+0300 on) take this way.
     """
 
-    _unknown = None
+    # assigned long ago, no combining marks: most texts need no closer look
+    OTHER = re.compile("[^\x00-\u0233\u1e00-\u1eff\u2010-\u2027\u2030-\u205e\u20a0-\u20b5]")
+    seen: dict[str, bool] = {}
 
     def __init__(self, spec: str):
         self.spec, self._library = spec, None
 
+    @classmethod
+    def differs(cls, c: str) -> bool:
+        if c not in cls.seen:
+            cls.seen[c] = unicodedata.category(c) == "Cn" or (
+                unicodedata.combining(c) != 0 and not 0x300 <= ord(c) <= 0x344)
+        return cls.seen[c]
+
     @classmethod
     def in_text(cls, text: str) -> bool:
-        if text.isascii():
-            return False
-        if cls._unknown is None:
-            gone = [c for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) == "Cn"
-                    or unicodedata.combining(chr(c)) and not 0x300 <= c <= 0x344]
-            starts = [c for i, c in enumerate(gone) if not i or gone[i - 1] != c - 1]
-            ends = [c for i, c in enumerate(gone) if i + 1 == len(gone) or gone[i + 1] != c + 1]
-            cls._unknown = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends)) + "]")
-        return cls._unknown.search(text) is not None
+        return not text.isascii() and cls.OTHER.search(text) is not None and any(map(cls.differs, set(text)))
 
     @property
     def library(self) -> Tokenizer:
