@@ -104,10 +104,11 @@ def ladder_next(ladder: DataFrame, keys: Sequence[str] = ("category_code", "bran
 def _rung_table(ladder: DataFrame, ks: list) -> DataFrame:
     """Each row with its position in its rung (``_idx``), the rung's size, and
     the next rung with its size; positions are numbered over range
-    partitions, so a large rung is no single task."""
+    partitions, so a large rung is no single task.  Written once: the
+    origins and the picks read it."""
     ensure_checkpoint_dir(ladder.sparkSession)
     rows = group_positions(ladder.select(*ks, "ranking", "product_id"), [*ks, "ranking"], ["product_id"], "_idx", "_size")
-    return rows.drop("_size").join(_rung_steps(ladder, ks), [*ks, "ranking"])
+    return rows.drop("_size").join(_rung_steps(ladder, ks), [*ks, "ranking"]).checkpoint(eager=True)
 
 
 def upsize(cycle: DataFrame, catalog: DataFrame, ladder: DataFrame,
