@@ -158,7 +158,13 @@ class Newer:
 
     @classmethod
     def in_text(cls, text: str) -> bool:
-        return not text.isascii() and cls.OTHER.search(text) is not None and any(map(cls.differs, set(text)))
+        if text.isascii():
+            return False
+        try:
+            text.encode("latin-1")  # quicker than any search, and enough for many texts
+        except UnicodeEncodeError:
+            return cls.OTHER.search(text) is not None and any(map(cls.differs, set(text)))
+        return False
 
     @property
     def library(self) -> Tokenizer:
