@@ -51,10 +51,12 @@ def companion_products(properties: DataFrame, mapping: DataFrame,
     top = pair_top_n(left, right, ["property_id_map", "value_id_map"], weight="links",
                      partition=["category_id_sub"], top_n=1, hot_threshold=hot_threshold,
                      tie_by_shared=False)
-    names = p.select("product_code", "product_name").distinct()
+    # names grow with the catalog: joined by shuffle, as the size of a compressed
+    # file would let the planner send them all through the driver
+    names = p.select("product_code", "product_name").distinct().hint("merge")
     out = (top.join(names.withColumnRenamed("product_code", "a"), "a")
            .join(names.select(F.col("product_code").alias("b"),
-                              F.col("product_name").alias("product_name_sub")), "b")
+                              F.col("product_name").alias("product_name_sub")).hint("merge"), "b")
            .select(F.col("a").alias("product_code"), "product_name",
                    F.col("b").alias("product_code_sub"), "product_name_sub", "category_id_sub",
                    F.col("score").cast("bigint").alias("score")))

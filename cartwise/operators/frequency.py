@@ -121,7 +121,9 @@ def attach_model_code(df: DataFrame, model_map: DataFrame, product_col: str = "p
     m = model_map.select(trim_key(code_col).alias("_code"), "model_code")
     if one_code:
         m = m.groupBy("_code").agg(F.min("model_code").alias("model_code"))
-    out = df.join(m, trim_key(product_col) == F.col("_code"), "left")
+    # one row a product: joined by shuffle, as the size of its compressed file would
+    # let the planner send the whole map through the driver
+    out = df.join(m.hint("merge"), trim_key(product_col) == F.col("_code"), "left")
     return out.drop("_code")
 
 

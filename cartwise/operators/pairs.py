@@ -20,7 +20,9 @@ split by their right-side frequency:
   every subset of an indexed set is indexed).  Right items with more hot keys
   go through the posting lists of :mod:`postings`, read until nothing unread
   can reach an item's best ``top_n``.
-* candidates get their full score from their own keys (a handful per item).
+* candidates get their full score from their own keys (a handful per item);
+  hot keys and their sets are numbers, not texts, so that what a task holds
+  does not grow with the keys' lengths.
 
 Exactness: a right item holding all keys of a subset P scores at least the
 weight of P with at least |P| shared keys (weights >= 0), so it ranks at or
@@ -42,6 +44,7 @@ from .keys import top_k_per_key
 from .postings import top_by_sets
 
 DEFAULT_HOT_THRESHOLD = 32
+ROWS_PER_TASK = 25_000  # (item, key) rows: each brings up to some ten candidates
 
 
 def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
@@ -77,7 +80,6 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
           .groupBy(a, *ks, *dis).agg(F.sum("_w").alias("_w")))
     rk = right.select(b, *part, *ks, *dis).distinct()
     lk = lk.select(a, *ks, *[F.col(c).alias(f"_l_{c}") for c in dis], "_w")
-    key = F.to_json(F.struct(*[F.col(c) for c in ks]))
     field = F.xxhash64(*[F.col(c) for c in ks[:-1]]) if len(ks) > 1 else F.xxhash64(*ks)
 
     def allowed(df):
@@ -86,44 +88,36 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
             cond = cond & ~F.col(f"_l_{c}").eqNullSafe(F.col(c))
         return df.filter(cond)
 
-    hot = (rk.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_threshold).select(*ks, F.lit(True).alias("_hot")))
-    lk = lk.join(hot, ks, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
-    rk = rk.join(hot, ks, "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+    # hot keys by number: rows and sets hold eight bytes a key, whatever its text.
+    # The counts are written, so a number stays with its key in all branches
+    spark = left.sparkSession
+    ensure_checkpoint_dir(spark)
+    held = rk.groupBy(*ks).agg(F.count(F.lit(1)).alias("_n")).checkpoint(eager=True)
+    hot = held.filter(F.col("_n") > hot_threshold).select(*ks, F.monotonically_increasing_id().alias("_k"))
+    lk, rk = lk.join(hot, ks, "left"), rk.join(hot, ks, "left")
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = max(cores, (held.agg(F.sum("_n")).first()[0] or 0) // ROWS_PER_TASK)
     if materialize:
         # spread by item before the checkpoint: the candidate joins fan out
-        # from these rows and must not inherit one coalesced partition; one
-        # partition per core keeps every core busy without small files
-        spark = left.sparkSession
-        ensure_checkpoint_dir(spark)
-        try:
-            n = spark.sparkContext.defaultParallelism
-        except Exception:  # Spark Connect
-            n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # from these rows and must not inherit one coalesced partition; the
+        # partitions grow in number, not in size
         lk = lk.repartition(n, a).checkpoint(eager=True)
         rk = rk.repartition(n, b).checkpoint(eager=True)
 
-    # hot keys as single JSON strings: (a, _k, _w) and (b, _k)
-    lh = lk.filter(F.col("_hot")).select(a, key.alias("_k"), field.alias("_f"), "_w", *[f"_l_{c}" for c in dis])
-    rh = rk.filter(F.col("_hot")).select(b, *part, *dis, key.alias("_k"), field.alias("_f"))
-
-    def with_hot_part(pairs: DataFrame) -> DataFrame:
-        """Hot share of each (a, b): b's own hot keys met by a's hot keys."""
-        hp = (pairs.select(a, b).distinct().join(rh.select(b, "_k"), b)
-              .join(lh.select(a, "_k", "_w"), [a, "_k"])
-              .groupBy(a, b).agg(F.sum("_w").alias("_hs"), F.count(F.lit(1)).alias("_hc")))
-        return pairs.join(hp, [a, b], "left")
-
-    # cold keys: bounded fan-out per left row, scored in full
-    cold = allowed(lk.filter(~F.col("_hot")).drop("_hot")
-                   .join(rk.filter(~F.col("_hot")).drop("_hot"), ks))
-    cold = cold.groupBy(a, b, *part).agg(F.sum("_w").alias("_cs"), F.count(F.lit(1)).alias("_cc"))
-    cold = with_hot_part(cold).select(
-        a, b, *part, (F.col("_cs") + F.coalesce("_hs", F.lit(0.0))).alias("score"),
-        (F.col("_cc") + F.coalesce("_hc", F.lit(0))).alias("shared"))
+    # hot keys: (a, _k, _w) and (b, _k)
+    ldis = [f"_l_{c}" for c in dis]
+    lh = lk.filter(F.col("_k").isNotNull()).select(a, "_k", field.alias("_f"), "_w", *ldis)
+    rh = rk.filter(F.col("_k").isNotNull()).select(b, *part, *dis, "_k", field.alias("_f"))
+
+    # cold keys: bounded fan-out per left row
+    cold = allowed(lk.filter(F.col("_k").isNull()).drop("_k")
+                   .join(rk.filter(F.col("_k").isNull()).drop("_k"), ks)).select(a, b, *part, "_w", F.lit(1).alias("_c"))
 
     # right items' hot-key sets
-    sig = rh.groupBy(b, *part, *dis).agg(F.array_sort(F.collect_list("_k")).alias("_sig"))
+    sig = rh.repartition(n, b).groupBy(b, *part, *dis).agg(F.array_sort(F.collect_list("_k")).alias("_sig"))
     small = sig.filter(F.size("_sig") <= max_subset)
     large = sig.filter(F.size("_sig") > max_subset)
 
@@ -131,49 +125,55 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size("_sig")).cast("int") - 1)
     subsets = F.transform(masks, lambda m: F.filter(
         "_sig", lambda x, i: F.floor(m / F.pow(F.lit(2), i)) % 2 == 1))
-    index = (small.select(b, *part, *dis, F.explode(subsets).alias("_arr"))
-             .select(b, *part, *dis, F.to_json("_arr").alias("_set")))
+    index = small.select(b, *part, *dis, F.explode(subsets).alias("_set"))
     existing = index.select("_set").distinct()
-    pk = F.to_json(F.struct(*[F.col(c) for c in part + dis])) if part or dis else F.lit("")
-    index = top_k_per_key(index.withColumn("_pk", pk), ["_set", "_pk"], [F.col(b).asc()], top_n + 1)
+    index = top_k_per_key(index, ["_set", *part, *dis], [F.col(b).asc()], top_n + 1)
     # a left item's hot-key subsets of size 1..max_subset, keys in sorted
     # order; a set is only extended if some right item holds it (every
     # subset of an indexed set is indexed too, so nothing is lost)
-    ldis = [f"_l_{c}" for c in dis]
-    level = lh.select(a, *ldis, F.array("_k").alias("_ks"), F.col("_k").alias("_last"))
-    level = level.withColumn("_set", F.to_json("_ks")).join(existing, "_set", "left_semi")
+    level = lh.select(a, *ldis, F.array("_k").alias("_set"), F.col("_k").alias("_last")).join(existing, "_set", "left_semi")
     lookups = [level]
     for _ in range(max_subset - 1):
         nxt = lh.select(a, F.col("_k").alias("_k2"))
         level = (level.join(nxt, a).filter(F.col("_k2") > F.col("_last"))
-                 .select(a, *ldis, F.concat("_ks", F.array("_k2")).alias("_ks"), F.col("_k2").alias("_last")))
-        level = level.withColumn("_set", F.to_json("_ks")).join(existing, "_set", "left_semi")
+                 .select(a, *ldis, F.concat("_set", F.array("_k2")).alias("_set"), F.col("_k2").alias("_last")))
+        level = level.join(existing, "_set", "left_semi")
         lookups.append(level)
     sets = lookups[0]
     for more in lookups[1:]:
         sets = sets.unionByName(more)
     sets = sets.select(a, *ldis, "_set")
-    sub_cands = allowed(sets.join(index.drop("_pk"), "_set")).select(a, b, *part)
-    sub_cands = with_hot_part(sub_cands.distinct()).select(
-        a, b, *part, F.col("_hs").alias("score"), F.col("_hc").alias("shared"))
+    sub = allowed(sets.join(index, "_set")).select(a, b, *part, F.lit(0.0).alias("_w"), F.lit(0).alias("_c"))
+
+    # each candidate once, with its cold share; then the hot share: b's own hot
+    # keys met by a's, both as arrays of one row an item
+    met = cold.unionByName(sub).groupBy(a, b, *part).agg(F.sum("_w").alias("_cs"), F.sum("_c").alias("_cc"))
+    theirs = rh.repartition(n, b).groupBy(b).agg(F.collect_list("_k").alias("_theirs"))
+    mine = lh.repartition(n, a).groupBy(a).agg(F.collect_list(F.struct("_k", "_w")).alias("_mine"))
+    met = met.join(theirs, b, "left").repartition(n, a).join(mine, a, "left")
+    times = F.transform("_mine", lambda x: F.struct(
+        x["_w"].alias("w"), F.size(F.filter("_theirs", lambda k: k == x["_k"])).alias("n")))
+    both = F.col("_mine").isNotNull() & F.col("_theirs").isNotNull()
+    hot_score = F.when(both, F.aggregate(times, F.lit(0.0), lambda s, x: s + x["w"] * x["n"])).otherwise(0.0)
+    hot_count = F.when(both, F.aggregate(times, F.lit(0), lambda s, x: s + x["n"])).otherwise(0)
+    cands = met.select(a, b, *part, (F.col("_cs") + hot_score).alias("score"), (F.col("_cc") + hot_count).alias("shared"))
 
     order = [F.col("score").desc(), F.col("shared").desc(), F.col(b).asc()]
     if not tie_by_shared:
         order = [order[0], order[2]]
-    cands = cold.unionByName(sub_cands)
     # items with more hot keys, if there are any
     many = large.select(b, *part, *dis)
     if many.limit(1).count():
         wide = rh.join(many.select(b, *[F.col(c).alias(f"_m_{c}") for c in part + dis]), b)
         for c in part + dis:
             wide = wide.filter(F.col(c).eqNullSafe(F.col(f"_m_{c}")))
-        cands = cands.unionByName(top_by_sets(
+        more = top_by_sets(
             lh.select(a, *ldis, F.col("_f").alias("f"), F.col("_k").alias("k"), F.col("_w").alias("w")),
             wide.select(b, *part, *dis, F.col("_f").alias("f"), F.col("_k").alias("k")),
-            a, b, part, dis, top_n, order, trace))
-    best = cands.groupBy(a, b, *part).agg(F.max(F.struct("score", "shared")).alias("_m"))
+            a, b, part, dis, top_n, order, trace)
+        cands = cands.unionByName(more).groupBy(a, b, *part).agg(F.max(F.struct("score", "shared")).alias("_m")).select(
+            a, b, *part, "_m.score", "_m.shared")
     # scores are sums of (rounded) weights: 9 digits make equal sums equal
     # whatever the summation order
-    best = best.select(a, b, *part, F.round(F.col("_m.score"), 9).alias("score"),
-                       F.col("_m.shared").cast("bigint").alias("shared"))
+    best = cands.select(a, b, *part, F.round("score", 9).alias("score"), F.col("shared").cast("bigint").alias("shared"))
     return top_k_per_key(best, [a, *part], order, top_n, rank_col="pair_rank")

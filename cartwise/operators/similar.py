@@ -157,8 +157,9 @@ def similar_products(properties: DataFrame, weights: DataFrame | None = None, to
 def similar_with_names(pairs: DataFrame, properties: DataFrame) -> DataFrame:
     """Name and category columns of the target and the alike product."""
     names = properties.select(trim_key("product_code").alias("code"), "product_name", "category_id").distinct()
-    return (pairs.join(names.withColumnRenamed("code", "a"), "a")
-            .join(names.select(F.col("code").alias("b"), F.col("product_name").alias("alike_product_name")), "b")
+    # names grow with the catalog: joined by shuffle, never sent through the driver
+    return (pairs.join(names.withColumnRenamed("code", "a").hint("merge"), "a")
+            .join(names.select(F.col("code").alias("b"), F.col("product_name").alias("alike_product_name")).hint("merge"), "b")
             .select(F.col("a").alias("product_code"), "product_name", "category_id",
                     F.col("b").alias("alike_product_code"), "alike_product_name", "score", "shared",
                     F.col("pair_rank").alias("alike_rank")))
@@ -168,6 +169,6 @@ def similar_errors(properties: DataFrame, pairs: DataFrame) -> DataFrame:
     """Targets without any similar product, kept apart as error rows."""
     targets = properties.select(trim_key("product_code").alias("productcode"), "product_name").distinct()
     found = pairs.select(F.col("a").alias("productcode")).distinct()
-    return (targets.join(found, "productcode", "left_anti")
+    return (targets.join(found.hint("merge"), "productcode", "left_anti")
             .select("productcode", F.col("product_name").alias("productname"),
                     F.lit("no product shares a property value").alias("error")))

@@ -105,3 +105,29 @@ def test_weights_partitions_and_brands_of_many_hot_keys(spark, tie_by_shared):
             for r in sorted(rows)[:3]:
                 want.append((a, r[2], part, -r[0], -r[1] if tie_by_shared else r[3]))
     assert sorted(((r.a, r.b, r.part, r.score, r.shared) for r in got.collect()), key=str) == sorted(want, key=str)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_tables_as_long_as_the_catalog_are_joined_by_shuffle(spark):
+    """Names (twice) and model codes: the size of a compressed file may not send them through the driver."""
+    fx = Fixtures(spark, SF_SMALL)
+    assert _plan(companion_products(fx.properties(), fx.property_map(), fx.model_map())).count("strategy=merge") == 3
+
+
+def test_hot_keys_are_numbers_whatever_their_text(spark):
+    """Long values, NULLs in keys and a value that holds another's text: as by plain counting, and no text in the sets."""
+    values = ["x" * 500, "x" * 499, '"x', None, "y"]
+    held = {i: [(p, values[(i * (p + 3) + p) % 5]) for p in range(3)] for i in range(40)}
+    rows = [(i, p, v) for i, ks in held.items() for p, v in ks]
+    left = spark.createDataFrame(rows, "a int, p int, v string")
+    got = pair_top_n(left, left.withColumnRenamed("a", "b"), ["p", "v"], top_n=3, hot_threshold=2)
+    want = []
+    for a, ks in held.items():
+        real = {k for k in ks if k[1] is not None}
+        near = sorted((-len(real & set(o)), b) for b, o in held.items() if b != a and real & set(o))
+        want += [(a, b, float(-s), -s, i + 1) for i, (s, b) in enumerate(near[:3])]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want)
+    assert "to_json" not in _plan(got)
