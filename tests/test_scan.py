@@ -44,3 +44,12 @@ def test_no_window_over_the_whole_table(spark):
     whole = [line for line in plan.split("\n") if "Window [" in line and "windowspecdefinition(_part#" not in line
              and "windowspecdefinition(c#" not in line]
     assert "Window [" in plan and all("sum(_rows#" in line for line in whole)  # a row per range partition
+
+
+def test_no_frame_is_read_again_for_each_row(spark):
+    """Frames run from the first row on, in either direction: one up to the last row costs the square of a partition."""
+    from cartwise.operators.keys import linear_fill
+    df = spark.range(100).selectExpr("id", "IF(id % 7 = 0, CAST(id AS double), NULL) AS x")
+    for out in (fill_by_position(df, [F.col("id").asc()], ["x"]), linear_fill(df, [], "id", ["x"])):
+        plan = out._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "unboundedpreceding" in plan and "unboundedfollowing" not in plan
