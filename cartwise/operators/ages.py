@@ -104,6 +104,10 @@ def age_candidates(customers: DataFrame, ranges: DataFrame, k: int = L.AGE_POOL_
         r = r.join(w, "product_id", "left").filter(F.col("max_kg").isNull() | (F.col("min_kg") <= F.col("max_kg")))
         kg = nodes_of(cell_of(F.col("min_kg"), KG_CELLS), cell_of(F.col("max_kg"), KG_CELLS))
         nodes, path = pairs(nodes, kg), pairs(path, path_of(cell_of(F.col("_wt"), KG_CELLS)))
+    # products of one range differ by id only, so a point's best k are among each
+    # range's first k: the node join grows with the ranges, not with the catalog
+    same = ["parsed", "_width", "min_age_months", "max_age_months"] + (["min_kg", "max_kg"] if weights is not None else [])
+    r = top_k_per_key(r, same, [F.col("product_id").asc()], k)
     m = points.withColumn("_node", F.explode(path)).join(r.withColumn("_node", F.explode(nodes)), "_node").filter(
         (F.col("age") >= F.col("min_age_months")) & (F.col("age") <= F.col("max_age_months")))
     if weights is not None:
@@ -136,6 +140,9 @@ def diversify(candidates: DataFrame, catalog: DataFrame | None = None, k: int =
     ext = candidates
     if catalog is not None:
         ext = ext.join(catalog.select("product_id", bucket, "item_base_id"), "product_id", "left")
+    # spread by customer once, in as many parts as the cluster shuffles: all windows
+    # below use it, and a few input partitions of customers are no few large sorts
+    ext = ext.repartition(int(ext.sparkSession.conf.get("spark.sql.shuffle.partitions")), "customer_id")
     ext = ext.withColumn("item_base_id", F.coalesce("item_base_id", "product_id"))
     ext = top_k_per_key(ext, ["customer_id", "item_base_id"], [F.col(pos_col).asc()], max_per_item)
     out = round_robin(ext, "customer_id", bucket, [F.col(pos_col).asc()], k, name="pick")
