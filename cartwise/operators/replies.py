@@ -141,9 +141,17 @@ def resolve_products(replies: DataFrame, profiles: DataFrame, top_n: int = L.SIM
     items = replies.select(key, F.posexplode(product_list(F.col(text), top_n)).alias("pos", "it"))
     items = items.select(key, "pos", F.col("it.code").alias("code"), F.col("it.name").alias("name"))
     prof = profiles.select(F.col("product_code").alias("_code"), F.col("product_name").alias("_name"))
-    by_code = items.filter(F.col("code") != "").join(prof, F.col("code") == F.col("_code"))
-    by_name = items.filter(F.col("name") != "").join(prof, F.lower(F.col("name")) == F.lower(F.col("_name")))
-    hits = by_code.unionByName(by_name)
+    # the first profile of a code, and of a name, is the only one an item can get:
+    # chosen before the joins, which then give an item two rows at most and go by
+    # shuffle, as both tables grow with the catalog
+    low = F.lower(F.col("_name"))
+    codes = first_per_key(prof, "_code", [low.asc(), F.col("_name").asc()])
+    names = first_per_key(prof.withColumn("_low", low), "_low", [F.col("_code").asc(), F.col("_name").asc()])
+    by_code = items.filter(F.col("code") != "").join(codes.hint("merge"), F.col("code") == F.col("_code"))
+    by_name = items.filter(F.col("name") != "").join(names.hint("merge"), F.lower(F.col("name")) == F.col("_low")).drop("_low")
+    # by request once, for the three windows, in as many parts as the cluster shuffles
+    n = int(replies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = by_code.unionByName(by_name).repartition(n, key)
     first = first_per_key(hits, [key, "pos"], [F.col("_code").asc()])
     first = first_per_key(first, [key, "_code"], [F.col("pos").asc()])
     first = top_k_per_key(first, key, [F.col("pos").asc()], top_n)
