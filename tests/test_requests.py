@@ -115,3 +115,27 @@ def test_growth_sheet_reader(spark):
     cust = spark.createDataFrame([(1, 6.0), (2, 30.0)], "customer_id int, expected_age_last double")
     got = {r.customer_id: r.weight_kg for r in attach_growth(cust, sheet, cols=("weight_kg",)).collect()}
     assert got == {1: 6.45, 2: 12.2}
+
+
+def test_lines_are_cut_out_of_windows(spark):
+    """Categories below, at and above a window, with small and large brands: as by plain counting, whatever the path."""
+    from cartwise.operators.requests import similarity_requests
+    rows = [(f"{c}{i:03d}", c, None if c == "z" and i < 60 else i % 4, f"t{c}{i:03d}")
+            for c, n in (("x", 9), ("y", 24), ("z", 90)) for i in range(n)]
+    rows += [("q1", None, 1, "tq1"), (None, "z", 2, "none")]
+    df = spark.createDataFrame([(p, c, b, "n", t) for p, c, b, t in rows],
+                               "product_code string, category_id string, brand_id int, product_name string, text_for_llm string")
+    for other in (False, True):
+        out = similarity_requests(df, limit=10, other_brand=other, block=4)
+        got = {r.product_code: r for r in out.collect()}
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "strategy=merge" in plan and len(got) == len(rows)
+        for p, c, b, t in rows:
+            ring = sorted(((x[2] is not None, x[2] or 0, x[0] is not None, x[0] or "", x) for x in rows if x[1] == c and c), key=lambda k: k[:4])
+            others = [k[4][3] for k in ring if (k[4][2] != b if other else k[4][0] != p)]
+            lines = got[p].candidates.split("\n") if got[p].candidates else []
+            want = min(10, len(others)) if p and c else 0
+            assert got[p].target_text == t and got[p].n_candidates == want == len(lines)
+            if want:
+                at = others.index(lines[0])
+                assert lines == [others[(at + i) % len(others)] for i in range(want)]
