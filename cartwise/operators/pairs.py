@@ -14,7 +14,8 @@ split by their right-side frequency:
 * hot keys are never joined item to item.  A right item with at most
   ``max_subset`` (4) hot keys is indexed under every non-empty subset of
   them (at most 15 entries), keeping only the first ``top_n + 1`` ids per
-  (subset, partition, distinct-constraint value); a left item looks up its
+  (subset, partition, distinct-constraint value), and with one such constraint
+  twice as many per (subset, partition); a left item looks up its
   own hot-key subsets of up to that size, extended level by level only
   while some right item holds the set (apriori pruning, lossless because
   every subset of an indexed set is indexed).  Right items with more hot keys
@@ -128,6 +129,10 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     index = small.select(b, *part, *dis, F.explode(subsets).alias("_set"))
     existing = index.select("_set").distinct()
     index = top_k_per_key(index, ["_set", *part, *dis], [F.col(b).asc()], top_n + 1)
+    if len(dis) == 1:
+        # whichever value a left item leaves out, at most top_n + 1 of these are its own,
+        # so its first top_n + 1 of the others are among twice as many, however many values there are
+        index = top_k_per_key(index, ["_set", *part], [F.col(b).asc(), F.col(dis[0]).asc()], 2 * (top_n + 1))
     # a left item's hot-key subsets of size 1..max_subset, keys in sorted
     # order; a set is only extended if some right item holds it (every
     # subset of an indexed set is indexed too, so nothing is lost)
@@ -147,7 +152,7 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
 
     # each candidate once, with its cold share; then the hot share: b's own hot
     # keys met by a's, both as arrays of one row an item
-    met = cold.unionByName(sub).groupBy(a, b, *part).agg(F.sum("_w").alias("_cs"), F.sum("_c").alias("_cc"))
+    met = cold.unionByName(sub).repartition(n, a).groupBy(a, b, *part).agg(F.sum("_w").alias("_cs"), F.sum("_c").alias("_cc"))
     theirs = rh.repartition(n, b).groupBy(b).agg(F.collect_list("_k").alias("_theirs"))
     mine = lh.repartition(n, a).groupBy(a).agg(F.collect_list(F.struct("_k", "_w")).alias("_mine"))
     met = met.join(theirs, b, "left").repartition(n, a).join(mine, a, "left")

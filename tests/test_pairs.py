@@ -131,3 +131,13 @@ def test_hot_keys_are_numbers_whatever_their_text(spark):
         want += [(a, b, float(-s), -s, i + 1) for i, (s, b) in enumerate(near[:3])]
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
     assert "to_json" not in _plan(got)
+
+
+def test_many_brands_do_not_lengthen_the_index(spark):
+    """One value for all, 30 brands of uneven size and a NULL one: each item's first others, from 2 * (top_n + 1) entries a set."""
+    brand = {i: None if i % 7 == 3 else 1 if i < 20 else i % 30 for i in range(120)}
+    left = spark.createDataFrame([(i, "k", w) for i, w in brand.items()], "a int, k string, brand int")
+    got = pair_top_n(left, left.withColumnRenamed("a", "b"), ["k"], distinct_on=["brand"], top_n=4, hot_threshold=2)
+    want = [(a, b, i + 1) for a in brand for i, b in enumerate([b for b in brand if brand[b] != brand[a]][:4])]
+    assert sorted((r.a, r.b, r.pair_rank) for r in got.collect()) == want
+    assert "<= 10)" in _plan(got)
