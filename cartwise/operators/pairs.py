@@ -46,6 +46,7 @@ from .postings import top_by_sets
 
 DEFAULT_HOT_THRESHOLD = 32
 ROWS_PER_TASK = 25_000  # (item, key) rows: each brings up to some ten candidates
+SET_SHARES = 8  # a set's items are cut in as many shares before they meet
 
 
 def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
@@ -127,27 +128,47 @@ def pair_top_n(left: DataFrame, right: DataFrame, keys: Sequence[str], *,
     subsets = F.transform(masks, lambda m: F.filter(
         "_sig", lambda x, i: F.floor(m / F.pow(F.lit(2), i)) % 2 == 1))
     index = small.select(b, *part, *dis, F.explode(subsets).alias("_set"))
-    existing = index.select("_set").distinct()
-    index = top_k_per_key(index, ["_set", *part, *dis], [F.col(b).asc()], top_n + 1)
+    # cut in shares of each set's items first, so that a set held by very many is no single task.
+    # Sets are dealt to n parts by number, here and below: AQE would merge them into one a core,
+    # and what such a task holds grows with the catalog
+    share = F.pmod(F.xxhash64(b), F.lit(SET_SHARES))
+    index = index.withColumn("_share", share).repartition(n, "_set", "_share")
+    index = top_k_per_key(index, ["_set", *part, *dis, "_share"], [F.col(b).asc()], top_n + 1).drop("_share")
+    index = top_k_per_key(index.repartition(n, "_set"), ["_set", *part, *dis], [F.col(b).asc()], top_n + 1)
     if len(dis) == 1:
         # whichever value a left item leaves out, at most top_n + 1 of these are its own,
         # so its first top_n + 1 of the others are among twice as many, however many values there are
         index = top_k_per_key(index, ["_set", *part], [F.col(b).asc(), F.col(dis[0]).asc()], 2 * (top_n + 1))
-    # a left item's hot-key subsets of size 1..max_subset, keys in sorted
-    # order; a set is only extended if some right item holds it (every
-    # subset of an indexed set is indexed too, so nothing is lost)
-    level = lh.select(a, *ldis, F.array("_k").alias("_set"), F.col("_k").alias("_last")).join(existing, "_set", "left_semi")
-    lookups = [level]
-    for _ in range(max_subset - 1):
-        nxt = lh.select(a, F.col("_k").alias("_k2"))
-        level = (level.join(nxt, a).filter(F.col("_k2") > F.col("_last"))
-                 .select(a, *ldis, F.concat("_set", F.array("_k2")).alias("_set"), F.col("_k2").alias("_last")))
-        level = level.join(existing, "_set", "left_semi")
-        lookups.append(level)
-    sets = lookups[0]
-    for more in lookups[1:]:
-        sets = sets.unionByName(more)
-    sets = sets.select(a, *ldis, "_set")
+
+    # a left item with few hot keys looks up all their subsets
+    own = lh.repartition(n, a).groupBy(a).agg(F.array_sort(F.collect_set("_k")).alias("_sig"))
+    few = own.filter(F.size("_sig") <= max_subset)
+    if dis:
+        # a set counts for the attributes under which the item holds its first key
+        held_by = lh.repartition(n, a).groupBy(a, *ldis).agg(F.collect_set("_k").alias("_held"))
+        sets = few.join(held_by, a).select(a, *ldis, "_held", F.explode(subsets).alias("_set")).filter(
+            F.array_contains("_held", F.element_at("_set", 1))).drop("_held")
+    else:
+        sets = few.select(a, F.explode(subsets).alias("_set"))
+    wider = own.filter(F.size("_sig") > max_subset).select(a)
+    if wider.limit(1).count():
+        # one with more: its hot-key subsets of size 1..max_subset, keys in sorted
+        # order; a set is only extended if some right item holds it (every
+        # subset of an indexed set is indexed too, so nothing is lost)
+        lw = lh.join(wider, a, "left_semi")
+        existing = index.select("_set").distinct()
+        level = lw.select(a, *ldis, F.array("_k").alias("_set"), F.col("_k").alias("_last"))
+        level = level.repartition(n, "_set").join(existing, "_set", "left_semi")
+        lookups = [level]
+        for _ in range(max_subset - 1):
+            nxt = lw.select(a, F.col("_k").alias("_k2"))
+            level = (level.repartition(n, a).join(nxt, a).filter(F.col("_k2") > F.col("_last"))
+                     .select(a, *ldis, F.concat("_set", F.array("_k2")).alias("_set"), F.col("_k2").alias("_last")))
+            level = level.repartition(n, "_set").join(existing, "_set", "left_semi")
+            lookups.append(level)
+        for more in lookups:
+            sets = sets.unionByName(more.select(a, *ldis, "_set"))
+    sets = sets.repartition(n, "_set")
     sub = allowed(sets.join(index, "_set")).select(a, b, *part, F.lit(0.0).alias("_w"), F.lit(0).alias("_c"))
 
     # each candidate once, with its cold share; then the hot share: b's own hot

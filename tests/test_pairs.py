@@ -141,3 +141,12 @@ def test_many_brands_do_not_lengthen_the_index(spark):
     want = [(a, b, i + 1) for a in brand for i, b in enumerate([b for b in brand if brand[b] != brand[a]][:4])]
     assert sorted((r.a, r.b, r.pair_rank) for r in got.collect()) == want
     assert "<= 10)" in _plan(got)
+
+
+def test_sets_are_dealt_to_parts_by_number(spark):
+    """Entries and look-ups of key sets: parts grow with the rows, AQE does not merge them into one a core."""
+    rows = [(i, p, (i * (p + 1)) % 3) for i in range(60) for p in range(3)]
+    left = spark.createDataFrame(rows, "a int, p int, v int")
+    plan = _plan(pair_top_n(left, left.withColumnRenamed("a", "b"), ["p", "v"], top_n=3, hot_threshold=2))
+    dealt = [line for line in plan.splitlines() if "RepartitionByExpression [_set#" in line]
+    assert len(dealt) == 3, plan  # shares of the entries, entries, look-ups
