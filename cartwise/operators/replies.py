@@ -75,7 +75,7 @@ def parse_name_replies(replies: DataFrame, key: str = "request_id", text: str =
 # -- J16 name resolution --------------------------------------------------------------------
 def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CUTOFF,
                   key: str = "request_id", fuzzy: bool = True, metric: str = "levenshtein",
-                  materialize: bool = True) -> DataFrame:
+                  materialize: bool = True, products: bool = True) -> DataFrame:
     """Reply names -> catalog products, in reply order.
 
     Each name is cut at ``@@`` and resolved by exact name, else lower-case
@@ -85,6 +85,9 @@ def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CU
     ``materialize`` checkpoints the exact/lower-case step (shared folder):
     the fuzzy branch and the final join both read it, and it carries the
     parsing of every reply text.
+    Where many products carry a name, the product rows are far more than both
+    inputs hold: ``products=False`` leaves the names as one row each
+    (request_id, pos, product_name, match_kind, n_products), for counts.
     """
     cat = catalog.select("product_id", "product_name").filter(F.col("product_name").isNotNull())
     names_u = cat.select(F.col("product_name").alias("true_name")).distinct()
@@ -109,6 +112,10 @@ def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CU
     found = m.filter(F.col("true_name").isNotNull())
     first = first_per_key(found, [key, "true_name"], [F.col("pos").asc()])
     kinds = F.element_at(F.array(F.lit("exact"), F.lit("lower"), F.lit("fuzzy")), F.col("_stage"))
+    if not products:
+        held = cat.groupBy("product_name").agg(F.count(F.lit(1)).alias("n_products"))
+        return (first.join(held, first.true_name == held.product_name)
+                .select(key, "pos", "product_name", kinds.alias("match_kind"), "n_products"))
     return (first.join(cat, first.true_name == cat.product_name)
             .select(key, "pos", "product_id", "product_name", kinds.alias("match_kind")))
 
@@ -119,8 +126,11 @@ def unresolved_requests(replies: DataFrame, resolved: DataFrame, key: str = "req
 
 
 def match_metrics(replies: DataFrame, resolved: DataFrame, key: str = "request_id") -> DataFrame:
-    """One row of counters (A15): requests, matched requests, product rows."""
-    per = resolved.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    """One row of counters (A15): requests, matched requests, product rows.
+
+    ``resolved`` holds product rows, or names with their number of products."""
+    n = F.sum("n_products") if "n_products" in resolved.columns else F.count(F.lit(1))
+    per = resolved.groupBy(key).agg(n.alias("_n"))
     j = replies.select(key).distinct().join(per, key, "left")
     return j.agg(F.count(F.lit(1)).alias("requests"),
                  F.count("_n").alias("matched_requests"),

@@ -68,3 +68,39 @@ def test_bitmaps_add_up(spark):
     both = statistics.distinct_counts(parts[0].union(parts[1])).first()["ids"]
     assert both == len({r[1] for r in rows})
     assert statistics.run_statistics(df.limit(0), "batch", ["a"]).collect()[0].rows == 0
+
+
+def test_statistics_of_a_join_without_its_rows(spark):
+    """Products under several names, twice under one, NULL ids and names, names of no product: as counted over the joined rows."""
+    rnd = random.Random(6)
+    rows = [(rnd.choice([0, 1, 2, None]), rnd.choice([None, *range(300)]), rnd.choice([None, *"abcdefgh"])) for _ in range(400)]
+    members = [(rnd.choice([None, *"abcdexy"]), rnd.choice([None, *range(0, 200000, 997)])) for _ in range(600)]
+    members += [("f", 7 + 40000 * i) for i in range(37)] * 2
+    df = spark.createDataFrame(rows, "batch int, request long, name string").repartition(5)
+    mem = spark.createDataFrame(members, "name string, product long").repartition(3)
+    out = statistics.run_statistics(df, "batch", ["request", "product"], members=mem, on=["name"])
+    got = sorted((str(r.batch), r.rows, r.distinct_request, r.distinct_product) for r in out.collect())
+    joined = [(b, q, p) for b, q, name in rows for m, p in members if name is not None and name == m]
+
+    def counted(rs):
+        return len(rs), len({r[1] for r in rs} - {None}), len({r[2] for r in rs} - {None})
+    want = [(str(b), *counted([r for r in joined if r[0] == b])) for b in (0, 1, 2, None)]
+    assert [g for g in got if g[0] != "None"] == [w for w in want if w[0] != "None"]
+    assert max(g for g in got if g[0] == "None")[1:] == counted(joined)
+
+
+def test_counts_of_resolved_names_build_no_product_rows(spark):
+    from cartwise.operators.replies import match_metrics, resolve_names
+    from cartwise.plans import catalog
+    from cartwise.sources.fixtures import Fixtures
+    from paths import SF_SMALL
+    cat = spark.createDataFrame([(i, "a" if i % 2 else "B") for i in range(9)], "product_id long, product_name string")
+    names = spark.createDataFrame([(1, 0, "a"), (1, 1, "b"), (2, 0, "zz")], "request_id long, pos int, name string")
+    got = sorted(tuple(r) for r in resolve_names(names, cat, products=False).collect())
+    assert got == [(1, 0, "a", "exact", 4), (1, 1, "B", "lower", 5)]
+    asked = names.select("request_id").distinct()
+    assert tuple(match_metrics(asked, resolve_names(names, cat, products=False)).first()) == (2, 1, 9, 1)
+    fx = Fixtures(spark, SF_SMALL)
+    for name in ("run_statistics", "match_metrics", "no_match_rows"):
+        catalog.QUERIES[name](spark, SF_SMALL)
+    assert "catalog:_resolved_to_names" in fx._built
