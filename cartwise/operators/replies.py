@@ -10,7 +10,7 @@ Fuzzy matching (J15) is :mod:`cartwise.operators.fuzzy`.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.replies import attribute_list, name_list, product_list
@@ -21,6 +21,8 @@ from .fuzzy import fuzzy_best
 from .keys import first_per_key, top_k_per_key
 from .similar import normalize_weights
 
+IDS_PER_LIST = 1024
+
 
 # -- S11 reply intake ---------------------------------------------------------------------
 def reply_content(raw: Column) -> Column:
@@ -116,8 +118,17 @@ def resolve_names(names: DataFrame, catalog: DataFrame, cutoff: int = L.FUZZY_CU
         held = cat.groupBy("product_name").agg(F.count(F.lit(1)).alias("n_products"))
         return (first.join(held, first.true_name == held.product_name)
                 .select(key, "pos", "product_name", kinds.alias("match_kind"), "n_products"))
-    return (first.join(cat, first.true_name == cat.product_name)
-            .select(key, "pos", "product_id", "product_name", kinds.alias("match_kind")))
+    # a name met by many requests and carried by many products gives a row for each pair: its ids
+    # come as lists, so that the join meets lists and only their unfolding makes the rows.
+    # Lists, names' counts and the join share one exchange of the catalog
+    shares = F.ceil(F.count(F.lit(1)).over(Window.partitionBy("product_name")) / IDS_PER_LIST)
+    lists = cat.withColumn("_share", F.pmod(F.xxhash64("product_id"), shares)).groupBy("product_name", "_share").agg(
+        F.collect_list(F.struct("product_id")).alias("_ids"))
+    # lists compress well: joined by shuffle, whatever their files' size
+    met = first.select(key, "pos", F.col("true_name").alias("product_name"), kinds.alias("match_kind")).join(
+        lists.drop("_share").hint("merge"), "product_name")
+    return met.select(key, "pos", "product_name", "match_kind", F.inline("_ids")).select(
+        key, "pos", "product_id", "product_name", "match_kind")
 
 
 def unresolved_requests(replies: DataFrame, resolved: DataFrame, key: str = "request_id") -> DataFrame:

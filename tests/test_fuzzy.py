@@ -162,3 +162,16 @@ def test_fuzzy_on_empty_null_and_repeated_names(spark):
         got = sorted((r.qid, r.name, r.score) for r in fuzzy_best(q, c, metric=metric).collect())
         assert got == [(4, "A", 100.0), (5, "A", 100.0), (6, "zz  ZZ", 100.0)]
         assert fuzzy_best(q.limit(0), c, metric=metric).count() == 0 == fuzzy_best(q, c.limit(0), metric=metric).count()
+
+
+def test_products_of_a_name_come_from_lists(spark):
+    """A name of 3,000 products, a product twice, one without id, for several requests: every pair once, joined as lists."""
+    cat = [(i, "tã L") for i in range(3000)] + [(5, "tã L"), (None, "tã L"), (7, "xe"), (None, "xe"), (8, None)]
+    names = [(r, 0, "TÃ L" if r % 2 else "tã L") for r in range(4)] + [(9, 0, "xe"), (9, 1, "xe")]
+    out = resolve_names(spark.createDataFrame(names, "request_id long, pos int, name string"),
+                        spark.createDataFrame(cat, "product_id long, product_name string"))
+    assert out.columns == ["request_id", "pos", "product_id", "product_name", "match_kind"]
+    want = [(r, 0, p, "tã L", "lower" if r % 2 else "exact") for r in range(4) for p, n in cat if n == "tã L"]
+    want += [(9, 0, p, "xe", "exact") for p in (7, None)]
+    assert sorted((tuple(r) for r in out.collect()), key=str) == sorted(want, key=str)
+    assert "Generate inline" in out._jdf.queryExecution().optimizedPlan().toString()
