@@ -32,11 +32,11 @@ def append_ranked(first: DataFrame, second: DataFrame, second_type: str = "age_r
     as the job does (T14); ``how="left"`` starts them at 1.  One union and
     windows per customer; each list is read once.
     """
-    f = renumber(first, "customer_id", [F.col(first_order).asc(), F.col("product_id").asc()], "_rr")
-    f = f.drop(first_order).withColumn("_src", F.lit(0))
-    s = renumber(second, "customer_id", [F.col(second_order).asc(), F.col("product_id").asc()], "_rr")
-    s = s.drop(second_order).withColumn("type", F.lit(second_type)).withColumn("_src", F.lit(1))
-    both = f.unionByName(s, allowMissingColumns=True)
+    f = first.withColumn("_src", F.lit(0)).withColumnRenamed(first_order, "_o")
+    s = second.withColumn("type", F.lit(second_type)).withColumn("_src", F.lit(1)).withColumnRenamed(second_order, "_o")
+    # by customer once, for the windows of both lists
+    both = f.unionByName(s, allowMissingColumns=True).repartition("customer_id")
+    both = renumber(both, ["customer_id", "_src"], [F.col("_o").asc(), F.col("product_id").asc()], "_rr").drop("_o")
     top = F.max(F.when(F.col("_src") == 0, F.col("_rr"))).over(Window.partitionBy("customer_id"))
     both = both.withColumn("_max", top)
     if how == "inner":
@@ -48,22 +48,33 @@ def append_ranked(first: DataFrame, second: DataFrame, second_type: str = "age_r
     return both.withColumnRenamed("_rr", "rank").withColumn("rank", F.col("rank").cast("int"))
 
 
-def frequency_list(purchases: DataFrame, date_col: str = "purchase_date") -> DataFrame:
+def frequency_list(purchases: DataFrame, date_col: str = "purchase_date",
+                   customers: DataFrame | None = None) -> DataFrame:
     """Stand-in frequency recommendations: per (customer, product) the number
-    of purchase dates and the last one."""
+    of purchase dates and the last one; of ``customers`` only, if given."""
+    if customers is not None:
+        # hashed customers of a part, so that the purchases are not sorted
+        purchases = purchases.join(customers.hint("shuffle_hash"), "customer_id", "left_semi")
     return purchases.groupBy("customer_id", "product_id").agg(
         F.count_distinct(date_col).alias("freq"), F.max(date_col).alias("last_date"))
 
 
+def cold_customers(cycle: DataFrame, min_score: float = L.CYCLE_MIN_SCORE,
+                   categories=(L.DIAPER_CATEGORY, L.MILK_CATEGORY)) -> DataFrame:
+    """Customers of the cycle table without any usable row."""
+    usable = (F.col("score") >= min_score) & F.col("category_code").isin(list(categories))
+    return (cycle.groupBy("customer_id").agg(F.max(usable.cast("int")).alias("_u"))
+            .filter(F.coalesce("_u", F.lit(0)) == 0).select("customer_id"))
+
+
 def cold_start(cycle: DataFrame, frequency: DataFrame, min_score: float = L.CYCLE_MIN_SCORE,
                categories=(L.DIAPER_CATEGORY, L.MILK_CATEGORY)) -> DataFrame:
     """Customers of the cycle table without any usable row get their
     frequency list, ranked by frequency, then recency, then id (J2 W8); one
-    without such a list stays as one row without a product."""
-    usable = (F.col("score") >= min_score) & F.col("category_code").isin(list(categories))
-    cold = (cycle.groupBy("customer_id").agg(F.max(usable.cast("int")).alias("_u"))
-            .filter(F.coalesce("_u", F.lit(0)) == 0).select("customer_id"))
-    rows = cold.join(frequency, "customer_id", "left")
+    without such a list stays as one row without a product.
+
+    ``frequency`` need not hold other customers (see ``frequency_list``)."""
+    rows = cold_customers(cycle, min_score, categories).join(frequency, "customer_id", "left")
     rows = renumber(rows, "customer_id", [F.col("freq").desc(), F.col("last_date").desc(),
                                           F.col("product_id").asc()], "rank")
     return rows.select("customer_id", "product_id", F.col("rank").cast("int").alias("rank"),
@@ -75,7 +86,8 @@ def blend(ranked: DataFrame, cold: DataFrame, catalog: DataFrame, model_map: Dat
     """Union, one row per (customer, product) — lowest rank, then source
     priority ori, rcm, age_rcm, freg_rcm (T16) — cap per customer, catalog
     columns, model code."""
-    both = ranked.unionByName(cold, allowMissingColumns=True)
+    # by customer once, for both cuts
+    both = ranked.unionByName(cold, allowMissingColumns=True).repartition("customer_id")
     order = [F.col("rank").asc(), _priority().asc(), F.col("product_id").asc()]
     both = top_k_per_key(both, ["customer_id", "product_id"], order, 1)
     both = top_k_per_key(both, "customer_id", order, cap)

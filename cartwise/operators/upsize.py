@@ -147,7 +147,8 @@ def upsize(cycle: DataFrame, catalog: DataFrame, ladder: DataFrame,
         # brand-only ladder keys: the suggestion may sit in the other category
         cat = ladder.select("product_id", "brand_id", "category_code")
         rcm_rows = rcm_rows.join(cat, ["product_id", "brand_id"], "left")
-    rows = ori_rows.unionByName(rcm_rows.select(*cols))
+    # by customer, for this window and the running counts per customer that follow
+    rows = ori_rows.unionByName(rcm_rows.select(*cols)).repartition("customer_id")
     return first_per_key(rows, ["customer_id", "product_id"],
                          [F.col("ranking").asc(), type_order().asc(), F.col("product_id_ori").asc()])
 

@@ -108,7 +108,7 @@ def upsize_job(cycle: DataFrame, catalog: DataFrame, diapers: DataFrame, milk: D
     if cut:
         rows = sinks.cut_lineage(rows, "upsize_rows")
     ranked = blend.append_ranked(rows, age_picks.select("customer_id", "product_id", "pick"))
-    cold = blend.cold_start(cycle, blend.frequency_list(purchases))
+    cold = blend.cold_start(cycle, blend.frequency_list(purchases, customers=blend.cold_customers(cycle)))
     sinks.write_table(blend.blend(ranked, cold, catalog, model_map), out)
 
 

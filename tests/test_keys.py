@@ -133,3 +133,28 @@ def test_row_range_bounds(spark):
     out = keys.row_range(df, ["k"], start=100, end=249).collect()
     assert sorted(r.k for r in out) == list(range(100, 250))
     assert sorted(r.row_no for r in out) == list(range(100, 250))
+
+
+def test_lists_are_dealt_by_customer_once(spark):
+    """Both lists' windows and the cut run on one exchange; gaps, equal ranks and customers of one list only."""
+    first = spark.createDataFrame([(1, 10, 7, "ori"), (1, 12, 7, "ori"), (1, 11, 3, "rcm"), (2, 10, 1, "ori"), (None, 4, 1, "ori")],
+                                  "customer_id long, product_id long, rank int, type string")
+    second = spark.createDataFrame([(1, 30, 2), (1, 29, 9), (3, 30, 1), (None, 30, 5)], "customer_id long, product_id long, pick int")
+    out = append_ranked(first, second)
+    assert out._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    got = sorted(((r.customer_id or 0, r["rank"], r.product_id, r.type) for r in out.collect()))
+    assert got == [(0, 1, 4, "ori"), (0, 2, 30, "age_rcm"), (1, 1, 11, "rcm"), (1, 2, 10, "ori"), (1, 3, 12, "ori"),
+                   (1, 4, 30, "age_rcm"), (1, 5, 29, "age_rcm"), (2, 1, 10, "ori")]
+
+
+def test_frequency_list_of_cold_customers_only(spark):
+    """The cold list is the same from all customers' frequencies and from those of cold customers."""
+    from cartwise.operators.blend import cold_customers, cold_start, frequency_list
+    cycle = spark.createDataFrame([(1, "36", 0.9), (2, "36", 0.1), (3, "7", 0.9), (4, None, None), (None, "36", 0.0)],
+                                  "customer_id long, category_code string, score double")
+    bought = [(c, p, f"2024-01-0{d}") for c in (1, 2, 3, None) for p in (5, 6) for d in range(1, p - 2)]
+    purchases = spark.createDataFrame(bought, "customer_id long, product_id long, purchase_date string")
+    few = frequency_list(purchases, customers=cold_customers(cycle))
+    assert {r.customer_id for r in few.collect()} == {2, 3}
+    key = [sorted((tuple(r) for r in cold_start(cycle, f).collect()), key=str) for f in (few, frequency_list(purchases))]
+    assert key[0] == key[1] and len(key[0]) == 6
